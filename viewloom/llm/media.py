@@ -1,9 +1,9 @@
 """Media columns: payloads as 8-bit grey PNG images, content-addressed in tar shards of the shared folder.
 
 Rows carry (digest, shard, offset, length).  Metadata columns come from range reads of the PNG header alone;
-features read the whole member.  Each digest is stored once: tasks drop what they have already seen before the
-shuffle by digest, and the writer of a digest's partition keeps its first.  A shard's name is unique to the task
-attempt that wrote it and the index is a committed table, so lost executors leave at most unreferenced files.
+features read the whole member.  No payload is shuffled: a task stores a payload once in the shards that it writes,
+and the index names one place for each digest.  A shard's name is unique to the task attempt that wrote it and the
+index is a committed table, so lost executors leave at most unreferenced files.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ from . import common
 WIDTH = 64
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 HEADER_BYTES = len(SIGNATURE) + 8 + 13 + 4
-INDEX = "digest string, shard string, offset long, length long"
-META = "digest string, width int, height int, bit_depth int, colour_type int"
-FEATURES = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+INDEX = "digest binary, shard string, offset long, length long"
+META = "digest binary, width int, height int, bit_depth int, colour_type int"
+FEATURES = "digest binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 def pad(data: bytes) -> bytes:
@@ -84,51 +84,34 @@ def image_feature(payload: bytes) -> str:
     return f"{a.mean():.4f}|{a.std():.4f}|{-(p[p > 0] * np.log2(p[p > 0])).sum():.4f}|{int(bits, 2):016x}"
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[bytes] = set()
-    for batch in batches:
-        digests, files, size = [], [], 0
-        for text in common.binary_values(batch.column(0)):
-            payload = pad(text)
-            digest = hashlib.sha256(payload)
-            if digest.digest() in seen:
-                continue
-            seen.add(digest.digest())
-            digests.append(digest.hexdigest())
-            files.append(encode_png(payload))
-            size += len(files[-1])
-            if size > 8e6:
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(files, pa.binary())], ["digest", "media"])
-                digests, files, size = [], [], 0
-        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(files, pa.binary())], ["digest", "media"])
-
-
 def _writer(folder: str, shard_bytes: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = common.open_fs(folder)
-        seen: set[str] = set()
+        seen: set[bytes] = set()
         stream, name, at = None, "", 0
         for batch in batches:
             rows = []
-            for digest, media in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if digest in seen:
+            for text in batch.column(0):
+                payload = pad((text.as_py() or "").encode())
+                digest = hashlib.sha256(payload)
+                if digest.digest() in seen:
                     continue
-                seen.add(digest)
+                seen.add(digest.digest())
                 if stream is None:
                     name, at = f"{uuid.uuid4().hex}.tar", 0
                     stream = fs.open_output_stream(f"{base}/{name}")
-                media = media.as_py()
-                info = tarfile.TarInfo(f"{digest}.png")
+                media = encode_png(payload)
+                info = tarfile.TarInfo(f"{digest.hexdigest()}.png")
                 info.size = len(media)
                 head = info.tobuf(tarfile.USTAR_FORMAT)
                 stream.write(head + media + bytes(-len(media) % 512))
-                rows.append((digest, name, at + len(head), len(media)))
+                rows.append((digest.digest(), name, at + len(head), len(media)))
                 at += len(head) + len(media) + -len(media) % 512
                 if at >= shard_bytes:
                     stream.write(bytes(1024))
                     stream.close()
                     stream = None
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], ["digest", "shard", "offset", "length"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_schema(INDEX))], schema=_schema(INDEX))
         if stream is not None:
             stream.write(bytes(1024))
             stream.close()
@@ -137,7 +120,7 @@ def _writer(folder: str, shard_bytes: int):
 
 
 def _schema(ddl: str) -> pa.Schema:
-    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
+    kinds = {"string": pa.string(), "binary": pa.binary(), "long": pa.int64(), "int": pa.int32()}
     return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
 
 
@@ -174,7 +157,7 @@ def _features(file, offset: int, length: int) -> tuple:
 
 
 def store(docs: DataFrame, *, text_col="text", folder: str | None = None, shard_bytes: int = 64 << 20) -> tuple[DataFrame, str]:
-    """Write every distinct payload of docs once; the index (digest, shard, offset, length) and the shards' folder.
+    """Write the distinct payloads of each part of docs; the index (digest, shard, offset, length) and the shards' folder.
 
     A null text counts as empty.  Other columns are not read.  An empty table gives an empty index and no shard.
     """
@@ -182,8 +165,9 @@ def store(docs: DataFrame, *, text_col="text", folder: str | None = None, shard_
     folder = folder or common.new_folder(spark, "media")
     fs, base = common.open_fs(folder)
     fs.create_dir(base, recursive=True)
-    media = docs.select(common.utf8(text_col).alias("text")).mapInArrow(_encode, "digest string, media binary")
-    index = media.repartition(common.parts(docs, 16), "digest").mapInArrow(_writer(folder, shard_bytes), INDEX)
+    written = common.stash(docs.select(common.utf8(text_col).alias("text")).mapInArrow(_writer(folder, shard_bytes), INDEX), "media-written")
+    index = written.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at")).select("digest", "at.*")
+    index = index.repartition(common.parts(docs, 16), "shard").sortWithinPartitions("shard", "offset")
     return common.stash(index, "media-index"), folder
 
 
@@ -206,7 +190,8 @@ def media_columns(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataF
     data = F.encode(common.utf8(text_col), "UTF-8")
     n = F.octet_length(common.utf8(text_col))
     zeros = F.when(n == 0, F.lit(WIDTH)).otherwise(F.pmod(-n, F.lit(WIDTH)))
-    rows = docs.select(F.col(id_col), n.cast("long").alias("n_bytes"), F.sha2(F.concat(data, F.unhex(F.repeat(F.lit("00"), zeros.cast("int")))), 256).alias("digest"))
+    rows = docs.select(F.col(id_col), n.cast("long").alias("n_bytes"), F.unhex(F.sha2(F.concat(data, F.unhex(F.repeat(F.lit("00"), zeros.cast("int")))), 256)).alias("digest"))
+    index = index.repartition(common.parts(docs, 16), "shard").sortWithinPartitions("shard", "offset")
     known = index.join(read_metadata(index, folder), "digest").join(read_features(index, folder), "digest")
     return rows.join(known, "digest")
 
