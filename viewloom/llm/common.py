@@ -45,8 +45,9 @@ def open_fs(uri: str):
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of df; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Catalyst's size estimate of df; no job runs.  Where it has none, 16 MB for each shuffle partition."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 16_000_000
 
 
 def parts(df: DataFrame, mb: float, least: int = 12, most: int = 65536) -> int:

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from . import media, mixing, warc
+from . import ann, bpe, jaccard, licenses, lm, media, mixing, quality, suffix, warc
 
 QUERIES = {
+    "op1_suffix": suffix.op1_suffix,
     "op2_warc": warc.op2_warc,
+    "op3_bpe": bpe.op3_bpe,
+    "op4_quality": quality.op4_quality,
     "op5_media": media.op5_media,
     "op6_mix": mixing.op6_mix,
+    "op7_jaccard": jaccard.op7_jaccard,
+    "op8_licenses": licenses.op8_licenses,
+    "op9_neighbours": ann.op9_neighbours,
+    "op10_lm": lm.op10_lm,
 }
 
 ORACLES = {
     "op6_mix": mixing.OP6_SQL,
+    "op8_licenses": licenses.OP8_SQL,
 }
