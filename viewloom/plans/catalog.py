@@ -1,4 +1,647 @@
-"""Named queries over the driver tables and their SQL."""
+"""Named queries over the driver tables and the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import geometry as geo
+from ..operators import fusion, graphs, matching, pairs, retrieval, tiling, tracks
+from ..sources import files
+from ..sources.shared import stash
+from .base import base, read, rounded, sql
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(name: str, oracle: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if oracle:
+            ORACLES[name] = oracle
+        return f
+
+    return add
+
+
+# --- pair graphs
+
+@query("pairs_complete", sql("frames", "SELECT a.image_id AS src, b.image_id AS dst FROM frames a JOIN frames b ON b.image_id < a.image_id"))
+def _(spark, sf):
+    return pairs.complete(base(spark, sf, "frames"))
+
+
+_SWIN = "SELECT DISTINCT least(i, j) AS src, greatest(i, j) AS dst FROM (SELECT image_id i, {j} j FROM frames, (SELECT unnest([{d}]) d) t, (SELECT count(*) n FROM frames) c) q WHERE i <> j AND j >= 0 AND j < (SELECT count(*) FROM frames)"
+
+
+@query("pairs_swin", sql("frames", _SWIN.format(j="(image_id + d) % n", d="1, 2, 3")))
+def _(spark, sf):
+    return pairs.make_pairs(base(spark, sf, "frames"), "swin-3")
+
+
+@query("pairs_swin_linear", sql("frames", _SWIN.format(j="image_id + d", d="1, 2, 3, 4")))
+def _(spark, sf):
+    return pairs.make_pairs(base(spark, sf, "frames"), "swin-4-noncyclic")
+
+
+@query("pairs_logwin", sql("frames", _SWIN.format(j="(image_id + d + n) % n", d="1, 2, 4, 8, -1, -2, -4, -8")))
+def _(spark, sf):
+    return pairs.make_pairs(base(spark, sf, "frames"), "logwin-4")
+
+
+@query("pairs_logwin_linear", sql("frames", _SWIN.format(j="image_id + d", d="1, 2, 4, -1, -2, -4")))
+def _(spark, sf):
+    return pairs.make_pairs(base(spark, sf, "frames"), "logwin-3-noncyclic")
+
+
+@query("pairs_oneref", sql("frames", "SELECT CAST(2 AS BIGINT) AS src, image_id AS dst FROM frames WHERE image_id <> 2"))
+def _(spark, sf):
+    return pairs.make_pairs(base(spark, sf, "frames"), "oneref-2")
+
+
+@query("pairs_symmetrized", sql("edges", "SELECT src, dst FROM edges UNION ALL SELECT dst, src FROM edges"))
+def _(spark, sf):
+    return pairs.symmetrize(base(spark, sf, "edges"))
+
+
+@query("pairs_unordered_first", sql("edges", "r AS (SELECT *, row_number() OVER (PARTITION BY least(src, dst), greatest(src, dst) ORDER BY pos) n FROM edges) SELECT src, dst FROM r WHERE n = 1"))
+def _(spark, sf):
+    return pairs.unordered_first(base(spark, sf, "edges"))
+
+
+@query("pairs_seq_filter", sql("edges", "SELECT src, dst, pos FROM edges WHERE abs(src - dst) <= 5"))
+def _(spark, sf):
+    return pairs.frame_gap(base(spark, sf, "edges"), 5)
+
+
+@query("pairs_seq_cyclic", sql("edges", "n AS (SELECT max(greatest(src, dst)) + 1 n FROM edges) SELECT src, dst, pos FROM edges, n WHERE least(abs(src - dst), abs(src + n - dst), abs(src - n - dst)) <= 5"))
+def _(spark, sf):
+    return pairs.frame_gap(base(spark, sf, "edges"), 5, cyclic=True)
+
+
+@query("pairs_kept", sql("edges", "SELECT src, dst, pos FROM edges WHERE (src, dst) IN (SELECT src, dst FROM edges WHERE abs(src - dst) <= 2)"))
+def _(spark, sf):
+    e = base(spark, sf, "edges")
+    return pairs.keep_pairs(e, pairs.frame_gap(e, 2))
+
+
+@query("images_of_pairs", sql("edges", "SELECT src AS image_id FROM edges UNION SELECT dst FROM edges"))
+def _(spark, sf):
+    return pairs.images_of(base(spark, sf, "edges"))
+
+
+@query("pairs_per_image", sql("edges", "SELECT image_id, count(*) AS n_pairs FROM (SELECT src AS image_id FROM edges UNION ALL SELECT dst FROM edges) q GROUP BY 1"))
+def _(spark, sf):
+    return pairs.pairs_per_image(base(spark, sf, "edges"))
+
+
+@query("pairs_unwritten", sql("edges", "c AS (SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst, pos % 3 = 0 AS w FROM edges) SELECT DISTINCT src, dst FROM c WHERE NOT w AND (src, dst) NOT IN (SELECT src, dst FROM c WHERE w)"))
+def _(spark, sf):
+    e = base(spark, sf, "edges")
+    return pairs.without_written(e.where("pos % 3 <> 0"), e.where("pos % 3 = 0"))
+
+
+@query("pairs_file_rows", sql("edges", "SELECT DISTINCT format('{}, {}, 1.0', src, dst) AS value FROM edges"))
+def _(spark, sf):
+    return files.pair_lines(base(spark, sf, "edges"))
+
+
+# --- tiles
+
+_EDGE = """s AS (SELECT image_id, width w, height h,
+  CASE WHEN width <= 512 THEN [0] ELSE list_distinct(list_concat(range(0, width - 512, 384), [width - 512])) END xs,
+  CASE WHEN height <= 512 THEN [0] ELSE list_distinct(list_concat(range(0, height - 512, 384), [height - 512])) END ys FROM photos),
+x AS (SELECT image_id, w, h, ys, unnest(xs) x0 FROM s), y AS (SELECT image_id, w, h, x0, unnest(ys) y0 FROM x),
+tiles AS (SELECT format('{}_tile_{:04d}', image_id, row_number() OVER (PARTITION BY image_id ORDER BY y0, x0) - 1) AS tile_id, image_id,
+  x0::INT x0, y0::INT y0, least(x0 + 512, w)::INT x1, least(y0 + 512, h)::INT y1 FROM y) """
+
+
+@query("tiles_edge_aligned", sql("photos", _EDGE + "SELECT * FROM tiles"))
+def _(spark, sf):
+    return tiling.edge_aligned(base(spark, sf, "photos"))
+
+
+@query("tiles_clipped", sql("photos", """x AS (SELECT image_id, width w, height h, unnest(range(0, width, 768)) x0 FROM photos),
+y AS (SELECT image_id, w, h, x0, unnest(range(0, h, 768)) y0 FROM x),
+k AS (SELECT image_id, x0, y0, least(x0 + 1024, w) x1, least(y0 + 1024, h) y1 FROM y)
+SELECT format('{}_tile_{:04d}', image_id, row_number() OVER (PARTITION BY image_id ORDER BY y0, x0) - 1) AS tile_id, image_id, x0::INT x0, y0::INT y0, x1::INT x1, y1::INT y1
+FROM k WHERE x1 - x0 >= 256 AND y1 - y0 >= 256"""))
+def _(spark, sf):
+    return tiling.clipped(base(spark, sf, "photos"))
+
+
+@query("grid_overlap", sql("photos", """g AS (SELECT image_id, width, CASE WHEN width <= 512 THEN 1 ELSE ceil((width - 512) / 256.0)::INT + 1 END n FROM photos),
+e AS (SELECT image_id, width, n, unnest(range(n)) i FROM g)
+SELECT image_id, i::INT AS i, round_even(CASE WHEN n > 1 THEN i * ((width - 512) / (n - 1)) ELSE 0 END, 0)::INT AS start FROM e"""))
+def _(spark, sf):
+    rows = base(spark, sf, "photos").select("image_id", tiling.window_starts(F.col("width"), 512, 0.5).alias("s"))
+    return rows.select("image_id", F.posexplode("s").alias("i", "start"))
+
+
+@query("pixel_grid_sums", sql("photos", "SELECT image_id, count(*) AS n, sum(x + width * y)::BIGINT AS total FROM (SELECT image_id, width, height, unnest(range(32, width, 64)) x FROM photos) a, LATERAL (SELECT unnest(range(32, height, 64)) y) b GROUP BY 1"))
+def _(spark, sf):
+    return tiling.pixel_grid(base(spark, sf, "photos"), 64, centred=True).groupBy("image_id").agg(F.count("*").alias("n"), F.sum("pix").alias("total"))
+
+
+_BOXES = "a AS (SELECT CAST(p_partkey AS BIGINT) a_id, p_partkey % 1000 a_x0, (p_partkey * 7) % 1000 a_y0, p_partkey % 1000 + p_size a_x1, (p_partkey * 7) % 1000 + p_size a_y1 FROM {part}), b AS (SELECT CAST(s_suppkey AS BIGINT) b_id, (s_suppkey * 13) % 1000 b_x0, (s_suppkey * 29) % 1000 b_y0, (s_suppkey * 13) % 1000 + 40 b_x1, (s_suppkey * 29) % 1000 + 40 b_y1 FROM {supplier})"
+
+
+@query("tile_bbox_join", f"WITH {_BOXES.format(part='part', supplier='supplier')} SELECT a_id, b_id, CAST(greatest(0, least(a_x1, b_x1) - greatest(a_x0, b_x0)) * greatest(0, least(a_y1, b_y1) - greatest(a_y0, b_y0)) AS DOUBLE) AS area FROM a, b WHERE a_x0 <= b_x1 AND b_x0 <= a_x1 AND a_y0 <= b_y1 AND b_y0 <= a_y1")
+def _(spark, sf):
+    one, two = (spark.sql(f"WITH {_BOXES} SELECT * FROM {n}", part=read(spark, sf, "part"), supplier=read(spark, sf, "supplier")) for n in "ab")
+    return tiling.box_join(one, two, 64.0).select("a_id", "b_id", tiling.overlap_area("a_", "b_").alias("area"))
+
+
+def _maps(spark, sf) -> DataFrame:
+    p = base(spark, sf, "photos").select(F.col("image_id").alias("src"), (F.col("image_id") + 1).alias("dst"))
+    shift = F.array(F.lit(1.0), F.lit(0.0), F.pmod(F.col("src"), F.lit(50)).cast("double"), F.lit(0.0), F.lit(1.0), F.lit(-20.0))
+    return p.where("src % 2 = 0").select("src", "dst", shift.alias("m"))
+
+
+_OVER = _EDGE.rstrip() + """,
+o AS (SELECT a.image_id src, b.image_id dst, a.tile_id a_tile, b.tile_id b_tile,
+   greatest(0, least(a.x1 + a.image_id % 50, b.x1) - greatest(a.x0 + a.image_id % 50, b.x0)) * greatest(0, least(a.y1 - 20, b.y1) - greatest(a.y0 - 20, b.y0))::DOUBLE area,
+   a.x0 + a.image_id % 50 <= b.x1 AND b.x0 <= a.x1 + a.image_id % 50 AND a.y0 - 20 <= b.y1 AND b.y0 <= a.y1 - 20 meets
+ FROM tiles a JOIN tiles b ON b.image_id = a.image_id + 1 AND a.image_id % 2 = 0) """
+
+
+@query("tile_pairs_projected", sql("photos", _OVER + "SELECT src, dst, a_tile, b_tile FROM o WHERE meets"))
+def _(spark, sf):
+    return tiling.overlapping_tiles(tiling.edge_aligned(base(spark, sf, "photos")), _maps(spark, sf)).select("src", "dst", "a_tile", "b_tile")
+
+
+@query("tile_best_one_to_one", sql("photos", _OVER.rstrip() + """,
+m AS (SELECT *, row_number() OVER (PARTITION BY src, dst, a_tile ORDER BY area DESC, b_tile) r FROM o WHERE area > 1),
+n AS (SELECT *, row_number() OVER (PARTITION BY src, dst, b_tile ORDER BY area DESC, a_tile) q FROM m WHERE r = 1)
+SELECT src, dst, a_tile, b_tile, area FROM n WHERE q = 1"""))
+def _(spark, sf):
+    return tiling.best_tiles(tiling.overlapping_tiles(tiling.edge_aligned(base(spark, sf, "photos")), _maps(spark, sf)))
+
+
+@query("affine_fallback", sql("photos", """m AS (SELECT image_id src, image_id + 1 dst, 1.0 + image_id % 3 a, (image_id % 50)::DOUBLE c FROM photos WHERE image_id % 2 = 0),
+p AS (SELECT src, dst, a, 0.0 b, c, 0.0 d, 2.0 e, -20.0 f FROM m UNION ALL SELECT dst, src, 1 / a, 0, -c / a, 0, 0.5, 10 FROM m)
+SELECT src, dst, round(a * 10 + b * 20 + c, 6)::DOUBLE + 0.0 AS x, round(d * 10 + e * 20 + f, 6)::DOUBLE + 0.0 AS y FROM p"""))
+def _(spark, sf):
+    p = base(spark, sf, "photos").where("image_id % 2 = 0").select(F.col("image_id").alias("src"), (F.col("image_id") + 1).alias("dst"))
+    one = lambda x: F.lit(float(x))
+    maps = p.withColumn("m", F.array(1.0 + F.pmod("src", F.lit(3)), one(0), F.pmod("src", F.lit(50)).cast("double"), one(0), one(2), one(-20)))
+    rows = tiling.pair_affines(pairs.symmetrize(p), maps).withColumn("p", tiling.apply_affine(F.col("m"), one(10), one(20)))
+    return rounded(rows.select("src", "dst", "p.x", "p.y"))
+
+
+@query("points_in_tiles", sql("points", "c AS (SELECT i AS cell_id, (i % 5) * 128 x0, (i // 5) * 160 y0, (i % 5) * 128 + 128 x1, (i // 5) * 160 + 160 y1 FROM range(15) t(i)) SELECT cell_id, count(*) AS n FROM points JOIN c ON x >= x0 AND x < x1 AND y >= y0 AND y < y1 GROUP BY 1"))
+def _(spark, sf):
+    cells = spark.range(15).select(F.col("id").alias("cell_id"), (F.col("id") % 5 * 128).alias("x0"), (F.floor(F.col("id") / 5) * 160).alias("y0"))
+    cells = cells.withColumn("x1", F.col("x0") + 128).withColumn("y1", F.col("y0") + 160)
+    return tiling.contained(base(spark, sf, "points"), cells, 128.0).groupBy("cell_id").agg(F.count("*").alias("n"))
+
+
+# --- descriptor matching: label stands for the image, vec_id for the keypoint
+
+def _best(spark, sf) -> DataFrame:
+    d = read(spark, sf, "embeddings").select(F.col("label").cast("long").alias("image_id"), F.col("vec_id").alias("kp"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    p = base(spark, sf, "images").alias("a").join(base(spark, sf, "images").alias("b"), F.col("a.image_id") < F.col("b.image_id")).select(F.col("a.image_id").alias("src"), F.col("b.image_id").alias("dst"))
+    return matching.nearest_both_ways(d, p)
+
+
+_MUTUAL = """e AS (SELECT vec_id, CAST(label AS BIGINT) label, embedding::DOUBLE[] v FROM embeddings),
+s AS (SELECT a.label la, a.vec_id va, b.label lb, b.vec_id vb, list_inner_product(a.v, b.v) sim FROM e a JOIN e b ON a.label < b.label),
+r AS (SELECT *, row_number() OVER (PARTITION BY va, lb ORDER BY sim DESC, vb) ra, row_number() OVER (PARTITION BY vb, la ORDER BY sim DESC, va) rb FROM s),
+m AS (SELECT la AS src, lb AS dst, va AS a, vb AS b, sim AS score FROM r WHERE ra = 1 AND rb = 1)"""
+
+
+@query("nearest_both_ways", f"WITH {_MUTUAL} SELECT la AS src, lb AS dst, va AS a, vb AS b, true AS forward FROM r WHERE ra = 1 UNION ALL SELECT la, lb, va, vb, false FROM r WHERE rb = 1")
+def _(spark, sf):
+    return _best(spark, sf).drop("score")
+
+
+@query("mutual_best_matches", f"WITH {_MUTUAL} SELECT src, dst, a, b, round(score, 6) AS score FROM m")
+def _(spark, sf):
+    return rounded(matching.mutual(_best(spark, sf)))
+
+
+@query("pair_match_counts", f"WITH {_MUTUAL} SELECT src, dst, count(*) AS n_matches FROM m WHERE score >= 0.35 GROUP BY 1, 2")
+def _(spark, sf):
+    return matching.match_counts(matching.confident(matching.mutual(_best(spark, sf)), 0.35, "score"))
+
+
+@query("pairs_with_enough_matches", sql("raw", "SELECT least(src, dst) AS src, greatest(src, dst) AS dst, count(*) AS n_matches FROM raw GROUP BY 1, 2 HAVING count(*) > 15"))
+def _(spark, sf):
+    return matching.enough_matches(base(spark, sf, "raw"))
+
+
+_STEP = ", ".join(f"s{k} AS (SELECT f{k}.p1 AS was1, f{k}.p2 AS was2, a2.b AS p2 FROM f{k} JOIN fw a2 ON a2.a = f{k}.p1), g{k} AS (SELECT s.was1, s.p2, bw.a AS p1 FROM s{k} s JOIN bw ON bw.b = s.p2 WHERE s.p2 <> s.was2), f{k + 1} AS (SELECT p1, p2 FROM g{k} WHERE p1 <> was1)" for k in range(6))
+
+
+@query("reciprocal_iterated", f"WITH {_MUTUAL}, fw AS (SELECT va a, vb b FROM r WHERE ra = 1 AND la = 0 AND lb = 1), bw AS (SELECT va a, vb b FROM r WHERE rb = 1 AND la = 0 AND lb = 1), f0 AS (SELECT a AS p1, CAST(-1 AS BIGINT) AS p2 FROM fw WHERE a % 3 = 0), {_STEP} " + " UNION ".join(f"SELECT was1 AS p1, p2 FROM s{k} WHERE p2 = was2 UNION SELECT p1, p2 FROM g{k} WHERE p1 = was1" for k in range(6)))
+def _(spark, sf):
+    best = stash(_best(spark, sf).where("src = 0 AND dst = 1"), "best")
+    forward, backward = (best.where(f"forward = {x}").select("a", "b") for x in ("true", "false"))
+    return matching.iterated_reciprocal(forward.where("a % 3 = 0").select(F.col("a").alias("p1")), forward, backward, 6)
+
+
+@query("reciprocal_tolerant", f"WITH {_MUTUAL}, fw AS (SELECT va a, vb b FROM r WHERE ra = 1 AND la = 0 AND lb = 1), bw AS (SELECT va a, vb b FROM r WHERE rb = 1 AND la = 0 AND lb = 1) SELECT fw.a AS p1, fw.b AS p2 FROM fw JOIN bw ON bw.b = fw.b WHERE sqrt((fw.a % 32 - bw.a % 32) ** 2 + (fw.a // 32 - bw.a // 32) ** 2) < 5")
+def _(spark, sf):
+    best = stash(_best(spark, sf).where("src = 0 AND dst = 1"), "best")
+    forward, backward = (best.where(f"forward = {x}").select("a", "b") for x in ("true", "false"))
+    return matching.tolerant(forward.select(F.col("a").alias("p1")), forward, backward, 32, 5.0)
+
+
+@query("merged_corres", sql("raw", "x AS (SELECT *, row_number() OVER (PARTITION BY src, dst, pix1, pix2 ORDER BY pos) n FROM raw) SELECT src, dst, pix1, pix2, pos, conf FROM x WHERE n = 1"))
+def _(spark, sf):
+    return matching.merge_corres(base(spark, sf, "raw").select("src", "dst", "pix1", "pix2", "pos", "conf"))
+
+
+def _directions(combine: str):
+    conf = "least(conf1, conf2)" if combine == "min" else "sqrt(conf1 * conf2)"
+    return sql("raw", f"x AS (SELECT *, row_number() OVER (PARTITION BY src, dst, pix1, pix2 ORDER BY pos % 2, pos) n FROM raw) SELECT src, dst, pix1, pix2, round({conf}, 6) AS conf FROM x WHERE n = 1")
+
+
+for _mode in ("min", "root"):
+    @query(f"directions_{_mode}", _directions(_mode))
+    def _(spark, sf, mode=_mode):
+        r = base(spark, sf, "raw")
+        return rounded(matching.union_directions(r.where("pos % 2 = 0"), r.where("pos % 2 = 1"), mode))
+
+
+@query("cached_pair", sql("raw", "SELECT src, dst, pix1, pix2, pos FROM raw WHERE src = 3 AND dst = 9 AND conf > 3 UNION ALL SELECT 3, 9, pix2, pix1, pos FROM raw WHERE src = 9 AND dst = 3 AND conf > 3"))
+def _(spark, sf):
+    return matching.cached_pair(matching.cached_confident(base(spark, sf, "raw"), 3), 3, 9).select("src", "dst", "pix1", "pix2", "pos")
+
+
+@query("pair_gate", sql("raw", "g AS (SELECT src, dst FROM raw WHERE pos % 5 = 0 GROUP BY 1, 2 HAVING max(conf) > 5.95) SELECT src, dst, pos FROM raw WHERE pos % 5 = 0 AND (src, dst) IN (SELECT src, dst FROM g) UNION ALL SELECT src, dst, pos FROM raw WHERE pos % 5 = 1 AND (src, dst) NOT IN (SELECT src, dst FROM g)"))
+def _(spark, sf):
+    r = base(spark, sf, "raw")
+    return matching.pair_gate(r.where("pos % 5 = 0"), r.where("pos % 5 = 1"), 5.95).select("src", "dst", "pos")
+
+
+@query("negatives_first_n", sql("points", "f AS (SELECT image_id, pix, row_number() OVER (PARTITION BY image_id ORDER BY pix) n FROM (SELECT DISTINCT image_id, pix FROM points) d WHERE (image_id, pix) NOT IN (SELECT image_id, pix FROM points WHERE pos % 3 = 0)) SELECT image_id, pix FROM f WHERE n <= 5"))
+def _(spark, sf):
+    p = base(spark, sf, "points")
+    return matching.first_negatives(p.select("image_id", "pix").distinct(), p.where("pos % 3 = 0"), 5)
+
+
+@query("topk_attention", sql("local_feats", "t AS (SELECT image_id, pos, row_number() OVER (PARTITION BY image_id ORDER BY attn DESC, pos) AS rank FROM local_feats) SELECT image_id, pos, CAST(rank AS INT) AS rank FROM t WHERE rank <= 7"))
+def _(spark, sf):
+    return matching.top_local(base(spark, sf, "local_feats"), 7).select("image_id", "pos", "rank")
+
+
+# --- keypoints and tracks
+
+@query("keypoints_distinct", sql("points", "d AS (SELECT DISTINCT image_id, x, y FROM points) SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY x, y) - 1 AS kp_idx, x, y FROM d"))
+def _(spark, sf):
+    return tracks.distinct_keypoints(base(spark, sf, "points"))
+
+
+@query("keypoints_rounded", sql("points", "r AS (SELECT *, row_number() OVER (PARTITION BY image_id, round_even(x, 0), round_even(y, 0) ORDER BY pos) n FROM points) SELECT image_id, x, y FROM r WHERE n = 1"))
+def _(spark, sf):
+    return tracks.rounded_keypoints(base(spark, sf, "points"))
+
+
+_KP = "k AS (SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY x, y) - 1 AS kp_idx, x AS kx, y AS ky FROM (SELECT DISTINCT image_id, x, y FROM points WHERE pos % 4 = 1) d)"
+
+
+@query("radius_nearest", sql("points", _KP + ", j AS (SELECT p.image_id, pos, kp_idx, row_number() OVER (PARTITION BY p.image_id, pos ORDER BY sqrt((x - kx) ** 2 + (y - ky) ** 2), kp_idx) n FROM points p JOIN k ON k.image_id = p.image_id AND (x - kx) ** 2 + (y - ky) ** 2 < 64 WHERE pos % 4 = 2) SELECT p.image_id, p.pos, kp_idx FROM points p LEFT JOIN (SELECT * FROM j WHERE n = 1) j ON j.image_id = p.image_id AND j.pos = p.pos WHERE p.pos % 4 = 2"))
+def _(spark, sf):
+    p = base(spark, sf, "points")
+    k = tracks.distinct_keypoints(p.where("pos % 4 = 1"))
+    return tracks.radius_nearest(p.where("pos % 4 = 2").select("image_id", "pos", "x", "y"), k, 8.0).select("image_id", "pos", "kp_idx")
+
+
+@query("radius_suppressed", sql("points", _KP + " SELECT image_id, kp_idx FROM k a WHERE NOT EXISTS (SELECT 1 FROM k b WHERE b.image_id = a.image_id AND b.kp_idx < a.kp_idx AND (a.kx - b.kx) ** 2 + (a.ky - b.ky) ** 2 <= 36)"))
+def _(spark, sf):
+    return tracks.suppress_close(tracks.distinct_keypoints(base(spark, sf, "points").where("pos % 4 = 1")), 6.0).select("image_id", "kp_idx")
+
+
+@query("keypoint_counts", sql("points", "SELECT image_id, pix, count(*) AS n FROM points GROUP BY 1, 2"))
+def _(spark, sf):
+    return tracks.occurrence_counts(base(spark, sf, "points"))
+
+
+@query("index_pairs", sql("raw", "SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst, CASE WHEN src > dst THEN pix2 ELSE pix1 END AS pix1, CASE WHEN src > dst THEN pix1 ELSE pix2 END AS pix2 FROM raw"))
+def _(spark, sf):
+    return tracks.index_pairs(base(spark, sf, "raw"))
+
+
+@query("running_offsets", sql("points", "c AS (SELECT image_id, count(*) AS n FROM points GROUP BY 1) SELECT image_id, n, CAST(coalesce(sum(n) OVER (ORDER BY image_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM c"))
+def _(spark, sf):
+    return tracks.offsets(base(spark, sf, "points").groupBy("image_id").agg(F.count("*").alias("n")))
+
+
+def _edges(spark, sf) -> DataFrame:
+    m = matching.confident(matching.mutual(_best(spark, sf)), 0.40, "score")
+    return stash(m.select("src", F.col("a").alias("a_kp"), "dst", F.col("b").alias("b_kp")), "edges")
+
+
+_TRACKS = _MUTUAL + """, k AS (SELECT src, a, dst, b FROM m WHERE score >= 0.40),
+u AS (SELECT a x, b y FROM k UNION ALL SELECT b, a FROM k), reach(x, y) AS (SELECT x, x FROM u UNION SELECT r.x, u.y FROM reach r JOIN u ON r.y = u.x),
+v AS (SELECT DISTINCT src AS image_id, a AS kp_id FROM k UNION SELECT dst, b FROM k), name AS (SELECT *, format('{:012d}:{:012d}', image_id, kp_id) AS nm FROM v),
+t AS (SELECT n.image_id, n.kp_id, min(o.nm) AS track_id FROM name n JOIN reach ON reach.x = n.kp_id JOIN name o ON o.kp_id = reach.y GROUP BY 1, 2),
+l AS (SELECT *, count(*) OVER (PARTITION BY track_id) c FROM t), kept AS (SELECT image_id, kp_id, track_id, row_number() OVER (PARTITION BY image_id ORDER BY track_id, kp_id) - 1 AS kp_idx FROM l WHERE c >= 3) """
+
+
+@query("track_components", f"WITH RECURSIVE {_TRACKS} SELECT image_id, kp_id, track_id FROM t")
+def _(spark, sf):
+    return tracks.component_tracks(_edges(spark, sf))
+
+
+@query("track_lengths", f"WITH RECURSIVE {_TRACKS} SELECT track_id, count(*) AS n_keypoints, count(DISTINCT image_id) AS n_images FROM t GROUP BY 1")
+def _(spark, sf):
+    return tracks.track_lengths(tracks.component_tracks(_edges(spark, sf)))
+
+
+@query("track_mean_length", f"WITH RECURSIVE {_TRACKS} SELECT round(avg(n), 6) AS mean_length FROM (SELECT count(*) n FROM t GROUP BY track_id) q")
+def _(spark, sf):
+    return rounded(tracks.mean_length(tracks.component_tracks(_edges(spark, sf))))
+
+
+@query("track_one_per_image", f"WITH RECURSIVE {_TRACKS}, o AS (SELECT track_id, image_id, min(kp_id) AS kp_id FROM t GROUP BY 1, 2) SELECT *, count(*) OVER (PARTITION BY track_id) AS n_images FROM o")
+def _(spark, sf):
+    return tracks.one_per_image(tracks.component_tracks(_edges(spark, sf)))
+
+
+@query("track_closure_pairs", f"WITH RECURSIVE {_TRACKS} SELECT x.image_id AS src, y.image_id AS dst, x.kp_idx AS kp_idx1, y.kp_idx AS kp_idx2 FROM kept x JOIN kept y ON x.track_id = y.track_id AND x.image_id < y.image_id")
+def _(spark, sf):
+    return tracks.closure_pairs(tracks.long_tracks(tracks.component_tracks(_edges(spark, sf)), 3))
+
+
+@query("observed_matches_reindexed", f"WITH RECURSIVE {_TRACKS} SELECT src, dst, x.kp_idx AS kp_idx1, y.kp_idx AS kp_idx2 FROM k JOIN kept x ON x.image_id = src AND x.kp_id = a JOIN kept y ON y.image_id = dst AND y.kp_id = b")
+def _(spark, sf):
+    e = _edges(spark, sf)
+    return tracks.observed_pairs(e, stash(tracks.long_tracks(tracks.component_tracks(e), 3), "kept"))
+
+
+@query("guarded_tracks")
+def _(spark, sf):
+    return tracks.guarded_tracks(_edges(spark, sf))
+
+
+@query("track_mean_position", sql("observed", "d AS (SELECT DISTINCT ON (track_id, image_id, pix) * FROM observed ORDER BY track_id, image_id, pix, pos) SELECT track_id, round(avg(x), 9) AS x, round(avg(y), 9) AS y, round(avg(z), 9) AS z, count(*) AS n_obs FROM d GROUP BY 1"))
+def _(spark, sf):
+    return rounded(tracks.track_positions(base(spark, sf, "observed")), 9)
+
+
+@query("first_colours", sql("observed", "f AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY pos) n FROM observed) SELECT track_id, " + ", ".join(f"CASE WHEN x >= 0 AND x < width AND y >= 0 AND y < height THEN {c} ELSE 200 END AS {c}" for c in "rgb") + " FROM f WHERE n = 1"))
+def _(spark, sf):
+    return tracks.first_colours(base(spark, sf, "observed"))
+
+
+@query("rounded_position_groups", sql("observed", "SELECT pos, dense_rank() OVER (ORDER BY round_even(x, 1), round_even(y / 1000, 1), round_even(z, 1)) - 1 AS group_id FROM observed WHERE pos % 7 = 0"))
+def _(spark, sf):
+    o = base(spark, sf, "observed").where("pos % 7 = 0").withColumn("y", F.col("y") / 1000)
+    return tracks.rounded_groups(o.select("pos", "x", "y", "z"), 1).select("pos", F.col("group_id").cast("long").alias("group_id"))
+
+
+# --- fusion
+
+@query("pair_scores", sql("confs", "SELECT src, dst, round(pow(avg(c11) * avg(c21) * avg(c22) * avg(c12), 0.25), 6) AS conf_score, round(sum(conf), 4) AS conf_sum, count(*) AS n FROM confs GROUP BY 1, 2"))
+def _(spark, sf):
+    return fusion.pair_scores(base(spark, sf, "confs")).select("src", "dst", F.round("conf_score", 6).alias("conf_score"), F.round("conf_sum", 4).alias("conf_sum"), "n")
+
+
+@query("pair_score_matrix", sql("confs", "SELECT i, j, CAST(sum(n) AS BIGINT) AS n FROM (SELECT src i, dst j, count(*) n FROM confs GROUP BY 1, 2 UNION ALL SELECT dst, src, count(*) FROM confs GROUP BY 1, 2) q GROUP BY 1, 2"))
+def _(spark, sf):
+    return fusion.score_matrix(base(spark, sf, "confs"))
+
+
+@query("weighted_canonical", sql("views", "SELECT image_id, pix, " + ", ".join(f"round(sum({c} * (conf - 0.999)) / sum(conf - 0.999), 5) AS {c}" for c in ("x3", "y3", "z3")) + ", round(sum((conf - 0.999) ** 2) / sum(conf - 0.999), 5) AS conf FROM views GROUP BY 1, 2"))
+def _(spark, sf):
+    return rounded(fusion.canonical_view(base(spark, sf, "views")), 5)
+
+
+_CENTRE = "p AS (SELECT image_id, other_id, pix, pix % 25 px, pix // 25 py, any_value(z3) z3, any_value(conf) conf, any_value(x3) x3, any_value(y3) y3 FROM (SELECT * FROM views ORDER BY x3) GROUP BY 1, 2, 3)"
+
+
+@query("relative_depth", sql("views", "p AS (SELECT image_id, other_id, pix, pix % 25 px, pix // 25 py, min(z3) z3, min(conf) conf FROM views GROUP BY 1, 2, 3), c AS (SELECT image_id, other_id, px // 4 bx, py // 4 by_, z3 zc FROM p WHERE px % 4 = 2 AND py % 4 = 2) SELECT p.image_id, pix, round(sum(z3 / zc * (conf - 0.999)) / sum(conf - 0.999), 5) AS rel_depth FROM p JOIN c ON c.image_id = p.image_id AND c.other_id = p.other_id AND bx = px // 4 AND by_ = py // 4 GROUP BY 1, 2"))
+def _(spark, sf):
+    v = base(spark, sf, "views").groupBy("image_id", "other_id", "pix").agg(F.min("z3").alias("z3"), F.min("conf").alias("conf"), F.lit(0.0).alias("x3"), F.lit(0.0).alias("y3"))
+    return rounded(fusion.relative_depth(v.withColumn("px", F.pmod("pix", F.lit(25))).withColumn("py", F.floor(F.col("pix") / 25)), 4), 5)
+
+
+@query("anchor_quantize", sql("depths", "c AS (SELECT image_id, (y // 8) * 8 + x // 8 AS anchor, depth AS centre FROM depths WHERE x % 8 = 4 AND y % 8 = 4) SELECT d.image_id, x, y, anchor, round(depth / centre, 6) AS ratio FROM depths d JOIN c ON c.image_id = d.image_id AND anchor = (y // 8) * 8 + x // 8"))
+def _(spark, sf):
+    d = base(spark, sf, "depths")
+    return rounded(fusion.anchors(d, d, 8).select("image_id", "x", "y", "anchor", "ratio"))
+
+
+@query("condensed", sql("raw", "e AS (SELECT src AS image_id, sqrt(conf1 * conf2) c FROM raw UNION ALL SELECT dst, sqrt(conf1 * conf2) FROM raw), g AS (SELECT image_id, count(*) AS n, round(sum(c), 3) AS conf_sum FROM e GROUP BY 1) SELECT *, CAST(coalesce(sum(n) OVER (ORDER BY image_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM g"))
+def _(spark, sf):
+    return rounded(fusion.condense(base(spark, sf, "raw")), 3)
+
+
+@query("median_normalize", sql("depths", "m AS (SELECT image_id, quantile_disc(depth, 0.5) AS median FROM depths GROUP BY 1) SELECT image_id, x, y, round(depth / median, 6) AS depth FROM depths JOIN m USING (image_id)"))
+def _(spark, sf):
+    return rounded(fusion.median_normalised(base(spark, sf, "depths")).select("image_id", "x", "y", "depth"))
+
+
+@query("shared_intrinsics", sql("cameras", "SELECT " + ", ".join(f"round(sum({c} * conf_sum) / sum(conf_sum), 6) AS {c}" for c in ("focal", "cx", "cy")) + " FROM cameras"))
+def _(spark, sf):
+    return rounded(fusion.shared_intrinsics(base(spark, sf, "cameras")))
+
+
+@query("tsdf_vote", sql("samples", "w AS (SELECT *, CASE WHEN depth - projected >= -10 AND inside THEN exp(conf) ELSE 0.0 END w FROM samples) SELECT point_id, round(CASE WHEN sum(w) <> 0 THEN sum(greatest(depth - projected, -10) * w) / sum(w) END, 6) AS tsdf, CAST(count(*) FILTER (w > 0) AS BIGINT) AS n_seen FROM w GROUP BY 1"))
+def _(spark, sf):
+    return rounded(fusion.tsdf_vote(base(spark, sf, "samples"), 10.0))
+
+
+@query("weighted_fusion_min_support", sql("triples", "a AS (SELECT key, count(*) AS views, count(*) FILTER (NOT isnan(x)) AS valid, " + ", ".join(f"sum({c} * conf) FILTER (NOT isnan(x)) / sum(conf) FILTER (NOT isnan(x)) AS {c}" for c in "xyz") + " FROM triples GROUP BY 1) SELECT key, views, valid, " + ", ".join(f"round(CASE WHEN valid > floor(views * 0.8) THEN {c} END, 5) AS {c}" for c in "xyz") + " FROM a"))
+def _(spark, sf):
+    return rounded(fusion.fused(base(spark, sf, "triples"), 0.8), 5)
+
+
+@query("robust_loss_sum", sql("raw", "SELECT src, round(sum(conf * (pow(pix1 + pow(1 / 1.5, 2), 1.5) - pow(pow(1 / 1.5, 2), 1.5))) / sum(conf), 4) AS loss FROM raw GROUP BY 1"))
+def _(spark, sf):
+    r = base(spark, sf, "raw").withColumn("residual", F.col("pix1").cast("double"))
+    return rounded(fusion.weighted_loss(r, lambda x: geo.robust(x, 1.5), ("src",)), 4)
+
+
+@query("cell_scores", sql("points", "c AS (SELECT image_id AS cell_id, x AS px1, y AS py1, y AS px2, x * 0.5 AS py2 FROM points) SELECT cell_id, count(*) AS n, round(avg(px2), 5) AS mx, round(avg(py2), 5) AS my, " + ", ".join(f"round(greatest(quantile_cont(p{a}2, 0.9) - quantile_cont(p{a}2, 0.1), 20) / greatest(quantile_cont(p{a}1, 0.9) - quantile_cont(p{a}1, 0.1), 20), 5) AS s{a}" for a in "xy") + " FROM c GROUP BY 1 HAVING count(*) >= 10"))
+def _(spark, sf):
+    p = base(spark, sf, "points").select(F.col("image_id").alias("cell_id"), F.col("x").alias("px1"), F.col("y").alias("py1"), F.col("y").alias("px2"), (F.col("x") * 0.5).alias("py2"))
+    return rounded(fusion.cell_scores(p), 5)
+
+
+@query("least_size", sql("photos", "SELECT min(width) AS width, min(height) AS height FROM photos"))
+def _(spark, sf):
+    return fusion.least_size(base(spark, sf, "photos"))
+
+
+@query("db_report", sql("photos points raw", "SELECT 'images' AS table_name, count(*) AS n_rows, count(DISTINCT image_id) AS n_keys FROM photos UNION ALL SELECT 'keypoints', count(*), count(DISTINCT image_id) FROM points UNION ALL SELECT 'matches', count(*), count(DISTINCT (src, dst)) FROM raw"))
+def _(spark, sf):
+    return fusion.database_report(base(spark, sf, "photos"), base(spark, sf, "points"), base(spark, sf, "raw"))
+
+
+@query("largest_reconstruction", sql("points", "g AS (SELECT image_id % 7 AS model_id, count(DISTINCT image_id) n FROM points GROUP BY 1) SELECT model_id, n AS n_images FROM g ORDER BY n DESC, model_id LIMIT 1"))
+def _(spark, sf):
+    return fusion.largest_reconstruction(base(spark, sf, "points").select("image_id", (F.col("image_id") % 7).alias("model_id")).distinct())
+
+
+# --- retrieval and metrics
+
+@query("spoc_pool", sql("local_feats", "e AS (SELECT image_id, attn, generate_subscripts(feat, 1) - 1 AS pos, unnest(feat)::DOUBLE f FROM local_feats), s AS (SELECT image_id, pos, sum(attn * f) v FROM e GROUP BY 1, 2) SELECT image_id, CAST(pos AS INT) AS pos, round(v / sqrt(sum(v * v) OVER (PARTITION BY image_id)), 6) AS value FROM s"))
+def _(spark, sf):
+    return rounded(retrieval.weighted_pool(base(spark, sf, "local_feats")))
+
+
+@query("average_precision", sql("scored", "r AS (SELECT query_id, label, row_number() OVER w AS rank, sum(label) OVER w hits FROM scored WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, item ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT query_id, round(avg(hits / rank), 6) AS ap FROM r WHERE label = 1 GROUP BY 1"))
+def _(spark, sf):
+    return rounded(retrieval.average_precision(base(spark, sf, "scored")))
+
+
+_S = "s AS (SELECT i, j, list_inner_product(va::DOUBLE[], vb::DOUBLE[]) s FROM sims), p AS (SELECT i, j, exp(s / 0.07) p FROM s), d AS (SELECT i, p FROM p WHERE i = j), rw AS (SELECT i, sum(p) t FROM p GROUP BY 1), cl AS (SELECT j, sum(p) t FROM p GROUP BY 1) SELECT d.i, round({}, 6) AS loss FROM d JOIN rw ON rw.i = d.i JOIN cl ON cl.j = d.i"
+_LOSSES = {"all": "-ln(greatest(p / (SELECT sum(p) FROM p), 1e-8))", "proper": "-(ln(greatest(p / cl.t, 1e-8)) + ln(greatest(p / rw.t, 1e-8)))", "dual": "-ln(greatest(p * p / rw.t / cl.t, 1e-8))"}
+
+for _mode, _loss in _LOSSES.items():
+    @query(f"infonce_{_mode}", sql("sims", _S.format(_loss)))
+    def _(spark, sf, mode=_mode):
+        s = base(spark, sf, "sims").select("i", "j", retrieval.dot(F.col("va"), F.col("vb")).alias("s"))
+        return rounded(retrieval.info_nce(s, mode))
+
+
+@query("similarity_euclid", sql("sims", "SELECT i, j, round(1 / (1 + list_distance(va::DOUBLE[], vb::DOUBLE[])), 6) AS s FROM sims"))
+def _(spark, sf):
+    return rounded(base(spark, sf, "sims").select("i", "j", retrieval.euclid_similarity(F.col("va"), F.col("vb")).alias("s")))
+
+
+@query("conf_weighted_loss", sql("raw", "SELECT pos, round(pix1 * conf1 - 0.2 * ln(conf1), 6) AS conf_loss FROM raw"))
+def _(spark, sf):
+    return rounded(retrieval.confidence_loss(base(spark, sf, "raw").select("pos", F.col("pix1").cast("double").alias("loss"), F.col("conf1").alias("conf")), 0.2).select("pos", "conf_loss"))
+
+
+@query("reduced_loss", sql("raw", "SELECT round(1 - avg(conf1), 6) AS loss FROM raw"))
+def _(spark, sf):
+    return rounded(retrieval.reduced(base(spark, sf, "raw").select(F.col("conf1").alias("loss")), "1-mean"))
+
+
+@query("nearest_neighbor_median", sql("rig", "n AS (SELECT a.image_id, min(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2)) d FROM rig a JOIN rig b ON a.image_id <> b.image_id GROUP BY 1) SELECT round(quantile_disc(d, 0.5), 6) AS size FROM n"))
+def _(spark, sf):
+    return rounded(retrieval.nearest_distance(base(spark, sf, "rig")))
+
+
+@query("inverted_file_scores", sql("sims", """k AS (SELECT i, j, sum(CASE WHEN s > 0 THEN s ** 3 ELSE 0 END) s FROM (SELECT li AS i, lj AS j, list_inner_product(va::DOUBLE[], vb::DOUBLE[]) s FROM sims WHERE i % 16 = j % 16) q GROUP BY 1, 2),
+o AS (SELECT li AS i, sum(list_inner_product(va::DOUBLE[], va::DOUBLE[]) ** 3) n FROM sims WHERE sims.i = sims.j GROUP BY 1)
+SELECT CAST(k.i AS BIGINT) AS i, CAST(k.j AS BIGINT) AS j, round(s / sqrt(a.n * b.n), 6) AS s FROM k JOIN o a ON a.i = k.i JOIN o b ON b.i = k.j"""))
+def _(spark, sf):
+    w = read(spark, sf, "embeddings").where("vec_id < 100").select(F.col("label").cast("long").alias("image_id"), (F.col("vec_id") % 16).alias("word"), F.col("embedding").alias("v"))
+    return rounded(retrieval.inverted_file_scores(w, w))
+
+
+@query("whitened_norms")
+def _(spark, sf):
+    v = read(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    return rounded(retrieval.whiten(v, *retrieval.learn_whitening(v), normalise=False).select("vec_id", retrieval.norm(F.col("v")).alias("norm")), 4)
+
+
+# --- graphs
+
+@query("knn_graph", sql("dist", "r AS (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY d, j) n FROM dist) SELECT DISTINCT least(i, j) AS src, greatest(i, j) AS dst FROM r WHERE n <= 4 AND i <> j"))
+def _(spark, sf):
+    return graphs.knn_edges(base(spark, sf, "dist"), 4)
+
+
+@query("nearest_key", sql("dist", "k(j, p) AS (VALUES (7, 0), (2, 1), (5, 2)), r AS (SELECT i, dist.j, row_number() OVER (PARTITION BY i ORDER BY d, p) n FROM dist JOIN k ON k.j = dist.j WHERE i NOT IN (7, 2, 5)) SELECT i, j AS key FROM r WHERE n = 1"))
+def _(spark, sf):
+    return graphs.nearest_key(base(spark, sf, "dist"), [7, 2, 5])
+
+
+@query("fps_keys", sql("dist", """f(n, ids, i, d) AS (SELECT 0, [min(i)], min(i), 0.0::DOUBLE FROM dist UNION ALL
+ SELECT n + 1, list_append(ids, q.i), q.i, q.d FROM f, LATERAL (SELECT x.i, min(x.d) d FROM dist x WHERE list_contains(f.ids, x.j) AND NOT list_contains(f.ids, x.i) GROUP BY x.i ORDER BY min(x.d) DESC, x.i LIMIT 1) q WHERE n < 5)
+SELECT n AS ord, i, round(d, 6) AS d FROM f""").replace("WITH ", "WITH RECURSIVE ", 1))
+def _(spark, sf):
+    found = graphs.farthest_points(stash(base(spark, sf, "dist"), "dist"), 6)
+    return rounded(spark.createDataFrame([(n, i, d) for n, (i, d) in enumerate(found)], "ord int, i long, d double"))
+
+
+@query("retrieval_graph")
+def _(spark, sf):
+    return graphs.retrieval_graph(base(spark, sf, "dist").select("i", "j", (1 - F.col("d")).alias("s")), 5, 3)
+
+
+@query("max_spanning_tree")
+def _(spark, sf):
+    tree = graphs.spanning_tree(base(spark, sf, "dist").select("i", "j", (1 - F.col("d")).alias("s")))
+    return spark.createDataFrame([(n, int(a), int(b)) for n, (a, b) in enumerate(tree)], "ord int, parent long, child long")
+
+
+@query("greedy_cover")
+def _(spark, sf):
+    picks = graphs.greedy_cover(base(spark, sf, "cover"))
+    return rounded(spark.createDataFrame([(n, int(r), float(g)) for n, (r, g) in enumerate(picks)], "ord int, row long, gain double"))
+
+
+# --- geometry and exchange formats
+
+@query("pixel_ravel", sql("points", "SELECT pos, CAST(greatest(0, least(round_even(x, 0), 499)) + 500 * greatest(0, least(round_even(y, 0), 399)) AS BIGINT) AS pix FROM points"))
+def _(spark, sf):
+    return base(spark, sf, "points").select("pos", geo.ravel(F.col("x"), F.col("y"), F.lit(500), F.lit(400)).alias("pix"))
+
+
+@query("pixel_center_affine", sql("points", "SELECT pos, round(greatest(0.0, least(2 * (x + 0.5) - 10, 799.99)), 6) AS x, round(greatest(0.0, least(1.5 * (y + 0.5) + 0.25 * (x + 0.5), 599.99)), 6) AS y FROM points"))
+def _(spark, sf):
+    m = F.array(*[F.lit(float(v)) for v in (2, 0, -10, 0.25, 1.5, 0, 0, 0, 1)])
+    return rounded(base(spark, sf, "points").select("pos", geo.centre_to_original(F.col("x"), F.col("y"), m, F.lit(800), F.lit(600)).alias("p")).select("pos", "p.x", "p.y"))
+
+
+@query("border_filter", sql("points", "SELECT pos FROM points WHERE x >= 3 AND x < 637 AND y >= 3 AND y < 477"))
+def _(spark, sf):
+    return base(spark, sf, "points").where(geo.inside_border(F.col("x"), F.col("y"), 640, 480)).select("pos")
+
+
+@query("backproject_reproject", sql("observed", "b AS (SELECT pos, z * (x - 22) / 50 AS px, z * (y - 350) / 50 AS py, z FROM observed) SELECT pos, round(greatest(-1000, least(50 * px / greatest(z, 1e-3) + 22, 2000)), 5)::DOUBLE AS u, round(greatest(-1000, least(50 * py / greatest(z, 1e-3) + 350, 2000)), 5)::DOUBLE AS v FROM b"))
+def _(spark, sf):
+    f, cx, cy = F.lit(50.0), F.lit(22.0), F.lit(350.0)
+    b = base(spark, sf, "observed").select("pos", geo.backproject(F.col("x"), F.col("y"), F.col("z"), f, cx, cy).alias("p"))
+    return rounded(b.select("pos", geo.reproject(F.col("p.x"), F.col("p.y"), F.col("p.z"), f, cx, cy).alias("q")).select("pos", "q.u", "q.v"), 5)
+
+
+@query("pair_id_decode", sql("edges", "SELECT pos, least(src, dst) * 2147483647 + greatest(src, dst) AS pair_id, least(src, dst) AS image_id1, greatest(src, dst) AS image_id2 FROM edges"))
+def _(spark, sf):
+    e = base(spark, sf, "edges").withColumn("pair_id", geo.pair_id(F.col("src"), F.col("dst")))
+    return e.withColumn("i", geo.pair_id_images(F.col("pair_id"))).select("pos", "pair_id", "i.image_id1", "i.image_id2")
+
+
+@query("triangulate_dlt")
+def _(spark, sf):
+    eye = [1.0, 0, 0, 0, 0, 1.0, 0, 0, 0, 0, 1.0, 0]
+    moved = [1.0, 0, 0, -1.0, 0, 1.0, 0, 0, 0, 0, 1.0, 0]
+    ray = lambda m, u, v: F.struct(F.array(*[F.lit(float(x)) for x in m]).alias("p"), u.alias("u"), v.alias("v"))
+    o = base(spark, sf, "observed").select("pos", (F.col("x") / 50).alias("x"), (F.col("y") / 1000).alias("y"), (F.col("z") + 1).alias("d"))
+    rays = F.array(ray(eye, F.col("x") / F.col("d"), F.col("y") / F.col("d")), ray(moved, (F.col("x") - 1) / F.col("d"), F.col("y") / F.col("d")))
+    return rounded(geo.triangulate(o.select("pos", rays.alias("rays"))).select("pos", "point.x", "point.y", "point.z"), 8)
+
+
+ORACLES["triangulate_dlt"] = sql("observed", "SELECT pos, round(x / 50, 8) AS x, round(y / 1000, 8) AS y, round(z + 1, 8)::DOUBLE AS z FROM observed")
+
+
+@query("colmap_cameras_rows", sql("photos", "SELECT image_id + 1 AS camera_id, format('{} PINHOLE {} {} {} {} {} {}', image_id + 1, width, height, width, width, width // 2, height // 2) AS value FROM photos"))
+def _(spark, sf):
+    p = base(spark, sf, "photos").withColumn("model", F.lit("PINHOLE")).withColumn("camera_id", F.col("image_id") + 1)
+    return files.camera_lines(p.withColumn("params", geo.camera_params(F.col("model"), F.col("width").cast("double"), F.col("width"), F.col("height"))))
+
+
+@query("colmap_images_rows", sql("observed", "SELECT image_id, CAST(1 AS INT) AS line, string_agg(format('{} {} {}', CAST(x AS BIGINT), pix, CASE WHEN track_id % 3 = 0 THEN -1 ELSE track_id END), ' ' ORDER BY pos) AS value FROM observed GROUP BY 1"))
+def _(spark, sf):
+    o = base(spark, sf, "observed").select("image_id", F.col("pos").alias("idx"), F.col("x").alias("x"), F.col("pix").cast("double").alias("y"), F.when(F.col("track_id") % 3 != 0, F.col("track_id")).alias("point_id"))
+    zero = lambda n: F.array_repeat(F.lit(0.0), n)
+    poses = o.select("image_id").distinct().select("image_id", zero(4).alias("qvec"), zero(3).alias("tvec"), F.lit(1).alias("camera_id"), F.lit("a").alias("name"))
+    return files.image_lines(poses, o).where("line = 1")
+
+
+@query("colmap_points3d_rows", sql("observed", "SELECT track_id AS point_id, format('{} {} 2 3 {} 0 0 0 ', track_id, CAST(min(x) AS BIGINT), min(r)) || string_agg(format('{} {}', image_id, idx), ' ' ORDER BY image_id, idx) AS value FROM observed GROUP BY 1"))
+def _(spark, sf):
+    o = base(spark, sf, "observed").withColumnRenamed("track_id", "point_id")
+    p = o.groupBy("point_id").agg(F.min("x").alias("x"), F.lit(2.0).alias("y"), F.lit(3.0).alias("z"), F.min("r").alias("r"), F.lit(0).alias("g"), F.lit(0).alias("b"))
+    return files.point_lines(p, o)
+
+
+@query("every_fifth_point", sql("points", "o AS (SELECT pos, row_number() OVER (ORDER BY pos) n FROM points WHERE image_id < 5) SELECT pos FROM o WHERE (n - 1) % 5 = 0"))
+def _(spark, sf):
+    return files.every_nth(base(spark, sf, "points").where("image_id < 5"), 5, "pos").select("pos")
+
+
+@query("transforms_parsed", sql("photos", "SELECT 'im' || image_id AS src, 'im' || (image_id + 1) AS dst, CAST(image_id AS DOUBLE) AS tx, -20.0::DOUBLE AS ty FROM photos"))
+def _(spark, sf):
+    p = base(spark, sf, "photos").select(F.concat(F.lit("im"), "image_id").alias("src"), F.concat(F.lit("im"), F.col("image_id") + 1).alias("dst"), F.array(F.lit(1.0), F.lit(0.0), F.col("image_id").cast("double"), F.lit(0.0), F.lit(1.0), F.lit(-20.0)).alias("m"))
+    back = files.parse_transforms(files.transforms_json(p))
+    return back.select("src", "dst", F.col("m")[2].alias("tx"), F.col("m")[5].alias("ty"))
