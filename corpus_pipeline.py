@@ -1,11 +1,62 @@
-"""A corpus pipeline: STAGES, each (name, function) of (spark, docs, sf_dir)."""
+"""A corpus pipeline: quality classifier, near-duplicate join, suffix-array dedup, source mixing and BPE.
 
-STAGES: list = []
+STAGES lists (name, function of (spark, docs, sf_dir)).  Every stage works on all rows that its predecessor kept; all
+but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from viewloom.llm import bpe, common, jaccard, mixing, quality, suffix
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.classify(docs, labels, keep=docs.columns).where("kept").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each group linked by five-word shingles at a similarity of 0.8 or more.
+
+    Documents without words are linked with nothing and stay; so do all rows of an id that stays.
+    """
+    found = jaccard.jaccard_components(docs, k=5, percent=80)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(docs.columns)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes that earlier documents have; characters that a removal cuts go as a whole."""
+    found = suffix.suffix_dedup(docs, texts=True).select(F.col("doc_id").alias("own_id"), "text_md5", "kept_text").dropDuplicates(["own_id", "text_md5"])
+    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.md5(F.encode(common.utf8("text"), "UTF-8")) == F.col("text_md5"))
+    out = docs.join(found, same).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long"))
+    return out.select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources: documents of later epochs once more for each."""
+    taken = mixing.mix_sources(docs, keep=docs.columns).where("taken > 0")
+    times = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
+    return taken.withColumn("epoch", F.explode(times)).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of each document's ids and of the text that they decode to."""
+    return bpe.bpe_tokens(docs)
+
+
+STAGES = [("quality", classify), ("near_duplicates", near_duplicates), ("suffix_dedup", repeats), ("mixing", mix), ("bpe", tokens)]
+
+#: The classifier's fit and the automaton have no SQL form; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages, one after another, over the documents of sf_dir; each result is a table of the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = common.stash(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

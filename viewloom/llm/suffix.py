@@ -19,7 +19,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +28,9 @@ from .blocks import mix64, record
 GRAM = 24
 MARK = "place long, chunk long, kind int, blob binary"
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-TEXT_OUT = OUT + ", text_hash long, kept binary, span_starts array<long>, span_ends array<long>"
+TEXT_OUT = OUT + ", text_md5 string, kept binary, kept_text string, span_starts array<long>, span_ends array<long>"
 LOCAL, SEGMENT, FOUND = 0, 1, 2
-_PIECE = 2 << 20
-
-
-def text_hash(text: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+_PIECE = 1 << 19
 
 
 def _piece_runs(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -327,14 +322,15 @@ def _finish(length: int, texts_too: bool):
             edges = [0, *[x for s in spans for x in s], len(text)]
             kept = b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2]))
             row = (i, len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
-            rows.append((*row, text_hash(text), kept, [a for a, _ in spans], [b for _, b in spans]) if texts_too else row)
+            rows.append((*row, hashlib.md5(text).hexdigest(), kept, kept.decode("utf-8", "ignore"), [a for a, _ in spans], [b for _, b in spans]) if texts_too else row)
         return record(names, *zip(*rows))
 
     return finish
 
 
 def suffix_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text", length: int = 50, texts: bool = False, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
-    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256; with texts also text_hash, kept, spans.
+    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256; with texts also
+    text_md5, kept, kept_text (without characters that a removal cuts) and spans.
 
     A byte goes where a string of length bytes covers it that also starts in a row of smaller id (null ids are
     largest, rows of equal ids are no copies of each other).  Null texts are empty; texts shorter than length stay
@@ -345,7 +341,7 @@ def suffix_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text", length: i
     buckets = blocks.buckets_for(docs)
     chunks = blocks.pack(docs, id_col, text_col, rows_per_chunk).groupBy("chunk")
     replies = chunks.applyInArrow(_ask(length, buckets), blocks.REQUEST).groupBy("bucket").applyInArrow(_answer, blocks.REPLY)
-    marks = chunks.cogroup(replies.groupBy("chunk")).applyInArrow(_mark(length, buckets), MARK)
+    marks = chunks.cogroup(replies.groupBy("chunk")).applyInArrow(_mark(length, min(1 << 16, 4 * buckets)), MARK)
     found = marks.groupBy("kind", "place").applyInArrow(_find(length), MARK).select("chunk", "kind", "blob")
     out = chunks.cogroup(found.groupBy("chunk")).applyInArrow(_finish(length, texts), TEXT_OUT if texts else OUT)
     return out.withColumnRenamed("doc_id", id_col)
