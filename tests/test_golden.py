@@ -103,7 +103,7 @@ def test_thresholds(spark):
 
 
 def distances(spark, xs):
-    return spark.createDataFrame([(i, j, float((x - y) ** 2) if False else float(abs(x - y))) for i, x in enumerate(xs) for j, y in enumerate(xs)], "i long, j long, d double")
+    return spark.createDataFrame([(i, j, float(abs(x - y))) for i, x in enumerate(xs) for j, y in enumerate(xs)], "i long, j long, d double")
 
 
 def test_farthest(spark):
@@ -182,13 +182,14 @@ def test_geometry(spark):
     one = spark.range(1)
     at = [one.select(geo.ravel(F.lit(x), F.lit(y), F.lit(4), F.lit(3))).first()[0] for x, y in ((2.5, 1.5), (-1.0, 9.0), (3.6, 0.4))]
     assert at == [10, 8, 3]
-    assert abs(one.select(geo.robust(F.lit(2.0), 1.5)).first()[0] - 3.525524) < 0.5
+    assert abs(one.select(geo.robust(F.lit(2.0), 1.5)).first()[0] - 3.525524) < 1e-5
+    assert abs(one.select(geo.robust(F.lit(2.0), 0.5)).first()[0] - 1.0) < 1e-9
     assert geo.schedule("cosine", 0.5, 0.07, 0.0) == pytest.approx(0.035)
     m = F.array(*[F.lit(float(x)) for x in (0, -1, 0, 1, 0, 0, 0, 0, 1)])
     assert np.allclose(one.select(geo.quaternion(m)).first()[0], [0.70710678, 0, 0, 0.70710678])
     half = F.array(*[F.lit(float(x)) for x in (-1, 0, 0, 0, 1, 0, 0, 0, -1)])
     assert np.allclose(one.select(geo.quaternion(half)).first()[0], [0, 0, 1, 0])
-    assert geo.clip_polygon([(0, 0), (2, 0), (2, 2), (0, 2)], [(1, 1), (3, 1), (3, 3), (1, 3)]) == [(1, 1.0), (2, 1.0), (2, 2), (1.0, 2)] or True
+    assert set(geo.clip_polygon([(0, 0), (2, 0), (2, 2), (0, 2)], [(1, 1), (3, 1), (3, 3), (1, 3)])) == {(1, 1), (2, 1), (2, 2), (1, 2)}
     assert np.allclose(geo.affine_from_points([(0, 0), (1, 0), (0, 1)], [(1, 1), (3, 1), (1, 4)]), [2, 0, 1, 0, 3, 1])
 
 
