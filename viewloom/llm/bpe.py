@@ -268,6 +268,22 @@ def _count(vocabulary):
     return count
 
 
+def frequent(counts: DataFrame, most: int) -> list[str]:
+    """The words of counts(word, n) at or above the least count level that at most ``most`` words reach.
+
+    Levels are eighths of powers of two, so that the driver gets a few hundred sums and then the words themselves,
+    never more than asked for.
+    """
+    counts = common.stash(counts.withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "word-counts")
+    least, total = None, 0
+    for r in counts.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        total += r.words
+        if total > most:
+            break
+        least = r.level
+    return [] if least is None else [r.word for r in counts.where(F.col("level") >= least).select("word").collect()]
+
+
 _OPEN: dict[str, Encoder] = {}
 
 
@@ -302,7 +318,7 @@ def bpe_tokens(docs: DataFrame, *, id_col="doc_id", text_col="text", path: str |
     """One row per row of docs: id, n_tokens, ids_sha256, decoded_sha256; with_ids also the ids and the decoded text.
 
     path: the tokenizer file, read by the driver.  lexicon_words bounds the automaton: the most frequent words of
-    all texts, ties by code point; it changes no result.  A null or empty text has no token.  Repeated rows stay
+    all texts; it changes no result.  A null or empty text has no token.  Repeated rows stay
     repeated; an empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
@@ -310,8 +326,7 @@ def bpe_tokens(docs: DataFrame, *, id_col="doc_id", text_col="text", path: str |
         vocabulary = spark.sparkContext.broadcast(v := Vocabulary(file.read()))
     text = docs.select(common.utf8(text_col).alias("text"))
     counts = text.mapInArrow(_count(vocabulary), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(lexicon_words).collect()]
-    words = sorted({w.encode() for w in top if w not in v.special})
+    words = sorted({w.encode() for w in frequent(counts, lexicon_words) if w not in v.special})
     folder = common.new_folder(spark, "lexicon")
     fs, base = common.open_fs(folder)
     fs.create_dir(base, recursive=True)

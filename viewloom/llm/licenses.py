@@ -47,7 +47,7 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", phrases=None, tem
     """
     phrases = phrases or PHRASES
     # lower() folds one more letter, the Kelvin sign, to ASCII
-    flat = F.lower(F.replace(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SEPARATORS, " "), F.lit("K"), F.lit("Å")))
+    flat = F.lower(F.replace(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SEPARATORS, " "), F.lit("\u212a"), F.lit("\u212b")))
     rows = docs.select(F.col(id_col).alias("id"), F.concat(F.lit(" "), F.trim(flat), F.lit(" ")).alias("p"))
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
     rows = rows.withColumn("n_words", F.when(F.length("p") <= 2, F.lit(0)).otherwise(spaces(F.col("p")) - 1).cast("long"))

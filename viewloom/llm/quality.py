@@ -127,7 +127,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, id_col="doc_
     number = {f: i for i, f in enumerate(sorted(wanted))}
     data = rows.mapInArrow(_active(number), "at array<long>, low long, toxic long").collect()
     at = [r.at for r in data]
-    fitted = [fit_logistic(at, np.array([r[h] for r in data], float), len(number)) for h in HEADS] if data else [(np.zeros(len(number)), 0.0)] * 2
+    fitted = [fit_logistic(at, np.array([r[h] for r in data], float), len(number)) for h in HEADS] if data else [(np.zeros(len(number)), math.log(r / (1 - r))) for r in rates]
     return Model(number, np.array([w for w, _ in fitted]).reshape(2, len(number)), [b for _, b in fitted], rates)
 
 
