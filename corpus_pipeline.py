@@ -30,14 +30,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes that earlier documents have; characters that a removal cuts go as a whole."""
-    found = suffix.suffix_dedup(docs, texts=True).select(F.col("doc_id").alias("own_id"), "text_md5", "kept_text").dropDuplicates(["own_id", "text_md5"])
-    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.md5(F.encode(common.utf8("text"), "UTF-8")) == F.col("text_md5"))
-    out = docs.join(found, same).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long"))
-    return out.select(docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
+    found = suffix.suffix_dedup(docs, texts=True, extra=F.to_json(F.struct(*others)))
+    found = found.select("doc_id", F.col("kept_text").alias("text"), F.from_json("extra", schema).alias("o")).select("doc_id", "text", "o.*")
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources: documents of later epochs once more for each."""
+    """The mix of sources: documents of later epochs once more for each; those without words add nothing and go."""
     taken = mixing.mix_sources(docs, keep=docs.columns).where("taken > 0")
     times = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
     return taken.withColumn("epoch", F.explode(times)).select(docs.columns)

@@ -74,17 +74,16 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(some):
         rows = []
         for chunk in some:
-            ids, texts = zip(*held.pop(chunk))
+            ids, *parts = zip(*held.pop(chunk))
             none = np.array([i is None for i in ids])
-            n = np.array([len(t) for t in texts], np.int64)
-            body = np.frombuffer(b"".join(texts), np.uint8)
-            rows.append((chunk, dump(np.array([i or 0 for i in ids], np.int64), none.view(np.uint8), n, body)))
+            arrays = [a for some in parts for a in (np.array([len(t) for t in some], np.int64), np.frombuffer(b"".join(some), np.uint8))]
+            rows.append((chunk, dump(np.array([i or 0 for i in ids], np.int64), none.view(np.uint8), *arrays)))
         return record(PACKED, *zip(*rows)).to_batches()
 
     for batch in batches:
-        for chunk, i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.binary_values(batch.column(2))):
-            held.setdefault(chunk, []).append((i, text))
-            size += len(text) + 64
+        for chunk, i, *parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *map(common.binary_values, batch.columns[2:])):
+            held.setdefault(chunk, []).append((i, *parts))
+            size += sum(map(len, parts)) + 64
             if size > 16 << 20:
                 yield from out(list(held))
                 size = 0
@@ -92,22 +91,30 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out(list(held))
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """(chunk, blob) rows; a chunk is a range of ``rows`` ids (null ids: the last chunk), in one blob or more."""
+def pack(docs: DataFrame, id_col: str, text_col: str, rows: int = ROWS_PER_CHUNK, extra: F.Column | None = None) -> DataFrame:
+    """(chunk, blob) rows; a chunk is a range of ``rows`` ids (null ids: the last chunk), in one blob or more.
+
+    extra: a string that goes along with each row.
+    """
     i = F.col(id_col).cast("long")
     chunk = F.coalesce(F.floor(i / F.lit(rows)).cast("long"), F.lit(NO_ID).cast("long"))
-    return docs.select(chunk.alias("chunk"), i.alias("id"), F.col(text_col).alias("text")).mapInArrow(_pack, PACKED)
+    more = [] if extra is None else [extra.alias("extra")]
+    return docs.select(chunk.alias("chunk"), i.alias("id"), F.col(text_col).alias("text"), *more).mapInArrow(_pack, PACKED)
 
 
-def unpack(table: pa.Table) -> tuple[list[int | None], list[bytes]]:
-    """Ids and texts of a chunk, ordered by id (null last) and text."""
+def unpack(table: pa.Table, extra: bool = False) -> tuple[list, ...]:
+    """Ids and texts of a chunk, and what goes along, ordered by id (null last), text and the rest."""
     rows = []
     for blob in table.column("blob").to_pylist():
-        ids, none, n, body = load(blob)
-        ends, body = np.cumsum(n), body.tobytes()
-        rows += [(x, int(i), body[e - m : e]) for x, i, e, m in zip(none.tolist(), ids.tolist(), ends.tolist(), n.tolist())]
+        ids, none, *arrays = load(blob)
+        columns = []
+        for n, body in zip(arrays[0::2], arrays[1::2]):
+            ends, body = np.cumsum(n), body.tobytes()
+            columns.append([body[e - m : e] for e, m in zip(ends.tolist(), n.tolist())])
+        rows += zip(none.tolist(), ids.tolist(), *columns)
     rows.sort()
-    return [None if x else i for x, i, _ in rows], [t for _, _, t in rows]
+    out = [None if r[0] else r[1] for r in rows], [r[2] for r in rows]
+    return (*out, [r[3] for r in rows]) if extra else out
 
 
 @lru_cache(4)

@@ -28,7 +28,7 @@ from .blocks import mix64, record
 GRAM = 24
 MARK = "place long, chunk long, kind int, blob binary"
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-TEXT_OUT = OUT + ", text_md5 string, kept binary, kept_text string, span_starts array<long>, span_ends array<long>"
+TEXT_OUT = OUT + ", extra string, kept binary, kept_text string, span_starts array<long>, span_ends array<long>"
 LOCAL, SEGMENT, FOUND = 0, 1, 2
 _PIECE = 1 << 19
 
@@ -152,20 +152,21 @@ class Chunk:
         first = _whole(self.texts, length)
         # a text that stands earlier in the chunk, in a document of smaller id, goes as a whole
         self.copy = np.array([len(t) >= length and self.rank[first[t]] < self.rank[i] for i, t in enumerate(self.texts)], bool)
-        self.digest = [hashlib.blake2b(t, digest_size=16).digest() for t in self.texts]
         self.own = [b"" if c else t for c, t in zip(self.copy, self.texts)]
         self.text, self.start, self.count, self.anchor = runs(self.own, length)
         sizes = np.array([len(t) for t in self.own], np.int64)
         self.at = np.cumsum(sizes) - sizes
-        self.keys = np.array([int.from_bytes(d[:8], "little") for d in self.digest], np.uint64)
+        # two halves of a text's digest, both odd; anchors are even, so neither is taken for the other
+        self.anchor = self.anchor & ~np.uint64(1)
+        digests = [hashlib.blake2b(t, digest_size=16).digest() for t in self.texts]
+        self.keys = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2) | np.uint64(1)
         self.long = np.array([len(t) >= length for t in self.own], bool)
+        self.asked = np.unique(np.concatenate([self.anchor, self.keys[self.long].ravel()]))
 
 
 def _ask(length: int, buckets: int):
     def ask(key, table):
-        c = Chunk(table, length)
-        found = np.unique(np.concatenate([c.anchor, c.keys[c.long]]))
-        rows = blocks.requests(key[0].as_py(), found, buckets)
+        rows = blocks.requests(key[0].as_py(), Chunk(table, length).asked, buckets)
         return record(blocks.REQUEST, *(zip(*rows) if rows else [[]] * 3))
 
     return ask
@@ -192,13 +193,12 @@ def _mark(length: int, buckets: int):
         if docs.num_rows == 0:
             return record(MARK, *[[]] * 4)
         chunk, c = key[0].as_py(), Chunk(docs, length)
-        found = np.unique(np.concatenate([c.anchor, c.keys[c.long]]))
         reply = blocks.gather(replies)
-        said = reply[np.searchsorted(found, c.anchor)] if len(c.anchor) else np.empty(0, np.uint8)
+        said = reply[np.searchsorted(c.asked, c.anchor)] if len(c.anchor) else np.empty(0, np.uint8)
         # whole texts that an earlier chunk has need no look at their parts
         gone = np.zeros(len(c.texts), bool)
         if c.long.any():
-            gone[c.long] = reply[np.searchsorted(found, c.keys[c.long])] & 2 > 0
+            gone[c.long] = (reply[np.searchsorted(c.asked, c.keys[c.long])] & 2 > 0).all(axis=1)
         _, inverse, number = np.unique(c.anchor, return_inverse=True, return_counts=True)
         data = np.frombuffer(b"".join(c.own), np.uint8)
         base = c.at[c.text] + c.start if len(c.text) else np.empty(0, np.int64)
@@ -285,7 +285,7 @@ def _finish(length: int, texts_too: bool):
     def finish(_, docs, marks):
         if docs.num_rows == 0:
             return record(names, *[[]] * len(names.split(", ")))
-        ids, texts = blocks.unpack(docs)
+        ids, texts, extras = blocks.unpack(docs, extra=True) if texts_too else (*blocks.unpack(docs), [])
         rank = _ranks(ids)
         first = _whole(texts, length)
         copy = np.array([len(t) >= length and rank[first[t]] < rank[i] for i, t in enumerate(texts)], bool)
@@ -317,20 +317,20 @@ def _finish(length: int, texts_too: bool):
                     spans.append((a, b))
                 s = stop
         rows = []
-        for i, text, whole, spans in zip(ids, texts, copy.tolist(), cover):
+        for n, (i, text, whole, spans) in enumerate(zip(ids, texts, copy.tolist(), cover)):
             spans = [(0, len(text))] if whole else spans
             edges = [0, *[x for s in spans for x in s], len(text)]
             kept = b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2]))
             row = (i, len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
-            rows.append((*row, hashlib.md5(text).hexdigest(), kept, kept.decode("utf-8", "ignore"), [a for a, _ in spans], [b for _, b in spans]) if texts_too else row)
+            rows.append((*row, extras[n].decode(), kept, kept.decode("utf-8", "ignore"), [a for a, _ in spans], [b for _, b in spans]) if texts_too else row)
         return record(names, *zip(*rows))
 
     return finish
 
 
-def suffix_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text", length: int = 50, texts: bool = False, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
+def suffix_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text", length: int = 50, texts: bool = False, extra=None, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
     """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256; with texts also
-    text_md5, kept, kept_text (without characters that a removal cuts) and spans.
+    kept, kept_text (without characters that a removal cuts), spans and, as given by a string column, extra.
 
     A byte goes where a string of length bytes covers it that also starts in a row of smaller id (null ids are
     largest, rows of equal ids are no copies of each other).  Null texts are empty; texts shorter than length stay
@@ -339,7 +339,7 @@ def suffix_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text", length: i
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     buckets = blocks.buckets_for(docs)
-    chunks = blocks.pack(docs, id_col, text_col, rows_per_chunk).groupBy("chunk")
+    chunks = blocks.pack(docs, id_col, text_col, rows_per_chunk, (F.lit("") if extra is None else extra) if texts else None).groupBy("chunk")
     replies = chunks.applyInArrow(_ask(length, buckets), blocks.REQUEST).groupBy("bucket").applyInArrow(_answer, blocks.REPLY)
     marks = chunks.cogroup(replies.groupBy("chunk")).applyInArrow(_mark(length, min(1 << 16, 4 * buckets)), MARK)
     found = marks.groupBy("kind", "place").applyInArrow(_find(length), MARK).select("chunk", "kind", "blob")
