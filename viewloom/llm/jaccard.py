@@ -25,6 +25,8 @@ from .components import connected_components
 SALTS = (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 ROWS = "kind int, id long, n long, node long, own long, tokens array<long>, blob binary"
 MEMBER, SET, POSTING = 0, 1, 2
+#: Frequencies are asked for by 52 bits of a hash; hashes that meet there only count as more frequent.
+MASK = np.uint64((1 << 64) - (1 << 12))
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -43,7 +45,7 @@ def _ask(k: int, buckets: int):
     def ask(key, table):
         _, texts = blocks.unpack(table)
         sets = blocks.shingle_sets(*blocks.word_hashes(texts), k)
-        found, count = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
+        found, count = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]) & MASK, return_counts=True)
         rows = blocks.requests(key[0].as_py(), found, buckets, count.astype(np.uint32))
         return record(blocks.REQUEST, *(zip(*rows) if rows else [[]] * 3))
 
@@ -66,7 +68,7 @@ def _prepare(k: int, percent: int):
             return record(ROWS, *[[]] * 7)
         ids, texts = blocks.unpack(docs)
         sets = blocks.shingle_sets(*blocks.word_hashes(texts), k)
-        found, level = np.unique(np.concatenate(sets)), blocks.gather(replies)
+        found, level = np.unique(np.concatenate(sets) & MASK), blocks.gather(replies)
         rows, seen = [], set()
         for i, tokens in zip(ids, sets):
             if not len(tokens):
@@ -77,7 +79,7 @@ def _prepare(k: int, percent: int):
             if node in seen:
                 continue
             seen.add(node)
-            at = level[np.searchsorted(found, tokens)]
+            at = level[np.searchsorted(found, tokens & MASK)]
             firsts = [prefix(tokens, at, salt, percent) for salt in SALTS]
             if all(map(len, firsts)):
                 rows.append((SET, None, len(tokens), node, None, None, blocks.dump_sorted(tokens, *[np.sort(x) for x in firsts[1:]])))
@@ -137,19 +139,22 @@ def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", k:
     postings = rows.where(F.col("kind") == POSTING).select("node", "n", "own", F.explode("tokens").alias("token"))
     postings = common.stash(postings.dropDuplicates(["token", "node"]), "postings")
 
-    fits = (F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m"))
-    heads = postings.groupBy("token").agg(F.min_by(F.struct("node", "n"), F.struct("own", "node")).alias("head"), F.count("*").alias("size")).where("size > 1")
-    heads = heads.select("token", F.col("head.node").alias("head"), F.col("head.n").alias("m"))
+    # lengths, and tokens that no other set has, bound the intersection: i / (n + m - i) must reach the threshold
+    bound = F.least(F.col("n") - F.col("own"), F.col("m") - F.col("its_own"))
+    fits = F.lit(100 + percent) * bound >= F.lit(percent) * (F.col("n") + F.col("m"))
+    heads = postings.groupBy("token").agg(F.min_by(F.struct("node", "n", "own"), F.struct("own", "node")).alias("head"), F.count("*").alias("size")).where("size > 1")
+    heads = heads.select("token", F.col("head.node").alias("head"), F.col("head.n").alias("m"), F.col("head.own").alias("its_own"))
     stars = postings.join(heads, "token").where((F.col("node") != F.col("head")) & fits).select(*_ordered("node", "head")).distinct()
+    stars = common.stash(stars, "stars")
     links = common.stash(verified(stars, sets, percent), "links")
     parts = connected_components(links)
 
     # what a token's sets still leave apart
     own = F.coalesce(F.col("component"), F.col("node"))
-    placed = postings.join(parts, "node", "left").select("token", "node", "n", own.alias("component"))
+    placed = postings.join(parts, "node", "left").select("token", "node", "n", "own", own.alias("component"))
     open_tokens = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
     left = common.stash(placed.join(open_tokens, "token"), "open")
-    right = left.select("token", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("there"))
+    right = left.select("token", F.col("node").alias("other"), F.col("n").alias("m"), F.col("own").alias("its_own"), F.col("component").alias("there"))
     apart = left.join(right, "token").where((F.col("component") < F.col("there")) & fits)
     more = verified(apart.select(*_ordered("node", "other")).distinct().join(stars, ["a", "b"], "left_anti"), sets, percent)
     parts = connected_components(common.stash(links.union(more), "links"))
