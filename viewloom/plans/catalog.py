@@ -405,9 +405,9 @@ def _(spark, sf):
     return fusion.score_matrix(base(spark, sf, "confs"))
 
 
-@query("weighted_canonical", sql("views", "SELECT image_id, pix, " + ", ".join(f"round(sum({c} * (conf - 0.999)) / sum(conf - 0.999), 5) AS {c}" for c in ("x3", "y3", "z3")) + ", round(sum((conf - 0.999) ** 2) / sum(conf - 0.999), 5) AS conf FROM views GROUP BY 1, 2"))
+@query("weighted_canonical", sql("views", "SELECT image_id, pix, " + ", ".join(f"round(sum({c} * (conf - 0.999)) / sum(conf - 0.999), 8) AS {c}" for c in ("x3", "y3", "z3")) + ", round(sum((conf - 0.999) ** 2) / sum(conf - 0.999), 8) AS conf FROM views GROUP BY 1, 2"))
 def _(spark, sf):
-    return rounded(fusion.canonical_view(base(spark, sf, "views")), 5)
+    return rounded(fusion.canonical_view(base(spark, sf, "views")), 8)
 
 
 _CENTRE = "p AS (SELECT image_id, other_id, pix, pix % 25 px, pix // 25 py, any_value(z3) z3, any_value(conf) conf, any_value(x3) x3, any_value(y3) y3 FROM (SELECT * FROM views ORDER BY x3) GROUP BY 1, 2, 3)"
