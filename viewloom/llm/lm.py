@@ -2,8 +2,9 @@
 
 Word-pair counts of the training documents are quantised to levels on a logarithmic scale; a pair of level q is in
 the filter as (pair, 1) .. (pair, q).  A count is read by probing level after level until one is missing.  The
-filter is built bucket by bucket of the pairs' hashes on the executors and broadcast; its size is known before it is
-collected.  Unigram counts are exact: each chunk of documents asks for the counts of its distinct words.
+filter is in parts, one for each bucket of the pairs' hashes; each chunk of documents asks the buckets for the levels
+of its distinct pairs, so no task or driver holds more than a part, and every level is kept at every size.  Unigram
+counts are exact and asked for in the same way.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import math
 import zlib
 
 import numpy as np
-import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +24,6 @@ END = np.uint64(0x7F4A7C15D1342543)
 PROBES = 5
 TOP = 64  # no level of a 64-bit count is higher at the base in use
 OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-FILTER = "bucket int, items long, bits binary"
-MERGED = "bucket int, histogram array<long>, blob binary"
 
 
 def held_out(i: int | None) -> bool:
@@ -104,30 +103,20 @@ class Filter:
         return np.where(out > 0, out + self.floor - 1, 0)
 
 
-def _unigrams(buckets: int):
+def _ask(buckets: int, of_pairs: bool):
+    """A chunk's distinct words or word pairs, with their counts in its training documents."""
+
     def ask(key, table):
         ids, texts = blocks.unpack(table)
-        words, n, _ = tokens(texts)
+        words, n, before = tokens(texts)
         learn = np.repeat(np.array([not held_out(i) for i in ids], bool), n)
-        found, place = np.unique(words, return_inverse=True)
+        found, place = np.unique(pair_hash(before, words) if of_pairs else words, return_inverse=True)
         rows = blocks.requests(key[0].as_py(), found, buckets, np.bincount(place[learn], minlength=len(found)).astype(np.uint32))
         return record(blocks.REQUEST, *zip(*rows))
 
     return ask
 
 
-def _pairs(buckets: int):
-    def ask(key, table):
-        ids, texts = blocks.unpack(table)
-        keep = [t for i, t in zip(ids, texts) if not held_out(i)]
-        words, _, before = tokens(keep)
-        found, count = np.unique(pair_hash(before, words), return_counts=True)
-        rows = blocks.requests(key[0].as_py(), found, buckets, count.astype(np.uint32))
-        return record(blocks.REQUEST, *(zip(*rows) if rows else ([], [], [])))
-
-    return ask
-
-
 def _answer(key, table):
     """Counts for each chunk that asked; one row of chunk null has the bucket's numbers of tokens and words."""
     chunks = table.column("chunk").to_pylist()
@@ -140,47 +129,40 @@ def _answer(key, table):
     return record(blocks.REPLY + ", n long, v long", *zip(*rows))
 
 
-def _merge(base: float, least_count: int):
-    """The bucket's pairs seen least_count times or more, with levels, and how many pairs each level has."""
+def _levels(buckets: int, base: float, bits_per_item: int, least_count: int):
+    """The filter of one bucket's pairs, and what it tells each chunk that asked; the replies count as buckets of their own."""
+    floor = int(level_of(np.array([float(least_count)]), base)[0])
 
-    def merge(key, table):
-        found, place, others, _ = blocks.by_hash(table.column("blob").to_pylist())
+    def answer(key, table):
+        found, place, others, sizes = blocks.by_hash(table.column("blob").to_pylist())
         total = np.bincount(place, weights=np.concatenate([x[0] for x in others]), minlength=len(found))
-        found, level = found[total >= least_count], level_of(total[total >= least_count], base)
-        return record(MERGED, [key[0].as_py()], [np.bincount(level).tolist()], [blocks.dump_sorted(found, level.astype(np.uint8))])
-
-    return merge
+        learnt = total >= least_count
+        bits = build_filter(found[learnt], level_of(total[learnt], base) - floor + 1, bits_per_item).tobytes() if learnt.any() else b""
+        said = Filter({0: bits}, 1, base, floor).levels(found).astype(np.uint8)
+        ends = np.cumsum(sizes)
+        blobs = [blocks.dump(said[place[e - n : e]]) for e, n in zip(ends.tolist(), sizes.tolist())]
+        return record(blocks.REPLY, table.column("chunk").to_pylist(), [buckets + key[0].as_py()] * len(blobs), blobs)
 
+    return answer
 
-def _fill(floor: int, bits_per_item: int):
-    def fill(batches):
-        for batch in batches:
-            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                pairs, level = blocks.load_sorted(blob)
-                level = level.astype(np.int64) - floor + 1
-                pairs, level = pairs[level > 0], level[level > 0]
-                bits = build_filter(pairs, level, bits_per_item).tobytes() if len(pairs) else b""
-                yield from record(FILTER, [bucket], [int(level.sum())], [bits]).to_batches()
 
-    return fill
-
-
-def _score(model, n_train: int, v_train: int, mu: float):
+def _score(buckets: int, base: float, n_train: int, v_train: int, mu: float):
     def score(_, docs, replies):
         if docs.num_rows == 0:
             return record(OUT, *[[]] * 7)
         ids, texts = blocks.unpack(docs)
         words, n, before = tokens(texts)
         found, place = np.unique(words, return_inverse=True)
-        known = blocks.gather(replies).astype(np.float64)
+        of_pairs = pc.greater_equal(replies.column("bucket"), buckets)
+        known = blocks.gather(replies.filter(pc.invert(of_pairs))).astype(np.float64)
         count = known[place]
         end_at = np.searchsorted(found, END)
         first = known[end_at] if end_at < len(found) and found[end_at] == END else 0.0
         unigram = (count + 0.5) / (n_train + 0.5 * (v_train + 1))
         context = np.concatenate([[first], count[:-1]])
-        lm: Filter = model.value
-        pairs, at = np.unique(pair_hash(before, words), return_inverse=True)
-        together = np.minimum(count_of(lm.levels(pairs), lm.base)[at], np.minimum(context, count))
+        at = np.unique(pair_hash(before, words), return_inverse=True)[1]
+        level = blocks.gather(replies.filter(of_pairs)).astype(np.int64)
+        together = np.minimum(count_of(level, base)[at], np.minimum(context, count))
         p = (together + mu * unigram) / (context + mu)
         starts = np.cumsum(n) - n
         base_score, scores = np.add.reduceat(np.log10(unigram), starts), np.add.reduceat(np.log10(p), starts)
@@ -189,33 +171,24 @@ def _score(model, n_train: int, v_train: int, mu: float):
     return score
 
 
-def lm_scores(docs: DataFrame, *, id_col="doc_id", text_col="text", base: float = 1.5, bits_per_item: int = 8, mu: float = 20.0, least_count: int = 2, filter_bytes: int = 128 << 20, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
+def lm_scores(docs: DataFrame, *, id_col="doc_id", text_col="text", base: float = 1.5, bits_per_item: int = 8, mu: float = 20.0, least_count: int = 2, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
     """One row per row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     score is the log10 probability under p(w|h) = (c(h,w) + mu p(w)) / (c(h) + mu), p(w) being the add-half
-    unigram estimate and c(h,w) what the filter tells.  Pairs seen less than least_count times are not stored; where
-    the rest would need more than filter_bytes, the lowest levels are left to smoothing until it fits, so what is
-    broadcast stays bounded.  Null texts are empty (one end token); a null id is a training document; repeated rows
+    unigram estimate and c(h,w) what the filter tells.  Pairs seen less than least_count times are not stored.  Null texts are empty (one end token); a null id is a training document; repeated rows
     count and are scored each; an empty table gives an empty result; other columns are not read.
     """
-    spark = docs.sparkSession
     buckets = blocks.buckets_for(docs)
     packed = blocks.pack(docs, id_col, text_col, rows_per_chunk)
     chunks = packed.groupBy("chunk")
-    asked = chunks.applyInArrow(_unigrams(buckets), blocks.REQUEST)
+    asked = chunks.applyInArrow(_ask(buckets, False), blocks.REQUEST)
     replies = common.stash(asked.groupBy("bucket").applyInArrow(_answer, blocks.REPLY + ", n long, v long"), "lm-counts")
     n_train, v_train = (int(x or 0) for x in replies.agg(F.sum("n"), F.sum("v")).first())
-    pairs = chunks.applyInArrow(_pairs(buckets), blocks.REQUEST).groupBy("bucket")
-    merged = common.stash(pairs.applyInArrow(_merge(base, least_count), MERGED), "lm-pairs")
-    levels = merged.select(F.posexplode("histogram").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n"))
-    levels = {r.level: r.n for r in levels.collect()}
-    floor = int(level_of(np.array([float(least_count)]), base)[0])
-    while sum(n * max(0, q - floor + 1) for q, n in levels.items()) * bits_per_item / 8 > filter_bytes:
-        floor += 1
-    parts = {r.bucket: bytes(r.bits) for r in merged.select("bucket", "blob").mapInArrow(_fill(floor, bits_per_item), FILTER).toLocalIterator()}
-    model = spark.sparkContext.broadcast(Filter(parts, buckets, base, floor))
-    out = chunks.cogroup(replies.where("chunk IS NOT NULL").select("chunk", "bucket", "blob").groupBy("chunk"))
-    return out.applyInArrow(_score(model, n_train, v_train, mu), OUT).withColumnRenamed("doc_id", id_col)
+    asked = chunks.applyInArrow(_ask(buckets, True), blocks.REQUEST)
+    levels = common.stash(asked.groupBy("bucket").applyInArrow(_levels(buckets, base, bits_per_item, least_count), blocks.REPLY), "lm-levels")
+    replies = replies.where("chunk IS NOT NULL").select("chunk", "bucket", "blob").unionByName(levels)
+    out = chunks.cogroup(replies.groupBy("chunk"))
+    return out.applyInArrow(_score(buckets, base, n_train, v_train, mu), OUT).withColumnRenamed("doc_id", id_col)
 
 
 def op10_lm(spark, sf_dir: str) -> DataFrame:
