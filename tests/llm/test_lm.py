@@ -48,3 +48,9 @@ def test_score_keeps_every_level_and_gathers_no_model(spark, monkeypatch, rows_p
     monkeypatch.setattr(SparkContext, "broadcast", broadcast)
     found = lm.lm_scores(table(spark, ROWS), least_count=2, bits_per_item=80, rows_per_chunk=rows_per_chunk).collect()
     assert near([(r.doc_id, r.score) for r in found], scores(ROWS, 2))
+
+
+def test_pairs_seen_once_count(spark):
+    found = lm.lm_scores(table(spark, ROWS), bits_per_item=80).collect()
+    assert near([(r.doc_id, r.score) for r in found], scores(ROWS, 1))
+    assert not near([(r.doc_id, r.score) for r in found], scores(ROWS, 2))

@@ -171,7 +171,7 @@ def _score(buckets: int, base: float, n_train: int, v_train: int, mu: float):
     return score
 
 
-def lm_scores(docs: DataFrame, *, id_col="doc_id", text_col="text", base: float = 1.5, bits_per_item: int = 8, mu: float = 20.0, least_count: int = 2, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
+def lm_scores(docs: DataFrame, *, id_col="doc_id", text_col="text", base: float = 1.5, bits_per_item: int = 8, mu: float = 20.0, least_count: int = 1, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
     """One row per row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     score is the log10 probability under p(w|h) = (c(h,w) + mu p(w)) / (c(h) + mu), p(w) being the add-half
