@@ -26,7 +26,7 @@ BASES = {
     "scored": "SELECT CAST(o_custkey AS BIGINT) AS query_id, CAST(o_orderkey AS BIGINT) AS item, o_totalprice AS score, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label FROM {orders}",
     "rig": "SELECT CAST(s_suppkey AS BIGINT) AS image_id, s_acctbal / 100 AS x, CAST(s_nationkey AS DOUBLE) AS y, CAST(s_suppkey % 17 AS DOUBLE) AS z FROM {supplier}",
     "cover": "SELECT CAST(s_suppkey % 12 AS BIGINT) AS row, CAST(s_nationkey AS BIGINT) AS col, sum(abs(s_acctbal)) AS w FROM {supplier} GROUP BY 1, 2",
-    "dist": "SELECT CAST(a.s_suppkey AS BIGINT) AS i, CAST(b.s_suppkey AS BIGINT) AS j, abs(a.s_acctbal - b.s_acctbal) / 20000 AS d FROM {supplier} a JOIN {supplier} b ON a.s_suppkey <= 60 AND b.s_suppkey <= 60",
+    "dist": "SELECT CAST(a.s_suppkey AS BIGINT) AS i, CAST(b.s_suppkey AS BIGINT) AS j, abs(a.s_acctbal - b.s_acctbal) / 20000 AS d FROM {supplier} a CROSS JOIN {supplier} b",
 }
 
 
