@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .matching import _matrix
+
 
 def dot(a, b):
     """Inner product of two array columns in double precision."""
@@ -105,6 +107,51 @@ def info_nce(sims: DataFrame, mode: str = "all", temperature: float = 0.07, eps:
     return out.select("i", loss.alias("loss"))
 
 
+def in_blocks(vectors: DataFrame, run, schema: str, size: int) -> DataFrame:
+    """run(ids, matrix, ids, matrix) over each two of the blocks of about ``size`` of vectors(id, v): rows of schema."""
+    kinds = {n: {"long": pa.int64(), "double": pa.float64()}[k] for n, k in (x.split() for x in schema.split(", "))}
+
+    def both(_, left, right):
+        if not left.num_rows or not right.num_rows:
+            return pa.table({n: pa.array([], k) for n, k in kinds.items()})
+        sides = [f(t.column(c)) for t in (left, right) for c, f in (("id", np.array), ("v", _matrix))]
+        return pa.table({n: pa.array(c, k) for (n, k), c in zip(kinds.items(), run(*sides))})
+
+    n = vectors.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(size))).cast("long").alias("blocks"))
+    rows = vectors.crossJoin(F.broadcast(n)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    left, right = (rows.select(F.col(a).alias("bx"), F.col(b).alias("by"), F.col("id").alias("id"), F.col("v").alias("v")) for a, b in (("block", "other"), ("other", "block")))
+    return left.groupBy("bx", "by").cogroup(right.groupBy("bx", "by")).applyInArrow(both, schema)
+
+
+def info_nce_of_vectors(vectors: DataFrame, mode: str = "all", temperature: float = 0.07, eps: float = 1e-8, size: int = 2048) -> DataFrame:
+    """info_nce of the inner products of all vectors(id, v): blocks give the sums, no pair becomes a row."""
+
+    def sums(a, x, b, y):
+        p = np.exp(x @ y.T / temperature)
+        own = np.where(a[:, None] == b[None], p, 0.0).sum(1)
+        none = np.zeros(len(b))
+        return np.concatenate([a, b]), np.concatenate([own, none]), np.concatenate([p.sum(1), none]), np.concatenate([np.zeros(len(a)), p.sum(0)])
+
+    rows = in_blocks(vectors, sums, "i long, p double, row double, col double", size).groupBy("i").agg(*[F.sum(c).alias(c) for c in ("p", "row", "col")])
+    p, at_least = F.col("p"), lambda c: F.log(F.greatest(c, F.lit(eps)))
+    if mode == "all":
+        total = rows.agg(F.sum("row").alias("t"))
+        return rows.crossJoin(F.broadcast(total)).select("i", (-at_least(p / F.col("t"))).alias("loss"))
+    loss = -(at_least(p / F.col("col")) + at_least(p / F.col("row"))) if mode == "proper" else -at_least(p * p / F.col("row") / F.col("col"))
+    return rows.select("i", loss.alias("loss"))
+
+
+def euclid_similarities(vectors: DataFrame, size: int = 512) -> DataFrame:
+    """i, j, s: 1 / (1 + distance) of each two of vectors(id, v)."""
+
+    def near(a, x, b, y):
+        s = [1 / (1 + np.sqrt(((x[k : k + 32, None] - y[None]) ** 2).sum(2))) for k in range(0, len(x), 32)]
+        return np.repeat(a, len(b)), np.tile(b, len(a)), np.concatenate(s).ravel()
+
+    return in_blocks(vectors, near, "i long, j long, s double", size)
+
+
 def confidence_loss(rows: DataFrame, alpha: float) -> DataFrame:
     """rows(loss, conf) with loss conf - alpha log conf."""
     return rows.withColumn("conf_loss", F.col("loss") * F.col("conf") - F.lit(alpha) * F.log("conf"))

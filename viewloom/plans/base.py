@@ -21,7 +21,7 @@ BASES = {
     "samples": "SELECT CAST(l_partkey AS BIGINT) AS point_id, l_quantity AS depth, 25 + l_discount * 100 AS projected, l_tax * 10 AS conf, l_linenumber % 3 <> 0 AS inside FROM {lineitem}",
     "triples": "SELECT CAST(l_partkey AS BIGINT) AS key, CASE WHEN l_linenumber % 4 = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_quantity END AS x, l_extendedprice / 100 AS y, l_discount * 7 AS z, 1 + l_tax * 10 AS conf FROM {lineitem}",
     "observed": "SELECT CAST(l_orderkey AS BIGINT) AS track_id, CAST(l_suppkey AS BIGINT) AS image_id, CAST(l_linenumber AS BIGINT) AS idx, CAST(l_orderkey AS BIGINT) * 1000000000000 + CAST(l_linenumber AS BIGINT) * 100000000000 + CAST(round(l_extendedprice * 100) AS BIGINT) * 100 + l_partkey % 100 AS pos, CAST(l_partkey % 700 AS BIGINT) AS pix, l_quantity AS x, l_extendedprice / 100 AS y, l_discount * 10 AS z, 45 AS width, 700 AS height, CAST(l_partkey % 256 AS INT) AS r, CAST(l_suppkey % 256 AS INT) AS g, CAST(l_orderkey % 256 AS INT) AS b FROM {lineitem}",
-    "sims": "SELECT CAST(a.vec_id AS BIGINT) AS i, CAST(b.vec_id AS BIGINT) AS j, a.embedding AS va, b.embedding AS vb, a.label AS li, b.label AS lj FROM {embeddings} a JOIN {embeddings} b ON a.vec_id < 100 AND b.vec_id < 100",
+    "sims": "SELECT CAST(a.vec_id AS BIGINT) AS i, CAST(b.vec_id AS BIGINT) AS j, a.embedding AS va, b.embedding AS vb, a.label AS li, b.label AS lj FROM {embeddings} a CROSS JOIN {embeddings} b",
     "local_feats": "SELECT CAST(label AS BIGINT) AS image_id, CAST(vec_id AS BIGINT) AS pos, 1 + CAST((vec_id * 7919) % 101 AS DOUBLE) / 10 AS attn, embedding AS feat FROM {embeddings}",
     "scored": "SELECT CAST(o_custkey AS BIGINT) AS query_id, CAST(o_orderkey AS BIGINT) AS item, o_totalprice AS score, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label FROM {orders}",
     "rig": "SELECT CAST(s_suppkey AS BIGINT) AS image_id, s_acctbal / 100 AS x, CAST(s_nationkey AS DOUBLE) AS y, CAST(s_suppkey % 17 AS DOUBLE) AS z FROM {supplier}",

@@ -492,16 +492,20 @@ def _(spark, sf):
 _S = "s AS (SELECT i, j, list_inner_product(va::DOUBLE[], vb::DOUBLE[]) s FROM sims), p AS (SELECT i, j, exp(s / 0.07) p FROM s), d AS (SELECT i, p FROM p WHERE i = j), rw AS (SELECT i, sum(p) t FROM p GROUP BY 1), cl AS (SELECT j, sum(p) t FROM p GROUP BY 1) SELECT d.i, round({}, 6) AS loss FROM d JOIN rw ON rw.i = d.i JOIN cl ON cl.j = d.i"
 _LOSSES = {"all": "-ln(greatest(p / (SELECT sum(p) FROM p), 1e-8))", "proper": "-(ln(greatest(p / cl.t, 1e-8)) + ln(greatest(p / rw.t, 1e-8)))", "dual": "-ln(greatest(p * p / rw.t / cl.t, 1e-8))"}
 
+
+def _vectors(spark, sf) -> DataFrame:
+    return read(spark, sf, "embeddings").select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("v"))
+
+
 for _mode, _loss in _LOSSES.items():
     @query(f"infonce_{_mode}", sql("sims", _S.format(_loss)))
     def _(spark, sf, mode=_mode):
-        s = base(spark, sf, "sims").select("i", "j", retrieval.dot(F.col("va"), F.col("vb")).alias("s"))
-        return rounded(retrieval.info_nce(s, mode))
+        return rounded(retrieval.info_nce_of_vectors(_vectors(spark, sf), mode))
 
 
 @query("similarity_euclid", sql("sims", "SELECT i, j, round(1 / (1 + list_distance(va::DOUBLE[], vb::DOUBLE[])), 6) AS s FROM sims"))
 def _(spark, sf):
-    return rounded(base(spark, sf, "sims").select("i", "j", retrieval.euclid_similarity(F.col("va"), F.col("vb")).alias("s")))
+    return rounded(retrieval.euclid_similarities(_vectors(spark, sf)))
 
 
 @query("conf_weighted_loss", sql("raw", "SELECT pos, round(pix1 * conf1 - 0.2 * ln(conf1), 6) AS conf_loss FROM raw"))
@@ -523,7 +527,7 @@ def _(spark, sf):
 o AS (SELECT li AS i, sum(list_inner_product(va::DOUBLE[], va::DOUBLE[]) ** 3) n FROM sims WHERE sims.i = sims.j GROUP BY 1)
 SELECT CAST(k.i AS BIGINT) AS i, CAST(k.j AS BIGINT) AS j, round(s / sqrt(a.n * b.n), 6) AS s FROM k JOIN o a ON a.i = k.i JOIN o b ON b.i = k.j"""))
 def _(spark, sf):
-    w = read(spark, sf, "embeddings").where("vec_id < 100").select(F.col("label").cast("long").alias("image_id"), (F.col("vec_id") % 16).alias("word"), F.col("embedding").alias("v"))
+    w = read(spark, sf, "embeddings").select(F.col("label").cast("long").alias("image_id"), (F.col("vec_id") % 16).alias("word"), F.col("embedding").alias("v"))
     return rounded(retrieval.inverted_file_scores(w, w))
 
 
