@@ -1,6 +1,7 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with templates; DataFrame functions only.
 
-Blocks are windows of words, half overlapping, longer than twice any template.  A block meets a template when it
+Blocks are all windows of 32 words; those that begin with a template's word are compared, as any other holds no more
+template words than the one from its first template word on.  A block meets a template when it
 holds at least the threshold's share of the template's distinct words.  Template words are ordered by their
 document frequency in the scanned table, rarest first.  A block that meets a template then has one of its first
 |T| - need + 1 words (prefix), at least ``need`` template words at all (length), and enough words left after the
@@ -30,7 +31,7 @@ TEMPLATES = (
     ("all-rights-reserved", "all rights reserved"),
 )
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WIDTH, STRIDE = 32, 16
+WIDTH, STRIDE = 32, 1
 
 
 def need(tokens, threshold: float) -> int:
@@ -80,8 +81,9 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", phrases=None, tem
     every = F.array(*map(F.lit, ordered))
     words = F.split(F.trim("p"), " ")
     # one lambda variable keeps the words from being split once per block
-    starts = F.sequence(F.lit(0), F.greatest(F.col("n_words") - 1, F.lit(0)), F.lit(STRIDE))
-    blocks = F.flatten(F.transform(F.array(words), lambda w: F.transform(starts, lambda i: F.array_intersect(every, F.slice(w, (i + 1).cast("int"), F.lit(WIDTH))))))
+    places = F.sequence(F.lit(0), F.greatest(F.col("n_words") - 1, F.lit(0)).cast("int"), F.lit(STRIDE))
+    starts = lambda w: F.filter(places, lambda i: F.array_contains(every, F.get(w, i)))
+    blocks = F.flatten(F.transform(F.array(words), lambda w: F.transform(starts(w), lambda i: F.array_intersect(every, F.slice(w, i + 1, F.lit(WIDTH))))))
 
     def left(t, b):
         first = F.element_at(F.array_intersect(t["first"], b), 1)
