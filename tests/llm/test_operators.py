@@ -1,6 +1,7 @@
 """The operators against brute force, and their edge cases."""
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -57,6 +58,50 @@ def test_jaccard(docs, rows_per_chunk):
         assert got(found, "doc_id", "n_shingles", "component_id") == order(brute.jaccard(ROWS, k, percent))
 
 
+def near_copies(n=150, seed=4):
+    """One text of 60 words n times, with up to six words changed or left out, and a chain of growing changes."""
+    rng = random.Random(seed)
+    first = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(n):
+        words = list(first)
+        for _ in range(rng.randint(0, 6)):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = [] if rng.random() < 0.3 else [rng.choice(["x", "y", f"new{i}", f"w{rng.randrange(60)}"])]
+        rows.append((i, " ".join(words)))
+    for i in range(40):
+        rows.append((1000 + i, " ".join([f"z{j}" for j in range(i)] + first[i:])))
+    return rows
+
+
+@pytest.mark.parametrize("rounds,k,percent", [(2, 4, 85), (1, 2, 60)])
+def test_jaccard_large_group(spark, rounds, k, percent):
+    rows = near_copies()
+    found = jaccard.jaccard_components(table(spark, rows), k=k, percent=percent, paired=2, rounds=rounds)
+    assert got(found, "doc_id", "n_shingles", "component_id") == order(brute.jaccard(rows, k, percent))
+
+
+def test_difference_prefix_keeps_links():
+    """Two sets that are similar, not both to the head, share a prefix token of their differences with it."""
+    rng = np.random.default_rng(3)
+    sets = []
+    for _ in range(60):
+        s = set(range(80)) - set(rng.integers(0, 80, rng.integers(0, 12)).tolist()) | set(rng.integers(80, 110, rng.integers(0, 10)).tolist())
+        sets.append(np.array(sorted(s), np.uint64))
+    levels = [np.ones(len(s), np.uint8) for s in sets]
+    seen = 0
+    for percent in (60, 80, 85, 95):
+        for h in range(6):
+            made = [jaccard.difference_prefix((sets[h], levels[h]), (s, v), percent) for s, v in zip(sets, levels)]
+            assert [m[1] for m in made] == [jaccard.similar(sets[h], s, percent) for s in sets]
+            for i, a in enumerate(made):
+                for j, b in enumerate(made[:i]):
+                    if not (a[1] and b[1]) and jaccard.similar(sets[i], sets[j], percent):
+                        seen += 1
+                        assert len(np.intersect1d(a[2], b[2]))
+    assert seen > 100
+
+
 @pytest.mark.parametrize("rows_per_chunk", [8, 1024])
 def test_lm_base(docs, rows_per_chunk):
     found = lm.lm_scores(docs, rows_per_chunk=rows_per_chunk).collect()
