@@ -104,9 +104,12 @@ def nearest(rows, every, k):
 
 
 def test_neighbours_few_rows_are_exact(spark):
-    rows = vectors(70) + [(1000, None), (1020, [0.0] * 16), (1040, [float("nan")] * 16), (1060, [None] * 16), (1080, []), (None, [1.0] * 16), (1100, [1.0] * 4)]
-    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5, share=24.0).collect()
-    want = nearest([r for r in rows if r[0] != 1100], 20, 5)
+    """Vectors that take no part, rows that repeat an id, and a stray length, which is searched by itself."""
+    rows = vectors(70) + [(1000, None), (1020, [0.0] * 16), (1040, [float("nan")] * 16), (1060, [None] * 16), (1080, []), (None, [1.0] * 16), (7, [2.0] * 16), (1200, [float("inf")] * 16)]
+    odd = [(1100, [1.0] * 17), (1101, [2.0] * 17), (1120, [1.0] * 3)]
+    table = spark.createDataFrame([(*r, 0, "x") for r in rows + odd], "vec_id long, embedding array<double>, dims int, shard string")
+    found = ann.nearest(table, k=5, effort=1e6).collect()
+    want = {**nearest(rows, 20, 5), **nearest(odd[:2], 20, 5)}
     by = {}
     for r in found:
         by.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
@@ -116,12 +119,35 @@ def test_neighbours_few_rows_are_exact(spark):
         assert np.allclose([x[2] for x in sorted(some)], [-s for s, _ in want[q]])
 
 
-def test_neighbours_recall(spark):
-    rows = vectors(4000)
-    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard_rows=1500, block_rows=64).collect()
-    want = nearest(rows, 20, 20)
-    hit = sum(r.vec_id in {j for _, j in want[r.query_id]} for r in found)
-    assert hit / sum(map(len, want.values())) >= 0.9
+@pytest.mark.parametrize("norms", [(0.5, 2), (1, 1)])
+def test_neighbours_recall(spark, norms):
+    x = np.random.default_rng(2).normal(size=(5000, 64))
+    x *= (np.linspace(*norms, len(x)) / np.linalg.norm(x, axis=1))[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard_rows=2000).collect()
+    ids = np.arange(0, len(x), 20)
+    scores = x[ids] @ x.T
+    scores[np.arange(len(ids)), ids] = -np.inf
+    want = {i: set(np.argsort(-s)[:20].tolist()) for i, s in zip(ids.tolist(), scores)}
+    assert sum(r.vec_id in want[r.query_id] for r in found) / (20 * len(want)) >= 0.9
+    # what is scored, not all rows
+    forest = ann.Forest(x, 128, float((x * x).sum(axis=1).max()), 5)
+    scored = [n[0] for *_, n in ann.best_of(forest, np.arange(len(x)), x, ids, x[ids], 4.5 * len(x) ** 0.78 + 128, 21)]
+    assert np.mean(scored) < 0.6 * len(x)
+
+
+def test_candidates_are_longest_prefixes():
+    """Every entry of a range shares a longer prefix with the query than any entry outside the tree's range."""
+    x = np.random.default_rng(1).normal(size=(300, 8))
+    forest = ann.Forest(x, 6, float((x * x).sum(axis=1).max()), 3)
+    low, high = forest.ranges(x[:9], 40.0)
+    own = forest.strings(np.column_stack([x[:9], np.zeros(9)]))
+    assert ((high - low).sum(axis=1) >= 40).all()
+    for i in range(9):
+        for t in range(6):
+            shared = [32 - int(int(own[t, i]) ^ int(s)).bit_length() for s in forest.sorted[t]]
+            inside, outside = shared[low[i, t] : high[i, t]], shared[: low[i, t]] + shared[high[i, t] :]
+            assert min(inside, default=32) > max(outside, default=-1)
 
 
 def test_neighbours_empty(spark):

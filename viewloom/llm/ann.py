@@ -1,16 +1,19 @@
 """Approximate nearest neighbours by inner product: a forest of sorted hash-prefix arrays.
 
 Every tree gives each vector a string of sign bits and keeps the strings sorted.  A query descends to its longest
-prefix match in every tree; then all trees ascend together, one bit at a time, until the ranges of the shared level
-hold enough entries, and those entries are the candidates.  Vectors of unequal norms get one more coordinate that
-makes them equal, so the angle ranks as the inner product does.
+prefix match in every tree; then all trees ascend together, one bit at a time and within a level one tree after
+another, until their ranges hold enough entries.  Only those entries' vectors are scored.  Vectors of unequal norms
+get one more coordinate that makes them equal, so the angle ranks as the inner product does.
 
-Distinct vectors are dealt to shards and distinct query vectors to blocks; each (block, shard) is one task's group.
-A group asks for the same share of its shard, so recall does not depend on the table's size.
+Distinct vectors are dealt to shards by length and hash.  A shard's forest is built once; every query of its length
+is sent to it and streams past it.  A query asks for the same share of each shard, less of large tables than of
+small ones, as neighbours are nearer there.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,36 +31,47 @@ class Forest:
 
     def __init__(self, x: np.ndarray, trees: int, largest: float, seed: int):
         self.planes = np.random.default_rng(seed).normal(size=(x.shape[1] + 1, trees * DEPTH))
-        self.trees, self.largest, self.n = trees, largest, len(x)
+        self.trees, self.n = trees, len(x)
         strings = self.strings(np.column_stack([x, np.sqrt(np.maximum(0.0, largest - (x * x).sum(axis=1)))]))
-        self.order = np.argsort(strings, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(strings, self.order, axis=0)
+        self.order = np.argsort(strings, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(strings, self.order, axis=1)
 
     def strings(self, wide: np.ndarray) -> np.ndarray:
+        """A row per tree, a string per vector."""
         bits = np.packbits(wide @ self.planes > 0, axis=1)
-        return np.ascontiguousarray(bits).view(">u4").astype(np.uint64).reshape(len(wide), self.trees)
+        return np.ascontiguousarray(bits.view(">u4").astype(np.uint32).reshape(len(wide), self.trees).T)
+
+    def entries(self, own: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each query and tree the range of entries that share the first ``level`` bits with it."""
+        rest = ((np.int64(1) << (DEPTH - level)) - 1).astype(np.uint32)
+        lo = [np.searchsorted(k, s & ~rest) for k, s in zip(self.sorted, own)]
+        hi = [np.searchsorted(k, s | rest, "right") for k, s in zip(self.sorted, own)]
+        return np.column_stack(lo), np.column_stack(hi)
 
     def ranges(self, queries: np.ndarray, want: float) -> tuple[np.ndarray, np.ndarray]:
-        """For each query and tree the range of entries that share the level's prefix with it."""
+        """For each query and tree a range of entries, want entries or more over all trees where there are so many.
+
+        Ranges only grow on the way up, so the level at which they hold enough is found by bisection.
+        """
         own = self.strings(np.column_stack([queries, np.zeros(len(queries))]))
-        low, high = np.zeros(own.shape, np.int64), np.full(own.shape, self.n, np.int64)
-        climbing = np.arange(len(own))
-        for level in range(DEPTH, 0, -1):
-            rest = np.uint64((1 << (DEPTH - level)) - 1)
-            some = own[climbing]
-            lo = np.column_stack([np.searchsorted(self.sorted[:, t], some[:, t] & ~rest) for t in range(self.trees)])
-            hi = np.column_stack([np.searchsorted(self.sorted[:, t], some[:, t] | rest, "right") for t in range(self.trees)])
+        up, down = np.zeros(len(queries), np.int64), np.full(len(queries), DEPTH, np.int64)
+        while (up < down).any():
+            level = (up + down + 1) // 2
+            lo, hi = self.entries(own, level)
             enough = (hi - lo).sum(axis=1) >= want
-            low[climbing[enough]], high[climbing[enough]] = lo[enough], hi[enough]
-            climbing = climbing[~enough]
-            if not len(climbing):
-                break
-        return low, high
+            up, down = np.where(enough, level, up), np.where(enough, down, level - 1)
+        lo, hi = self.entries(own, up)
+        was_lo, was_hi = self.entries(own, np.minimum(up + 1, DEPTH))
+        were = was_hi - was_lo
+        held = were.sum(axis=1, keepdims=True) + np.cumsum(hi - lo - were, axis=1)
+        # trees up to the one that brings enough have ascended to this level, the others not
+        risen = np.column_stack([np.ones(len(held), bool), held[:, :-1] < want])
+        return np.where(risen, lo, was_lo), np.where(risen, hi, was_hi)
 
     def candidates(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         found = np.zeros(self.n, bool)
-        for t, (a, b) in enumerate(zip(low.tolist(), high.tolist())):
-            found[self.order[a:b, t]] = True
+        for order, a, b in zip(self.order, low.tolist(), high.tolist()):
+            found[order[a:b]] = True
         return np.flatnonzero(found)
 
 
@@ -66,62 +80,93 @@ def _matrix(column, dims: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
-def _search(trees: int, share: float, keep: int, dims: int, largest: float, seed: int):
-    def search(_, queries, rows):
-        if not queries.num_rows or not rows.num_rows:
-            return record(HITS, [], [], [])
-        reps, x = np.array(rows.column("rep")), _matrix(rows.column("v"), dims)
-        asked, q = np.array(queries.column("rep")), _matrix(queries.column("v"), dims)
-        forest = Forest(x, trees, largest, seed)
-        out = []
-        for at in range(0, len(q), 256):
-            part = q[at : at + 256]
-            low, high = forest.ranges(part, max(share * len(x), 4.0 * keep))
-            scores = part @ x.T
-            for i in range(len(part)):
-                c = forest.candidates(low[i], high[i])
-                s = scores[i, c]
-                if len(c) > keep:
-                    edge = np.partition(s, len(s) - keep)[len(s) - keep]
-                    c = c[s >= edge - 1e-9]
-                exact = (x[c] * part[i]).sum(axis=1)
-                best = np.lexsort((reps[c], -exact))[:keep]
-                out.append((np.full(len(best), asked[at + i]), reps[c[best]], exact[best]))
-        return record(HITS, *map(np.concatenate, zip(*out)))
+def best_of(forest: Forest, reps: np.ndarray, x: np.ndarray, asked: np.ndarray, q: np.ndarray, want: float, keep: int) -> Iterator[tuple]:
+    """For each query its best candidates: (query, rep, score, candidates scored)."""
+    low, high = forest.ranges(q, want)
+    # single precision on vectors of length 1 at most, and all within its error in double precision again
+    top = np.sqrt((x * x).sum(axis=1).max(initial=0.0))
+    small, error = (x / top).astype(np.float32), x.shape[1] * 2.0**-22
+    for i, query in enumerate(q):
+        c = forest.candidates(low[i], high[i])
+        n = len(c)
+        if n > keep:
+            s = small[c] @ (query / np.sqrt(query @ query)).astype(np.float32)
+            c = c[s >= np.partition(s, n - keep)[n - keep] - error]
+        exact = (x[c] * query).sum(axis=1)
+        best = np.lexsort((reps[c], -exact))[:keep]
+        yield np.full(len(best), asked[i]), reps[c[best]], exact[best], np.full(len(best), n)
+
+
+def _search(trees: int, keep: int, seed: int):
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, forest = None, [], None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            edges = np.flatnonzero(_edges(table))
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), table.num_rows]):
+                part = table.slice(a, b - a)
+                dims, number, asks = (part.column(c)[0].as_py() for c in ("dims", "shard", "asks"))
+                if (dims, number) != shard:
+                    shard, held, forest = (dims, number), [], None
+                ids, v = np.array(part.column("rep")), _matrix(part.column("v"), dims)
+                if not asks:
+                    held.append((ids, v))
+                    continue
+                if not held:
+                    continue
+                if forest is None:
+                    reps, x = (np.concatenate(z) for z in zip(*held))
+                    held = [(reps, x)]
+                    forest = Forest(x, trees, part.column("largest")[0].as_py(), seed)
+                want = max(part.column("share")[0].as_py() * len(x) + trees, 4.0 * keep)
+                for at in range(0, len(v), 512):
+                    found = best_of(forest, reps, x, ids[at : at + 512], v[at : at + 512], want, keep)
+                    yield from record(HITS, *map(np.concatenate, list(zip(*found))[:3])).to_batches()
 
     return search
 
 
-def nearest(vectors: DataFrame, *, id_col="vec_id", vector_col="embedding", every: int = 20, k: int = 20, trees: int = 24, share: float = 1.0, shard_rows: int = 16384, block_rows: int = 4096, seed: int = 5) -> DataFrame:
+def _edges(table: pa.Table) -> np.ndarray:
+    """Whether a row is the first of its shard's rows or queries."""
+    new = np.zeros(table.num_rows, bool)
+    new[:1] = True
+    for c in ("dims", "shard", "asks"):
+        new[1:] |= np.diff(np.array(table.column(c))) != 0
+    return new
+
+
+def nearest(vectors: DataFrame, *, id_col="vec_id", vector_col="embedding", every: int = 20, k: int = 20, trees: int = 128, effort: float = 4.5, power: float = 0.78, shard_rows: int = 16384, seed: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by every.
 
-    Candidates are all rows but the query's own, nearest first, ties to the smaller id; all of them where there are
-    fewer than k.  score is the inner product in double precision.  Vectors that are null, zero or empty, or hold
-    null or non-finite components, and rows with a null id, take no part; nor do vectors shorter than the longest.
-    Equal vectors are searched once; of those the k + 1 smallest ids can be in a result.  Rows that repeat an id
-    count each.  share: entries that a query's ranges hold, over all trees, as a part of the shard's rows.
+    Candidates are all rows of the query's length but its own, nearest first, ties to the smaller id; all of them
+    where there are fewer than k.  score is the inner product in double precision; of vectors of unequal lengths
+    there is none, so each length is searched by itself.  Vectors that are null, zero or empty, or hold null or
+    non-finite components, and rows with a null id, take no part.  Equal vectors are searched once; of those the
+    k + 1 smallest ids can be in a result.  Rows that repeat an id count each.  An empty table gives an empty result;
+    other columns are not read.
+    effort, power: a query's ranges hold effort * n^power entries over all trees, of n distinct vectors, and its own;
+    a table that is not clustered needs about that for a recall of 0.9.
     """
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & F.coalesce(good, F.lit(False)))
-    shape = rows.agg(F.max(F.size("v")).alias("dims"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("largest"), F.count("*").alias("n")).first()
-    dims, largest, n = shape.dims or 1, shape.largest or 1.0, shape.n
-    rows = rows.where(F.size("v") == dims).withColumn("hash", F.xxhash64("v"))
+    rows = rows.withColumn("hash", F.xxhash64("v"))
     # the smallest ids of each distinct vector; the limit holds before the shuffle as well
     firsts = rows.withColumn("place", F.row_number().over(Window.partitionBy("hash", "v").orderBy("id"))).where(F.col("place") <= k + 1)
     firsts = common.stash(firsts, "vectors")
-    distinct = firsts.where("place = 1").select(F.col("id").alias("rep"), "v", "hash")
-    reps = distinct.select("rep", "v", "hash")
-    asked = rows.where(F.col("id") % every == 0).select("id", "hash", "v").join(reps, ["hash", "v"]).select(F.col("id").alias("query_id"), "rep")
+    distinct = firsts.where("place = 1").select(F.size("v").alias("dims"), F.col("id").alias("rep"), "v", "hash")
+    asked = rows.where(F.col("id") % every == 0).select("id", "hash", "v").join(distinct.select("rep", "v", "hash"), ["hash", "v"]).select(F.col("id").alias("query_id"), "rep")
     asked = common.stash(asked, "asked")
-    queries = distinct.join(asked.select("rep").distinct(), "rep")
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-(n // every) // block_rows))
-    left = queries.withColumn("block", F.pmod("hash", F.lit(blocks))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("block", F.col("shard").cast("long").alias("shard"), "rep", "v")
-    right = distinct.withColumn("shard", F.pmod(F.xxhash64("hash"), F.lit(shards))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.col("block").cast("long").alias("block"), F.col("shard").alias("shard"), F.col("rep").alias("rep"), F.col("v").alias("v"))
-    hits = left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInArrow(_search(trees, share, k + 1, dims, largest, seed), HITS)
+    shape = distinct.groupBy("dims").agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("largest"), F.ceil(F.count("*") / F.lit(shard_rows)).cast("long").alias("shards"), F.least(F.lit(float(trees)), F.lit(effort) * F.pow(F.count("*").cast("double"), F.lit(power - 1.0))).alias("share"))
+    placed = distinct.join(shape, "dims").select("dims", F.pmod(F.xxhash64("hash"), "shards").alias("shard"), F.lit(False).alias("asks"), "rep", "v", "largest", "share")
+    queries = distinct.join(asked.select("rep").distinct(), "rep").join(shape, "dims")
+    queries = queries.select("dims", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), F.lit(True).alias("asks"), "rep", "v", "largest", "share")
+    n = common.parts(distinct, shard_rows * 512 / 1e6, least=int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = placed.unionByName(queries).repartition(n, "dims", "shard").sortWithinPartitions("dims", "shard", "asks")
+    hits = dealt.mapInArrow(_search(trees, k + 1, seed), HITS)
     best = Window.partitionBy("query_rep").orderBy(F.desc("score"), "rep")
     hits = hits.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1).drop("place")
-    ids = firsts.join(reps.select("rep", "hash", "v"), ["hash", "v"]).select("rep", F.col("id").alias("vec_id"))
+    ids = firsts.join(distinct.select("rep", "hash", "v"), ["hash", "v"]).select("rep", F.col("id").alias("vec_id"))
     ids = ids.groupBy("rep").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     # k + 1 ids at most for each vector, so k + 1 vectors give (k + 1)^2 rows at most, cut at once to k + 1
     named = hits.join(ids, "rep").groupBy("query_rep").agg(F.sort_array(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("s"), i.alias("i")))))).alias("found"))
