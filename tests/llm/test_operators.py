@@ -42,6 +42,26 @@ def test_suffix_dedup_spans(docs):
         assert len(r.kept) + r.n_removed == r.n_bytes
 
 
+def test_previous_factors():
+    """Against common prefixes with every suffix of every earlier document."""
+    rng, size = np.random.default_rng(7), 13
+    for _ in range(20):
+        texts = [bytes(rng.integers(97, 99, rng.integers(size, 60), dtype=np.uint8)) for _ in range(rng.integers(1, 6))]
+        data = b"".join(texts)
+        at = np.cumsum([0, *map(len, texts)])
+        starts = np.concatenate([np.arange(at[i], at[i + 1] - size + 1) for i in range(len(texts))])
+        owner = np.searchsorted(at, starts, "right") - 1
+        order, common = suffix.suffix_order(np.frombuffer(data, np.uint8), starts, size)
+        strings = [data[s : s + size] for s in starts]
+        assert [strings[i] for i in order] == sorted(strings)
+        shared = lambda a, b: next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), size)
+        want = [max((shared(s, t) for t, o in zip(strings, owner) if o < mine), default=0) for s, mine in zip(strings, owner)]
+        for least in (1, 6, size):
+            found = np.zeros(len(starts), int)
+            found[order] = suffix.previous_factors(owner[order], common, least)
+            assert found.tolist() == [w if w >= least else 0 for w in want]
+
+
 def test_suffix_pieces(monkeypatch):
     text = bytes(np.random.default_rng(1).integers(97, 100, 5000, dtype=np.uint8))
     whole = [x.tolist() for x in suffix.runs([text, text[:70]], 50)]
@@ -181,6 +201,20 @@ def test_mix(docs):
     assert order((r.doc_id, r.size, r.taken) for r in found) == order((r.doc_id, r.size, r.taken) for r in again)
 
 
+def test_mix_weights(spark):
+    """A column of weights decides what the last epoch takes; bad weights count as 1."""
+    d = spark.createDataFrame([(i, "a b c", "s", [100.0, 1e-3, None, -1.0, float("nan")][i % 5]) for i in range(500)], "doc_id long, text string, source string, u double")
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(d, quality="u", share=0.3).collect()}
+    rate = [sum(taken[i] > 0 for i in range(k, 500, 5)) / 100 for k in range(5)]
+    assert abs(sum(taken.values()) - 0.3 * 1500) <= 3 and rate[0] > 0.95 and rate[1] < 0.05 and 0.05 < min(rate[2:])
+
+
+def test_warc_reads_archives_apart(spark):
+    pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(40)], "page_id long, url string, html string")
+    found = warc.read_warc(*warc.write_warc(pages.repartition(8, "page_id"), file_bytes=200, sample_bytes=100))
+    assert found.select("archive").distinct().count() > 10 and found.rdd.getNumPartitions() > 10
+
+
 @pytest.mark.parametrize("run", [
     lambda d: suffix.suffix_dedup(d), lambda d: jaccard.jaccard_components(d), lambda d: lm.lm_scores(d), lambda d: bpe.bpe_tokens(d),
     lambda d: media.media_columns(d), lambda d: mixing.mix_sources(d),

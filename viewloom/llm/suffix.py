@@ -1,8 +1,9 @@
 """Suffix-array dedup: remove bytes that an earlier document has already, in repeats of a given length or more.
 
-The longest previous factor of a suffix is the longer of its common prefixes with the previous and with the next
-suffix, in suffix order, that begin in an earlier document.  Only whether it reaches ``length`` matters, so suffixes
-are ordered by their first ``length`` bytes.
+In suffix order, the longest previous factor of a suffix is the longer of its common prefixes with the previous and
+with the next smaller one: the nearest suffixes before and after it that begin in an earlier document.  Bytes under a
+factor of ``length`` or more go.  Shorter factors change nothing, so suffixes are ordered by their first ``length``
+bytes and common prefixes count up to that.
 
 The suffix array is split by content: the smallest hash among the short strings inside the first ``length`` bytes of
 a suffix, its anchor, names the bucket, and equal strings have equal anchors.  Three passes over chunks of documents:
@@ -11,6 +12,9 @@ a suffix, its anchor, names the bucket, and equal strings have equal anchors.  T
      another chunk has go to the anchor's bucket, once per distinct string and chunk, and are ordered there;
   3. the marks of both are joined to spans.
 A passage that a third of all documents share so reaches its bucket once per chunk.
+
+Strings are compared by their bytes; hashes only choose buckets.  Whole texts of 50 bytes or more that two chunks have
+are told by 126 bits of a digest.
 """
 
 from __future__ import annotations
@@ -104,30 +108,53 @@ def collapse(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suffix_order(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """starts' places in suffix order (ties: as given), and a number for each distinct string, in that order."""
+    """starts' places in suffix order (ties: as given), and each one's common prefix with the one before, up to length."""
     if not len(starts):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int32)
     keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[starts])
     order = np.argsort(keys.view(f"S{length}").ravel(), kind="stable")
-    keys = keys[order]
-    new = np.zeros(len(order), np.int64)
-    words = keys[:, : length // 8 * 8].view(np.uint64)
-    new[1:] = (words[1:] != words[:-1]).any(axis=1) | (keys[1:, length // 8 * 8 :] != keys[:-1, length // 8 * 8 :]).any(axis=1)
-    return order, np.cumsum(new)
-
-
-def previous_factor(owner: np.ndarray, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes in suffix order: whether the previous or next smaller one has a common prefix of full length.
-
-    owner ranks the documents.  Suffixes of one class follow one another, and within it all smaller owners are at
-    full length; so a previous or next smaller one in the class exists just where the class's least owner is less.
-    Also returns the place, in suffix order, of each class's first suffix of least owner.
+    keys, whole = keys[order], length // 8 * 8
+    common = np.zeros(len(order), np.int32)
+    common[1:] = length
+    # bytes past the last whole word first, then words from the last to the first: the first difference stays
+    for at in range(length - 1, whole - 1, -1):
+        common[1:][keys[1:, at] != keys[:-1, at]] = at
+    words = keys[:, :whole].view("<u8")
+    for at in range(whole // 8 - 1, -1, -1):
+        apart = words[1:, at] ^ words[:-1, at]
+        some = np.flatnonzero(apart)
+        lowest = apart[some] & -apart[some]
+        common[1 + some] = 8 * at + (np.frexp(lowest.astype(np.float64))[1] - 1) // 8
+    return order, common
+
+
+def previous_factors(owner: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
+    """Longest previous factors of suffixes in suffix order, 0 where shorter than least; owner ranks the documents.
+
+    Each suffix points to its neighbour and, while that has no smaller owner, on to where the neighbour points, with
+    the least common prefix on the way; all at once, until all point to their previous (next) smaller one.
     """
-    first = np.flatnonzero(np.diff(klass, prepend=-1))
+    out = np.zeros(len(owner), common.dtype)
+    for step, shared in ((-1, common.copy()), (1, np.append(common[1:], 0).astype(common.dtype))):
+        to = np.arange(len(owner)) + step
+        left = np.flatnonzero(shared >= least)
+        while len(left):
+            left = left[owner[to[left]] >= owner[left]]
+            via = to[left]
+            further, reach = to[via], np.minimum(shared[left], shared[via])
+            to[left], shared[left] = further, reach
+            left = left[reach >= least]
+        out = np.maximum(out, np.where(shared >= least, shared, 0))
+    return out
+
+
+def class_heads(owner: np.ndarray, common: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each distinct string, in suffix order, and the place of its first suffix of least owner."""
+    new = common < length
+    klass, first = np.cumsum(new) - 1, np.flatnonzero(new)
     least = np.minimum.reduceat(owner, first) if len(first) else np.empty(0, owner.dtype)
     at_least = np.flatnonzero(owner == least[klass]) if len(first) else np.empty(0, np.int64)
-    head = at_least[np.unique(klass[at_least], return_index=True)[1]]
-    return (owner > least[klass] if len(first) else np.empty(0, bool)), head
+    return klass, at_least[np.unique(klass[at_least], return_index=True)[1]]
 
 
 def _ranks(ids: list) -> np.ndarray:
@@ -206,8 +233,9 @@ def _mark(length: int, buckets: int):
         again = number[inverse] > 1 if len(inverse) else np.empty(0, bool)
         starts = expand(base[again], c.count[again])
         owner = np.repeat(c.rank[c.text[again]], c.count[again]) if len(starts) else np.empty(0, np.int64)
-        order, klass = suffix_order(data, starts, length)
-        earlier, head = previous_factor(owner[order], klass)
+        order, common = suffix_order(data, starts, length)
+        earlier = previous_factors(owner[order], common, length) >= length
+        klass, head = class_heads(owner[order], common, length)
         local = np.sort(starts[order][earlier])
         # strings that their first document repeats follow their first place
         rest = ~earlier
@@ -261,8 +289,8 @@ def _find(length: int):
         one = np.flatnonzero(twin == np.arange(len(n)))
         starts = expand(at[one], n[one])
         owner = np.repeat(chunk[one], n[one])
-        order, klass = suffix_order(data, starts, length)
-        earlier, _ = previous_factor(owner[order], klass)
+        order, shared = suffix_order(data, starts, length)
+        earlier = previous_factors(owner[order], shared, length) >= length
         marked = np.zeros(len(data), bool)
         marked[starts[order][earlier]] = True
         out: dict[int, list] = {}
