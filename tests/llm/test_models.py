@@ -45,13 +45,79 @@ def test_quality_held_out(spark):
     assert all(0 <= r.score <= 1 for r in found)
 
 
-def test_quality_shrinks_sparse_hosts(spark):
-    docs, labels = labelled()
-    docs = [(i, t, la, "rare" if i == 0 else s, n) for i, t, la, s, n in docs]
-    found = quality.classify(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS), keep=["doc_id", "source"]).collect()
-    rates = {r.source: r.host_low for r in found}
-    common = np.mean([v for s, v in rates.items() if s != "rare"])
-    assert abs(rates["rare"] - common) < 0.35
+class Told(quality.Model):
+    """A model whose evidence stands in the text."""
+
+    def __init__(self, rates):
+        self.rates = rates
+
+    def evidence(self, text):
+        return np.array([float(x) for x in (text or "0 0").split()])
+
+
+def by_hand(rows, rates):
+    """The hierarchy in plain loops, for (text, host, path) rows: priors and posteriors of each row and head."""
+    out = []
+    logit = lambda x: np.log(x / (1 - x))
+    for h in (0, 1):
+        own = [1 / (1 + np.exp(-(float(t.split()[h]) + logit(rates[h])))) for t, _, _ in rows]
+        hosts, paths = {}, {}
+        for p, (_, host, path) in zip(own, rows):
+            hosts.setdefault(host, []).append(p)
+            paths.setdefault((host, path), []).append(p)
+
+        def strength(groups, within):
+            spread = sampled = weight = noise = 0.0
+            for key in set(map(within, groups)):
+                some = [g for k, g in groups.items() if within(k) == key]
+                n = sum(map(len, some))
+                m = sum(map(sum, some)) / n
+                spread += sum(len(g) * (sum(g) / len(g) - m) ** 2 for g in some)
+                sampled += (len(some) - 1) * m * (1 - m)
+                weight += n - sum(len(g) ** 2 for g in some) / n
+                noise += n * m * (1 - m)
+            between = (spread - sampled) / weight if weight > 1e-9 else 0
+            return max(1.0, min(quality.POOLED, noise / len(rows) / between - 1)) if between > 0 else quality.POOLED
+
+        s_host, s_path = strength(hosts, lambda k: 0), strength(paths, lambda k: k[0])
+        head = []
+        for p, (t, host, path) in zip(own, rows):
+            def rate(out_of):
+                top = (sum(own) + rates[h] - p * out_of) / (len(own) + 1 - out_of)
+                mid = (sum(hosts[host]) - p * out_of + s_host * top) / (len(hosts[host]) - out_of + s_host)
+                return mid, (sum(paths[host, path]) - p * out_of + s_path * mid) / (len(paths[host, path]) - out_of + s_path)
+            prior = rate(1)[1]
+            head.append((*rate(0), prior, 1 / (1 + np.exp(-(float(t.split()[h]) + logit(prior))))))
+        out.append(head)
+    return list(zip(*out))
+
+
+@pytest.mark.parametrize("spread", [0.0, 3.0])
+def test_quality_hierarchy(spark, spread):
+    """Rates, priors without the row itself, and posteriors against plain loops, also where nothing sets groups apart."""
+    import random
+
+    rng, rows = random.Random(8), []
+    for i in range(200):
+        host, path = f"h{min(i % 9, i % 5)}", f"p{i % 4}"
+        shift = spread * (int(host[1]) - 2) + (2 if spread and path == "p1" else 0)
+        rows.append((f"{rng.gauss(shift, 2):.6f} {rng.gauss(0, 2):.6f}", host, path))
+    rows.append(("1.5 -0.5", "alone", "p0"))
+    docs = spark.createDataFrame([(i, t, p, h, 1, 2, "x") for i, (t, h, p) in enumerate(rows)], "doc_id long, text string, lang string, source string, labelled int, low int, k0 string")
+    found = {r.doc_id: r for r in quality.classify(docs, spark.createDataFrame([], LABELS), model=Told([0.2, 0.1]), keep=docs.columns).collect()}
+    for i, heads in enumerate(by_hand(rows, [0.2, 0.1])):
+        for name, want in zip(("low", "toxic"), heads):
+            got = [found[i][c] for c in (f"host_{name}", f"path_{name}", f"prior_{name}", f"{name}_p")]
+            assert np.allclose(got, want, rtol=1e-6), (i, name, got, want)
+    # what a sparse host's prior rests on is all other documents
+    assert abs(found[200].prior_low - np.mean([1 / (1 + np.exp(-(float(t.split()[0]) + np.log(0.25)))) for t, _, _ in rows[:200]])) < 0.2
+
+
+def test_quality_clashing_columns(spark):
+    docs, labels = labelled(2, 120)
+    d = spark.createDataFrame([(*r, 1, 2, 3, "y", 0.5) for r in docs + docs[:3]], SCHEMA + ", labelled int, low int, bad int, key string, score double")
+    found = quality.classify(d, spark.createDataFrame(labels, LABELS), keep=d.columns)
+    assert found.count() == 123 and {"labelled", "low", "bad", "key"} <= set(found.columns)
 
 
 def test_quality_edges(spark):

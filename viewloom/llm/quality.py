@@ -3,8 +3,9 @@
 Two heads, low quality and toxic, each a logistic model over presence of words and shape features, fitted on a
 bounded sample of labelled rows.  A head gives each document a log-likelihood ratio.  Grouped sums of the
 documents' posteriors give each host a rate that is shrunk towards the global one, and each path of a host a rate
-shrunk towards the host's; the strength of shrinking is estimated from the spread between groups.  The rate of the
-document's path then is the prior that its own evidence is combined with.
+shrunk towards the host's.  The strength of shrinking is estimated by moments: from the spread of hosts around the
+global rate, and from that of paths around their host's.  The prior that a document's evidence is combined with is
+its path's rate as the other documents tell it: its own posterior is left out of all three sums.
 """
 
 from __future__ import annotations
@@ -25,8 +26,7 @@ from .blocks import record
 
 HEADS = ("low", "toxic")
 SAMPLE_ROWS = 20_000
-MAX_FEATURES = 6_000
-LEAST_DOCS = 4
+LEAST_DOCS, LEAST_GAP = 4, 4.0
 WORDS = regex.compile(r"[\p{L}]+")
 SYMBOLS = regex.compile(r"[!#$%&*|<>{}=_^~\\]")
 
@@ -110,20 +110,27 @@ class Model:
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on sample_rows labelled rows at most, those of smallest id hash; rows without both labels are not used."""
+    """Fit on sample_rows labelled rows at most, those of smallest id hash; rows without both labels are not used.
+
+    Features: those of LEAST_DOCS sampled rows or more whose rate of a label is LEAST_GAP standard errors or more
+    from the sample's.  Their number is bounded by the sample, so they are gathered.
+    """
     sample = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
-    sample = sample.select(F.col(id_col).alias("labelled"), (F.col("quality") == 0).cast("long").alias("low"), (F.col("toxic") == 1).cast("long").alias("bad")).dropDuplicates(["labelled"])
-    sample = sample.orderBy(F.xxhash64("labelled"), "labelled").limit(sample_rows)
-    rows = docs.join(F.broadcast(sample), F.col(id_col) == F.col("labelled")).select(F.col(text_col).alias("text"), "low", F.col("bad").alias("toxic"))
+    sample = sample.select(F.col(id_col).alias("key"), (F.col("quality") == 0).cast("long").alias("low"), (F.col("toxic") == 1).cast("long").alias("toxic")).dropDuplicates(["key"])
+    sample = sample.orderBy(F.xxhash64("key"), "key").limit(sample_rows)
+    # one row per sampled id: rows of docs that repeat it do not enlarge the sample
+    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(sample), "key")
+    rows = rows.groupBy("key").agg(F.min_by(F.struct("text", "low", "toxic"), F.coalesce("text", F.lit(""))).alias("r")).select("r.*")
     rows = common.stash(rows.repartition(24), "labelled")
     counts = rows.mapInArrow(_counted, "feature long, n long, low long, toxic long").groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", *HEADS)]).where(F.col("n") >= LEAST_DOCS)
     total = rows.agg(F.count("*"), F.sum("low"), F.sum("toxic")).first()
     size = max(1, total[0])
     rates = [min(max((x or 0) / size, 0.5 / (size + 1)), 1 - 0.5 / (size + 1)) for x in total[1:]]
-    wanted: set[int] = set()
+    far = F.lit(False)
     for head, rate in zip(HEADS, rates):
         gap = F.abs(F.col(head) - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate) + 1e-9)
-        wanted |= {r.feature for r in counts.select("feature", gap.alias("gap")).where("gap > 4").orderBy(F.desc("gap"), "feature").limit(MAX_FEATURES // 2).collect()}
+        far = far | (gap > LEAST_GAP)
+    wanted = [r.feature for r in counts.where(far).select("feature").collect()]
     number = {f: i for i, f in enumerate(sorted(wanted))}
     data = rows.mapInArrow(_active(number), "at array<long>, low long, toxic long").collect()
     at = [r.at for r in data]
@@ -143,24 +150,40 @@ def _evidence(model):
     return evidence
 
 
-def shrunk(groups: DataFrame, head: str, above: F.Column | str, strength: float) -> F.Column:
-    """The mean of a group's posteriors, with ``strength`` documents at the rate above it."""
-    return (F.col(f"sum_{head}") + F.lit(strength) * (F.col(above) if isinstance(above, str) else above)) / (F.col("docs") + F.lit(strength))
+def shrunk(total, docs, above, strength: float):
+    """The rate of docs documents whose posteriors sum to total, with ``strength`` documents at the rate above it."""
+    return (total + F.lit(strength) * above) / (docs + F.lit(strength))
+
 
+#: Documents that the rate above counts as where groups spread no more than sampling does: all is the rate above.
+POOLED = 1e12
 
-def strength_of(groups: DataFrame, head: str, mean: float) -> float:
-    """Prior documents by moments: how much more than sampling the groups' rates spread; between 2 and 10,000."""
-    p = F.col(f"sum_{head}") / F.col("docs")
-    r = groups.agg(F.sum("docs").alias("n"), F.count("*").alias("k"), F.sum(F.col("docs") * (p - mean) ** 2).alias("s"), F.sum(F.col("docs").cast("double") ** 2).alias("q")).first()
-    if not r.n or r.k < 2:
-        return 10_000.0
-    noise = mean * (1 - mean)
-    spread = (r.s - (r.k - 1) * noise) / max(1e-9, r.n - r.q / r.n)
-    return 10_000.0 if spread <= noise / 10_000 else max(2.0, noise / spread - 1)
+
+def strength_of(groups: DataFrame, head: str, within: str | None) -> float:
+    """Prior documents by moments: how much more than sampling the rates of groups spread around that of what they
+    are within (one column of groups; None: the whole).  1 at least.
+
+    Over groups of n documents at rate p, within one of N at rate m: sum n (p - m)^2 is (k - 1) m (1 - m) by
+    sampling, and (N - sum n^2 / N) times the variance between groups more.
+    """
+    n, total = F.col("docs"), F.col(f"sum_{head}")
+    keys = [] if within is None else [within]
+    sums = groups.groupBy(*keys).agg(F.sum(n).alias("big"), F.count("*").alias("k"), F.sum(total).alias("t"), F.sum(total * total / n).alias("s"), F.sum(n.cast("double") * n).alias("q"))
+    m = F.col("t") / F.col("big")
+    noise = m * (1 - m)
+    r = sums.agg(
+        F.sum(F.col("s") - F.col("t") * m).alias("spread"), F.sum((F.col("k") - 1) * noise).alias("sampled"),
+        F.sum(F.col("big") - F.col("q") / F.col("big")).alias("weight"), F.sum(F.col("big") * noise).alias("noise"), F.sum("big").alias("n"),
+    ).first()
+    if not r.n or not r.weight or r.weight < 1e-9:
+        return POOLED
+    between = (r.spread - r.sampled) / r.weight
+    return max(1.0, min(POOLED, r.noise / r.n / between - 1)) if between > 0 else POOLED
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", host_col="source", path_cols=("lang",), keep=None, threshold: float = 0.5, sample_rows: int = SAMPLE_ROWS, model: Model | None = None) -> DataFrame:
-    """The columns ``keep`` of docs (default: the id) and low_p, toxic_p, host_low, host_toxic, path_low, path_toxic, score and kept.
+    """The columns ``keep`` of docs (default: the id) and low_p, toxic_p, host_low, host_toxic, path_low, path_toxic,
+    prior_low, prior_toxic, score and kept.
 
     score = (1 - low_p) (1 - toxic_p); kept where it is at least threshold.  A null or empty text, host or path is a
     value of its own.  Without labels the rates are even and everything rests on the evidence, which then is none,
@@ -170,26 +193,35 @@ def classify(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="t
     spark = docs.sparkSession
     model = model or fit(spark, docs, labels, id_col=id_col, text_col=text_col, sample_rows=sample_rows)
     shared = spark.sparkContext.broadcast(model)
-    results = ["low_p", "toxic_p", "host_low", "host_toxic", "path_low", "path_toxic", "score", "kept"]
+    results = ["low_p", "toxic_p", "host_low", "host_toxic", "path_low", "path_toxic", "prior_low", "prior_toxic", "score", "kept"]
     keep = [c for c in (keep or [id_col]) if c not in results]
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("null"))
     path = F.concat_ws("/", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in path_cols])
     rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], host.alias("host"), path.alias("path"), common.utf8(text_col).alias("text"))
     fields = [f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
     rows = rows.mapInArrow(_evidence(shared), ", ".join([*fields, "host string", "path string", "llr_low double", "llr_toxic double"]))
-    rows = common.stash(rows, "evidence")
     logit = {h: math.log(r / (1 - r)) for h, r in zip(HEADS, model.rates)}
-    p = {h: 1 / (1 + F.exp(-(F.col(f"llr_{h}") + logit[h]))) for h in HEADS}
-    paths = common.stash(rows.groupBy("host", "path").agg(F.count("*").alias("docs"), *[F.sum(p[h]).alias(f"sum_{h}") for h in HEADS]), "paths")
-    hosts = paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("docs", "sum_low", "sum_toxic")])
-    whole = hosts.agg(F.sum("docs"), F.sum("sum_low"), F.sum("sum_toxic")).first()
-    rates = {h: min(max((s or 0.5) / (whole[0] or 1), 1e-4), 1 - 1e-4) for h, s in zip(HEADS, whole[1:])}
-    hosts = hosts.select("host", *[shrunk(hosts, h, F.lit(rates[h]), strength_of(hosts, h, rates[h])).alias(f"host_{h}") for h in HEADS])
-    paths = paths.join(hosts, "host")
-    paths = paths.select("host", "path", "host_low", "host_toxic", *[shrunk(paths, h, f"host_{h}", strength_of(paths, h, rates[h])).alias(f"path_{h}") for h in HEADS])
+    rows = common.stash(rows.withColumns({f"own_{h}": 1 / (1 + F.exp(-(F.col(f"llr_{h}") + logit[h]))) for h in HEADS}), "evidence")
+    sums = ("docs", "sum_low", "sum_toxic")
+    paths = common.stash(rows.groupBy("host", "path").agg(F.count("*").alias("docs"), *[F.sum(f"own_{h}").alias(f"sum_{h}") for h in HEADS]), "paths")
+    hosts = paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in sums])
+    whole = hosts.agg(*[F.sum(c).alias(c) for c in sums]).first()
+    strength = {h: (strength_of(hosts, h, None), strength_of(paths, h, "host")) for h in HEADS}
+    paths = paths.join(hosts.select("host", *[F.col(c).alias(f"host_{c}") for c in sums]), "host")
     out = rows.join(paths, ["host", "path"])
-    final = {h: 1 / (1 + F.exp(-(F.col(f"llr_{h}") + F.log(F.col(f"path_{h}") / (1 - F.col(f"path_{h}")))))) for h in HEADS}
-    out = out.withColumn("low_p", final["low"]).withColumn("toxic_p", final["toxic"])
+    added = {}
+    for h, rate in zip(HEADS, model.rates):
+        n, total = float(whole[0] or 0), float(whole[f"sum_{h}"] or 0)
+        of_all, of_host = strength[h]
+        for name, own, one in (("group", F.lit(0.0), 0.0), ("prior", F.col(f"own_{h}"), 1.0)):
+            # the whole keeps one document at the sample's rate, so it is never without any
+            top = (F.lit(total + rate) - own) / F.lit(n + 1.0 - one)
+            mid = shrunk(F.col(f"host_sum_{h}") - own, F.col("host_docs") - one, top, of_all)
+            low = shrunk(F.col(f"sum_{h}") - own, F.col("docs") - one, mid, of_host)
+            kept_off = lambda x: F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), x))
+            added |= {f"host_{h}": kept_off(mid), f"path_{h}": kept_off(low)} if name == "group" else {f"prior_{h}": kept_off(low)}
+    out = out.withColumns(added)
+    out = out.withColumns({f"{h}_p": 1 / (1 + F.exp(-(F.col(f"llr_{h}") + F.log(F.col(f"prior_{h}") / (1 - F.col(f"prior_{h}")))))) for h in HEADS})
     out = out.withColumn("score", (1 - F.col("low_p")) * (1 - F.col("toxic_p"))).withColumn("kept", F.col("score") >= threshold)
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *results)
 
