@@ -1,17 +1,20 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with templates; DataFrame functions only.
 
-Blocks are all windows of 32 words; those that begin with a template's word are compared, as any other holds no more
+Blocks are all windows of 32 words, or of twice the longest template's where that is more; those that begin with a template's word are compared, as any other holds no more
 template words than the one from its first template word on.  A block meets a template when it
 holds at least the threshold's share of the template's distinct words.  Template words are ordered by their
 document frequency in the scanned table, rarest first.  A block that meets a template then has one of its first
 |T| - need + 1 words (prefix), at least ``need`` template words at all (length), and enough words left after the
-first common one on both sides (position); only such blocks are compared in full.  Documents without any prefix
-word never form blocks.  The template side is a short constant, so the join needs no shuffle.
+first common one on both sides (position).  Templates are indexed by their prefix words: a block looks up those that
+it holds and meets only the templates found; of these, those that pass the other filters are compared in full.
+Documents without any prefix word never form blocks.  The template side is a constant of bounded size, so the join
+needs no shuffle.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,12 +35,18 @@ TEMPLATES = (
 )
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WIDTH, STRIDE = 32, 1
+#: More words of templates than this are refused, as every plan holds them.
+TEMPLATE_WORDS = 20_000
 
 
 def need(tokens, threshold: float) -> int:
     return math.ceil(threshold * len(tokens) - 1e-9)
 
 
+def template_words(text: str) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))
+
+
 def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", phrases=None, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
     """One row per row of docs: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
@@ -45,8 +54,15 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", phrases=None, tem
     template that a block holds, 1 where a phrase stands, 0 where nothing meets the threshold.  A null or empty
     text has no words, no labels ('') and null places.  Repeated rows stay repeated; an empty table gives an empty
     result; other columns are not read.
+    templates: pairs of label and text, or a table of them (columns label, text); their words are taken in the same way.
     """
     phrases = phrases or PHRASES
+    if isinstance(templates, DataFrame):
+        templates = templates.where(F.col("label").isNotNull() & F.col("text").isNotNull()).select("label", "text").limit(TEMPLATE_WORDS + 1).collect()
+    templates = [(label, words) for label, text in templates if (words := template_words(text))]
+    if sum(len(words) for _, words in templates) > TEMPLATE_WORDS:
+        raise ValueError(f"templates have more than {TEMPLATE_WORDS} words")
+    width = max([WIDTH, *(2 * len(words) for _, words in templates)])
     # lower() folds one more letter, the Kelvin sign, to ASCII
     flat = F.lower(F.replace(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SEPARATORS, " "), F.lit("\u212a"), F.lit("\u212b")))
     rows = docs.select(F.col(id_col).alias("id"), F.concat(F.lit(" "), F.trim(flat), F.lit(" ")).alias("p"))
@@ -68,32 +84,34 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", phrases=None, tem
     })
 
     # document frequency of the templates' words: a table of at most as many rows as they have words
-    known = sorted({w for _, t in templates for w in t.split()})
+    known = sorted({w for _, t in templates for w in t})
     has = F.array_intersect(F.split("p", " "), F.array(*map(F.lit, known)))
     frequency = {r.word: r.n for r in rows.select(F.explode(has).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     ordered = sorted(known, key=lambda w: (frequency.get(w, 0), w))
-    sets = [(label, [w for w in ordered if w in text.split()]) for label, text in templates]
+    sets = [(label, [w for w in ordered if w in set(words)]) for label, words in templates]
     prefixes = [tokens[: len(tokens) - need(tokens, threshold) + 1] for _, tokens in sets]
-    literal = F.array(*[
-        F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, tokens)).alias("tokens"), F.array(*map(F.lit, first)).alias("first"), F.lit(need(tokens, threshold)).alias("need"))
-        for (label, tokens), first in zip(sets, prefixes)
-    ])
+    union = sorted({w for first in prefixes for w in first})
+    literal = F.array(*[F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, tokens)).alias("tokens"), F.lit(need(tokens, threshold)).alias("need")) for label, tokens in sets])
+    index = F.create_map(*[x for w in union for x in (F.lit(w), F.array(*[F.lit(i + 1) for i, first in enumerate(prefixes) if w in first]))])
     every = F.array(*map(F.lit, ordered))
     words = F.split(F.trim("p"), " ")
     # one lambda variable keeps the words from being split once per block
     places = F.sequence(F.lit(0), F.greatest(F.col("n_words") - 1, F.lit(0)).cast("int"), F.lit(STRIDE))
     starts = lambda w: F.filter(places, lambda i: F.array_contains(every, F.get(w, i)))
-    blocks = F.flatten(F.transform(F.array(words), lambda w: F.transform(starts(w), lambda i: F.array_intersect(every, F.slice(w, i + 1, F.lit(WIDTH))))))
+    blocks = F.flatten(F.transform(F.array(words), lambda w: F.transform(starts(w), lambda i: F.array_intersect(every, F.slice(w, i + 1, F.lit(width))))))
+
+    firsts_of = F.array(*map(F.lit, union))
+    found = lambda b: F.array_distinct(F.flatten(F.transform(F.array_intersect(b, firsts_of), lambda w: F.element_at(index, w))))
 
     def left(t, b):
-        first = F.element_at(F.array_intersect(t["first"], b), 1)
+        first = F.element_at(F.array_intersect(t["tokens"], b), 1)
         return 1 + F.least(F.size(t["tokens"]) - F.array_position(t["tokens"], first), F.size(b) - F.array_position(b, first))
 
     shared = lambda t, b: F.size(F.array_intersect(t["tokens"], b))
-    meets = lambda t, b: F.arrays_overlap(t["first"], b) & (F.size(b) >= t["need"]) & (left(t, b) >= t["need"]) & (shared(t, b) >= t["need"])
-    hits = F.flatten(F.transform(blocks, lambda b: F.transform(F.filter(literal, lambda t: meets(t, b)), lambda t: F.struct(t["label"].alias("label"), (shared(t, b) / F.size(t["tokens"])).alias("share")))))
-    union = sorted({w for first in prefixes for w in first})
-    near = F.arrays_overlap(words, F.array(*map(F.lit, union)))
+    meets = lambda t, b: (F.size(b) >= t["need"]) & (left(t, b) >= t["need"]) & (shared(t, b) >= t["need"])
+    of = lambda b: F.filter(F.transform(found(b), lambda i: F.element_at(literal, i)), lambda t: meets(t, b))
+    hits = F.flatten(F.transform(blocks, lambda b: F.transform(of(b), lambda t: F.struct(t["label"].alias("label"), (shared(t, b) / F.size(t["tokens"])).alias("share")))))
+    near = F.arrays_overlap(words, firsts_of)
     rows = rows.withColumn("hits", F.when(near, F.array_distinct(hits)))
     method = F.coalesce(F.transform("hits", lambda h: h["label"]), F.array().cast("array<string>"))
     share = F.coalesce(F.array_max(F.transform("hits", lambda h: h["share"])), F.lit(0.0))
