@@ -14,10 +14,12 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir; one of our own only where that is unset and all runs on one machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="viewloom-")

@@ -41,10 +41,11 @@ def source_targets(sums: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap:
     return t.select("skey", "source_size", F.least("cap", F.coalesce(F.col("lam") * F.col("w"), F.col("cap"))).alias("target"))
 
 
-def mix_sources(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source", keep=None, weights=(5, 2, 1), share: float = 1.5, max_epochs: float = 2.0, seed: str = "mix-1", buckets: int = 4096) -> DataFrame:
+def mix_sources(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source", keep=None, quality=None, weights=(5, 2, 1), share: float = 1.5, max_epochs: float = 2.0, seed: str = "mix-1", buckets: int = 4096) -> DataFrame:
     """docs' columns in ``keep`` (default: the id) and size, source_size, target, taken.
 
-    size: words of the text (null or empty: 0).  taken: words that the mix takes of the row, repeats counted: 0,
+    quality: a column of document quality weights; those that are null, not positive or not finite count as 1.
+    Default: 1 for plain prose, falling with the share of symbols.  size: words of the text (null or empty: 0).  taken: words that the mix takes of the row, repeats counted: 0,
     size, or more whole copies up to max_epochs.  A null source is a source of its own, last in order.  Rows with
     equal keys (equal ids) are ordered by size; identical rows are interchangeable.  An empty table gives an empty
     result.  Kept columns that bear a result's name are replaced by the result.
@@ -56,9 +57,10 @@ def mix_sources(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.coalesce(F.concat(F.lit("1"), F.col(source_col)), F.lit("2")).alias("skey"),
         ((F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("|" + seed))), 1, 13), 16, 10).cast("double") + 1.0) / F.lit(float(2**52 + 1))).alias("u"),
-        text.alias("t"),
+        text.alias("t"), *([] if quality is None else [F.col(quality).cast("double").alias("q")]),
     )
-    rows = rows.withColumn("w", quality_weight(F.col("t"), F.col("size"))).drop("t")
+    good = F.when((F.col("q") > 0) & (F.col("q") < float("inf")), F.col("q")).otherwise(F.lit(1.0)) if quality else quality_weight(F.col("t"), F.col("size"))
+    rows = rows.withColumn("w", good).drop("t", "q")
     rows = rows.withColumn("key", -F.log("u") / F.col("w"))
     rows = rows.withColumn("bucket", F.least(F.lit(buckets - 1), F.floor(F.lit(float(buckets)) * (F.lit(1.0) - F.exp(-F.col("key"))))).cast("int"))
 

@@ -76,7 +76,7 @@ def train(samples: list[bytes], size: int) -> bytes:
 def write_archives(rows, create, *, dict_bytes: int = 64 << 10, sample_bytes: int = 2 << 20, file_bytes: int = 64 << 20):
     """Write (page_id, record) rows to files made by create() -> (name, stream); yields (page_id, name, offset, length).
 
-    The dictionary of a file is built from its first sample_bytes of records at most.
+    The dictionary of a file is built from its first records, whole ones, until they make sample_bytes.
     """
     rows = iter(rows)
     while True:
@@ -88,7 +88,7 @@ def write_archives(rows, create, *, dict_bytes: int = 64 << 10, sample_bytes: in
                 break
         if not held:
             return
-        raw = train([r[:65536] for _, r in held], dict_bytes)
+        raw = train([r for _, r in held], dict_bytes)
         packer = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(raw), write_checksum=True)
         name, stream = create()
         body = zstandard.ZstdCompressor(level=6).compress(raw)
@@ -223,9 +223,12 @@ def write_warc(pages: DataFrame, *, id_col="page_id", url_col="url", body_col="h
 
 
 def read_warc(index: DataFrame, folder: str) -> DataFrame:
-    """Every record of the archives that the index names, one row each."""
-    names = index.select("archive").distinct()
-    return names.mapInArrow(_reader(folder), ROWS)
+    """Every record of the archives that the index names, one row each; an archive to a task, in one pass over it.
+
+    Null page ids come back as null, empty payloads as 0 bytes; an empty index gives an empty result.
+    """
+    names = common.stash(index.select("archive").distinct(), "warc-names")
+    return names.repartition(max(1, names.count())).mapInArrow(_reader(folder), ROWS)
 
 
 def op2_warc(spark, sf_dir: str) -> DataFrame:
