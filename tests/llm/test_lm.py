@@ -22,16 +22,24 @@ def scores(rows, least, base=1.5, mu=20.0):
     """(id, score) with counts of pairs seen least times or more, each as the middle of its level."""
     held = [lm.held_out(i) for i, _ in rows]
     toks = [[*brute.WORD.findall(brute.lower(t or "")), None] for _, t in rows]
-    pairs = [list(zip([None, *some[:-1]], some)) for some in toks]
+    pairs = [list(zip([None, *some[:-1]], some)) for some in toks]  # None: the end
     count = Counter(x for h, some in zip(held, toks) if not h for x in some)
     seen = Counter(x for h, some in zip(held, pairs) if not h for x in some)
     n, v = sum(count.values()), len(count)
 
-    def p(a, b):
+    def c(a, b):
         c = float(seen[a, b]) if seen[a, b] >= least else 0.0
-        c = min(float(lm.count_of(lm.level_of(np.array([c]), base), base)[0]) if c else 0.0, count[a], count[b])
-        return (c + mu * (count[b] + 0.5) / (n + 0.5 * (v + 1))) / (count[a] + mu)
+        return min(float(lm.count_of(lm.level_of(np.array([c]), base), base)[0]) if c else 0.0, count[a], count[b])
+
+    after = Counter()
+    for a, b in seen:
+        after[a] += c(a, b)
+
+    def p(a, b):
+        return (c(a, b) + mu * (count[b] + 0.5) / (n + 0.5 * (v + 1))) / (after[a] + mu)
 
+    for a in [*list(count)[:20], "never seen"]:
+        assert abs(sum(p(a, b) for b in [*count, "unknown"]) - 1) < 1e-9
     return [(i, sum(math.log10(p(a, b)) for a, b in some)) for (i, _), some in zip(rows, pairs)]
 
 

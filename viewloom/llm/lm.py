@@ -5,6 +5,11 @@ the filter as (pair, 1) .. (pair, q).  A count is read by probing level after le
 filter is in parts, one for each bucket of the pairs' hashes; each chunk of documents asks the buckets for the levels
 of its distinct pairs, so no task or driver holds more than a part, and every level is kept at every size.  Unigram
 counts are exact and asked for in the same way.
+
+Probabilities of what follows a word sum to 1 over the training words and one unknown word: the counts that the
+filter tells of a word's pairs are themselves summed.  Each pair is counted by one chunk, the first that asks for it.
+
+Words and pairs are told apart by 64-bit hashes: among n distinct ones some two agree with odds of about n^2 / 2^65.
 """
 
 from __future__ import annotations
@@ -129,19 +134,77 @@ def _answer(key, table):
     return record(blocks.REPLY + ", n long, v long", *zip(*rows))
 
 
+FIRST = 128
+
+
 def _levels(buckets: int, base: float, bits_per_item: int, least_count: int):
-    """The filter of one bucket's pairs, and what it tells each chunk that asked; the replies count as buckets of their own."""
+    """The filter of one bucket's pairs, and what it tells each chunk that asked; the replies count as buckets of their own.
+
+    A reply is a pair's level, and FIRST more for the first chunk that asks for it.
+    """
     floor = int(level_of(np.array([float(least_count)]), base)[0])
 
     def answer(key, table):
+        chunks = np.array(table.column("chunk").to_pylist(), np.int64)
         found, place, others, sizes = blocks.by_hash(table.column("blob").to_pylist())
         total = np.bincount(place, weights=np.concatenate([x[0] for x in others]), minlength=len(found))
         learnt = total >= least_count
         bits = build_filter(found[learnt], level_of(total[learnt], base) - floor + 1, bits_per_item).tobytes() if learnt.any() else b""
         said = Filter({0: bits}, 1, base, floor).levels(found).astype(np.uint8)
+        of, least = np.repeat(chunks, sizes), np.full(len(found), blocks.NO_ID)
+        np.minimum.at(least, place, of)
+        reply = said[place] + np.uint8(FIRST) * (of == least[place])
         ends = np.cumsum(sizes)
-        blobs = [blocks.dump(said[place[e - n : e]]) for e, n in zip(ends.tolist(), sizes.tolist())]
-        return record(blocks.REPLY, table.column("chunk").to_pylist(), [buckets + key[0].as_py()] * len(blobs), blobs)
+        blobs = [blocks.dump(reply[e - n : e]) for e, n in zip(ends.tolist(), sizes.tolist())]
+        return record(blocks.REPLY, chunks.tolist(), [buckets + key[0].as_py()] * len(blobs), blobs)
+
+    return answer
+
+
+class Told:
+    """What a chunk's documents hold and what the replies tell of it."""
+
+    def __init__(self, docs, replies, buckets: int, base: float):
+        def gather(kind: int) -> np.ndarray:
+            bucket = replies.column("bucket")
+            return blocks.gather(replies.filter(pc.and_(pc.greater_equal(bucket, kind * buckets), pc.less(bucket, (kind + 1) * buckets))))
+
+        self.ids, texts = blocks.unpack(docs)
+        words, self.n, before = tokens(texts)
+        self.found, place = np.unique(words, return_inverse=True)
+        known = gather(0).astype(np.float64)
+        self.count = known[place]
+        # the end of a text is a token of every chunk, and what stands before a text's first word
+        end = np.searchsorted(self.found, END)
+        self.context = np.concatenate([[end], place[:-1]])
+        _, first, of = np.unique(pair_hash(before, words), return_index=True, return_inverse=True)
+        reply = gather(1).astype(np.int64)
+        level, mine = reply % FIRST, reply >= FIRST
+        pairs = np.minimum(count_of(level, base), np.minimum(known[self.context[first]], self.count[first]))
+        self.together = pairs[of]
+        self.owned = np.bincount(self.context[first][mine], weights=pairs[mine], minlength=len(self.found))
+        self.after = gather(2)
+
+
+def _ask_sums(buckets: int, base: float):
+    """For a chunk's words, the sum of the counts of pairs that begin with them and that this chunk counts."""
+
+    def ask(key, docs, replies):
+        if docs.num_rows == 0:
+            return record(blocks.REQUEST, *[[]] * 3)
+        told = Told(docs, replies, buckets, base)
+        return record(blocks.REQUEST, *zip(*blocks.requests(key[0].as_py(), told.found, buckets, told.owned)))
+
+    return ask
+
+
+def _sums(buckets: int):
+    def answer(key, table):
+        found, place, others, sizes = blocks.by_hash(table.column("blob").to_pylist())
+        total = np.bincount(place, weights=np.concatenate([x[0] for x in others]), minlength=len(found))
+        ends = np.cumsum(sizes)
+        blobs = [blocks.dump(total[place[e - n : e]]) for e, n in zip(ends.tolist(), sizes.tolist())]
+        return record(blocks.REPLY, table.column("chunk").to_pylist(), [2 * buckets + key[0].as_py()] * len(blobs), blobs)
 
     return answer
 
@@ -150,23 +213,13 @@ def _score(buckets: int, base: float, n_train: int, v_train: int, mu: float):
     def score(_, docs, replies):
         if docs.num_rows == 0:
             return record(OUT, *[[]] * 7)
-        ids, texts = blocks.unpack(docs)
-        words, n, before = tokens(texts)
-        found, place = np.unique(words, return_inverse=True)
-        of_pairs = pc.greater_equal(replies.column("bucket"), buckets)
-        known = blocks.gather(replies.filter(pc.invert(of_pairs))).astype(np.float64)
-        count = known[place]
-        end_at = np.searchsorted(found, END)
-        first = known[end_at] if end_at < len(found) and found[end_at] == END else 0.0
-        unigram = (count + 0.5) / (n_train + 0.5 * (v_train + 1))
-        context = np.concatenate([[first], count[:-1]])
-        at = np.unique(pair_hash(before, words), return_inverse=True)[1]
-        level = blocks.gather(replies.filter(of_pairs)).astype(np.int64)
-        together = np.minimum(count_of(level, base)[at], np.minimum(context, count))
-        p = (together + mu * unigram) / (context + mu)
-        starts = np.cumsum(n) - n
+        told = Told(docs, replies, buckets, base)
+        unigram = (told.count + 0.5) / (n_train + 0.5 * (v_train + 1))
+        p = (told.together + mu * unigram) / (told.after[told.context] + mu)
+        n, starts = told.n, np.cumsum(told.n) - told.n
         base_score, scores = np.add.reduceat(np.log10(unigram), starts), np.add.reduceat(np.log10(p), starts)
-        return record(OUT, ids, [held_out(i) for i in ids], n, np.add.reduceat((count > 0).astype(np.int64), starts), [n_train] * len(ids), base_score, scores)
+        known = np.add.reduceat((told.count > 0).astype(np.int64), starts)
+        return record(OUT, told.ids, [held_out(i) for i in told.ids], n, known, [n_train] * len(n), base_score, scores)
 
     return score
 
@@ -174,8 +227,9 @@ def _score(buckets: int, base: float, n_train: int, v_train: int, mu: float):
 def lm_scores(docs: DataFrame, *, id_col="doc_id", text_col="text", base: float = 1.5, bits_per_item: int = 8, mu: float = 20.0, least_count: int = 1, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
     """One row per row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
-    score is the log10 probability under p(w|h) = (c(h,w) + mu p(w)) / (c(h) + mu), p(w) being the add-half
-    unigram estimate and c(h,w) what the filter tells.  Pairs seen less than least_count times are not stored.  Null texts are empty (one end token); a null id is a training document; repeated rows
+    score is the log10 probability under p(w|h) = (c(h,w) + mu p(w)) / (sum over v of c(h,v) + mu), p(w) being the
+    add-half unigram estimate and c(h,w) what the filter tells, never more than the words' own counts; h is the word
+    before, or the end before a text's first word.  Pairs seen less than least_count times are not stored.  Null texts are empty (one end token); a null id is a training document; repeated rows
     count and are scored each; an empty table gives an empty result; other columns are not read.
     """
     buckets = blocks.buckets_for(docs)
@@ -187,7 +241,9 @@ def lm_scores(docs: DataFrame, *, id_col="doc_id", text_col="text", base: float
     asked = chunks.applyInArrow(_ask(buckets, True), blocks.REQUEST)
     levels = common.stash(asked.groupBy("bucket").applyInArrow(_levels(buckets, base, bits_per_item, least_count), blocks.REPLY), "lm-levels")
     replies = replies.where("chunk IS NOT NULL").select("chunk", "bucket", "blob").unionByName(levels)
-    out = chunks.cogroup(replies.groupBy("chunk"))
+    asked = chunks.cogroup(replies.groupBy("chunk")).applyInArrow(_ask_sums(buckets, base), blocks.REQUEST)
+    sums = common.stash(asked.groupBy("bucket").applyInArrow(_sums(buckets), blocks.REPLY), "lm-sums")
+    out = chunks.cogroup(replies.unionByName(sums).groupBy("chunk"))
     return out.applyInArrow(_score(buckets, base, n_train, v_train, mu), OUT).withColumnRenamed("doc_id", id_col)
 
 
