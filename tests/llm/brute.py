@@ -38,6 +38,39 @@ def dedup(rows, length=50):
     return out
 
 
+def cut(rows, length=50):
+    """(id, text) without the bytes that dedup removes, and without characters that this cuts."""
+    first, out = {}, []
+    data = [(i, (t or "").encode()) for i, t in rows]
+    for i, b in data:
+        for p in range(len(b) - length + 1):
+            s = b[p : p + length]
+            if s not in first or key(i) < key(first[s]):
+                first[s] = i
+    for i, b in data:
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if key(first[b[p : p + length]]) < key(i):
+                gone[p : p + length] = b"\x01" * length
+        out.append((i, bytes(x for x, g in zip(b, gone) if not g).decode("utf-8", "ignore")))
+    return out
+
+
+def targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
+    """Targets of sources by water-filling, one excess after another; the null source is last."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[n % len(weights)] for n, s in enumerate(names)}
+    out, left = {}, share * sum(sizes.values())
+    while len(out) < len(names):
+        open_ = [s for s in names if s not in out]
+        level = left / sum(weight[s] for s in open_)
+        full = [s for s in open_ if level * weight[s] > cap * sizes[s]]
+        for s in full or open_:
+            out[s] = cap * sizes[s] if full else level * weight[s]
+            left -= out[s] if full else 0
+    return out
+
+
 def warc(rows):
     largest = defaultdict(list)
     for i, h in rows:

@@ -35,6 +35,12 @@ def test_suffix_dedup(docs, rows_per_chunk):
     assert got(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == order(brute.dedup(ROWS))
 
 
+def test_text_key(spark):
+    values = ["", "a", "É日本", "x" * 1000, "a b c d e f g h i j k l"]
+    said = spark.createDataFrame([(v,) for v in values], "t string").select(F.xxhash64("t").alias("k")).collect()
+    assert [r.k for r in said] == [jaccard.text_key(v.encode()) for v in values]
+
+
 def test_suffix_dedup_spans(docs):
     found = suffix.suffix_dedup(docs, texts=True, rows_per_chunk=16).collect()
     for r in found:

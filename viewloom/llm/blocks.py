@@ -22,7 +22,7 @@ from .common import mix64
 
 ROWS_PER_CHUNK = 1024
 NO_ID = (1 << 63) - 1
-PACKED = "chunk long, blob binary"
+PACKED = "chunk long, blob binary, extra binary"
 REQUEST = "bucket int, chunk long, blob binary"
 REPLY = "chunk long, bucket int, blob binary"
 _SPACE = np.zeros(256, bool)
@@ -69,52 +69,71 @@ def record(names: str, *columns) -> pa.Table:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list] = {}
+    more: dict[int, list[pa.RecordBatch]] = {}
     size = 0
 
-    def out(some):
+    def out():
         rows = []
-        for chunk in some:
-            ids, *parts = zip(*held.pop(chunk))
+        for chunk, some in held.items():
+            ids, texts = zip(*some)
             none = np.array([i is None for i in ids])
-            arrays = [a for some in parts for a in (np.array([len(t) for t in some], np.int64), np.frombuffer(b"".join(some), np.uint8))]
-            rows.append((chunk, dump(np.array([i or 0 for i in ids], np.int64), none.view(np.uint8), *arrays)))
+            blob = dump(np.array([i or 0 for i in ids], np.int64), none.view(np.uint8), np.array([len(t) for t in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8))
+            rows.append((chunk, blob, ipc(more[chunk]) if more else None))
+        held.clear()
+        more.clear()
         return record(PACKED, *zip(*rows)).to_batches()
 
     for batch in batches:
-        for chunk, i, *parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *map(common.binary_values, batch.columns[2:])):
-            held.setdefault(chunk, []).append((i, *parts))
-            size += sum(map(len, parts)) + 64
-            if size > 16 << 20:
-                yield from out(list(held))
-                size = 0
+        chunks = batch.column(0).to_pylist()
+        for chunk, i, text in zip(chunks, batch.column(1).to_pylist(), common.binary_values(batch.column(2))):
+            held.setdefault(chunk, []).append((i, text))
+            size += len(text) + 64
+        if batch.num_columns > 3:
+            others, of = batch.select(range(3, batch.num_columns)), np.array(chunks)
+            for chunk in np.unique(of).tolist():
+                more.setdefault(chunk, []).append(others.take(pa.array(np.flatnonzero(of == chunk))))
+            size += others.nbytes
+        if size > 16 << 20:
+            yield from out()
+            size = 0
     if held:
-        yield from out(list(held))
+        yield from out()
+
+
+def ipc(batches: list[pa.RecordBatch]) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        for batch in batches:
+            stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, rows: int = ROWS_PER_CHUNK, extra: F.Column | None = None) -> DataFrame:
-    """(chunk, blob) rows; a chunk is a range of ``rows`` ids (null ids: the last chunk), in one blob or more.
+def pack(docs: DataFrame, id_col: str, text_col: str, rows: int = ROWS_PER_CHUNK, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(chunk, blob, extra) rows; a chunk is a range of ``rows`` ids (null ids: the last chunk), in one blob or more.
 
-    extra: a string that goes along with each row.
+    extra: columns that go along with each row, whatever their types.
     """
     i = F.col(id_col).cast("long")
     chunk = F.coalesce(F.floor(i / F.lit(rows)).cast("long"), F.lit(NO_ID).cast("long"))
-    more = [] if extra is None else [extra.alias("extra")]
+    more = [F.col(c).alias(f"extra{n}") for n, c in enumerate(extra)]
     return docs.select(chunk.alias("chunk"), i.alias("id"), F.col(text_col).alias("text"), *more).mapInArrow(_pack, PACKED)
 
 
 def unpack(table: pa.Table, extra: bool = False) -> tuple[list, ...]:
-    """Ids and texts of a chunk, and what goes along, ordered by id (null last), text and the rest."""
-    rows = []
+    """Ids and texts of a chunk, ordered by id (null last) and text; with extra also the columns that go along."""
+    rows, n = [], 0
     for blob in table.column("blob").to_pylist():
-        ids, none, *arrays = load(blob)
-        columns = []
-        for n, body in zip(arrays[0::2], arrays[1::2]):
-            ends, body = np.cumsum(n), body.tobytes()
-            columns.append([body[e - m : e] for e, m in zip(ends.tolist(), n.tolist())])
-        rows += zip(none.tolist(), ids.tolist(), *columns)
+        ids, none, sizes, body = load(blob)
+        ends, body = np.cumsum(sizes), body.tobytes()
+        texts = [body[e - m : e] for e, m in zip(ends.tolist(), sizes.tolist())]
+        rows += zip(none.tolist(), ids.tolist(), texts, range(n, n + len(ids)))
+        n += len(ids)
     rows.sort()
     out = [None if r[0] else r[1] for r in rows], [r[2] for r in rows]
-    return (*out, [r[3] for r in rows]) if extra else out
+    if not extra:
+        return out
+    parts = [pa.ipc.open_stream(x).read_all() for x in table.column("extra").to_pylist() if x is not None]
+    return *out, pa.concat_tables(parts).take(pa.array([r[3] for r in rows])) if parts else None
 
 
 @lru_cache(4)

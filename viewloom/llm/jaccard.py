@@ -32,7 +32,7 @@ from .blocks import mix64, record
 from .components import connected_components
 
 SALTS = (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-ROWS = "kind int, id long, n long, node long, own long, first array<long>, second array<long>, third array<long>, blob binary"
+ROWS = "kind int, id long, n long, node long, own long, text_key long, first array<long>, second array<long>, third array<long>, blob binary"
 CENTRED = "head long, node long, n long, own long, d long, linked boolean, tokens array<long>"
 MEMBER, SET = 0, 1
 #: Groups of at most so many sets are paired; larger ones are centred on a head of theirs first, so many times.
@@ -74,27 +74,34 @@ def _answer(key, table):
     return record(blocks.REPLY, *zip(*rows))
 
 
+def text_key(text: bytes) -> int:
+    """What xxhash64 of a text is in SQL."""
+    value = xxhash.xxh64_intdigest(text, 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _prepare(k: int, percent: int):
     def prepare(_, docs, replies):
         if docs.num_rows == 0:
-            return record(ROWS, *[[]] * 9)
+            return record(ROWS, *[[]] * 10)
         ids, texts = blocks.unpack(docs)
         sets = blocks.shingle_sets(*blocks.word_hashes(texts), k)
         found, level = np.unique(np.concatenate(sets) & MASK), blocks.gather(replies)
         rows, seen = [], set()
-        for i, tokens in zip(ids, sets):
+        for i, text, tokens in zip(ids, texts, sets):
+            key = text_key(text)
             if not len(tokens):
-                rows.append((MEMBER, i, 0, *[None] * 6))
+                rows.append((MEMBER, i, 0, None, None, key, *[None] * 4))
                 continue
             node = xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
-            rows.append((MEMBER, i, len(tokens), node, *[None] * 5))
+            rows.append((MEMBER, i, len(tokens), node, None, key, *[None] * 4))
             if node in seen:
                 continue
             seen.add(node)
             at = level[np.searchsorted(found, tokens & MASK)]
             firsts = [prefix(tokens, at, salt, percent) for salt in SALTS]
             if all(map(len, firsts)):
-                rows.append((SET, None, len(tokens), node, int((at == 0).sum()), *[x.view(np.int64).tolist() for x in firsts], blocks.dump_sorted(tokens, at)))
+                rows.append((SET, None, len(tokens), node, int((at == 0).sum()), None, *[x.view(np.int64).tolist() for x in firsts], blocks.dump_sorted(tokens, at)))
         return record(ROWS, *zip(*rows))
 
     return prepare
@@ -177,7 +184,7 @@ def _ordered(left: str, right: str):
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
 
-def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", k: int = 4, percent: int = 85, paired: int = PAIRED, rounds: int = ROUNDS, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", k: int = 4, percent: int = 85, paired: int = PAIRED, rounds: int = ROUNDS, keys: bool = False, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
     """One row per row of docs: id, n_shingles and component_id, the smallest id reachable over links.
 
     Two rows link when their sets' Jaccard similarity is at least percent / 100; rows with equal sets link.  A null
@@ -185,13 +192,14 @@ def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", k:
     id, which counts as larger than all others where it links).  Repeated rows stay repeated.  An empty table gives
     an empty result.  Other columns are not read.
     paired, rounds: groups of at most so many sets are paired, and how often larger ones are centred before; they
-    change the work, not the result.
+    change the work, not the result.  keys: return also text_key, xxhash64 of the row's text, and component, a number
+    of the group that is its alone even where ids repeat (null for empty sets).
     """
     buckets = blocks.buckets_for(docs)
     chunks = blocks.pack(docs, id_col, text_col, rows_per_chunk).groupBy("chunk")
     replies = chunks.applyInArrow(_ask(k, buckets), blocks.REQUEST).groupBy("bucket").applyInArrow(_answer, blocks.REPLY)
     rows = common.stash(chunks.cogroup(replies.groupBy("chunk")).applyInArrow(_prepare(k, percent), ROWS), "shingles")
-    members = rows.where(F.col("kind") == MEMBER).select("id", "n", "node")
+    members = rows.where(F.col("kind") == MEMBER).select("id", "n", "node", "text_key")
     sets = rows.where(F.col("kind") == SET).select("node", "n", "own", "first", "second", "third", "blob").dropDuplicates(["node"])
     postings = sets.select(F.lit(0).cast("long").alias("head"), F.explode("first").alias("token"), "node", "n", "own", F.col("n").alias("d"))
     postings = common.stash(postings, "postings")
@@ -233,9 +241,10 @@ def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", k:
     least = least.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = common.stash(least, "sets-least")
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    placed = named.join(smallest, "component").select("node", "component_id")
-    out = members.join(placed, "node", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
-    return out
+    placed = named.join(smallest, "component").select("node", "component", "component_id")
+    out = members.join(placed, "node", "left")
+    more = ["text_key", "component"] if keys else []
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), *more)
 
 
 def op7_jaccard(spark, sf_dir: str) -> DataFrame:

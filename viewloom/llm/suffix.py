@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import blocks, common
 from .blocks import mix64, record
@@ -32,7 +34,7 @@ from .blocks import mix64, record
 GRAM = 24
 MARK = "place long, chunk long, kind int, blob binary"
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-TEXT_OUT = OUT + ", extra string, kept binary, kept_text string, span_starts array<long>, span_ends array<long>"
+TEXT_OUT = OUT + ", kept binary, kept_text string, span_starts array<long>, span_ends array<long>"
 LOCAL, SEGMENT, FOUND = 0, 1, 2
 _PIECE = 1 << 19
 
@@ -307,13 +309,13 @@ def _find(length: int):
     return find
 
 
-def _finish(length: int, texts_too: bool):
+def _finish(length: int, texts_too: bool, empty: pa.Schema):
     names = TEXT_OUT if texts_too else OUT
 
     def finish(_, docs, marks):
         if docs.num_rows == 0:
-            return record(names, *[[]] * len(names.split(", ")))
-        ids, texts, extras = blocks.unpack(docs, extra=True) if texts_too else (*blocks.unpack(docs), [])
+            return empty.empty_table()
+        ids, texts, extras = blocks.unpack(docs, extra=True)
         rank = _ranks(ids)
         first = _whole(texts, length)
         copy = np.array([len(t) >= length and rank[first[t]] < rank[i] for i, t in enumerate(texts)], bool)
@@ -345,34 +347,43 @@ def _finish(length: int, texts_too: bool):
                     spans.append((a, b))
                 s = stop
         rows = []
-        for n, (i, text, whole, spans) in enumerate(zip(ids, texts, copy.tolist(), cover)):
+        for i, text, whole, spans in zip(ids, texts, copy.tolist(), cover):
             spans = [(0, len(text))] if whole else spans
             edges = [0, *[x for s in spans for x in s], len(text)]
             kept = b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2]))
             row = (i, len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
-            rows.append((*row, extras[n].decode(), kept, kept.decode("utf-8", "ignore"), [a for a, _ in spans], [b for _, b in spans]) if texts_too else row)
-        return record(names, *zip(*rows))
+            rows.append((*row, kept, kept.decode("utf-8", "ignore"), [a for a, _ in spans], [b for _, b in spans]) if texts_too else row)
+        out = record(names, *zip(*rows))
+        for name in extras.column_names if extras is not None else ():
+            out = out.append_column(name, extras.column(name))
+        return out
 
     return finish
 
 
-def suffix_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text", length: int = 50, texts: bool = False, extra=None, rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
-    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256; with texts also
-    kept, kept_text (without characters that a removal cuts), spans and, as given by a string column, extra.
+def suffix_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text", length: int = 50, texts: bool = False, keep=(), rows_per_chunk: int = blocks.ROWS_PER_CHUNK) -> DataFrame:
+    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256; with texts also kept, kept_text (without
+    characters that a removal cuts) and spans; with keep also a struct ``row`` of these columns of docs.
 
     A byte goes where a string of length bytes covers it that also starts in a row of smaller id (null ids are
-    largest, rows of equal ids are no copies of each other).  Null texts are empty; texts shorter than length stay
-    whole.  Repeated rows stay repeated.  An empty table gives an empty result.  Other columns are not read.
+    largest, rows of equal ids are no copies of each other).  Ids are whole numbers.  Null texts are empty; texts
+    shorter than length stay whole.  Repeated rows stay repeated.  An empty table gives an empty result.  Other
+    columns are not read.
     """
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
-    buckets = blocks.buckets_for(docs)
-    chunks = blocks.pack(docs, id_col, text_col, rows_per_chunk, (F.lit("") if extra is None else extra) if texts else None).groupBy("chunk")
+    buckets, keep = blocks.buckets_for(docs), tuple(keep)
+    chunks = blocks.pack(docs, id_col, text_col, rows_per_chunk, keep).groupBy("chunk")
     replies = chunks.applyInArrow(_ask(length, buckets), blocks.REQUEST).groupBy("bucket").applyInArrow(_answer, blocks.REPLY)
     marks = chunks.cogroup(replies.groupBy("chunk")).applyInArrow(_mark(length, min(1 << 16, 4 * buckets)), MARK)
     found = marks.groupBy("kind", "place").applyInArrow(_find(length), MARK).select("chunk", "kind", "blob")
-    out = chunks.cogroup(found.groupBy("chunk")).applyInArrow(_finish(length, texts), TEXT_OUT if texts else OUT)
-    return out.withColumnRenamed("doc_id", id_col)
+    schema = StructType.fromDDL(TEXT_OUT if texts else OUT)
+    for n, c in enumerate(keep):
+        schema.add(f"extra{n}", docs.schema[c].dataType)
+    out = chunks.cogroup(found.groupBy("chunk")).applyInArrow(_finish(length, texts, to_arrow_schema(schema)), schema).withColumnRenamed("doc_id", id_col)
+    if keep:
+        out = out.withColumn("row", F.struct(*[F.col(f"extra{n}").alias(c) for n, c in enumerate(keep)])).drop(*[f"extra{n}" for n in range(len(keep))])
+    return out
 
 
 def op1_suffix(spark, sf_dir: str) -> DataFrame:
