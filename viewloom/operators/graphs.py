@@ -13,15 +13,19 @@ def farthest_points(dist: DataFrame, n: int, threshold: float = float("-inf"), s
     """Up to n (id, distance to those before): the seed (default the smallest id), then the farthest in turn.
 
     dist(i, j, d) is complete; ties go to the smaller id; stops where the farthest is nearer than threshold.  Each
-    round reads one id's distances and one row comes to the driver, so the loop is bounded by n.
+    round reads one id's distances, by a filter that files sorted by j skip on, into a table of every point's least
+    distance so far; one row comes to the driver, so the loop is bounded by n.
     """
     first = seed if seed is not None else dist.agg(F.min("i")).first()[0]
     if first is None:
         return []
-    chosen = [(int(first), 0.0)]
+    chosen, near = [(int(first), 0.0)], None
     while len(chosen) < n:
-        ids = [i for i, _ in chosen]
-        near = dist.where(F.col("j").isin(ids) & ~F.col("i").isin(ids)).groupBy("i").agg(F.min("d").alias("d"))
+        last = chosen[-1][0]
+        own = dist.where((F.col("j") == last) & (F.col("i") != last)).groupBy("i").agg(F.min("d").alias("d"))
+        if near is not None:
+            own = near.where(F.col("i") != last).join(own.withColumnRenamed("d", "e"), "i", "left").select("i", F.least("d", "e").alias("d"))
+        near = stash(own, "near")
         top = near.agg(F.max_by(F.struct("i", "d"), F.struct("d", -F.col("i"))).alias("t")).first().t
         if top is None or top.d < threshold:
             break

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stash
+
 BEST = "src long, dst long, a long, b long, forward boolean, score double"
 BLOCK = 8192
 
@@ -68,9 +70,9 @@ def mutual(best: DataFrame) -> DataFrame:
     return both.where("f > 0 AND r > 0").select("src", "dst", "a", "b", "score")
 
 
-def reciprocal(forward: DataFrame, backward: DataFrame) -> DataFrame:
-    """(a, b) with forward(a -> b) and backward(b -> a)."""
-    return forward.join(backward.select(F.col("b").alias("b"), F.col("a").alias("a")), ["a", "b"], "left_semi")
+def reciprocal(forward: DataFrame, backward: DataFrame, on: tuple[str, ...] = ()) -> DataFrame:
+    """(a, b) with forward(a -> b) and backward(b -> a); on: columns that name the image pair."""
+    return forward.join(backward.select(*on, "a", "b"), [*on, "a", "b"], "left_semi")
 
 
 def confident(matches: DataFrame, threshold: float, col: str = "conf", strict: bool = False) -> DataFrame:
@@ -105,34 +107,41 @@ def union_directions(there: DataFrame, back: DataFrame, combine: str = "min") ->
     return merge_corres(pick(there, 0).unionByName(pick(back, 1))).drop("pos")
 
 
-def iterated_reciprocal(seeds: DataFrame, forward: DataFrame, backward: DataFrame, rounds: int = 10) -> DataFrame:
+def iterated_reciprocal(seeds: DataFrame, forward: DataFrame, backward: DataFrame, rounds: int = 10, on: tuple[str, ...] = (), basin: bool = False) -> DataFrame:
     """(p1, p2) that seeds(p1) converge to by going forward(p1 -> p2) and backward(p2 -> p1) in turns.
 
-    A seed is done when p2, or then p1, repeats; seeds still under way after the last round are left out.  Every
-    round is two equi-joins of the seeds under way; the maps must be materialised.
+    A seed is done when p2, or then p1, repeats; seeds still under way after the last round are left out.  on: columns
+    of all three that name the image pair, each done by itself.  basin: one row per seed instead, as seed, p1, p2;
+    p1 and p2 are null where it does not converge.  Every round is two equi-joins of the seeds under way, which are
+    written in the shared folder; the maps must be materialised.
     """
-    there = forward.select(F.col("a").alias("p1"), F.col("b").alias("next"))
-    back = backward.select(F.col("b").alias("p2"), F.col("a").alias("next"))
-    live = seeds.select("p1").distinct().withColumn("p2", F.lit(-1).cast("long"))
-    done = None
+    there = forward.select(*on, F.col("a").alias("p1"), F.col("b").alias("next"))
+    back = backward.select(*on, F.col("b").alias("p2"), F.col("a").alias("next"))
+    first = seeds.select(*on, "p1").distinct()
+    own = ["seed"] if basin else []
+    live, done = first.withColumn("seed", F.col("p1")).select(*on, *own, "p1", F.lit(-1).cast("long").alias("p2")), None
     for _ in range(rounds):
-        step = live.join(there, "p1").select("p1", F.col("next").alias("p2"), F.col("p2").alias("was"))
-        settled = step.where("p2 = was").select("p1", "p2")
-        step = step.where("p2 <> was").select("p1", "p2").join(back, "p2").select(F.col("next").alias("p1"), "p2", F.col("p1").alias("was"))
-        settled = settled.unionByName(step.where("p1 = was").select("p1", "p2"))
-        live = step.where("p1 <> was").select("p1", "p2")
+        to = live.join(there, [*on, "p1"]).select(*on, *own, "p1", F.col("next").alias("p2"), F.col("p2").alias("was"))
+        fro = to.where("p2 <> was").join(back, [*on, "p2"]).select(*on, *own, F.col("next").alias("p1"), "p2", (F.col("next") == F.col("p1")).alias("settled"))
+        step = stash(to.where("p2 = was").select(*on, *own, "p1", "p2", F.lit(True).alias("settled")).unionByName(fro).distinct(), "reciprocal")
+        settled = step.where("settled").drop("settled")
         done = settled if done is None else done.unionByName(settled)
-    return done.distinct()
+        live = step.where("NOT settled").drop("settled")
+        if live.isEmpty():
+            break
+    if not basin:
+        return done.distinct()
+    return first.withColumnRenamed("p1", "seed").join(done.distinct(), [*on, "seed"], "left")
 
 
-def tolerant(seeds: DataFrame, forward: DataFrame, backward: DataFrame, width: int, tolerance: float) -> DataFrame:
+def tolerant(seeds: DataFrame, forward: DataFrame, backward: DataFrame, width: int, tolerance: float, on: tuple[str, ...] = ()) -> DataFrame:
     """One round from each seed p1; kept, with the seed itself, where the way back ends closer than tolerance pixels."""
-    there = forward.select(F.col("a").alias("p1"), F.col("b").alias("p2"))
-    back = backward.select(F.col("b").alias("p2"), F.col("a").alias("end"))
+    there = forward.select(*on, F.col("a").alias("p1"), F.col("b").alias("p2"))
+    back = backward.select(*on, F.col("b").alias("p2"), F.col("a").alias("end"))
     dx = F.pmod("p1", F.lit(width)) - F.pmod("end", F.lit(width))
     dy = F.floor(F.col("p1") / width) - F.floor(F.col("end") / width)
-    rows = seeds.select("p1").distinct().join(there, "p1").join(back, "p2")
-    return rows.where(F.sqrt((dx * dx + dy * dy).cast("double")) < tolerance).select("p1", "p2")
+    rows = seeds.select(*on, "p1").distinct().join(there, [*on, "p1"]).join(back, [*on, "p2"])
+    return rows.where(F.sqrt((dx * dx + dy * dy).cast("double")) < tolerance).select(*on, "p1", "p2")
 
 
 def match_counts(matches: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stash
 from .matching import _matrix
 
 
@@ -172,11 +173,36 @@ def blocks_by_hash(rows: DataFrame, key: str, size: int, seed: int = 0) -> DataF
 
 
 def nearest_distance(cameras: DataFrame) -> DataFrame:
-    """The lower median over cameras(image_id, x, y, z) of the distance to the nearest other one."""
-    other = cameras.select(F.col("image_id").alias("o"), *[F.col(c).alias(f"o{c}") for c in "xyz"])
-    d = F.sqrt(sum(((F.col(c) - F.col(f"o{c}")) ** 2 for c in "xyz"), F.lit(0.0)))
-    near = cameras.join(other, F.col("image_id") != F.col("o")).groupBy("image_id").agg(F.min(d).alias("d"))
-    return near.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY d)").alias("size"))
+    """The lower median over cameras(image_id, x, y, z) of the distance to the nearest other one.
+
+    Cameras of one place are at distance 0.  Distinct places look for others in 3 x 3 x 3 grid cells, at first as
+    wide as an even spread would have one place each; those that find none within a cell's width look again in cells
+    four times as wide, until a cell is as wide as all places.  Null for fewer than two cameras.
+    """
+    places = stash(cameras.groupBy(*[F.col(c).cast("double").alias(c) for c in "xyz"]).agg(F.count("*").alias("n")), "places")
+    span = places.agg(F.count("*").alias("n"), *[(F.max(c) - F.min(c)).alias(c) for c in "xyz"]).first()
+    found = places.where("n > 1").select("n", F.lit(0.0).alias("d"))
+    left, widest = places.where("n = 1"), max(span[c] or 0.0 for c in "xyz")
+    cell = widest / max(1.0, (span.n or 0) ** (1 / 3))
+    at = lambda c, size: F.floor(F.col(c) / size)
+    while span.n > 1 and widest > 0:
+        size = F.lit(max(cell, 1e-9 * widest))
+        near = left
+        for c in "xyz":
+            near = near.withColumn(f"c{c}", F.explode(F.sequence(at(c, size) - 1, at(c, size) + 1)))
+        others = places.select(*[at(c, size).alias(f"c{c}") for c in "xyz"], *[F.col(c).alias(f"o{c}") for c in "xyz"])
+        same = (F.col("x") == F.col("ox")) & (F.col("y") == F.col("oy")) & (F.col("z") == F.col("oz"))
+        d = F.sqrt(sum(((F.col(c) - F.col(f"o{c}")) ** 2 for c in "xyz"), F.lit(0.0)))
+        best = stash(near.join(others, ["cx", "cy", "cz"], "left").groupBy("x", "y", "z").agg(F.min(F.when(~same, d)).alias("d")), "near")
+        last = cell > widest
+        done = F.lit(True) if last else F.coalesce(F.col("d") <= cell, F.lit(False))
+        found = found.union(best.where(done).select(F.lit(1).cast("long"), "d"))
+        left = best.where(~done).select("x", "y", "z")
+        if last or left.isEmpty():
+            break
+        cell *= 4
+    each = found.withColumn("d", F.explode(F.array_repeat("d", F.col("n").cast("int"))))
+    return each.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY d)").alias("size"))
 
 
 def inverted_file_scores(words_a: DataFrame, words_b: DataFrame, alpha: float = 3.0, threshold: float = 0.0) -> DataFrame:

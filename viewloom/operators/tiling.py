@@ -122,11 +122,9 @@ def best_tiles(overlaps: DataFrame, least_area: float = 1.0) -> DataFrame:
     Areas must exceed least_area; an a that loses its b is not dealt another.
     """
     rows = overlaps.withColumn("area", overlap_area("a_", "b_")).where("area > 0")
-    mine = rows.groupBy("src", "dst", "a_tile").agg(F.max_by("b_tile", F.struct("area", F.lit(0))).alias("unused"), F.max("area").alias("area"))
-    mine = mine.drop("unused").join(rows.select("src", "dst", "a_tile", "b_tile", "area"), ["src", "dst", "a_tile", "area"]).groupBy("src", "dst", "a_tile").agg(F.min("b_tile").alias("b_tile"), F.max("area").alias("area"))
-    mine = mine.where(F.col("area") > least_area)
-    top = mine.groupBy("src", "dst", "b_tile").agg(F.max("area").alias("area"))
-    return mine.join(top, ["src", "dst", "b_tile", "area"]).groupBy("src", "dst", "b_tile").agg(F.min("a_tile").alias("a_tile"), F.max("area").alias("area")).select("src", "dst", "a_tile", "b_tile", "area")
+    first = lambda d, own, other: d.groupBy("src", "dst", own).agg(F.min(F.struct((-F.col("area")).alias("less"), other)).alias("m")).select("src", "dst", own, f"m.{other}", (-F.col("m.less")).alias("area"))
+    mine = first(rows, "a_tile", "b_tile").where(F.col("area") > least_area)
+    return first(mine, "b_tile", "a_tile").select("src", "dst", "a_tile", "b_tile", "area")
 
 
 def to_image(matches: DataFrame, tiles: DataFrame) -> DataFrame:

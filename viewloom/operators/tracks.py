@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import placed
 from .components import connected_components
 
 
@@ -64,15 +65,19 @@ def index_pairs(matches: DataFrame) -> DataFrame:
 
 
 def _vertices(edges: DataFrame) -> DataFrame:
-    key = lambda i, k: F.format_string("%012d:%012d", F.col(i), F.col(k))
+    key = lambda i, k: F.struct(F.col(i).cast("long").alias("image_id"), F.col(k).cast("long").alias("kp_id"))
     return edges.withColumn("a", key("src", "a_kp")).withColumn("b", key("dst", "b_kp"))
 
 
+def track_name(vertex: str):
+    """A track's id: its first vertex, image and keypoint."""
+    return F.format_string("%012d:%012d", F.col(f"{vertex}.image_id"), F.col(f"{vertex}.kp_id"))
+
+
 def component_tracks(edges: DataFrame) -> DataFrame:
     """image_id, kp_id, track_id over edges (src, a_kp, dst, b_kp): connected components, a track's id its first vertex."""
     parts = connected_components(_vertices(edges))
-    at = lambda i: F.split("node", ":")[i].cast("long")
-    return parts.select(at(0).alias("image_id"), at(1).alias("kp_id"), F.col("component").alias("track_id"))
+    return parts.select("node.image_id", "node.kp_id", track_name("component").alias("track_id"))
 
 
 def _guarded(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -108,7 +113,7 @@ def guarded_tracks(edges: DataFrame) -> DataFrame:
     """
     canonical = edges.select(*[F.when(F.struct("src", "a_kp") <= F.struct(F.col("dst"), F.col("b_kp")), F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (("src", "dst", "src"), ("a_kp", "b_kp", "a_kp"), ("dst", "src", "dst"), ("b_kp", "a_kp", "b_kp"))]).distinct()
     keyed = _vertices(canonical)
-    parts = connected_components(keyed).select(F.col("node").alias("a"), "component")
+    parts = connected_components(keyed).select(F.col("node").alias("a"), track_name("component").alias("component"))
     grouped = keyed.join(parts, "a").select("component", "src", "a_kp", "dst", "b_kp")
     return grouped.groupBy("component").applyInPandas(lambda pdf: _guarded(pdf), "image_id long, kp_id long, track_id string")
 
@@ -167,7 +172,7 @@ def first_colours(observations: DataFrame, position: str = "pos", default: int =
 def rounded_groups(points: DataFrame, digits: int = 4) -> DataFrame:
     """points(x, y, z) with the number of their group of equal rounded coordinates."""
     keys = [F.bround(F.col(c), digits).alias(f"r{c}") for c in "xyz"]
-    groups = points.select(*keys).distinct().withColumn("group_id", F.row_number().over(Window.orderBy("rx", "ry", "rz")) - 1)
+    groups = placed(points.select(*keys).distinct(), "rx", "ry", "rz", name="group_id")
     return points.withColumns({f"r{c}": F.bround(F.col(c), digits) for c in "xyz"}).join(groups, ["rx", "ry", "rz"]).drop("rx", "ry", "rz")
 
 

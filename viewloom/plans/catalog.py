@@ -156,14 +156,14 @@ def _(spark, sf):
 def _maps(spark, sf) -> DataFrame:
     p = base(spark, sf, "photos").select(F.col("image_id").alias("src"), (F.col("image_id") + 1).alias("dst"))
     shift = F.array(F.lit(1.0), F.lit(0.0), F.pmod(F.col("src"), F.lit(50)).cast("double"), F.lit(0.0), F.lit(1.0), F.lit(-20.0))
-    return p.where("src % 2 = 0").select("src", "dst", shift.alias("m"))
+    return p.select("src", "dst", shift.alias("m"))
 
 
 _OVER = _EDGE.rstrip() + """,
 o AS (SELECT a.image_id src, b.image_id dst, a.tile_id a_tile, b.tile_id b_tile,
    greatest(0, least(a.x1 + a.image_id % 50, b.x1) - greatest(a.x0 + a.image_id % 50, b.x0)) * greatest(0, least(a.y1 - 20, b.y1) - greatest(a.y0 - 20, b.y0))::DOUBLE area,
    a.x0 + a.image_id % 50 <= b.x1 AND b.x0 <= a.x1 + a.image_id % 50 AND a.y0 - 20 <= b.y1 AND b.y0 <= a.y1 - 20 meets
- FROM tiles a JOIN tiles b ON b.image_id = a.image_id + 1 AND a.image_id % 2 = 0) """
+ FROM tiles a JOIN tiles b ON b.image_id = a.image_id + 1) """
 
 
 @query("tile_pairs_projected", sql("photos", _OVER + "SELECT src, dst, a_tile, b_tile FROM o WHERE meets"))
@@ -179,11 +179,11 @@ def _(spark, sf):
     return tiling.best_tiles(tiling.overlapping_tiles(tiling.edge_aligned(base(spark, sf, "photos")), _maps(spark, sf)))
 
 
-@query("affine_fallback", sql("photos", """m AS (SELECT image_id src, image_id + 1 dst, 1.0 + image_id % 3 a, (image_id % 50)::DOUBLE c FROM photos WHERE image_id % 2 = 0),
+@query("affine_fallback", sql("photos", """m AS (SELECT image_id src, image_id + 1 dst, 1.0 + image_id % 3 a, (image_id % 50)::DOUBLE c FROM photos),
 p AS (SELECT src, dst, a, 0.0 b, c, 0.0 d, 2.0 e, -20.0 f FROM m UNION ALL SELECT dst, src, 1 / a, 0, -c / a, 0, 0.5, 10 FROM m)
 SELECT src, dst, round(a * 10 + b * 20 + c, 6)::DOUBLE + 0.0 AS x, round(d * 10 + e * 20 + f, 6)::DOUBLE + 0.0 AS y FROM p"""))
 def _(spark, sf):
-    p = base(spark, sf, "photos").where("image_id % 2 = 0").select(F.col("image_id").alias("src"), (F.col("image_id") + 1).alias("dst"))
+    p = base(spark, sf, "photos").select(F.col("image_id").alias("src"), (F.col("image_id") + 1).alias("dst"))
     one = lambda x: F.lit(float(x))
     maps = p.withColumn("m", F.array(1.0 + F.pmod("src", F.lit(3)), one(0), F.pmod("src", F.lit(50)).cast("double"), one(0), one(2), one(-20)))
     rows = tiling.pair_affines(pairs.symmetrize(p), maps).withColumn("p", tiling.apply_affine(F.col("m"), one(10), one(20)))
@@ -231,21 +231,43 @@ def _(spark, sf):
     return matching.enough_matches(base(spark, sf, "raw"))
 
 
-_STEP = ", ".join(f"s{k} AS (SELECT f{k}.p1 AS was1, f{k}.p2 AS was2, a2.b AS p2 FROM f{k} JOIN fw a2 ON a2.a = f{k}.p1), g{k} AS (SELECT s.was1, s.p2, bw.a AS p1 FROM s{k} s JOIN bw ON bw.b = s.p2 WHERE s.p2 <> s.was2), f{k + 1} AS (SELECT p1, p2 FROM g{k} WHERE p1 <> was1)" for k in range(6))
+_ROUNDS = 6
+_STEP = ", ".join(
+    f"s{k} AS (SELECT src, dst, f{k}.seed, f{k}.p1 AS was1, f{k}.p2 AS was2, fw.b AS p2 FROM f{k} JOIN fw USING (src, dst) WHERE fw.a = f{k}.p1), "
+    f"g{k} AS (SELECT src, dst, s{k}.seed, s{k}.was1, s{k}.p2, bw.a AS p1 FROM s{k} JOIN bw USING (src, dst) WHERE bw.b = s{k}.p2 AND s{k}.p2 <> s{k}.was2), "
+    f"f{k + 1} AS (SELECT src, dst, seed, p1, p2 FROM g{k} WHERE p1 <> was1)"
+    for k in range(_ROUNDS)
+)
+_WAYS = f"WITH {_MUTUAL}, fw AS (SELECT la AS src, lb AS dst, va a, vb b FROM r WHERE ra = 1), bw AS (SELECT la AS src, lb AS dst, va a, vb b FROM r WHERE rb = 1)"
+_SETTLED = f"{_WAYS}, f0 AS (SELECT src, dst, a AS seed, a AS p1, CAST(-1 AS BIGINT) AS p2 FROM fw), {_STEP}, done AS (" + " UNION ".join(f"SELECT src, dst, seed, was1 AS p1, p2 FROM s{k} WHERE p2 = was2 UNION SELECT src, dst, seed, p1, p2 FROM g{k} WHERE p1 = was1" for k in range(_ROUNDS)) + ")"
+
+
+def _ways(spark, sf) -> tuple[DataFrame, DataFrame]:
+    best = stash(_best(spark, sf), "best")
+    return tuple(best.where(f"forward = {x}").select("src", "dst", "a", "b") for x in ("true", "false"))
+
+
+@query("reciprocal_iterated", f"{_SETTLED} SELECT DISTINCT src, dst, p1, p2 FROM done")
+def _(spark, sf):
+    forward, backward = _ways(spark, sf)
+    return matching.iterated_reciprocal(forward.select("src", "dst", F.col("a").alias("p1")), forward, backward, _ROUNDS, ("src", "dst"))
+
+
+@query("reciprocal_basin", f"{_SETTLED} SELECT f0.src, f0.dst, f0.seed, done.p1, done.p2 FROM f0 LEFT JOIN done USING (src, dst, seed)")
+def _(spark, sf):
+    forward, backward = _ways(spark, sf)
+    return matching.iterated_reciprocal(forward.select("src", "dst", F.col("a").alias("p1")), forward, backward, _ROUNDS, ("src", "dst"), basin=True)
 
 
-@query("reciprocal_iterated", f"WITH {_MUTUAL}, fw AS (SELECT va a, vb b FROM r WHERE ra = 1 AND la = 0 AND lb = 1), bw AS (SELECT va a, vb b FROM r WHERE rb = 1 AND la = 0 AND lb = 1), f0 AS (SELECT a AS p1, CAST(-1 AS BIGINT) AS p2 FROM fw WHERE a % 3 = 0), {_STEP} " + " UNION ".join(f"SELECT was1 AS p1, p2 FROM s{k} WHERE p2 = was2 UNION SELECT p1, p2 FROM g{k} WHERE p1 = was1" for k in range(6)))
+@query("reciprocal_tolerant", f"{_WAYS} SELECT fw.src, fw.dst, fw.a AS p1, fw.b AS p2 FROM fw JOIN bw ON bw.src = fw.src AND bw.dst = fw.dst AND bw.b = fw.b WHERE sqrt((fw.a % 32 - bw.a % 32) ** 2 + (fw.a // 32 - bw.a // 32) ** 2) < 5")
 def _(spark, sf):
-    best = stash(_best(spark, sf).where("src = 0 AND dst = 1"), "best")
-    forward, backward = (best.where(f"forward = {x}").select("a", "b") for x in ("true", "false"))
-    return matching.iterated_reciprocal(forward.where("a % 3 = 0").select(F.col("a").alias("p1")), forward, backward, 6)
+    forward, backward = _ways(spark, sf)
+    return matching.tolerant(forward.select("src", "dst", F.col("a").alias("p1")), forward, backward, 32, 5.0, ("src", "dst"))
 
 
-@query("reciprocal_tolerant", f"WITH {_MUTUAL}, fw AS (SELECT va a, vb b FROM r WHERE ra = 1 AND la = 0 AND lb = 1), bw AS (SELECT va a, vb b FROM r WHERE rb = 1 AND la = 0 AND lb = 1) SELECT fw.a AS p1, fw.b AS p2 FROM fw JOIN bw ON bw.b = fw.b WHERE sqrt((fw.a % 32 - bw.a % 32) ** 2 + (fw.a // 32 - bw.a // 32) ** 2) < 5")
+@query("reciprocal_pairs", f"{_WAYS} SELECT fw.src, fw.dst, fw.a, fw.b FROM fw JOIN bw ON bw.src = fw.src AND bw.dst = fw.dst AND bw.a = fw.a AND bw.b = fw.b")
 def _(spark, sf):
-    best = stash(_best(spark, sf).where("src = 0 AND dst = 1"), "best")
-    forward, backward = (best.where(f"forward = {x}").select("a", "b") for x in ("true", "false"))
-    return matching.tolerant(forward.select(F.col("a").alias("p1")), forward, backward, 32, 5.0)
+    return matching.reciprocal(*_ways(spark, sf), on=("src", "dst"))
 
 
 @query("merged_corres", sql("raw", "x AS (SELECT *, row_number() OVER (PARTITION BY src, dst, pix1, pix2 ORDER BY pos) n FROM raw) SELECT src, dst, pix1, pix2, pos, conf FROM x WHERE n = 1"))
@@ -270,10 +292,10 @@ def _(spark, sf):
     return matching.cached_pair(matching.cached_confident(base(spark, sf, "raw"), 3), 3, 9).select("src", "dst", "pix1", "pix2", "pos")
 
 
-@query("pair_gate", sql("raw", "g AS (SELECT src, dst FROM raw WHERE pos % 5 = 0 GROUP BY 1, 2 HAVING max(conf) > 5.95) SELECT src, dst, pos FROM raw WHERE pos % 5 = 0 AND (src, dst) IN (SELECT src, dst FROM g) UNION ALL SELECT src, dst, pos FROM raw WHERE pos % 5 = 1 AND (src, dst) NOT IN (SELECT src, dst FROM g)"))
+@query("pair_gate", sql("raw", "g AS (SELECT src, dst FROM raw WHERE pos % 2 = 0 GROUP BY 1, 2 HAVING max(conf) > 5.95) SELECT src, dst, pos FROM raw WHERE pos % 2 = 0 AND (src, dst) IN (SELECT src, dst FROM g) UNION ALL SELECT src, dst, pos FROM raw WHERE pos % 2 = 1 AND (src, dst) NOT IN (SELECT src, dst FROM g)"))
 def _(spark, sf):
     r = base(spark, sf, "raw")
-    return matching.pair_gate(r.where("pos % 5 = 0"), r.where("pos % 5 = 1"), 5.95).select("src", "dst", "pos")
+    return matching.pair_gate(r.where("pos % 2 = 0"), r.where("pos % 2 = 1"), 5.95).select("src", "dst", "pos")
 
 
 @query("negatives_first_n", sql("points", "f AS (SELECT image_id, pix, row_number() OVER (PARTITION BY image_id ORDER BY pix) n FROM (SELECT DISTINCT image_id, pix FROM points) d WHERE (image_id, pix) NOT IN (SELECT image_id, pix FROM points WHERE pos % 3 = 0)) SELECT image_id, pix FROM f WHERE n <= 5"))
@@ -299,19 +321,19 @@ def _(spark, sf):
     return tracks.rounded_keypoints(base(spark, sf, "points"))
 
 
-_KP = "k AS (SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY x, y) - 1 AS kp_idx, x AS kx, y AS ky FROM (SELECT DISTINCT image_id, x, y FROM points WHERE pos % 4 = 1) d)"
+_KP = "k AS (SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY x, y) - 1 AS kp_idx, x AS kx, y AS ky FROM (SELECT DISTINCT image_id, x, y FROM points{}) d)"
 
 
-@query("radius_nearest", sql("points", _KP + ", j AS (SELECT p.image_id, pos, kp_idx, row_number() OVER (PARTITION BY p.image_id, pos ORDER BY sqrt((x - kx) ** 2 + (y - ky) ** 2), kp_idx) n FROM points p JOIN k ON k.image_id = p.image_id AND (x - kx) ** 2 + (y - ky) ** 2 < 64 WHERE pos % 4 = 2) SELECT p.image_id, p.pos, kp_idx FROM points p LEFT JOIN (SELECT * FROM j WHERE n = 1) j ON j.image_id = p.image_id AND j.pos = p.pos WHERE p.pos % 4 = 2"))
+@query("radius_nearest", sql("points", _KP.format(" WHERE pos % 2 = 1") + ", j AS (SELECT p.image_id, pos, kp_idx, row_number() OVER (PARTITION BY p.image_id, pos ORDER BY sqrt((x - kx) ** 2 + (y - ky) ** 2), kp_idx) n FROM points p JOIN k ON k.image_id = p.image_id AND (x - kx) ** 2 + (y - ky) ** 2 < 64 WHERE pos % 2 = 0) SELECT p.image_id, p.pos, kp_idx FROM points p LEFT JOIN (SELECT * FROM j WHERE n = 1) j ON j.image_id = p.image_id AND j.pos = p.pos WHERE p.pos % 2 = 0"))
 def _(spark, sf):
     p = base(spark, sf, "points")
-    k = tracks.distinct_keypoints(p.where("pos % 4 = 1"))
-    return tracks.radius_nearest(p.where("pos % 4 = 2").select("image_id", "pos", "x", "y"), k, 8.0).select("image_id", "pos", "kp_idx")
+    k = tracks.distinct_keypoints(p.where("pos % 2 = 1"))
+    return tracks.radius_nearest(p.where("pos % 2 = 0").select("image_id", "pos", "x", "y"), k, 8.0).select("image_id", "pos", "kp_idx")
 
 
-@query("radius_suppressed", sql("points", _KP + " SELECT image_id, kp_idx FROM k a WHERE NOT EXISTS (SELECT 1 FROM k b WHERE b.image_id = a.image_id AND b.kp_idx < a.kp_idx AND (a.kx - b.kx) ** 2 + (a.ky - b.ky) ** 2 <= 36)"))
+@query("radius_suppressed", sql("points", _KP.format("") + " SELECT image_id, kp_idx FROM k a WHERE NOT EXISTS (SELECT 1 FROM k b WHERE b.image_id = a.image_id AND b.kp_idx < a.kp_idx AND (a.kx - b.kx) ** 2 + (a.ky - b.ky) ** 2 <= 36)"))
 def _(spark, sf):
-    return tracks.suppress_close(tracks.distinct_keypoints(base(spark, sf, "points").where("pos % 4 = 1")), 6.0).select("image_id", "kp_idx")
+    return tracks.suppress_close(tracks.distinct_keypoints(base(spark, sf, "points")), 6.0).select("image_id", "kp_idx")
 
 
 @query("keypoint_counts", sql("points", "SELECT image_id, pix, count(*) AS n FROM points GROUP BY 1, 2"))
@@ -387,17 +409,17 @@ def _(spark, sf):
     return tracks.first_colours(base(spark, sf, "observed"))
 
 
-@query("rounded_position_groups", sql("observed", "SELECT pos, dense_rank() OVER (ORDER BY round_even(x, 1), round_even(y / 1000, 1), round_even(z, 1)) - 1 AS group_id FROM observed WHERE pos % 7 = 0"))
+@query("rounded_position_groups", sql("observed", "SELECT pos, dense_rank() OVER (ORDER BY round_even(x, 1), round_even(y / 1000, 1), round_even(z, 1)) - 1 AS group_id FROM observed"))
 def _(spark, sf):
-    o = base(spark, sf, "observed").where("pos % 7 = 0").withColumn("y", F.col("y") / 1000)
+    o = base(spark, sf, "observed").withColumn("y", F.col("y") / 1000)
     return tracks.rounded_groups(o.select("pos", "x", "y", "z"), 1).select("pos", F.col("group_id").cast("long").alias("group_id"))
 
 
 # --- fusion
 
-@query("pair_scores", sql("confs", "SELECT src, dst, round(pow(avg(c11) * avg(c21) * avg(c22) * avg(c12), 0.25), 6) AS conf_score, round(sum(conf), 4) AS conf_sum, count(*) AS n FROM confs GROUP BY 1, 2"))
+@query("pair_scores", sql("confs", "SELECT src, dst, round(pow(avg(c11) * avg(c21) * avg(c22) * avg(c12), 0.25), 9) AS conf_score, round(sum(conf), 6) AS conf_sum, count(*) AS n FROM confs GROUP BY 1, 2"))
 def _(spark, sf):
-    return fusion.pair_scores(base(spark, sf, "confs")).select("src", "dst", F.round("conf_score", 6).alias("conf_score"), F.round("conf_sum", 4).alias("conf_sum"), "n")
+    return fusion.pair_scores(base(spark, sf, "confs")).select("src", "dst", F.round("conf_score", 9).alias("conf_score"), F.round("conf_sum", 6).alias("conf_sum"), "n")
 
 
 @query("pair_score_matrix", sql("confs", "SELECT i, j, CAST(sum(n) AS BIGINT) AS n FROM (SELECT src i, dst j, count(*) n FROM confs GROUP BY 1, 2 UNION ALL SELECT dst, src, count(*) FROM confs GROUP BY 1, 2) q GROUP BY 1, 2"))
@@ -413,10 +435,10 @@ def _(spark, sf):
 _CENTRE = "p AS (SELECT image_id, other_id, pix, pix % 25 px, pix // 25 py, any_value(z3) z3, any_value(conf) conf, any_value(x3) x3, any_value(y3) y3 FROM (SELECT * FROM views ORDER BY x3) GROUP BY 1, 2, 3)"
 
 
-@query("relative_depth", sql("views", "p AS (SELECT image_id, other_id, pix, pix % 25 px, pix // 25 py, min(z3) z3, min(conf) conf FROM views GROUP BY 1, 2, 3), c AS (SELECT image_id, other_id, px // 4 bx, py // 4 by_, z3 zc FROM p WHERE px % 4 = 2 AND py % 4 = 2) SELECT p.image_id, pix, round(sum(z3 / zc * (conf - 0.999)) / sum(conf - 0.999), 5) AS rel_depth FROM p JOIN c ON c.image_id = p.image_id AND c.other_id = p.other_id AND bx = px // 4 AND by_ = py // 4 GROUP BY 1, 2"))
+@query("relative_depth", sql("views", "p AS (SELECT image_id, other_id, pix, pix % 25 px, pix // 25 py, min(z3) z3, min(conf) conf FROM views GROUP BY 1, 2, 3), c AS (SELECT image_id, other_id, px // 4 bx, py // 4 by_, z3 zc FROM p WHERE px % 4 = 2 AND py % 4 = 2) SELECT p.image_id, pix, round(sum(z3 / zc * (conf - 0.999)) / sum(conf - 0.999), 9) AS rel_depth FROM p JOIN c ON c.image_id = p.image_id AND c.other_id = p.other_id AND bx = px // 4 AND by_ = py // 4 GROUP BY 1, 2"))
 def _(spark, sf):
     v = base(spark, sf, "views").groupBy("image_id", "other_id", "pix").agg(F.min("z3").alias("z3"), F.min("conf").alias("conf"), F.lit(0.0).alias("x3"), F.lit(0.0).alias("y3"))
-    return rounded(fusion.relative_depth(v.withColumn("px", F.pmod("pix", F.lit(25))).withColumn("py", F.floor(F.col("pix") / 25)), 4), 5)
+    return rounded(fusion.relative_depth(v.withColumn("px", F.pmod("pix", F.lit(25))).withColumn("py", F.floor(F.col("pix") / 25)), 4), 9)
 
 
 @query("anchor_quantize", sql("depths", "c AS (SELECT image_id, (y // 8) * 8 + x // 8 AS anchor, depth AS centre FROM depths WHERE x % 8 = 4 AND y % 8 = 4) SELECT d.image_id, x, y, anchor, round(depth / centre, 6) AS ratio FROM depths d JOIN c ON c.image_id = d.image_id AND anchor = (y // 8) * 8 + x // 8"))
@@ -425,9 +447,9 @@ def _(spark, sf):
     return rounded(fusion.anchors(d, d, 8).select("image_id", "x", "y", "anchor", "ratio"))
 
 
-@query("condensed", sql("raw", "e AS (SELECT src AS image_id, sqrt(conf1 * conf2) c FROM raw UNION ALL SELECT dst, sqrt(conf1 * conf2) FROM raw), g AS (SELECT image_id, count(*) AS n, round(sum(c), 3) AS conf_sum FROM e GROUP BY 1) SELECT *, CAST(coalesce(sum(n) OVER (ORDER BY image_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM g"))
+@query("condensed", sql("raw", "e AS (SELECT src AS image_id, sqrt(conf1 * conf2) c FROM raw UNION ALL SELECT dst, sqrt(conf1 * conf2) FROM raw), g AS (SELECT image_id, count(*) AS n, round(sum(c), 7) AS conf_sum FROM e GROUP BY 1) SELECT *, CAST(coalesce(sum(n) OVER (ORDER BY image_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM g"))
 def _(spark, sf):
-    return rounded(fusion.condense(base(spark, sf, "raw")), 3)
+    return rounded(fusion.condense(base(spark, sf, "raw")), 7)
 
 
 @query("median_normalize", sql("depths", "m AS (SELECT image_id, quantile_disc(depth, 0.5) AS median FROM depths GROUP BY 1) SELECT image_id, x, y, round(depth / median, 6) AS depth FROM depths JOIN m USING (image_id)"))
@@ -440,14 +462,14 @@ def _(spark, sf):
     return rounded(fusion.shared_intrinsics(base(spark, sf, "cameras")))
 
 
-@query("tsdf_vote", sql("samples", "w AS (SELECT *, CASE WHEN depth - projected >= -10 AND inside THEN exp(conf) ELSE 0.0 END w FROM samples) SELECT point_id, round(CASE WHEN sum(w) <> 0 THEN sum(greatest(depth - projected, -10) * w) / sum(w) END, 6) AS tsdf, CAST(count(*) FILTER (w > 0) AS BIGINT) AS n_seen FROM w GROUP BY 1"))
+@query("tsdf_vote", sql("samples", "w AS (SELECT *, CASE WHEN depth - projected >= -10 AND inside THEN exp(conf) ELSE 0.0 END w FROM samples) SELECT point_id, round(CASE WHEN sum(w) <> 0 THEN sum(greatest(depth - projected, -10) * w) / sum(w) END, 9) AS tsdf, CAST(count(*) FILTER (w > 0) AS BIGINT) AS n_seen FROM w GROUP BY 1"))
 def _(spark, sf):
-    return rounded(fusion.tsdf_vote(base(spark, sf, "samples"), 10.0))
+    return rounded(fusion.tsdf_vote(base(spark, sf, "samples"), 10.0), 9)
 
 
-@query("weighted_fusion_min_support", sql("triples", "a AS (SELECT key, count(*) AS views, count(*) FILTER (NOT isnan(x)) AS valid, " + ", ".join(f"sum({c} * conf) FILTER (NOT isnan(x)) / sum(conf) FILTER (NOT isnan(x)) AS {c}" for c in "xyz") + " FROM triples GROUP BY 1) SELECT key, views, valid, " + ", ".join(f"round(CASE WHEN valid > floor(views * 0.8) THEN {c} END, 5) AS {c}" for c in "xyz") + " FROM a"))
+@query("weighted_fusion_min_support", sql("triples", "a AS (SELECT key, count(*) AS views, count(*) FILTER (NOT isnan(x)) AS valid, " + ", ".join(f"sum({c} * conf) FILTER (NOT isnan(x)) / sum(conf) FILTER (NOT isnan(x)) AS {c}" for c in "xyz") + " FROM triples GROUP BY 1) SELECT key, views, valid, " + ", ".join(f"round(CASE WHEN valid > floor(views * 0.8) THEN {c} END, 9) AS {c}" for c in "xyz") + " FROM a"))
 def _(spark, sf):
-    return rounded(fusion.fused(base(spark, sf, "triples"), 0.8), 5)
+    return rounded(fusion.fused(base(spark, sf, "triples"), 0.8), 9)
 
 
 @query("robust_loss_sum", sql("raw", "SELECT src, round(sum(conf * (pow(pix1 + pow(1 / 1.5, 2), 1.5) - pow(pow(1 / 1.5, 2), 1.5))) / sum(conf), 4) AS loss FROM raw GROUP BY 1"))
@@ -639,9 +661,9 @@ def _(spark, sf):
     return files.point_lines(p, o)
 
 
-@query("every_fifth_point", sql("points", "o AS (SELECT pos, row_number() OVER (ORDER BY pos) n FROM points WHERE image_id < 5) SELECT pos FROM o WHERE (n - 1) % 5 = 0"))
+@query("every_fifth_point", sql("points", "o AS (SELECT pos, row_number() OVER (ORDER BY pos) n FROM points) SELECT pos FROM o WHERE (n - 1) % 5 = 0"))
 def _(spark, sf):
-    return files.every_nth(base(spark, sf, "points").where("image_id < 5"), 5, "pos").select("pos")
+    return files.every_nth(base(spark, sf, "points"), 5, "pos").select("pos")
 
 
 @query("transforms_parsed", sql("photos", "SELECT 'im' || image_id AS src, 'im' || (image_id + 1) AS dst, CAST(image_id AS DOUBLE) AS tx, -20.0::DOUBLE AS ty FROM photos"))

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import placed
+
 SUFFIXES = ("jpg", "jpeg", "png", "tif", "tiff", "bmp")
 
 
@@ -168,7 +170,7 @@ def point_lines(points: DataFrame, observations: DataFrame) -> DataFrame:
 
 def every_nth(rows: DataFrame, n: int, order: str) -> DataFrame:
     """Rows 1, n + 1, 2 n + 1 .. in order of a column."""
-    return rows.withColumn("place", F.row_number().over(Window.orderBy(order))).where(F.pmod(F.col("place") - 1, F.lit(n)) == 0).drop("place")
+    return placed(rows, order, name="__place").where(F.col("__place") % n == 0).drop("__place")
 
 
 def ply_text(points: DataFrame) -> DataFrame:

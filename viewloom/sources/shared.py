@@ -5,16 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of our own only where it is unset (tests)."""
+    """spark.checkpoint.dir; a folder of our own only where it is unset and all runs on one machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="viewloom-")
@@ -27,3 +30,18 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def placed(rows: DataFrame, *order: str, name: str = "place") -> DataFrame:
+    """rows with their place from 0 in the given order, ties in any order.
+
+    Rows are dealt to ranges; each range numbers its own, after as many rows as the ranges before it hold.  What is
+    ordered in one task is a range, and the table of their sizes.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stash(rows.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
+    sizes = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return dealt.join(F.broadcast(sizes), "__range").withColumn(name, F.col("__before") + own - 1).drop("__range", "__before")
