@@ -243,3 +243,72 @@ def footprint_affine(ring_a: pd.Series, ring_b: pd.Series) -> pd.Series:
         return affine_from_points([(x - a[0][0], y - a[0][1]) for x, y in common], [(x - b[0][0], y - b[0][1]) for x, y in common]) if len(common) >= 3 else None
 
     return pd.Series([one(x, y) for x, y in zip(ring_a, ring_b)])
+
+
+def normal_window(x0, y0, x1, y1, width, height, forced: tuple[int, int] | None = None):
+    """A window's whole-pixel box of aspect 3:4 (or of a forced width and height), about the same middle, inside the image.
+
+    The longer side stays, cut to the image; the shorter becomes 3.01 / 4 of it.
+    """
+    w, h = (x1 - x0).cast("double"), (y1 - y0).cast("double")
+    w2, h2 = F.least(w, width.cast("double")), F.least(h, height.cast("double"))
+    tall = w < h
+    if forced:
+        new_w, new_h = F.lit(float(forced[0])), F.lit(float(forced[1]))
+    else:
+        new_w = F.when(tall, F.least(h2 * 3.01 / 4, width.cast("double"))).otherwise(w2)
+        new_h = F.when(tall, h2).otherwise(F.least(w2 * 3.01 / 4, height.cast("double")))
+
+    def side(low, high, old, new, whole):
+        # the end is floored, the start follows from the whole length; then both move inside
+        length, end = F.floor(new), F.floor(high + (new - old) / 2)
+        start = F.greatest(end - length, F.lit(0))
+        start = start - F.greatest(start + length - whole, F.lit(0))
+        return start.cast("long"), (start + length).cast("long")
+
+    (a0, a1), (b0, b1) = side(x0, x1, w, new_w, width), side(y0, y1, h, new_h, height)
+    return F.struct(a0.alias("x0"), b0.alias("y0"), a1.alias("x1"), b1.alias("y1"))
+
+
+def matrix_product(a, b):
+    """Product of two row-major 3x3 array columns."""
+    return F.array(*[sum((a[3 * i + k] * b[3 * k + j] for k in (1, 2)), a[3 * i] * b[j]) for i in range(3) for j in range(3)])
+
+
+def axis_to(x, y):
+    """The rotation, row-major 3x3, that takes the direction (0, 0, 1) to (x, y, 1) by the shortest way."""
+    n = F.sqrt(x * x + y * y + 1)
+    c, f = 1 / n, 1 / (n * (n + 1))
+    return F.array(1 - x * x * f, -x * y * f, x * c, -x * y * f, 1 - y * y * f, y * c, -x * c, -y * c, c)
+
+
+def transposed(m):
+    return F.array(*[m[3 * j + i] for i in range(3) for j in range(3)])
+
+
+def rectified_crop(focal, cx, cy, x0, y0, x1, y1):
+    """A crop as its own camera: struct of its width and height, rotation, and the map from its pixels to the image's.
+
+    The new principal point is the crop's middle.  The crop's farthest corner from the old principal point, side by
+    side, stays where it is, so the map does not leave the image.
+    """
+    x0, y0, x1, y1 = (F.rint(v) for v in (x0, y0, x1, y1))
+    w, h = x1 - x0, y1 - y0
+    far = lambda low, high, c: F.abs(high - c) > F.abs(low - c)
+    px, py = F.when(far(x0, x1, cx), x1).otherwise(x0), F.when(far(y0, y1, cy), y1).otherwise(y0)
+    qx, qy = F.when(far(x0, x1, cx), w).otherwise(F.lit(0.0)), F.when(far(y0, y1, cy), h).otherwise(F.lit(0.0))
+    turn = matrix_product(axis_to((px - cx) / focal, (py - cy) / focal), transposed(axis_to((qx - w / 2) / focal, (qy - h / 2) / focal)))
+    zero, one = F.lit(0.0), F.lit(1.0)
+    old = F.array(focal, zero, cx, zero, focal, cy, zero, zero, one)
+    new = F.array(1 / focal, zero, -w / (2 * focal), zero, 1 / focal, -h / (2 * focal), zero, zero, one)
+    return F.struct(w.cast("int").alias("width"), h.cast("int").alias("height"), turn.alias("rotation"), matrix_product(matrix_product(old, turn), new).alias("m"))
+
+
+def random_crop(key, width, height, crop_width: int, crop_height: int, seed: int = 0, scale: tuple[float, float] = (0.5, 1.0)):
+    """A box of the crop's aspect at a place and scale told by a hash of the key; as large as the image allows at 1."""
+    part = lambda n: F.pmod(F.xxhash64(key, F.lit(seed), F.lit(n)), F.lit(1 << 20)) / float(1 << 20)
+    most = F.least(width / crop_width, height / crop_height)
+    factor = most * (F.lit(scale[0]) + part(0) * (scale[1] - scale[0]))
+    w, h = F.floor(factor * crop_width), F.floor(factor * crop_height)
+    x, y = F.floor(part(1) * (width - w + 1)), F.floor(part(2) * (height - h + 1))
+    return F.struct(x.alias("x0"), y.alias("y0"), (x + w).alias("x1"), (y + h).alias("y1"))
