@@ -249,3 +249,18 @@ def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", k:
 
 def op7_jaccard(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w FROM documents),
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                     ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END) t FROM d),
+n AS (SELECT r, count(*) n FROM s GROUP BY r),
+b AS (SELECT x.r a, y.r b, count(*) c FROM s x JOIN s y ON x.t = y.t AND x.r < y.r GROUP BY 1, 2),
+l AS (SELECT a, b FROM b JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+u AS (SELECT a x, b y FROM l UNION ALL SELECT b, a FROM l),
+reach(x, y) AS (SELECT x, x FROM u UNION SELECT reach.x, u.y FROM reach JOIN u ON reach.y = u.x),
+m AS (SELECT x r, min(doc_id) least FROM reach JOIN d ON d.r = reach.y GROUP BY x)
+SELECT doc_id, coalesce(n, 0) n_shingles, coalesce(least, doc_id) component_id FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)
+"""

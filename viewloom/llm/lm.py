@@ -171,18 +171,24 @@ class Told:
 
         self.ids, texts = blocks.unpack(docs)
         words, self.n, before = tokens(texts)
+        del texts
+        pairs, of = np.unique(pair_hash(before, words), return_inverse=True)
+        of = of.astype(np.int32)
+        del before
         self.found, place = np.unique(words, return_inverse=True)
+        place = place.astype(np.int32)
+        del words
         known = gather(0).astype(np.float64)
         self.count = known[place]
         # the end of a text is a token of every chunk, and what stands before a text's first word
-        end = np.searchsorted(self.found, END)
-        self.context = np.concatenate([[end], place[:-1]])
-        _, first, of = np.unique(pair_hash(before, words), return_index=True, return_inverse=True)
-        reply = gather(1).astype(np.int64)
-        level, mine = reply % FIRST, reply >= FIRST
-        pairs = np.minimum(count_of(level, base), np.minimum(known[self.context[first]], self.count[first]))
-        self.together = pairs[of]
-        self.owned = np.bincount(self.context[first][mine], weights=pairs[mine], minlength=len(self.found))
+        self.context = np.concatenate([[np.searchsorted(self.found, END)], place[:-1]]).astype(np.int32)
+        reply = gather(1)
+        first, second = np.empty(len(pairs), np.int32), np.empty(len(pairs), np.int32)
+        first[of], second[of] = self.context, place
+        told = np.minimum(count_of((reply % FIRST).astype(np.int64), base), np.minimum(known[first], known[second]))
+        self.together = told[of]
+        mine = reply >= FIRST
+        self.owned = np.bincount(first[mine], weights=told[mine], minlength=len(self.found))
         self.after = gather(2)
 
 

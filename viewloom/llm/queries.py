@@ -18,6 +18,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_suffix": suffix.OP1_SQL,
+    "op2_warc": warc.OP2_SQL,
     "op6_mix": mixing.OP6_SQL,
+    "op7_jaccard": jaccard.OP7_SQL,
     "op8_licenses": licenses.OP8_SQL,
 }

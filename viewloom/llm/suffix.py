@@ -388,3 +388,18 @@ def suffix_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text", length: i
 
 def op1_suffix(spark, sf_dir: str) -> DataFrame:
     return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Strings are cut from pieces of 312 bytes and their next 49, as DuckDB finds places in long texts slowly.
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () r, doc_id, hex(encode(coalesce(text, ''))) h FROM documents),
+q AS (SELECT r, doc_id, length(h) // 2 n, a, substr(h, 2 * a + 1, 722) piece FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2, 312)) a FROM d) x),
+s AS (SELECT r, doc_id, n, a, piece, unnest(range(least(312, n - a))) i FROM q),
+f AS (SELECT r, a + i p, substr(piece, 2 * i + 1, 2) byte,
+             a + i + 50 <= n AND doc_id > min(doc_id) OVER (PARTITION BY md5_number(substr(piece, 2 * i + 1, 100))) gone FROM s),
+c AS (SELECT r, p, byte, coalesce(bool_or(gone) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), false) cut FROM f),
+e AS (SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY r ORDER BY p), false) first FROM c),
+k AS (SELECT r, count(*) FILTER (cut) n_removed, count(*) FILTER (first) n_spans, string_agg(byte, '' ORDER BY p) FILTER (NOT cut) kept FROM e GROUP BY r)
+SELECT doc_id, length(h) // 2 n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans, sha256(from_hex(coalesce(kept, ''))) kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

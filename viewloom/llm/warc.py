@@ -233,3 +233,14 @@ def read_warc(index: DataFrame, folder: str) -> DataFrame:
 
 def op2_warc(spark, sf_dir: str) -> DataFrame:
     return read_warc(*write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"))).drop("archive", "offset")
+
+
+OP2_SQL = r"""
+WITH d AS (SELECT page_id, coalesce(html, '') h FROM pages),
+s AS (SELECT *, sha1(h) x, max(page_id) OVER (PARTITION BY h) top FROM d),
+g AS (SELECT *, list_transform(range(8), lambda i: ('0x' || x[5 * i + 1 : 5 * i + 5])::INT) v FROM s)
+SELECT page_id, strlen(h)::BIGINT payload_bytes,
+       list_aggregate(flatten(list_transform(v, lambda n: list_transform([15, 10, 5, 0], lambda b: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((n >> b) & 31) + 1]))), 'string_agg', '') payload_digest,
+       CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END record_type, CASE WHEN page_id < top THEN top END refers_to
+FROM g
+"""
