@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -270,38 +271,36 @@ def normal_window(x0, y0, x1, y1, width, height, forced: tuple[int, int] | None
     return F.struct(a0.alias("x0"), b0.alias("y0"), a1.alias("x1"), b1.alias("y1"))
 
 
-def matrix_product(a, b):
-    """Product of two row-major 3x3 array columns."""
-    return F.array(*[sum((a[3 * i + k] * b[3 * k + j] for k in (1, 2)), a[3 * i] * b[j]) for i in range(3) for j in range(3)])
-
-
-def axis_to(x, y):
-    """The rotation, row-major 3x3, that takes the direction (0, 0, 1) to (x, y, 1) by the shortest way."""
-    n = F.sqrt(x * x + y * y + 1)
+def axis_to(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Rotations that take the direction (0, 0, 1) to (x, y, 1) by the shortest way, one for each entry."""
+    n = np.sqrt(x * x + y * y + 1)
     c, f = 1 / n, 1 / (n * (n + 1))
-    return F.array(1 - x * x * f, -x * y * f, x * c, -x * y * f, 1 - y * y * f, y * c, -x * c, -y * c, c)
-
-
-def transposed(m):
-    return F.array(*[m[3 * j + i] for i in range(3) for j in range(3)])
+    return np.stack([1 - x * x * f, -x * y * f, x * c, -x * y * f, 1 - y * y * f, y * c, -x * c, -y * c, c], axis=-1).reshape(-1, 3, 3)
 
 
-def rectified_crop(focal, cx, cy, x0, y0, x1, y1):
-    """A crop as its own camera: struct of its width and height, rotation, and the map from its pixels to the image's.
+@F.pandas_udf(T.StructType([T.StructField(n, t) for n, t in (("width", T.IntegerType()), ("height", T.IntegerType()), ("rotation", T.ArrayType(T.DoubleType())), ("m", T.ArrayType(T.DoubleType())))]))
+def rectified_crop(focal: pd.Series, cx: pd.Series, cy: pd.Series, x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.DataFrame:
+    """A crop as its own camera: its width and height, rotation, and the map from its pixels to the image's.
 
     The new principal point is the crop's middle.  The crop's farthest corner from the old principal point, side by
     side, stays where it is, so the map does not leave the image.
     """
-    x0, y0, x1, y1 = (F.rint(v) for v in (x0, y0, x1, y1))
+    focal, cx, cy = (c.to_numpy(float) for c in (focal, cx, cy))
+    x0, y0, x1, y1 = (np.rint(c.to_numpy(float)) for c in (x0, y0, x1, y1))
     w, h = x1 - x0, y1 - y0
-    far = lambda low, high, c: F.abs(high - c) > F.abs(low - c)
-    px, py = F.when(far(x0, x1, cx), x1).otherwise(x0), F.when(far(y0, y1, cy), y1).otherwise(y0)
-    qx, qy = F.when(far(x0, x1, cx), w).otherwise(F.lit(0.0)), F.when(far(y0, y1, cy), h).otherwise(F.lit(0.0))
-    turn = matrix_product(axis_to((px - cx) / focal, (py - cy) / focal), transposed(axis_to((qx - w / 2) / focal, (qy - h / 2) / focal)))
-    zero, one = F.lit(0.0), F.lit(1.0)
-    old = F.array(focal, zero, cx, zero, focal, cy, zero, zero, one)
-    new = F.array(1 / focal, zero, -w / (2 * focal), zero, 1 / focal, -h / (2 * focal), zero, zero, one)
-    return F.struct(w.cast("int").alias("width"), h.cast("int").alias("height"), turn.alias("rotation"), matrix_product(matrix_product(old, turn), new).alias("m"))
+    right, low = np.abs(x1 - cx) > np.abs(x0 - cx), np.abs(y1 - cy) > np.abs(y0 - cy)
+    old = axis_to((np.where(right, x1, x0) - cx) / focal, (np.where(low, y1, y0) - cy) / focal)
+    new = axis_to((np.where(right, w, 0) - w / 2) / focal, (np.where(low, h, 0) - h / 2) / focal)
+    turn = old @ new.transpose(0, 2, 1)
+
+    def camera(u, v):
+        k = np.zeros((len(focal), 3, 3))
+        k[:, 0, 0] = k[:, 1, 1] = focal
+        k[:, 0, 2], k[:, 1, 2], k[:, 2, 2] = u, v, 1
+        return k
+
+    m = camera(cx, cy) @ turn @ np.linalg.inv(camera(w / 2, h / 2))
+    return pd.DataFrame({"width": w.astype("int32"), "height": h.astype("int32"), "rotation": list(turn.reshape(-1, 9)), "m": list(m.reshape(-1, 9))})
 
 
 def random_crop(key, width, height, crop_width: int, crop_height: int, seed: int = 0, scale: tuple[float, float] = (0.5, 1.0)):

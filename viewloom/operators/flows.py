@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,3 +145,73 @@ def evenly_spaced(rows: DataFrame, n: int, by: tuple[str, ...], order: str) -> D
     placed = rows.withColumn("__place", F.row_number().over(window.orderBy(order)) - 1).withColumn("__last", F.count("*").over(window) - 1)
     hit = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.rint(i * F.col("__last") / F.lit(max(1, n - 1))) == F.col("__place"))
     return placed.withColumn("__hit", F.explode(hit)).drop("__place", "__last", "__hit")
+
+
+BOX = ("x0", "y0", "x1", "y1")
+
+
+def window_grid(images: DataFrame, longest: int = 512, overlap: float = 0.5) -> DataFrame:
+    """image_id, cell_id, x0 .., width, height: even windows of the image's shape, sides multiples of 16, at a normal aspect."""
+    w, h = F.col("width"), F.col("height")
+    side = lambda c: F.greatest(F.lit(16), F.floor(c * longest / F.greatest(w, h) / 16) * 16).cast("int")
+    rows = images.select("image_id", "width", "height", side(w).alias("w"), side(h).alias("h"))
+    rows = rows.withColumns({"xs": tiling.window_starts(w, F.col("w"), overlap), "ys": tiling.window_starts(h, F.col("h"), overlap)})
+    cells = F.flatten(F.transform("ys", lambda y: F.transform("xs", lambda x: geo.normal_window(x, y, x + F.col("w"), y + F.col("h"), w, h))))
+    return rows.select("image_id", "width", "height", F.posexplode(cells).alias("cell_id", "c")).select("image_id", "cell_id", "width", "height", "c.*")
+
+
+def _scored(matches: DataFrame, cells: DataFrame, sizes: DataFrame, least: int, cell: float) -> DataFrame:
+    """pair columns, pos, a box of image 1 and the window of image 2 that its matches fill, and the weight of each match."""
+    own = cells.select(F.col("image_id").alias("one"), "cell_id", *BOX)
+    inside = tiling.contained(matches.withColumn("x", F.col("x1")).withColumn("y", F.col("y1")).drop("x1", "y1"), own.select("one", "cell_id", *BOX), cell, ("one",))
+    inside = stash(inside.select("pair", "one", "two", "pos", "cell_id", *BOX, F.col("x").alias("px1"), F.col("y").alias("py1"), F.col("x2").alias("px2"), F.col("y2").alias("py2")), "inside")
+    spread = lambda c: F.greatest(F.expr(f"percentile({c}, 0.9)") - F.expr(f"percentile({c}, 0.1)"), F.lit(20.0))
+    key = ["pair", "one", "two", "cell_id", *BOX]
+    found = inside.groupBy(*key).agg(F.count("*").alias("n"), *[F.avg(f"p{c}2").alias(f"m{c}") for c in "xy"], *[(spread(f"p{c}2") / spread(f"p{c}1")).alias(f"s{c}") for c in "xy"]).where(F.col("n") >= least)
+    found = found.join(sizes.select(F.col("image_id").alias("two"), "width", "height"), "two")
+    half = {c: (F.col(f"{c}1") - F.col(f"{c}0")) * F.col(f"s{c}") / 2 for c in "xy"}
+    other = geo.normal_window(*[F.col(f"m{c}") + sign * half[c] for sign in (-1, 1) for c in "xy"], F.col("width"), F.col("height"))
+    found = found.select(*key, other.alias("o"))
+    rows = inside.join(found.select("pair", "one", "two", "cell_id", "o"), ["pair", "one", "two", "cell_id"])
+    box = lambda c: F.col(f"o.{c}").cast("double")
+    w = geo.gaussian_centre_weight(F.col("px1"), F.col("py1"), *[F.col(c).cast("double") for c in BOX]) * geo.gaussian_centre_weight(F.col("px2"), F.col("py2"), *map(box, BOX))
+    return rows.select("pair", "pos", F.struct(*[F.col(c).cast("long").alias(c) for c in BOX]).alias("first"), F.col("o").alias("second"), w.alias("w"))
+
+
+def _cover(target: float):
+    boxes = [f"{c}_{n}" for n in (1, 2) for c in BOX]
+
+    def cover(pdf: pd.DataFrame) -> pd.DataFrame:
+        weights = pdf.pivot_table(index=boxes, columns="pos", values="w", aggfunc="max", fill_value=0.0).sort_index()
+        left, total, got, picks = weights.to_numpy().copy(), weights.to_numpy().max(axis=0).sum(), 0.0, []
+        while got < target * total - 1e-12:
+            best = int(left.sum(axis=1).argmax())
+            gain = left[best].copy()
+            if gain.sum() <= 0:
+                break
+            picks.append((*weights.index[best], len(picks), float(gain.sum())))
+            got += gain.sum()
+            left = (left - gain).clip(min=0)
+        out = pd.DataFrame(picks, columns=[*boxes, "ord", "gain"])
+        return out.assign(src=pdf.src.iloc[0], dst=pdf.dst.iloc[0])[["src", "dst", "ord", "gain", *boxes]]
+
+    return cover
+
+
+def crop_pairs(images: DataFrame, matches: DataFrame, longest: int = 512, overlap: float = 0.5, least: int = 10, target: float = 0.9) -> DataFrame:
+    """src, dst, ord, gain and boxes x0_1 .. y1_2: crops of both images that together show most of a pair's matches.
+
+    Windows of each image with ``least`` matches or more get the window of the other image that their matches fill;
+    of these crop pairs, from both sides, the one that adds most weight is taken in turn, until a share ``target`` of
+    what all could show is reached.  A match weighs by how near it is to the middles of both windows.  A pair's crops
+    and matches bound a task.
+    """
+    cells = stash(window_grid(images, longest, overlap), "windows")
+    sizes = images.select("image_id", "width", "height")
+    ends = lambda a, b: matches.select(F.struct("src", "dst").alias("pair"), "pos", F.col("src" if a == 1 else "dst").alias("one"), F.col("dst" if a == 1 else "src").alias("two"), *[F.col(f"{c}{n}").alias(f"{c}{m}") for m, n in ((1, a), (2, b)) for c in "xy"])
+    there, back = (_scored(ends(a, 3 - a), cells, sizes, least, float(longest)) for a in (1, 2))
+    rows = there.union(back.select("pair", "pos", F.col("second").alias("first"), F.col("first").alias("second"), "w"))
+    flat = [F.col(f"{side}.{c}").alias(f"{c}_{n}") for n, side in ((1, "first"), (2, "second")) for c in BOX]
+    rows = rows.select("pair.src", "pair.dst", "pos", *flat, "w")
+    schema = "src long, dst long, ord int, gain double, " + ", ".join(f"{c}_{n} long" for n in (1, 2) for c in BOX)
+    return rows.groupBy("src", "dst").applyInPandas(_cover(target), schema)

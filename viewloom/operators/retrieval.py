@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import stash
+from ..sources.shared import placed, stash
 from .matching import _matrix
 
 
@@ -108,8 +108,9 @@ def info_nce(sims: DataFrame, mode: str = "all", temperature: float = 0.07, eps:
     return out.select("i", loss.alias("loss"))
 
 
-def in_blocks(vectors: DataFrame, run, schema: str, size: int) -> DataFrame:
-    """run(ids, matrix, ids, matrix) over each two of the blocks of about ``size`` of vectors(id, v): rows of schema."""
+def in_blocks(vectors: DataFrame, run, schema: str, size: int, others: DataFrame | None = None) -> DataFrame:
+    """run(ids, matrix, ids, matrix) over each two of the blocks of about ``size`` of vectors(id, v), or of these and
+    others(id, v): rows of schema."""
     kinds = {n: {"long": pa.int64(), "double": pa.float64()}[k] for n, k in (x.split() for x in schema.split(", "))}
 
     def both(_, left, right):
@@ -118,10 +119,15 @@ def in_blocks(vectors: DataFrame, run, schema: str, size: int) -> DataFrame:
         sides = [f(t.column(c)) for t in (left, right) for c, f in (("id", np.array), ("v", _matrix))]
         return pa.table({n: pa.array(c, k) for (n, k), c in zip(kinds.items(), run(*sides))})
 
-    n = vectors.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(size))).cast("long").alias("blocks"))
-    rows = vectors.crossJoin(F.broadcast(n)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    left, right = (rows.select(F.col(a).alias("bx"), F.col(b).alias("by"), F.col("id").alias("id"), F.col("v").alias("v")) for a, b in (("block", "other"), ("other", "block")))
+    count = lambda d, name: d.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(size))).cast("long").alias(name))
+    others = vectors if others is None else others
+    n = F.broadcast(count(vectors, "nx").crossJoin(F.broadcast(count(others, "ny"))))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    own = lambda c: F.pmod(F.xxhash64("id"), F.col(c))
+    # new names for the columns, as both sides may be one table
+    row = [F.col(c).alias(c) for c in ("id", "v")]
+    left = vectors.crossJoin(n).select(own("nx").alias("bx"), every("ny").alias("by"), *row)
+    right = others.crossJoin(n).select(every("nx").alias("bx"), own("ny").alias("by"), *row)
     return left.groupBy("bx", "by").cogroup(right.groupBy("bx", "by")).applyInArrow(both, schema)
 
 
@@ -167,9 +173,35 @@ def reduced(rows: DataFrame, mode: str, empty: float = 0.0) -> DataFrame:
 
 
 def blocks_by_hash(rows: DataFrame, key: str, size: int, seed: int = 0) -> DataFrame:
-    """rows with the number of their block of about ``size`` after a shuffle fixed by the seed; no global order."""
-    n = rows.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(size))).alias("blocks"))
-    return rows.crossJoin(F.broadcast(n)).withColumn("block", F.pmod(F.xxhash64(key, F.lit(seed)), F.col("blocks"))).drop("blocks")
+    """rows with the number of their block of ``size``, the last maybe less, in an order fixed by the seed."""
+    out = placed(rows.withColumn("__hash", F.xxhash64(key, F.lit(seed))), "__hash", key, name="__place")
+    return out.withColumn("block", F.floor(F.col("__place") / size).cast("long")).drop("__hash", "__place")
+
+
+def assign_words(vectors: DataFrame, codebook: DataFrame, k: int = 1, size: int = 4096) -> DataFrame:
+    """vectors(id, v) with the k words of codebook(word, v) nearest to each, as rank, word and the residual v - word's.
+
+    Blocks of vectors meet blocks of words; each gives its k nearest of a vector, so no task holds the codebook and
+    at most k rows a vector and block are ranked together.  Ties go to the smaller word.
+    """
+    def near(a, x, b, y):
+        d = (x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T)
+        # a margin for what expanding the square loses; what is near is measured again
+        best = np.sort(d, axis=1)[:, : min(k, len(b))][:, -1]
+        i, j = np.nonzero(d <= (best + 1e-9 * (1 + np.abs(best)))[:, None])
+        exact = np.sqrt(((x[i] - y[j]) ** 2).sum(1))
+        order = np.lexsort((b[j], exact, i))
+        place = np.arange(len(order)) - np.searchsorted(i[order], i[order])
+        keep = order[place < k]
+        return a[i[keep]], b[j[keep]], exact[keep]
+
+    words = codebook.select(F.col("word").alias("id"), "v")
+    pairs = in_blocks(vectors.select("id", "v"), near, "id long, word long, d double", size, words)
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("d", "word"))
+    top = pairs.withColumn("rank", rank).where(F.col("rank") <= k)
+    minus = lambda x, y: x.cast("double") - y.cast("double")
+    rows = top.join(vectors.select(F.col("id").alias("id"), F.col("v").alias("v")), "id").join(codebook.select(F.col("word").alias("word"), F.col("v").alias("w")), "word")
+    return rows.select("id", "rank", "word", "d", F.zip_with("v", "w", minus).alias("residual"))
 
 
 def nearest_distance(cameras: DataFrame) -> DataFrame:
@@ -215,3 +247,18 @@ def inverted_file_scores(words_a: DataFrame, words_b: DataFrame, alpha: float =
     raw = a.join(b, "word").groupBy("i", "j").agg(F.sum(kernel).alias("s"))
     own = lambda w, n: w.groupBy("image_id").agg(F.sum(F.pow(dot(F.col("v"), F.col("v")), F.lit(alpha))).alias(f"n{n}")).withColumnRenamed("image_id", n)
     return raw.join(own(words_a, "i"), "i").join(own(words_b, "j"), "j").select("i", "j", (F.col("s") / F.sqrt(F.col("ni") * F.col("nj"))).alias("s"))
+
+
+def localisation_stats(errors: DataFrame, limits: tuple[tuple[float, float], ...] = ((0.25, 2.0), (0.5, 5.0), (5.0, 10.0)), by: tuple[str, ...] = ()) -> DataFrame:
+    """n, median position and angle errors of errors(position, angle), and per limit the share within both.
+
+    A missing pose, with null errors, counts as outside every limit and not for the medians.
+    """
+    within = [F.avg(F.coalesce(((F.col("position") <= p) & (F.col("angle") <= a)).cast("int"), F.lit(0))).alias(f"within_{i}") for i, (p, a) in enumerate(limits)]
+    return errors.groupBy(*by).agg(F.count("*").alias("n"), F.expr("percentile(position, 0.5)").alias("position"), F.expr("percentile(angle, 0.5)").alias("angle"), *within)
+
+
+def pose_lines(poses: DataFrame) -> DataFrame:
+    """value: 'NAME QW QX QY QZ TX TY TZ' of poses(name, qvec, tvec); images without a pose have no line."""
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), " ")
+    return poses.where("qvec IS NOT NULL AND tvec IS NOT NULL").select(F.concat_ws(" ", "name", text("qvec"), text("tvec")).alias("value"))

@@ -134,9 +134,9 @@ def to_image(matches: DataFrame, tiles: DataFrame) -> DataFrame:
     return rows.withColumns({f"{c}{n}": F.col(f"{c}{n}") + F.col(f"o{c}{n}") for c in "xy" for n in (1, 2)}).drop("ox1", "oy1", "ox2", "oy2")
 
 
-def contained(points: DataFrame, cells: DataFrame, cell: float = 512.0) -> DataFrame:
-    """Points (x, y) within cells [x0, x1) x [y0, y1): an equi-join on grid cells."""
+def contained(points: DataFrame, cells: DataFrame, cell: float = 512.0, on: tuple[str, ...] = ()) -> DataFrame:
+    """Points (x, y) within cells [x0, x1) x [y0, y1), of equal columns on: an equi-join on grid cells."""
     span = lambda c: F.explode(F.sequence(F.floor(F.col(f"{c}0") / cell), F.floor(F.col(f"{c}1") / cell)))
     left = points.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
-    rows = left.join(cells.withColumn("cx", span("x")).withColumn("cy", span("y")), ["cx", "cy"]).drop("cx", "cy")
+    rows = left.join(cells.withColumn("cx", span("x")).withColumn("cy", span("y")), [*on, "cx", "cy"]).drop("cx", "cy")
     return rows.where((F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1")))

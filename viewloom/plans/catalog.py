@@ -579,7 +579,12 @@ def _(spark, sf):
     return rounded(spark.createDataFrame([(n, i, d) for n, (i, d) in enumerate(found)], "ord int, i long, d double"))
 
 
-@query("retrieval_graph")
+@query("retrieval_graph", sql("dist", """e AS (SELECT i, j, 1 - (1 - d) AS d FROM dist), f(n, ids, i, d) AS (SELECT 0, [min(i)], min(i), 0.0::DOUBLE FROM e UNION ALL
+ SELECT n + 1, list_append(ids, q.i), q.i, q.d FROM f, LATERAL (SELECT x.i, min(x.d) d FROM e x WHERE list_contains(f.ids, x.j) AND NOT list_contains(f.ids, x.i) GROUP BY x.i ORDER BY min(x.d) DESC, x.i LIMIT 1) q WHERE n < 4),
+k AS (SELECT n p, i FROM f),
+r AS (SELECT e.i, e.j, row_number() OVER (PARTITION BY e.i ORDER BY d, p) n FROM e JOIN k ON k.i = e.j WHERE e.i NOT IN (SELECT i FROM k)),
+o AS (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY d, j) n FROM e)
+SELECT a.i AS src, b.i AS dst FROM k a JOIN k b ON a.i < b.i UNION SELECT least(i, j), greatest(i, j) FROM r WHERE n = 1 UNION SELECT least(i, j), greatest(i, j) FROM o WHERE n <= 3 AND i <> j""").replace("WITH ", "WITH RECURSIVE ", 1).replace("RECURSIVE RECURSIVE", "RECURSIVE"))
 def _(spark, sf):
     return graphs.retrieval_graph(base(spark, sf, "dist").select("i", "j", (1 - F.col("d")).alias("s")), 5, 3)
 

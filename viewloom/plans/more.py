@@ -324,3 +324,28 @@ def _(spark, sf):
     tiles = tiling.edge_aligned(base(spark, sf, "photos"), size=1 << 20, overlap=128)
     return model.tile_manifest(tiles.withColumn("tile_data", F.lit(None).cast("binary")))
 
+
+
+@query("words_assigned", "WITH e AS (SELECT vec_id, embedding::DOUBLE[] v FROM embeddings), c AS (SELECT vec_id AS word, v FROM e WHERE vec_id % 16 = 3), r AS (SELECT e.vec_id AS id, word, list_distance(e.v, c.v) d, e.v[1] - c.v[1] AS x, row_number() OVER (PARTITION BY e.vec_id ORDER BY list_distance(e.v, c.v), word) AS rank FROM e, c) SELECT id, CAST(rank AS INT) AS rank, word, round(d, 6) AS d, round(x, 6) AS residual FROM r WHERE rank <= 5")
+def _(spark, sf):
+    e = read(spark, sf, "embeddings").select(F.col("vec_id").cast("long").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    found = retrieval.assign_words(e, e.where("id % 16 = 3").select(F.col("id").alias("word"), "v"), 5)
+    return rounded(found.select("id", "rank", "word", "d", F.col("residual")[0].alias("residual")))
+
+
+@query("blocks_of_evaluation", "WITH n AS (SELECT count(*) n FROM lineitem) SELECT CAST(i AS BIGINT) AS block, CAST(least(1000, n - 1000 * i) AS BIGINT) AS n FROM n, (SELECT unnest(range(1 + (SELECT (n - 1) // 1000 FROM n))) i) q WHERE n > 1000 * i")
+def _(spark, sf):
+    return retrieval.blocks_by_hash(base(spark, sf, "points").select("pos"), "pos", 1000).groupBy("block").agg(F.count("*").alias("n"))
+
+
+@query("localisation_stats", sql("observed", "SELECT image_id, count(*) AS n, round(quantile_cont(x / 10, 0.5), 6) AS position, round(quantile_cont(z, 0.5), 6) AS angle, " + ", ".join(f"round(avg(CASE WHEN x / 10 <= {p} AND z <= {a} THEN 1 ELSE 0 END), 6) AS within_{i}" for i, (p, a) in enumerate(((0.25, 2.0), (0.5, 5.0), (5.0, 10.0)))) + " FROM observed GROUP BY 1"))
+def _(spark, sf):
+    e = base(spark, sf, "observed").select("image_id", (F.col("x") / 10).alias("position"), F.col("z").alias("angle"))
+    return rounded(retrieval.localisation_stats(e, by=("image_id",)))
+
+
+@query("pose_lines", sql("photos", "SELECT 'im' || image_id || '.png 1.0 0.0 0.0 0.0 0.5 ' || CAST(image_id AS DOUBLE) || ' 2.5' AS value FROM photos WHERE image_id % 5 <> 0"))
+def _(spark, sf):
+    p = base(spark, sf, "photos")
+    q = F.when(F.col("image_id") % 5 != 0, lit(1, 0, 0, 0))
+    return retrieval.pose_lines(p.select(F.concat(F.lit("im"), F.col("image_id").cast("string"), F.lit(".png")).alias("name"), q.alias("qvec"), F.array(F.lit(0.5), F.col("image_id").cast("double"), F.lit(2.5)).alias("tvec")))

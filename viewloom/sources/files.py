@@ -79,6 +79,13 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(line.alias("path")).where((F.length("path") > 0) & ~F.startswith("path", F.lit("#")))
 
 
+def image_paths(spark: SparkSession, source: str | list[str]) -> DataFrame:
+    """path: given paths as they are, the lines of a .txt list, or the image files below a folder."""
+    if not isinstance(source, str):
+        return spark.createDataFrame([(p,) for p in source], "path string")
+    return read_list(spark, source) if source.lower().endswith(".txt") else read_images(spark, source).select("path")
+
+
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     """src, dst, score of a pairs file with # comments."""
     rows = spark.read.option("comment", "#").option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).schema("src string, dst string, score double").csv(path)
