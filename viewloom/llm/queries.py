@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, jaccard, licenses, lm, media, mixing, quality, suffix, warc
+from . import ann, bpe, divergence, jaccard, licenses, lm, media, mixing, quality, suffix, warc
 
 QUERIES = {
     "op1_suffix": suffix.op1_suffix,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_neighbours": ann.op9_neighbours,
     "op10_lm": lm.op10_lm,
+    "op13_divergence": divergence.op13_divergence,
 }
 
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op6_mix": mixing.OP6_SQL,
     "op7_jaccard": jaccard.OP7_SQL,
     "op8_licenses": licenses.OP8_SQL,
+    "op13_divergence": divergence.OP13_SQL,
 }
