@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, divergence, jaccard, licenses, lm, media, mixing, quality, suffix, warc
+from . import ann, bpe, divergence, jaccard, licenses, lm, media, mixing, negatives, quality, suffix, toxicity, warc
 
 QUERIES = {
     "op1_suffix": suffix.op1_suffix,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_neighbours": ann.op9_neighbours,
     "op10_lm": lm.op10_lm,
+    "op11_negatives": negatives.op11_negatives,
+    "op12_toxicity": toxicity.op12_toxicity,
     "op13_divergence": divergence.op13_divergence,
 }
 
@@ -24,5 +26,6 @@ ORACLES = {
     "op6_mix": mixing.OP6_SQL,
     "op7_jaccard": jaccard.OP7_SQL,
     "op8_licenses": licenses.OP8_SQL,
+    "op11_negatives": negatives.OP11_SQL,
     "op13_divergence": divergence.OP13_SQL,
 }
