@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
-from viewloom.plans import catalog, more  # noqa: F401
+from viewloom.plans import catalog, more, scenes  # noqa: F401
 from viewloom.plans.base import TABLES
 
 SF = "/root/testdata/sf0.001"
