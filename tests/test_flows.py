@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from viewloom.functions import geometry as geo
 from viewloom.operators import flows, graphs, losses, retrieval, tracks
-from viewloom.sources import files, model
+from viewloom.sources import files, model, readers
 from viewloom.sources.shared import placed
 
 
@@ -126,7 +126,7 @@ def test_database(spark, tmp_path):
     keypoints = spark.createDataFrame([(1, 1, 3.5, 4.5), (1, 0, 1.5, 2.5), (2, 0, 9.0, 8.0)], "image_id long, kp_idx long, x double, y double")
     matches = spark.createDataFrame([(2, 1, 0, 1), (1, 2, 0, 0)], "src long, dst long, kp_idx1 long, kp_idx2 long")
     model.write_database(path, cameras, images, keypoints, matches, verified=True)
-    back = model.read_database(spark, path)
+    back = readers.read_database(spark, path, rows=1)
     assert rows(back["keypoints"], "image_id", "kp_idx", "x", "y") == [(1, 0, 1.5, 2.5), (1, 1, 3.5, 4.5), (2, 0, 9.0, 8.0)]
     assert rows(back["matches"], "src", "dst", "kp_idx1", "kp_idx2") == [(1, 2, 0, 0), (1, 2, 1, 0)]
     named = spark.createDataFrame([("a.png", "b.png"), ("a.png", "c.png")], "src string, dst string")

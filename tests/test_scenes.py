@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from viewloom.operators import footprints, kernels, refine, tracks
+from viewloom.operators import canonical, flows, footprints, kernels, refine, tracks
 
 
 def features(spark, n=90, dims=70, seed=3):
@@ -170,3 +170,57 @@ def test_refined_depths(spark, rounds, weighted):
     assert found.keys() == expected.keys()
     assert all(math.isclose(found[k], v, abs_tol=1e-9) for k, v in expected.items())
     assert refine.refined_depths(d.limit(0), c, pairs, threshold).collect() == []
+
+
+# --- canonical maps
+
+def test_focal_of_points(spark):
+    """Points of a known camera, with a few far off."""
+    rows = [(1, x, y, z * (x - 8) / 20.0, z * (y - 6) / 20.0, z) for x in range(16) for y in range(12) for z in (2.0 + (x * y) % 3,)]
+    rows += [(1, 3, 4, 2.0, -1.0, 1.0), (1, 9, 2, -1.0, 1.0, 3.0)] + [(2, x, y, 9.0 * (x - 8), 9.0 * (y - 6), 1.0) for x in range(4) for y in range(3)]
+    points = spark.createDataFrame(rows, "image_id long, px int, py int, x3 double, y3 double, z3 double")
+    cameras = spark.createDataFrame([(1, 8.0, 6.0, 16, 12), (2, 8.0, 6.0, 16, 12)], "image_id long, cx double, cy double, width int, height int")
+    found = {r.image_id: r.focal for r in canonical.focal_of_points(points, cameras, 10).collect()}
+    assert abs(found[1] - 20) < 0.2 and math.isclose(found[2], 0.5 * 16 / (2 * math.tan(math.radians(30))))
+
+
+def test_canonical_maps_of_a_plane(spark):
+    """All views agree, so canonical depths are theirs, and dense points lie where they were."""
+    w, h, stride = 10, 6, 4
+    depth = lambda x, y: 5.0 + 0.1 * x + 0.2 * y
+    rows = [(i, j, s, x, y, depth(x, y) * (x - 5) / 12.0, depth(x, y) * (y - 3) / 12.0, depth(x, y), 2.0 + s) for i, j in ((1, 2), (3, 1)) for s in (1, 2) for x in range(w) for y in range(h)]
+    pairs = spark.createDataFrame(rows, "src long, dst long, side int, px int, py int, x3 double, y3 double, z3 double, conf double")
+    views = canonical.exploded_views(pairs)
+    assert sorted({(r.image_id, r.other_id) for r in views.collect()}) == [(1, 2), (1, 3), (2, 1), (3, 1)]
+    cameras = spark.createDataFrame([(i, 5.0, 3.0, w, h, 12.0, [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0], [0.0, 0.0, 0.0]) for i in (1, 2, 3)], "image_id long, cx double, cy double, width int, height int, focal double, rotation array<double>, t array<double>")
+    for mode in ("depth", "angle"):
+        pixels, anchors = canonical.canonical_maps(views, cameras, stride, mode)
+        found = {(r.image_id, r.px, r.py): r for r in pixels.collect()}
+        # blocks that are cut before their centre have no anchor
+        assert set(found) == {(i, x, y) for i in (1, 2, 3) for x in range(8) for y in range(4)}
+        assert all(abs(r.base_focal - 12) < 1e-6 and math.isclose(r.z3, depth(r.px, r.py)) for r in found.values())
+        assert sorted((r.image_id, r.anchor) for r in anchors.collect()) == [(i, a) for i in (1, 2, 3) for a in (0, 1)]
+        dense = canonical.dense_points(pixels, anchors, cameras).collect()
+        assert len(dense) == len(found)
+        for r in dense:
+            assert math.isclose(r.depth, depth(r.px, r.py), rel_tol=1e-6) and math.isclose(r.wx, r.depth * (r.px - 5) / 12, abs_tol=1e-6)
+
+
+def test_partner_scores(spark):
+    df = spark.createDataFrame([(1, 2, 0.5), (2, 1, 0.7), (3, 1, 0.1)], "src long, dst long, score double")
+    assert sorted(tuple(r) for r in canonical.partner_scores(df).collect()) == [(1, 2, 0.7, 2), (1, 3, 0.1, 2), (2, 1, 0.7, 1), (3, 1, 0.1, 1)]
+
+
+# --- coarse to fine
+
+def test_coarse_to_fine(spark):
+    """Two crops of either image show the same point; the better match stays."""
+    rows = [(10, 1, 2.0, 3.0, [1.0, 0.0], 1.0), (11, 2, 0.0, 1.0, [0.9, 0.1], 1.0), (20, 3, 5.0, 5.0, [2.0, 0.0], 1.0), (21, 4, 7.0, 7.0, [0.0, 3.0], 0.1), (11, 5, 9.0, 9.0, [0.0, 5.0], 1.0)]
+    d = spark.createDataFrame(rows, "crop_id long, kp long, u double, v double, vector array<double>, conf double")
+    shift = lambda x, y, w=1.0: [1.0, 0.0, x, 0.0, 1.0, y, 0.0, 0.0, w]
+    crops = spark.createDataFrame([(10, 1, shift(0.0, 0.0)), (11, 1, shift(2.0, 2.0)), (20, 2, shift(1.0, 1.0)), (21, 2, shift(0.0, 0.0, 0.0))], "crop_id long, image_id long, m array<double>")
+    pairs = spark.createDataFrame([(10, 20), (11, 20), (11, 21), (10, 20)], "crop1 long, crop2 long")
+    found = [tuple(r) for r in flows.coarse_to_fine(d, crops, pairs, 0.5).collect()]
+    assert found == [(1, 2, 2.0, 3.0, 6.0, 6.0, 2.0, 2)]
+    everything = flows.coarse_to_fine(d, crops, pairs).collect()
+    assert len(everything) == 1, "crop 21 sends its pixels to infinity"

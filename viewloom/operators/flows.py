@@ -45,6 +45,29 @@ def match_pairs(descriptors: DataFrame, pairs: DataFrame, threshold: float, spar
     return rows.where(F.least("c1", "c2") >= threshold).select("src", "dst", "a", "b")
 
 
+def coarse_to_fine(descriptors: DataFrame, crops: DataFrame, crop_pairs: DataFrame, threshold: float = 0.0, metric: str = "dot") -> DataFrame:
+    """src, dst, x1, y1, x2, y2, score, n: matches of image pairs from those of pairs of their crops.
+
+    descriptors(crop_id, kp, u, v, vector, conf): keypoints at pixels of a crop; those of at least the threshold match
+    where each is the other's nearest within a pair of crops.  crops(crop_id, image_id, m): m takes a crop's pixels to
+    its image's, a row-major 3x3 homography.  The matches of all crop_pairs(crop1, crop2) of an image pair come
+    together: of those that meet at the same pixels of both images, rounded, the best stays, ties by its places; n
+    counts them.  A match whose end the homography sends to infinity is left out.
+    """
+    own = descriptors.where(F.col("conf") >= threshold).select(F.col("crop_id").alias("image_id"), "kp", F.col("vector").alias("v"))
+    pairs = crop_pairs.select(F.col("crop1").alias("src"), F.col("crop2").alias("dst")).distinct()
+    rows = matching.mutual(matching.nearest_both_ways(own, pairs, metric))
+    for n, crop, kp in ((1, "src", "a"), (2, "dst", "b")):
+        far = F.col("m")[6] * F.col("u") + F.col("m")[7] * F.col("v") + F.col("m")[8]
+        ends = descriptors.join(crops, "crop_id").where(far != 0).withColumn("p", geo.homography(F.col("u"), F.col("v"), F.col("m")))
+        ends = ends.select(F.col("crop_id").alias(crop), F.col("kp").alias(kp), F.col("image_id").alias(f"image{n}"), F.col("p.x").alias(f"x{n}"), F.col("p.y").alias(f"y{n}"))
+        rows = rows.join(ends, [crop, kp])
+    at = ["x1", "y1", "x2", "y2"]
+    rows = rows.select(F.col("image1").alias("src"), F.col("image2").alias("dst"), *at, "score", *[F.rint(c).alias(f"r{c}") for c in at])
+    best = rows.groupBy("src", "dst", *[f"r{c}" for c in at]).agg(F.max_by(F.struct(*at, "score"), F.struct("score", *[-F.col(c) for c in at])).alias("m"), F.count("*").alias("n"))
+    return best.select("src", "dst", "m.*", "n")
+
+
 def _attached(matches: DataFrame, keypoints: DataFrame, radius: float) -> DataFrame:
     """Matches (src, dst, pos, x1, y1, x2, y2) with the numbers kp1 and kp2 of their ends' nearest keypoints."""
     found = matches.select("src", "dst", "pos")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import footprints, kernels, refine, tracks
-from ..sources.shared import stash
+from ..operators import canonical, flows, footprints, kernels, refine, tracks
+from ..sources import model, readers
+from ..sources.cache import PairCache
+from ..sources.shared import new_folder, stash
 from . import catalog
 from .base import base, read, rounded, sql
 from .catalog import ORACLES, query
+from .more import _described
 
 lit = lambda *xs: F.array(*[F.lit(float(x)) for x in xs])
 
@@ -160,3 +163,92 @@ def _(spark, sf):
 def _(spark, sf):
     d, c, _ = _maps(spark, sf)
     return rounded(refine.world_points(d, c).select("image_id", "x", "y", "wx", (F.col("wy") + 0.0).alias("wy"), "wz"))
+
+
+# --- canonical maps
+
+#: Views of 12 x 8 pixels an image with up to four partners; blocks of 4 x 4.
+_CANON = """v AS (SELECT CAST(l_suppkey AS BIGINT) AS image_id, CAST(l_partkey % 4 AS BIGINT) AS other_id, CAST(l_partkey % 12 AS BIGINT) AS px, CAST(l_orderkey % 8 AS BIGINT) AS py, 1 + avg(l_tax) * 9.1 AS conf, 5 + avg(l_quantity) / 9.7 AS z3, avg(l_discount) AS k FROM lineitem GROUP BY 1, 2, 3, 4),
+w AS (SELECT image_id, other_id, px, py, conf, z3, z3 * (px - 6) * (1 + k) / 13.7 AS x3, z3 * (py - 4) * (1 - k) / 13.7 AS y3, px + 12 * py AS pix, conf - 0.999 AS e FROM v),
+canon AS (SELECT image_id, pix, any_value(px) AS px, any_value(py) AS py, sum(e * x3) / sum(e) AS x3, sum(e * y3) / sum(e) AS y3, sum(e * z3) / sum(e) AS z3, sum(e * e) / sum(e) AS conf FROM w GROUP BY 1, 2),
+rel AS (SELECT w.image_id, w.pix, sum(w.e * w.z3 / c.z3) / sum(w.e) AS rel FROM w JOIN w c ON c.image_id = w.image_id AND c.other_id = w.other_id AND c.px % 4 = 2 AND c.py % 4 = 2 AND c.px // 4 = w.px // 4 AND c.py // 4 = w.py // 4 GROUP BY 1, 2),
+o AS (SELECT image_id, px - 6 AS p0, py - 4 AS p1, x3 / z3 AS q0, y3 / z3 AS q1 FROM canon),
+f0 AS (SELECT image_id, sum(p0 * q0 + p1 * q1) / sum(q0 * q0 + q1 * q1) AS f FROM o GROUP BY 1),
+f1 AS (SELECT image_id, sum((p0 * q0 + p1 * q1) / greatest(1e-8, sqrt((p0 - f * q0) ** 2 + (p1 - f * q1) ** 2))) / sum((q0 * q0 + q1 * q1) / greatest(1e-8, sqrt((p0 - f * q0) ** 2 + (p1 - f * q1) ** 2))) AS f FROM o JOIN f0 USING (image_id) GROUP BY 1),
+f2 AS (SELECT image_id, sum((p0 * q0 + p1 * q1) / greatest(1e-8, sqrt((p0 - f * q0) ** 2 + (p1 - f * q1) ** 2))) / sum((q0 * q0 + q1 * q1) / greatest(1e-8, sqrt((p0 - f * q0) ** 2 + (p1 - f * q1) ** 2))) AS f FROM o JOIN f1 USING (image_id) GROUP BY 1),
+usual AS (SELECT 12 / (2 * tan(radians(30))) AS u), focal AS (SELECT image_id, greatest(0.5 * u, least(3.5 * u, f)) AS base FROM f2, usual),
+pixels AS (SELECT image_id, c.px, c.py, c.x3, c.y3, c.z3, c.conf, base, (c.py // 4) * 3 + c.px // 4 AS anchor, r.rel / m.rel AS ratio FROM canon c JOIN rel r USING (image_id, pix) JOIN focal USING (image_id)
+  JOIN (SELECT image_id, pix % 12 // 4 AS bx, pix // 12 // 4 AS by_, rel FROM rel WHERE pix % 12 % 4 = 2 AND pix // 12 % 4 = 2) m USING (image_id) WHERE bx = c.px // 4 AND by_ = c.py // 4),
+core AS (SELECT image_id, (py // 4) * 3 + px // 4 AS anchor, z3 AS depth FROM canon WHERE px % 4 = 2 AND py % 4 = 2)"""
+
+
+def _canonical(spark, sf):
+    line = read(spark, sf, "lineitem")
+    v = line.groupBy(F.col("l_suppkey").cast("long").alias("image_id"), (F.col("l_partkey") % 4).cast("long").alias("other_id"), (F.col("l_partkey") % 12).cast("long").alias("px"), (F.col("l_orderkey") % 8).cast("long").alias("py"))
+    v = v.agg((1 + F.avg("l_tax") * 9.1).alias("conf"), (5 + F.avg("l_quantity") / 9.7).alias("z3"), F.avg("l_discount").alias("k"))
+    z, k = F.col("z3"), F.col("k")
+    v = v.withColumns({"x3": z * (F.col("px") - 6) * (1 + k) / 13.7, "y3": z * (F.col("py") - 4) * (1 - k) / 13.7}).drop("k")
+    c = line.select(F.col("l_suppkey").cast("long").alias("image_id")).distinct().select("image_id", F.lit(6.0).alias("cx"), F.lit(4.0).alias("cy"), F.lit(12).alias("width"), F.lit(8).alias("height"))
+    return c, *canonical.canonical_maps(v, c, 4, rounds=2)
+
+
+@query("canonical_pixels", "WITH " + _CANON + " SELECT image_id, px, py, round(x3, 6)::DOUBLE + 0.0 AS x3, round(y3, 6)::DOUBLE + 0.0 AS y3, round(z3, 6) AS z3, round(conf, 6) AS conf, round(base, 5) AS base_focal, anchor, round(ratio, 6) AS ratio FROM pixels")
+def _(spark, sf):
+    _, p, _ = _canonical(spark, sf)
+    six = lambda *cs: [(F.round(c, 6) + 0.0).alias(c) for c in cs]
+    return p.select("image_id", "px", "py", *six("x3", "y3", "z3", "conf", "ratio"), F.round("base_focal", 5).alias("base_focal"), "anchor")
+
+
+@query("dense_points", "WITH " + _CANON + """, d AS (SELECT image_id, px, py, depth * (1 + (ratio - 1) * base / 15) AS depth FROM pixels JOIN core USING (image_id, anchor))
+SELECT image_id, px, py, round(depth, 6) AS depth, round(depth + 1, 6) AS wx, round(depth * (px - 6) / 15 + 2, 6)::DOUBLE + 0.0 AS wy, round(depth * (py - 4) / 15 + 3, 6)::DOUBLE + 0.0 AS wz FROM d""")
+def _(spark, sf):
+    c, p, core = _canonical(spark, sf)
+    found = c.select("image_id", F.lit(15.0).alias("focal"), "cx", "cy", lit(0, 0, 1, 1, 0, 0, 0, 1, 0).alias("rotation"), lit(1, 2, 3).alias("t"))
+    d = canonical.dense_points(p, core, found)
+    return d.select("image_id", "px", "py", *[(F.round(x, 6) + 0.0).alias(x) for x in ("depth", "wx", "wy", "wz")])
+
+
+# --- coarse to fine
+
+@query("coarse_to_fine", """WITH e AS (SELECT vec_id AS kp, CAST(label AS BIGINT) AS image, CAST(label AS BIGINT) * 4 + vec_id % 4 AS crop, embedding::DOUBLE[] AS v, vec_id % 64 AS u, (vec_id * 7) % 48 AS w FROM embeddings WHERE (vec_id * 31) % 10 >= 2),
+s AS (SELECT a.crop ca, b.crop cb, a.image ia, b.image ib, a.kp ka, b.kp kb, a.u ua, a.w wa, b.u ub, b.w wb, list_inner_product(a.v, b.v) sim FROM e a JOIN e b ON b.image = a.image + 1),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY ka, cb ORDER BY sim DESC, kb) = 1 AND row_number() OVER (PARTITION BY kb, ca ORDER BY sim DESC, ka) = 1),
+l AS (SELECT ia AS src, ib AS dst, (0.5 * ua + 10 * (ca % 4)) / (1 + 0.001 * ua) AS x1, (0.5 * wa + 7 * (ca % 4)) / (1 + 0.001 * ua) AS y1, (0.5 * ub + 10 * (cb % 4)) / (1 + 0.001 * ub) AS x2, (0.5 * wb + 7 * (cb % 4)) / (1 + 0.001 * ub) AS y2, sim FROM m)
+SELECT src, dst, round(x1, 6) AS x1, round(y1, 6) AS y1, round(x2, 6) AS x2, round(y2, 6) AS y2, round(sim, 6) AS score, n FROM (
+  SELECT *, count(*) OVER g AS n, row_number() OVER (PARTITION BY src, dst, round_even(x1, 0), round_even(y1, 0), round_even(x2, 0), round_even(y2, 0) ORDER BY sim DESC, x1, y1, x2, y2) AS r
+  FROM l WINDOW g AS (PARTITION BY src, dst, round_even(x1, 0), round_even(y1, 0), round_even(x2, 0), round_even(y2, 0))) q WHERE r = 1""")
+def _(spark, sf):
+    i = F.col("vec_id")
+    e = read(spark, sf, "embeddings").select((F.col("label") * 4 + i % 4).cast("long").alias("crop_id"), i.alias("kp"), (i % 64).cast("double").alias("u"), (i * 7 % 48).cast("double").alias("v"), F.transform("embedding", lambda x: x.cast("double")).alias("vector"), (i * 31 % 10).cast("double").alias("conf"))
+    c, k = F.col("crop_id"), (F.col("crop_id") % 4).cast("double")
+    zero = F.lit(0.0)
+    crops = e.select("crop_id").distinct().select("crop_id", F.floor(c / 4).alias("image_id"), F.array(F.lit(0.5), zero, 10 * k, zero, F.lit(0.5), 7 * k, F.lit(0.001), zero, F.lit(1.0)).alias("m"))
+    near = crops.select(F.col("crop_id").alias("crop1"), F.explode(F.array(*[(F.floor(c / 4) + 1) * 4 + j for j in range(4)])).alias("crop2"))
+    return rounded(flows.coarse_to_fine(e, crops, near, 2.0))
+
+
+# --- the sparse model, written and read back
+
+@query("model_read_back", sql("observed", """o AS (SELECT track_id AS point_id, image_id, x, pix::DOUBLE AS y FROM observed), often AS (SELECT point_id, row_number() OVER (ORDER BY point_id) AS new_id FROM (SELECT point_id FROM o GROUP BY 1 HAVING count(*) >= 2) q)
+SELECT image_id, 'im' || image_id || '.png' AS name, row_number() OVER (PARTITION BY image_id ORDER BY o.point_id, o.x, o.y) - 1 AS idx, o.x, o.y, coalesce(new_id, -1) AS point_id FROM o LEFT JOIN often USING (point_id)"""))
+def _(spark, sf):
+    o = base(spark, sf, "observed")
+    seen = o.select(F.col("track_id").alias("point_id"), "image_id", "x", F.col("pix").cast("double").alias("y"))
+    points = o.groupBy(F.col("track_id").alias("point_id")).agg(F.min("x").alias("x"), F.lit(2.0).alias("y"), F.lit(3.0).alias("z"), F.min("r").alias("r"), F.lit(0).alias("g"), F.lit(0).alias("b"))
+    poses = o.select("image_id").distinct().select("image_id", lit(1, 0, 0, 0).alias("qvec"), lit(0, 0, 0.5).alias("tvec"), F.lit(1).alias("camera_id"), F.concat(F.lit("im"), F.col("image_id").cast("string"), F.lit(".png")).alias("name"))
+    cameras = spark.createDataFrame([(1, "PINHOLE", 64, 48, [50.0, 50.0, 32.0, 24.0])], "camera_id long, model string, width int, height int, params array<double>")
+    folder = new_folder(spark, "model")
+    model.write_sparse_model(folder, cameras, poses, points, seen)
+    images = readers.read_model(spark, folder)["images"]
+    return images.select("image_id", "name", F.posexplode("points").alias("idx", "p")).select("image_id", "name", F.col("idx").cast("long").alias("idx"), "p.x", "p.y", "p.point_id")
+
+
+# --- the pair cache
+
+@query("cached_matches", f"WITH {catalog._MUTUAL} SELECT dst AS src, src AS dst, b AS a, a AS b FROM m")
+def _(spark, sf):
+    d, pairs = _described(spark, sf)
+    cache = PairCache(spark, new_folder(spark, "pair-cache"), {"threshold": 0.0, "metric": "dot"})
+    compute = lambda p: flows.match_pairs(d, p, 0.0, sparse=False)
+    cache.fill(pairs.where("(src + dst) % 3 <> 0"), compute)
+    return cache.through(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")), compute).select("src", "dst", "a", "b")

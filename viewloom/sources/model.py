@@ -7,8 +7,7 @@ import sqlite3
 import struct
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import files
@@ -24,6 +23,7 @@ CREATE TABLE matches (pair_id INTEGER PRIMARY KEY NOT NULL, rows INTEGER NOT NUL
 CREATE TABLE two_view_geometries (pair_id INTEGER PRIMARY KEY NOT NULL, rows INTEGER NOT NULL, cols INTEGER NOT NULL, data BLOB, config INTEGER NOT NULL, F BLOB, E BLOB, H BLOB, qvec BLOB, tvec BLOB);
 """
 CALIBRATED = 2
+#: Header lines of the exchange format's text files.
 HEADERS = {
     "cameras": "# Camera list with one line of data per camera:\n#   CAMERA_ID, MODEL, WIDTH, HEIGHT, PARAMS[]",
     "images": "# Image list with two lines of data per image:\n#   IMAGE_ID, QW, QX, QY, QZ, TX, TY, TZ, CAMERA_ID, NAME\n#   POINTS2D[] as (X, Y, POINT3D_ID)",
@@ -94,32 +94,6 @@ def write_database(path: str, cameras: DataFrame, images: DataFrame, keypoints:
                 con.execute("INSERT INTO two_view_geometries (pair_id, rows, cols, data, config) VALUES (?, ?, 2, ?, ?)", (*row, CALIBRATED))
 
 
-def read_database(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """images(image_id, name, camera_id), keypoints and matches of a database file, as write_database takes them."""
-    with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as con:
-        images = con.execute("SELECT image_id, name, camera_id FROM images").fetchall()
-        points = con.execute("SELECT image_id, data FROM keypoints WHERE rows > 0").fetchall()
-        pairs = con.execute("SELECT pair_id, data FROM matches WHERE rows > 0").fetchall()
-
-    def floats(batches):
-        for pdf in batches:
-            for r in pdf.itertuples():
-                v = np.frombuffer(r.data, "<f4").reshape(-1, 2).astype(float)
-                yield pd.DataFrame({"image_id": r.image_id, "kp_idx": np.arange(len(v)), "x": v[:, 0], "y": v[:, 1]})
-
-    def ints(batches):
-        for pdf in batches:
-            for r in pdf.itertuples():
-                v = np.frombuffer(r.data, "<u4").reshape(-1, 2).astype("int64")
-                yield pd.DataFrame({"src": r.pair_id // 2147483647, "dst": r.pair_id % 2147483647, "kp_idx1": v[:, 0], "kp_idx2": v[:, 1]})
-
-    return {
-        "images": spark.createDataFrame(images, "image_id long, name string, camera_id long"),
-        "keypoints": spark.createDataFrame(points, "image_id long, data binary").mapInPandas(floats, "image_id long, kp_idx long, x double, y double"),
-        "matches": spark.createDataFrame(pairs, "pair_id long, data binary").mapInPandas(ints, "src long, dst long, kp_idx1 long, kp_idx2 long"),
-    }
-
-
 def named_ids(rows: DataFrame, images: DataFrame, columns: tuple[str, ...] = ("src", "dst")) -> DataFrame:
     """rows with names in columns replaced by the ids of images(image_id, name); unknown names drop out."""
     for c in columns:

@@ -24,10 +24,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[app]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has yet."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write df in the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
