@@ -7,7 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from viewloom.operators import canonical, flows, footprints, kernels, refine, tracks
+from viewloom.functions import geometry as geo
+from viewloom.operators import canonical, flows, footprints, fusion, kernels, refine, spectral, tracks
+from viewloom.sources import files
+from viewloom.sources.shared import sums_before
 
 
 def features(spark, n=90, dims=70, seed=3):
@@ -224,3 +227,112 @@ def test_coarse_to_fine(spark):
     assert found == [(1, 2, 2.0, 3.0, 6.0, 6.0, 2.0, 2)]
     everything = flows.coarse_to_fine(d, crops, pairs).collect()
     assert len(everything) == 1, "crop 21 sends its pixels to infinity"
+
+
+# --- low-rank depths
+
+def test_low_rank_depths(spark):
+    """Against pseudo-inverses; smooth maps need few vectors; other targets give other coefficients."""
+    rows = [(i, x, y, 4.0 + 0.3 * x + 0.2 * i + 0.05 * x * y) for i in (1, 2) for x in range(7) for y in range(5)] + [(1, 0, 0, None), (3, 2, 2, 5.0), (3, 1, 2, -1.0)]
+    rows = [r for r in rows if r[1:3] != (0, 0) or r[3] is not None]
+    depths = spark.createDataFrame(rows, "image_id long, x int, y int, depth double")
+    cameras = spark.createDataFrame([(i, 7, 6.0, 3.0, 2.0) for i in (1, 2, 3)], "image_id long, width int, focal double, cx double, cy double")
+    models = spectral.low_rank_depths(depths, cameras, 10)
+    for r in models.collect():
+        own = sorted((y * 7 + x, d) for i, x, y, d in rows if i == r.image_id and d is not None and d > 0)
+        assert r.pix == [p for p, _ in own] and r.n == len(own) and r.rank == min(10, len(own)) == len(r.coeffs)
+        d = np.array([v for _, v in own])
+        points = np.column_stack([d * (np.array(r.pix) % 7 - 3) / 6, d * (np.array(r.pix) // 7 - 2) / 6, d])
+        w = np.exp(-7 * (np.linalg.norm(points[:, None] - points[None], axis=2) / (d[:, None] + d[None])) ** 2) * (1 - np.eye(len(d)))
+        if len(d) > 1:
+            root = np.diag(1 / np.sqrt(w.sum(1)))
+            first = np.linalg.eigh(root @ (np.diag(w.sum(1)) - w) @ root)[1][:, : r.rank]
+            scaled = first * np.maximum(np.abs(np.linalg.pinv(first) @ d), 5.0)
+            expected = scaled @ (np.linalg.pinv(scaled) @ d)
+            basis = np.array(r.basis).reshape(r.n, r.rank)
+            assert np.allclose(basis @ r.coeffs, expected, atol=1e-8) and np.allclose(np.linalg.norm(basis, axis=0), np.linalg.norm(scaled, axis=0), atol=1e-8)
+            assert np.abs(expected - d).max() < 0.6
+    back = {(r.image_id, r.pix): r.depth for r in spectral.depths_of(models).collect()}
+    assert math.isclose(back[3, 16], 5.0) and len(back) == 71
+    targets = depths.where("depth > 0").select("image_id", (F.col("y") * 7 + F.col("x")).cast("long").alias("pix"), (2 * F.col("depth")).alias("depth"), F.lit(0.5).alias("weight"))
+    steps = {r.image_id: r.coeffs for r in spectral.coefficient_step(models, targets.where("image_id <> 2 OR pix < 5")).collect()}
+    one = {r.image_id: r.coeffs for r in models.collect()}
+    assert np.allclose(steps[1], 2 * np.array(one[1])) and steps[2] is None and np.allclose(steps[3], 2 * np.array(one[3]))
+
+
+# --- what was done in one task, whole blocks or nine rows a pixel before
+
+def test_gradient_confidence_in_blocks(spark):
+    rng = random.Random(4)
+    pixels = {(i, x, y): (rng.random() / 20, 1 + rng.random()) for i in (1, 2) for x in range(-3, 9) for y in range(7) if rng.random() < 0.9}
+    df = spark.createDataFrame([(f"n{i}", i, x, y, *v) for (i, x, y), v in pixels.items()], "name string, image_id long, x long, y int, depth double, conf double")
+    at = lambda i, x, y: pixels.get((i, x, y), (0.0, 0.0))[0]
+    expected = {}
+    for (i, x, y), (_, conf) in pixels.items():
+        g = [sum(k * (4 if j == 0 else 2) * (at(i, x + k, y + j) if axis == 0 else at(i, x + j, y + k)) for k in (-1, 1) for j in (-1, 0, 1)) for axis in (0, 1)]
+        expected[i, x, y] = conf * max(0.0, 1 - math.hypot(*g))
+    for block in (1, 3, 256):
+        found = fusion.gradient_confidence(df, block)
+        assert found.columns == df.columns
+        got = {(r.image_id, r.x, r.y): r.conf for r in found.collect()}
+        assert got.keys() == expected.keys() and all(math.isclose(got[k], v, abs_tol=1e-12) for k, v in expected.items())
+
+
+def test_strips_find_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, k, rng.integers(-3, 4, 3).astype(float).tolist()) for i in (1, 2) for k in range(40)]
+    df = spark.createDataFrame(rows, "image_id long, kp long, v array<double>")
+    pairs = spark.createDataFrame([(1, 2)], "src long, dst long")
+    from viewloom.operators import matching
+
+    for metric in ("dot", "l2"):
+        value = lambda x, y: sum(a * b for a, b in zip(x, y)) if metric == "dot" else -math.dist(x, y)  # noqa: B023, E731
+        expected = set()
+        for own, other, forward in ((1, 2, True), (2, 1, False)):
+            for i, k, x in rows:
+                if i == own:
+                    best = min((round(-value(x, y), 9), m) for j, m, y in rows if j == other)[1]
+                    expected.add((k, best, True) if forward else (best, k, False))
+        vectors = {(i, k): x for i, k, x in rows}
+        for strip in (7, 512):
+            monkeypatch.setattr(matching, "STRIP", strip)
+            found = matching.nearest_both_ways(df, pairs, metric, block=16).collect()
+            assert len(found) == 80
+            if metric == "dot":
+                assert {(r.a, r.b, r.forward) for r in found} == expected
+            for r in found:
+                own = vectors[1, r.a] if r.forward else vectors[2, r.b]
+                best = max(value(own, vectors[2 if r.forward else 1, k]) for k in range(40))
+                assert math.isclose(r.score, best, abs_tol=1e-6) and math.isclose(value(vectors[1, r.a], vectors[2, r.b]), best, abs_tol=1e-6)
+
+
+def test_sums_before(spark):
+    df = spark.createDataFrame([(i * 7 % 50, i) for i in range(50)], "k long, n long")
+    got = {r.k: r.before for r in sums_before(df, "n", "k").collect()}
+    n = {i * 7 % 50: i for i in range(50)}
+    assert got == {k: sum(n[j] for j in range(k)) for k in range(50)}
+    assert sums_before(df.limit(0), "n", "k").collect() == []
+
+
+def test_top_by_norm(spark):
+    from viewloom.operators import matching
+
+    df = spark.createDataFrame([(1, 0, [3.0, 4.0]), (1, 1, [0.0, 5.0]), (1, 2, [1.0, 1.0]), (2, 0, [0.0, 0.0])], "image_id long, pos long, feat array<double>")
+    assert sorted((r.image_id, r.pos, r.norm, r["rank"]) for r in matching.top_by_norm(df, 2).collect()) == [(1, 0, 5.0, 1), (1, 1, 5.0, 2), (2, 0, 0.0, 1)]
+
+
+def test_crop_to_size(spark):
+    crop = geo.rectified_crop(*[F.lit(v) for v in (100.0, 80.0, 60.0, 100.2, 20.0, 160.0, 58.0)])
+    r = spark.range(1).select(crop.alias("c")).select("c", geo.crop_to_size(F.col("c"), F.lit(100.0), F.lit(90), F.lit(90)).alias("s")).first()
+    assert (r.s.width, r.s.height) == (90, 90) and math.isclose(r.s.focal, 150.0)
+    k = np.array([[100, 0, 80], [0, 100, 60], [0, 0, 1.0]])
+    k2 = np.array([[150, 0, 45], [0, 150, 45], [0, 0, 1.0]])
+    assert np.allclose(np.array(r.s.m).reshape(3, 3), k @ np.array(r.s.rotation).reshape(3, 3) @ np.linalg.inv(k2))
+
+
+def test_image_numbers_with_gaps(spark, tmp_path):
+    png = b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + (7).to_bytes(4, "big") + (5).to_bytes(4, "big") + b"\x08\0\0\0\0" + b"\0" * 8
+    for name, content in (("a.png", png), ("b.png", b"broken"), ("c.png", png), ("notes.txt", b"x")):
+        (tmp_path / name).write_bytes(content)
+    got = lambda **k: sorted(tuple(r) for r in files.read_images(spark, str(tmp_path), gaps=True, **k).collect())
+    assert got() == [("a.png", 7, 5, 0), ("c.png", 7, 5, 2)] and got(suffixes=None) == got()

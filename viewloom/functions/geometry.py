@@ -303,6 +303,18 @@ def rectified_crop(focal: pd.Series, cx: pd.Series, cy: pd.Series, x0: pd.Series
     return pd.DataFrame({"width": w.astype("int32"), "height": h.astype("int32"), "rotation": list(turn.reshape(-1, 9)), "m": list(m.reshape(-1, 9))})
 
 
+def crop_to_size(crop, focal, width, height):
+    """A rectified crop as a camera of a given size: width, height, focal, rotation and m, from its pixels to the image's.
+
+    The crop is scaled by the smaller ratio of sides, so it lies whole and central in the new size.
+    """
+    w, h = crop["width"].cast("double"), crop["height"].cast("double")
+    scale = F.least(width / w, height / h)
+    m, right, down = crop["m"], w / 2 - width / (2 * scale), h / 2 - height / (2 * scale)
+    rows = [F.array(m[3 * i] / scale, m[3 * i + 1] / scale, m[3 * i] * right + m[3 * i + 1] * down + m[3 * i + 2]) for i in range(3)]
+    return F.struct(width.alias("width"), height.alias("height"), (focal * scale).alias("focal"), crop["rotation"].alias("rotation"), F.concat(*rows).alias("m"))
+
+
 def random_crop(key, width, height, crop_width: int, crop_height: int, seed: int = 0, scale: tuple[float, float] = (0.5, 1.0)):
     """A box of the crop's aspect at a place and scale told by a hash of the key; as large as the image allows at 1."""
     part = lambda n: F.pmod(F.xxhash64(key, F.lit(seed), F.lit(n)), F.lit(1 << 20)) / float(1 << 20)

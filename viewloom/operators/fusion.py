@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import sums_before
+
 
 def weighted_mean(value, weight):
     """sum(w x) / sum(w), null where there is no weight."""
@@ -75,8 +79,7 @@ def condense(corres: DataFrame) -> DataFrame:
     conf = F.sqrt(F.col("conf1") * F.col("conf2")).alias("conf")
     ends = corres.select(F.col("src").alias("image_id"), conf).union(corres.select(F.col("dst"), conf))
     rows = ends.groupBy("image_id").agg(F.count("*").alias("n"), F.sum("conf").alias("conf_sum"))
-    before = Window.orderBy("image_id").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return sums_before(rows, "n", "image_id", name="offset")
 
 
 def lower_median(col: str):
@@ -148,16 +151,34 @@ def largest_reconstruction(images: DataFrame) -> DataFrame:
     return images.groupBy("model_id").agg(F.count("*").alias("n")).agg(F.max_by("model_id", F.struct("n", -F.col("model_id"))).alias("model_id"), F.max("n").alias("n_images"))
 
 
-def gradient_confidence(depths: DataFrame) -> DataFrame:
+def gradient_confidence(depths: DataFrame, block: int = 256) -> DataFrame:
     """depths(image_id, x, y, depth, conf) with conf times 1 less the depth's gradient, 0 at least.
 
     The gradient is the length of both 3 x 3 differences, weighed 2, 4, 2 along the edge; pixels that are not there
-    count as 0.  Each pixel goes to its nine neighbours, which sum what they get.
+    count as 0.  Blocks of block x block pixels are done at once, each with a rim of its neighbours' pixels.
     """
-    step = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    spread = depths.select("image_id", "x", "y", "depth", step.alias("s"))
-    weight = lambda along: F.when(F.col(f"s.{along}") == 0, 4.0).otherwise(2.0)
-    spread = spread.select("image_id", (F.col("x") + F.col("s.i")).alias("x"), (F.col("y") + F.col("s.j")).alias("y"), (F.col("s.i") * weight("j") * F.col("depth")).alias("gx"), (F.col("s.j") * weight("i") * F.col("depth")).alias("gy"))
-    slope = spread.groupBy("image_id", "x", "y").agg(F.sum("gx").alias("gx"), F.sum("gy").alias("gy"))
-    keep = F.greatest(F.lit(0.0), 1 - F.hypot("gx", "gy"))
-    return depths.join(slope, ["image_id", "x", "y"]).withColumn("conf", F.col("conf") * keep).drop("gx", "gy")
+    columns = ["image_id", "x", "y", "depth", "conf"]
+    others = [c for c in depths.columns if c not in columns]
+    cells = lambda c: F.array_distinct(F.array(*[F.floor((F.col(c) + d) / block) for d in (-1, 0, 1)]))
+    spread = depths.withColumn("__bx", F.explode(cells("x"))).withColumn("__by", F.explode(cells("y")))
+
+    def graded(key, table):
+        bx, by = key[1].as_py(), key[2].as_py()
+        x, y = (np.array(table.column(c)).astype(np.int64) - b * block + 1 for c, b in (("x", bx), ("y", by)))
+        grid = np.zeros((block + 2, block + 2))
+        grid[y, x] = np.array(table.column("depth"), float)
+        gx, gy = np.zeros(grid.shape), np.zeros(grid.shape)
+        for i in (-1, 0, 1):
+            for j in (-1, 0, 1):
+                near = np.zeros(grid.shape)
+                near[1:-1, 1:-1] = grid[1 + j : block + 1 + j, 1 + i : block + 1 + i]
+                gx += i * (4.0 if j == 0 else 2.0) * near
+                gy += j * (4.0 if i == 0 else 2.0) * near
+        keep = np.maximum(0.0, 1 - np.hypot(gx, gy))[y, x]
+        own = (x >= 1) & (x <= block) & (y >= 1) & (y <= block)
+        conf = pa.array(np.array(table.column("conf"), float) * keep)
+        at = table.schema.get_field_index("conf")
+        return table.set_column(at, "conf", conf).filter(pa.array(own)).drop_columns(["__bx", "__by"])
+
+    fields = ", ".join(f"`{c}` {'double' if c == 'conf' else depths.schema[c].dataType.simpleString()}" for c in columns + others)
+    return spread.select(*columns, *others, "__bx", "__by").groupBy("image_id", "__bx", "__by").applyInArrow(graded, fields).select(depths.columns)

@@ -11,6 +11,8 @@ from ..sources.shared import stash
 
 BEST = "src long, dst long, a long, b long, forward boolean, score double"
 BLOCK = 8192
+#: Rows of a block that are multiplied at a time.
+STRIP = 512
 
 
 def _matrix(column) -> np.ndarray:
@@ -29,11 +31,17 @@ def _best(metric: str):
         by_a, by_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
         a, b = a[by_a], b[by_b]
         x, y = _matrix(left.column("v"))[by_a], _matrix(right.column("v"))[by_b]
-        s = x @ y.T
-        if metric == "l2":
-            s = -np.sqrt(np.maximum(0.0, (x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * s))
-        to, fro = s.argmax(axis=1), s.argmax(axis=0)
-        cols = (np.concatenate([a, a[fro]]), np.concatenate([b[to], b]), np.repeat([True, False], [len(a), len(b)]), np.concatenate([s[np.arange(len(a)), to], s[fro, np.arange(len(b))]]))
+        to, there = np.empty(len(a), np.int64), np.empty(len(a))
+        fro, back = np.zeros(len(b), np.int64), np.full(len(b), -np.inf)
+        for i in range(0, len(a), STRIP):
+            part = x[i : i + STRIP]
+            s = part @ y.T
+            if metric == "l2":
+                s = -np.sqrt(np.maximum(0.0, (part * part).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * s))
+            to[i : i + STRIP], there[i : i + STRIP] = s.argmax(axis=1), s.max(axis=1)
+            first, best = s.argmax(axis=0), s.max(axis=0)
+            fro, back = np.where(best > back, first + i, fro), np.maximum(best, back)
+        cols = (np.concatenate([a, a[fro]]), np.concatenate([b[to], b]), np.repeat([True, False], [len(a), len(b)]), np.concatenate([there, back]))
         n = len(cols[0])
         return pa.table(dict(zip(names, (np.full(n, src), np.full(n, dst), *cols))))
 
@@ -172,6 +180,13 @@ def lookup(matches: DataFrame, values: DataFrame, col: str = "pix1", image: str
     return matches.join(values.withColumnsRenamed({"image_id": image, "pix": col}), [image, col])
 
 
+def top_by_norm(features: DataFrame, n: int) -> DataFrame:
+    """Each image's n features (image_id, pos, feat) of largest norm, ties to the smaller position, with norm and rank."""
+    norm = F.sqrt(F.aggregate("feat", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    order = Window.partitionBy("image_id").orderBy(F.desc("norm"), "pos")
+    return features.withColumn("norm", norm).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+
 def top_local(features: DataFrame, k: int) -> DataFrame:
     """Each image's k features of most attention, ties to the smaller position; k < 0: that part in percent."""
     order = Window.partitionBy("image_id").orderBy(F.desc("attn"), "pos")

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import placed, stash
+from ..sources.shared import placed, stash, sums_before
 from .components import connected_components
 
 
@@ -217,9 +217,8 @@ def observed_pairs(edges: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def offsets(counts: DataFrame) -> DataFrame:
-    """counts(image_id, n) with the number of items of all images before; one row per image is ordered."""
-    before = Window.orderBy("image_id").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    """counts(image_id, n) with the number of items of all images before."""
+    return sums_before(counts, "n", "image_id", name="offset")
 
 
 def track_positions(observations: DataFrame, position: str = "pos") -> DataFrame:

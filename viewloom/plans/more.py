@@ -187,8 +187,8 @@ def _views(spark, sf):
     return v.select("pair_id", "side", "pix", (z * (u - 9.5) / 25 + shift).alias("x"), (z * (w - 7) / 25).alias("y"), "z", *camera)
 
 
-@query("reprojected_matches", sql("frames", _VIEWS + """, p AS (SELECT pair_id, side, pix, CAST(greatest(0, least(round_even(25 * (x - (2 - side) * 0.5) / z + 9.5, 0), 19)) + 20 * greatest(0, least(round_even(25 * y / z + 7, 0), 14)) AS BIGINT) AS t FROM v)
-SELECT a.pair_id, a.pix AS pix1, b.pix AS pix2 FROM p a JOIN p b ON a.pair_id = b.pair_id AND a.side = 1 AND b.side = 2 AND a.t = b.pix AND b.t = a.pix"""))
+@query("reprojected_matches", sql("frames", _VIEWS + """, p AS MATERIALIZED (SELECT pair_id, side, pix, CAST(greatest(0, least(round_even(25 * (x - (2 - side) * 0.5) / z + 9.5, 0), 19)) + 20 * greatest(0, least(round_even(25 * y / z + 7, 0), 14)) AS BIGINT) AS t FROM v)
+SELECT a.pair_id, a.pix AS pix1, b.pix AS pix2 FROM (SELECT * FROM p WHERE side = 1) a JOIN (SELECT * FROM p WHERE side = 2) b ON a.pair_id = b.pair_id AND a.t = b.pix WHERE b.t = a.pix"""))
 def _(spark, sf):
     return flows.reprojected_matches(_views(spark, sf), (20, 15))
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import canonical, flows, footprints, kernels, refine, tracks
-from ..sources import model, readers
+from ..operators import canonical, flows, footprints, kernels, refine, spectral, tracks
+from ..sources import files, model, readers
 from ..sources.cache import PairCache
 from ..sources.shared import new_folder, stash
 from . import catalog
@@ -252,3 +252,56 @@ def _(spark, sf):
     compute = lambda p: flows.match_pairs(d, p, 0.0, sparse=False)
     cache.fill(pairs.where("(src + dst) % 3 <> 0"), compute)
     return cache.through(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")), compute).select("src", "dst", "a", "b")
+
+
+# --- low-rank depths
+
+@query("low_rank_fit", "WITH " + _MAPS + " SELECT image_id, CAST(count(*) AS INT) AS n, CAST(least(count(*), 400) AS INT) AS rank, round(sum(depth), 4) AS total, round(sum(depth * depth), 2) AS energy FROM d GROUP BY 1")
+def _(spark, sf):
+    """With as many vectors as anchors the depths come back whole."""
+    d, c, _ = _maps(spark, sf)
+    models = stash(spectral.low_rank_depths(d, c, 400), "models")
+    back = spectral.depths_of(models).groupBy("image_id").agg(F.round(F.sum("depth"), 4).alias("total"), F.round(F.sum(F.col("depth") * F.col("depth")), 2).alias("energy"))
+    return models.select("image_id", "n", "rank").join(back, "image_id")
+
+
+@query("low_rank_depths")
+def _(spark, sf):
+    d, c, _ = _maps(spark, sf)
+    return rounded(spectral.depths_of(spectral.low_rank_depths(d, c, 12)))
+
+
+# --- SQL of iterative operators
+
+ORACLES["greedy_cover"] = "WITH RECURSIVE " + sql("cover", """total AS (SELECT sum(w) AS t FROM (SELECT max(w) AS w FROM cover GROUP BY col) q),
+g AS (
+  SELECT 0 AS step, row, col, w::DOUBLE AS w, 0.0::DOUBLE AS got, CAST(-1 AS BIGINT) AS pick, 0.0::DOUBLE AS gain FROM cover
+  UNION ALL (
+    WITH best AS (SELECT row AS pick, sum(w) AS gain FROM g GROUP BY row ORDER BY gain DESC, row LIMIT 1),
+    taken AS (SELECT g.col, g.w FROM g JOIN best ON row = best.pick)
+    SELECT step + 1, g.row, g.col, greatest(g.w - coalesce(taken.w, 0), 0), got + best.gain, best.pick, best.gain
+    FROM g CROSS JOIN best CROSS JOIN total LEFT JOIN taken ON taken.col = g.col WHERE got < 0.9 * t - 1e-12 AND best.gain > 0))
+SELECT DISTINCT CAST(step - 1 AS INT) AS ord, pick AS row, round(gain, 6) AS gain FROM g WHERE step > 0""").removeprefix("WITH ")
+
+#: Nodes of the tree with their paths from a root; breadth-first order is by length of the path and then the path.
+_WALK = "{n}(node, path) AS (SELECT {root}, [{root}] UNION ALL SELECT t.b, list_append(path, t.b) FROM {n} JOIN both_ways t ON t.a = node WHERE NOT list_contains(path, t.b))"
+
+ORACLES["max_spanning_tree"] = "WITH RECURSIVE " + sql("dist", """e AS (SELECT least(i, j) AS i, greatest(i, j) AS j, max(1 - d) AS s FROM dist WHERE 1 - d <> 0 AND i <> j GROUP BY 1, 2),
+grown(nodes, i, j) AS (
+  SELECT [(SELECT min(i) FROM e)], NULL::BIGINT, NULL::BIGINT
+  UNION ALL SELECT * FROM (SELECT list_append(nodes, CASE WHEN list_contains(nodes, e.i) THEN e.j ELSE e.i END), e.i, e.j FROM grown, e WHERE list_contains(nodes, e.i) <> list_contains(nodes, e.j) ORDER BY s DESC, e.i, e.j LIMIT 1) q),
+both_ways AS (SELECT i AS a, j AS b FROM grown WHERE i IS NOT NULL UNION ALL SELECT j, i FROM grown WHERE i IS NOT NULL),
+""" + _WALK.format(n="first_walk", root="(SELECT min(a) FROM both_ways)") + """,
+far AS (SELECT node FROM first_walk ORDER BY len(path) DESC, path DESC LIMIT 1),
+""" + _WALK.format(n="second_walk", root="(SELECT node FROM far)") + """,
+middle AS (SELECT path[len(path) - len(path) // 2] AS node FROM second_walk ORDER BY len(path) DESC, path DESC LIMIT 1),
+""" + _WALK.format(n="third_walk", root="(SELECT node FROM middle)") + """
+SELECT CAST(row_number() OVER (ORDER BY len(path), path) - 1 AS INT) AS ord, path[len(path) - 1] AS parent, node AS child FROM third_walk WHERE len(path) > 1""").removeprefix("WITH ")
+
+
+@query("ply_of_every_third", sql("points", """k AS (SELECT pos, x, y, row_number() OVER (ORDER BY pos) - 1 AS n FROM points), t AS (SELECT pos, CASE WHEN x = floor(x) THEN x::BIGINT::VARCHAR ELSE x::VARCHAR END AS x, CASE WHEN y = floor(y) THEN y::BIGINT::VARCHAR ELSE y::VARCHAR END AS y FROM k WHERE n % 3 = 0)
+SELECT CAST(-1 AS BIGINT) AS point_id, 'ply' || chr(10) || 'format ascii 1.0' || chr(10) || 'element vertex ' || count(*) || chr(10) || 'property float x' || chr(10) || 'property float y' || chr(10) || 'property float z' || chr(10) || 'property float nx' || chr(10) || 'property float ny' || chr(10) || 'property float nz' || chr(10) || 'property uchar red' || chr(10) || 'property uchar green' || chr(10) || 'property uchar blue' || chr(10) || 'end_header' AS value FROM t
+UNION ALL SELECT pos, x || ' ' || y || ' 2 0 1 0 10 20 30' FROM t"""))
+def _(spark, sf):
+    p = base(spark, sf, "points")
+    return files.ply_text(files.every_nth(p, 3, "pos").select(F.col("pos").alias("point_id"), "x", "y", F.lit(2.0).alias("z"), F.lit(10).alias("r"), F.lit(20).alias("g"), F.lit(30).alias("b")))

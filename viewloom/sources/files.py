@@ -41,12 +41,20 @@ def _size(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([image_size(bytes(c)) or (None, None) for c in content], columns=["width", "height"])
 
 
-def read_images(spark: SparkSession, folder: str, recursive: bool = True, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
-    """path (below folder), width, height of each decodable image file; suffixes match in any case."""
+def read_images(spark: SparkSession, folder: str, recursive: bool = True, suffixes: tuple[str, ...] | None = SUFFIXES, gaps: bool = False) -> DataFrame:
+    """path (below folder), width, height of each decodable image file; suffixes match in any case, None matches all.
+
+    gaps: also image_id, the file's place from 0 in order of path among all that match, decodable or not.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(folder)
-    rows = files.where(F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*suffixes)).select("path", _size("content").alias("s"))
+    if suffixes is not None:
+        files = files.where(F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*suffixes))
     base = folder.split("://")[-1].removeprefix("file:").rstrip("/") + "/"
-    return rows.where("s.width IS NOT NULL").select(F.element_at(F.split("path", F.lit("\\Q" + base + "\\E")), -1).alias("path"), "s.width", "s.height")
+    below = F.element_at(F.split("path", F.lit("\\Q" + base + "\\E")), -1).alias("path")
+    rows = files.select(below, _size("content").alias("s")).select("path", "s.width", "s.height")
+    if gaps:
+        rows = placed(rows, "path", name="image_id")
+    return rows.where("width IS NOT NULL")
 
 
 def require_images(images: DataFrame, least: int = 2) -> DataFrame:

@@ -43,10 +43,15 @@ def placed(rows: DataFrame, *order: str, name: str = "place") -> DataFrame:
     Rows are dealt to ranges; each range numbers its own, after as many rows as the ranges before it hold.  What is
     ordered in one task is a range, and the table of their sizes.
     """
+    return sums_before(rows.withColumn("__one", F.lit(1).cast("long")), "__one", *order, name=name).drop("__one")
+
+
+def sums_before(rows: DataFrame, value: str, *order: str, name: str = "before") -> DataFrame:
+    """rows with the sum of a whole-number column over all rows before them in the given order, by ranges as well."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = stash(rows.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()), "ranges")
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
-    sizes = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    own = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
-    return dealt.join(F.broadcast(sizes), "__range").withColumn(name, F.col("__before") + own - 1).drop("__range", "__before")
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("__range").agg(F.sum(value).alias("__n"))
+    sizes = sizes.select("__range", F.coalesce(F.sum("__n").over(earlier(Window.orderBy("__range"))), F.lit(0)).alias("__before"))
+    own = F.coalesce(F.sum(value).over(earlier(Window.partitionBy("__range").orderBy(*order))), F.lit(0))
+    return dealt.join(F.broadcast(sizes), "__range").withColumn(name, F.col("__before") + own).drop("__range", "__before")
