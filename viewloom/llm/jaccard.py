@@ -9,10 +9,14 @@ prefixes keep those alone.
 A token that many sets post does not make all their pairs:
   1. each token links its sets to one of them, the head, the one with the fewest tokens of its own;
   2. a token whose sets then are in one component is done; of the others, those of few sets are paired;
-  3. large ones are centred anew.  With x' = x ^ h and y' = y ^ h, symmetric differences with a head h, x ^ y is
+  3. sets of large ones must agree in whole parts too.  Tokens are dealt to one part more than the most by which two
+     similar sets of such sizes differ, so one part at least is the same in both.  Sets that share many tokens, but
+     not nearly all, seldom have such a part in common.  Groups of equal parts go through 1 and 2;
+  4. large ones of these are centred.  With x' = x ^ h and y' = y ^ h, symmetric differences with a head h, x ^ y is
      x' ^ y'.  So for two sets that are similar, of which one is not similar to h, x' and y' must overlap, by a
      number that lengths tell; this again is a prefix filter, over differences, and edits of one text seldom agree.
-     Its tokens make new groups, per head, which go back to 2, and are paired in any case after the last round.
+     Its tokens make new groups, per head, which go through 2 and are centred anew;
+  5. what large groups still leave apart is paired where it shares such a token and a part.
 Components after all that are those of all links.
 
 Words, shingles and sets are told apart by 64-bit hashes: among n distinct ones some two agree with odds of about
@@ -35,7 +39,7 @@ SALTS = (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 ROWS = "kind int, id long, n long, node long, own long, text_key long, first array<long>, second array<long>, third array<long>, blob binary"
 CENTRED = "head long, node long, n long, own long, d long, linked boolean, tokens array<long>"
 MEMBER, SET = 0, 1
-#: Groups of at most so many sets are paired; larger ones are centred on a head of theirs first, so many times.
+#: Groups of at most so many sets are paired; larger ones are centred on a head of theirs, so many times.
 PAIRED, ROUNDS = 32, 2
 #: Frequencies are asked for by 52 bits of a hash; hashes that meet there only count as more frequent.
 MASK = np.uint64((1 << 64) - (1 << 12))
@@ -164,6 +168,42 @@ def _centre(percent: int):
     return centre
 
 
+def size_window(n: int, percent: int) -> list[tuple[int, int]]:
+    """The windows that a set of n tokens is in, as (number, parts).
+
+    Two similar sets share the window of the smaller one, in which they differ by fewer tokens than it has parts.
+    """
+    low, high, number, found = 1, 2, 0, []
+    while low <= n:
+        # sizes low to high - 1; a set of that size is similar to sets of up to 100 / percent times as many tokens
+        largest = 100 * (high - 1) // percent
+        after = max(high + 1, largest + 1)
+        if n < after:
+            found.append((number, (100 - percent) * (high - 1 + largest) // (100 + percent) + 1))
+        low, high, number = high, after, number + 1
+    return found
+
+
+def part_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """A hash for each window and part of a set, of its window, number and tokens."""
+    keys = []
+    for number, parts in size_window(len(tokens), percent):
+        part = mix64(tokens ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(parts)
+        content = np.zeros(parts, np.uint64)
+        np.add.at(content, part.astype(np.int64), mix64(tokens + np.uint64(0x9FB21C651E98DF25)))
+        keys.append(mix64(content ^ mix64(np.arange(parts, dtype=np.uint64) + (np.uint64(number + 1) << np.uint64(40)))))
+    return np.concatenate(keys)
+
+
+def _parted(percent: int):
+    def parted(batches):
+        for batch in batches:
+            keys = [part_keys(blocks.load_sorted(x)[0], percent).view(np.int64).tolist() for x in batch.column("blob").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), batch.column("own"), pa.array(keys, pa.list_(pa.int64()))], ["node", "n", "own", "tokens"])
+
+    return parted
+
+
 def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) with both sets."""
     one = sets.select(F.col("node").alias("a"), F.col("blob").alias("x"))
@@ -191,8 +231,8 @@ def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", k:
     text or one without words has an empty set and links with nothing: component_id is its own id (null for a null
     id, which counts as larger than all others where it links).  Repeated rows stay repeated.  An empty table gives
     an empty result.  Other columns are not read.
-    paired, rounds: groups of at most so many sets are paired, and how often larger ones are centred before; they
-    change the work, not the result.  keys: return also text_key, xxhash64 of the row's text, and component, a number
+    paired, rounds: groups of at most so many sets are paired, and how often larger ones are centred; they change the
+    work, not the result.  keys: return also text_key, xxhash64 of the row's text, and component, a number
     of the group that is its alone even where ids repeat (null for empty sets).
     """
     buckets = blocks.buckets_for(docs)
@@ -213,27 +253,49 @@ def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", k:
         found = postings.groupBy(group).agg(F.min_by(F.struct("node", "n", "own", "d"), F.struct("own", "node")).alias("h"), F.count("*").alias("size")).where("size > 1")
         return found.select(*group, F.col("h.node").alias("its_node"), F.col("h.n").alias("m"), F.col("h.own").alias("its_own"), F.col("h.d").alias("its_d"))
 
-    stars = postings.join(heads_of(postings), group).where((F.col("node") != F.col("its_node")) & fits).select(*_ordered("node", "its_node")).distinct()
-    links = common.stash(verified(common.stash(stars, "stars"), sets, percent), "links")
-    parts = connected_components(links)
+    def stars(postings: DataFrame) -> DataFrame:
+        found = postings.join(heads_of(postings), group).where((F.col("node") != F.col("its_node")) & fits).select(*_ordered("node", "its_node")).distinct()
+        return common.stash(verified(common.stash(found, "stars"), sets, percent), "links")
 
-    for left in range(rounds, -1, -1):
-        # what the sets of a group still leave apart
+    def apart(postings: DataFrame, parts: DataFrame) -> DataFrame:
+        """The groups whose sets are in several components, with their sizes."""
         placed = postings.join(parts, "node", "left").select(*group, "node", "n", "own", "d", F.coalesce("component", "node").alias("component"))
         size = placed.groupBy(group).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high")
-        placed = common.stash(placed.join(size.select(*group, "size"), group), "open")
-        small = placed.where(F.col("size") <= paired) if left else placed
-        other = small.select(*group, F.col("node").alias("other"), F.col("n").alias("m"), F.col("own").alias("its_own"), F.col("d").alias("its_d"), F.col("component").alias("there"))
-        apart = small.join(other, group).where((F.col("component") < F.col("there")) & fits)
-        pairs = common.stash(apart.select(*_ordered("node", "other")).distinct(), "apart")
-        links = links.union(common.stash(verified(pairs, sets, percent), "links"))
-        large = placed.where(F.col("size") > paired)
-        if not left or large.isEmpty():
-            break
-        centred = large.join(heads_of(large), group).where("node <> its_node").select(F.col("its_node").alias("a"), F.col("node").alias("b")).distinct()
-        centred = common.stash(with_sets(centred, sets).mapInArrow(_centre(percent), CENTRED), "centred")
-        links = links.union(centred.where("linked").select(F.col("head").alias("a"), F.col("node").alias("b")))
-        postings = centred.select("head", F.explode("tokens").alias("token"), "node", "n", "own", "d")
+        return common.stash(placed.join(size.select(*group, "size"), group), "open")
+
+    def paired_links(placed: DataFrame, group: list[str] = group) -> DataFrame:
+        other = placed.select(*group, F.col("node").alias("other"), F.col("n").alias("m"), F.col("own").alias("its_own"), F.col("d").alias("its_d"), F.col("component").alias("there"))
+        pairs = placed.join(other, group).where((F.col("component") < F.col("there")) & fits)
+        pairs = common.stash(pairs.select(*_ordered("node", "other")).distinct(), "apart")
+        return common.stash(verified(pairs, sets, percent), "links")
+
+    def settle(postings: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links of what small groups leave apart, and the large groups."""
+        placed = apart(postings, parts)
+        return paired_links(placed.where(F.col("size") <= paired)), placed.where(F.col("size") > paired)
+
+    links = stars(postings)
+    parts = connected_components(links)
+    more, large = settle(postings, parts)
+    links = links.union(more)
+    if not large.isEmpty():
+        nodes = large.select("node").distinct().join(sets, "node").select("node", "n", "own", "blob").mapInArrow(_parted(percent), "node long, n long, own long, tokens array<long>")
+        equal = common.stash(nodes.select(F.lit(0).cast("long").alias("head"), F.explode("tokens").alias("token"), "node", "n", "own", F.col("n").alias("d")), "parts")
+        links = common.stash(links.union(stars(equal)), "links")
+        parts = connected_components(links)
+        more, large = settle(equal, parts)
+        links = links.union(more)
+        for _ in range(rounds):
+            if large.isEmpty():
+                break
+            centred = large.join(heads_of(large), group).where("node <> its_node").select(F.col("its_node").alias("a"), F.col("node").alias("b")).distinct()
+            centred = common.stash(with_sets(centred, sets).mapInArrow(_centre(percent), CENTRED), "centred")
+            links = links.union(centred.where("linked").select(F.col("head").alias("a"), F.col("node").alias("b")))
+            more, large = settle(centred.select("head", F.explode("tokens").alias("token"), "node", "n", "own", "d"), parts)
+            links = links.union(more)
+        if not large.isEmpty():
+            both = large.drop("size").join(equal.select("node", F.col("token").alias("part")), "node")
+            links = links.union(paired_links(both, [*group, "part"]))
     parts = connected_components(common.stash(links, "links"))
 
     # a set's component as its smallest id, over all rows that have the set
@@ -243,8 +305,8 @@ def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", k:
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     placed = named.join(smallest, "component").select("node", "component", "component_id")
     out = members.join(placed, "node", "left")
-    more = ["text_key", "component"] if keys else []
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), *more)
+    columns = ["text_key", "component"] if keys else []
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), *columns)
 
 
 def op7_jaccard(spark, sf_dir: str) -> DataFrame:
