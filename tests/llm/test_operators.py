@@ -166,6 +166,19 @@ def test_bpe(spark, lexicon_words):
     assert got(found, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == order(brute.bpe(rows, bpe.default_path()))
 
 
+def test_bpe_encodes_distinct_pieces(monkeypatch):
+    """Words are looked for once in each distinct piece between white space, and rare ones merged together."""
+    v = bpe.Vocabulary(open(bpe.default_path(), encoding="utf-8").read())
+    words = [b"e" * n for n in range(1, 90)] + ["größte".encode(), b"unfathomableness", b"x", b"!?!", b"\x1c\x1d"]
+    assert v.merge_all(words) == [v.merge(w) for w in words] and v.merge_all([]) == []
+    asked = []
+    encoder = bpe.Encoder(v, bpe.Lexicon.build([], []))
+    monkeypatch.setattr(v, "pattern", type("P", (), {"findall": lambda self, t, found=v.pattern.findall: asked.append(t) or found(t)})())
+    texts = ["Same thing, again\u2003and again,\x1cand\x85 AGAIN  " * 50, "", " \n", "same<|endoftext|> thing<|STARTOFTEXT|>", "ΑΣ Ας é é"]
+    encoder.encode(texts)
+    assert len(asked) == len(set(asked)) < 20
+
+
 def test_lexicon_shares_suffixes(tmp_path):
     words = sorted([b"walking", b"talking", b"walk", b"talk", b"", b"king"])
     made = bpe.Lexicon.build(words, [[i, i] for i in range(len(words))])

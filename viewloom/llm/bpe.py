@@ -2,7 +2,8 @@
 
 The frequent words of the corpus are encoded once and compiled into a shared-suffix automaton, numbered by the words
 before them; the number leads to the word's ids.  The automaton is one file in the shared folder, mapped by the
-workers.  Words that it does not have are merged pair by pair, lowest rank first, and remembered for a while.
+workers.  Words that it does not have are merged pair by pair, lowest rank first, all words of a slice together.  No
+word crosses white space, so what stands between is encoded and decoded once and remembered for a while.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from .blocks import record
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 LEXICON_WORDS = 32768
 MEMO_WORDS = 400_000
+#: Longest word, in bytes, that is merged together with others.
+TOGETHER = 40
 
 
 def default_path() -> str:
@@ -57,11 +60,19 @@ class Vocabulary:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
+        self.base = max(self.ids.values()) + 1
+        keys = np.array([a * self.base + b for a, b in self.merges], np.int64)
+        order = np.argsort(keys)
+        self.pair_key = keys[order]
+        self.pair_rank = np.array([r for r, _ in self.merges.values()], np.int32)[order]
+        self.made = np.zeros(len(model["merges"]), np.int32)
+        self.made[self.pair_rank] = np.array([i for _, i in self.merges.values()], np.int32)[order]
         letters = byte_letters()
         self.inner = [self.ids[c] for c in letters]
         self.last = [self.ids[c + self.suffix] for c in letters]
         steps = spec["pre_tokenizer"]["pretokenizers"]
         self.pattern = regex.compile(steps[0]["pattern"]["Regex"], regex.V0)
+        self.blank = regex.compile(r"[^\S\x00-\x7F]", regex.V0)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
 
     def merge(self, word: bytes) -> list[int]:
@@ -69,7 +80,7 @@ class Vocabulary:
         ids = [self.inner[b] for b in word]
         ids[-1] = self.last[word[-1]]
         merges = self.merges
-        if len(ids) > 40:
+        if len(ids) > TOGETHER:
             return self._merge_long(ids)
         while len(ids) > 1:
             best, at = None, -1
@@ -102,21 +113,66 @@ class Vocabulary:
                     heapq.heappush(heap, (m[0], x, m[1], ids[x], ids[y]))
         return [x for x, keep in zip(ids, alive) if keep]
 
-    def words(self, text: str) -> list[str]:
-        """The normalised text's words; special tokens stand as themselves."""
-        if "<|" not in text:
-            return self._plain(text)
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair of ids, the largest number where it is none."""
+        key = a.astype(np.int64) * self.base + b
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+        return np.where((self.pair_key[at] == key) & (a >= 0) & (b >= 0), self.pair_rank[at], np.iinfo(np.int32).max)
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """merge of each word; those of similar length take each step together, a row each."""
+        out: list[list[int]] = [[]] * len(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        for i in np.flatnonzero((sizes > TOGETHER) | (not len(self.pair_key))).tolist():
+            out[i] = self.merge(words[i])
+        least = 0
+        for most in (4, 8, 12, 16, 24, TOGETHER) if len(self.pair_key) else ():
+            rows = np.flatnonzero((sizes > least) & (sizes <= most))
+            least = most
+            if not len(rows):
+                continue
+            n = sizes[rows]
+            body = np.frombuffer(b"".join([words[i].ljust(most, b"\0") for i in rows.tolist()]), np.uint8).reshape(-1, most)
+            ids = np.where(np.arange(most) < n[:, None], np.array(self.inner, np.int32)[body], np.int32(-1))
+            ids[np.arange(len(rows)), n - 1] = np.array(self.last, np.int32)[body[np.arange(len(rows)), n - 1]]
+            rank = self._ranks(ids[:, :-1], ids[:, 1:])
+            while len(rows):
+                # the leftmost of equals; a merge shortens every row that is left by one
+                best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(rows), np.int64)
+                low = rank[np.arange(len(rows)), best] if rank.shape[1] else np.full(len(rows), np.iinfo(np.int32).max)
+                more = low < np.iinfo(np.int32).max
+                for i, row in zip(rows[~more].tolist(), ids[~more].tolist()):
+                    out[i] = row[: row.index(-1)] if row[-1] < 0 else row
+                rows, ids, rank, best, low = rows[more], ids[more], rank[more], best[more], low[more]
+                if not len(rows):
+                    break
+                every, width = np.arange(len(rows)), ids.shape[1] - 1
+                ids[every, best] = self.made[low]
+                at = np.arange(width)
+                ids = np.where(at > best[:, None], ids[:, 1:], ids[:, :-1])
+                at = np.arange(width - 1)
+                rank = np.where(at > best[:, None], rank[:, 1:], rank[:, :-1])
+                after = best < width - 1
+                rank[every[after], best[after]] = self._ranks(ids[every[after], best[after]], ids[every[after], best[after] + 1])
+                before = best > 0
+                rank[every[before], best[before] - 1] = self._ranks(ids[every[before], best[before] - 1], ids[every[before], best[before]])
+        return out
+
+    def parts(self, text: str) -> list[tuple[bool, str]]:
+        """Whether it is a special token, and the text, of each part of a text with such tokens."""
         out, at = [], 0
         for m in self.cut.finditer(text):
-            out += self._plain(text[at : m.start()])
-            out.append(m.group())
+            out += [(False, text[at : m.start()]), (True, m.group())]
             at = m.end()
-        return out + self._plain(text[at:])
+        return [*out, (False, text[at:])]
 
-    def _plain(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.pattern.findall(text.lower())
+    def pieces(self, texts: list[str]) -> pa.ListArray:
+        """What stands between white space in each normalised text, special tokens not looked for; one empty piece if nothing."""
+        plain = [t.lower() if t.isascii() else self.blank.sub(" ", unicodedata.normalize("NFC", t).replace("Σ", "σ").lower()) for t in texts]
+        return pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pa.array(plain, pa.string())))
+
+    def special_at(self, texts: list[str]) -> list[int]:
+        return [i for i, t in enumerate(texts) if "<|" in t and self.cut.search(t)]
 
 
 class Lexicon:
@@ -185,7 +241,7 @@ class Lexicon:
 
         fs, path = common.open_fs(uri)
         if isinstance(fs, arrow_fs.LocalFileSystem):
-            data = np.memmap(path, np.uint8, "r")
+            data = np.asarray(np.memmap(path, np.uint8, "r"))
         else:
             with fs.open_input_file(path) as file:
                 data = np.frombuffer(file.read(), np.uint8)
@@ -221,28 +277,59 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes words through the lexicon, else by merging; keeps what it has seen, up to a bound."""
+    """Encodes pieces of texts through the lexicon, else by merging; keeps what it has seen, up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.start = {t: str(i) for t, i in vocabulary.special.items()}
-        self.memo = dict(self.start)
-
-    def encode(self, documents: list[list[str]]) -> list[str]:
-        """Each document's ids in decimal, joined by a space."""
-        new = set()
-        for words in documents:
-            new.update(words)
+        self.memo: dict[str, tuple[str, str]] = {}
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Each text's ids in decimal, joined by a space, and what they decode to."""
+        special = self.vocabulary.special_at(texts)
+        return self._with_special(texts, set(special)) if special else self._plain(texts)
+
+    def _plain(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        pieces = self.vocabulary.pieces(texts)
+        coded = pieces.flatten().dictionary_encode()
+        known = self._known(coded.dictionary.to_pylist())
+        whole = []
+        for i in (0, 1):
+            strings = pa.array([k[i] for k in known], pa.string()).take(coded.indices)
+            joined = pc.binary_join(pa.ListArray.from_arrays(pieces.offsets, strings), " ")
+            whole.append(joined.cast(pa.binary()).to_pylist())
+        return tuple(whole)
+
+    def _with_special(self, texts: list[str], special: set[int]) -> tuple[list[bytes], list[bytes]]:
+        """The same where some texts hold special tokens: their parts are encoded as texts."""
+        v = self.vocabulary
+        cut = [v.parts(t) if i in special else [(False, t)] for i, t in enumerate(texts)]
+        plain = zip(*self._plain([t for parts in cut for own, t in parts if not own]))
+        rows = [[(b"%d" % v.special[t], t.encode()) if own else next(plain) for own, t in parts] for parts in cut]
+        return tuple([b" ".join([p[i] for p in parts if p[0]]) for parts in rows] for i in (0, 1))
+
+    def _known(self, pieces: list[str]) -> list[tuple[str, str]]:
+        """Ids and decoded text of each piece."""
         if len(self.memo) > MEMO_WORDS:
-            self.memo = dict(self.start)
+            self.memo = {}
         memo = self.memo
-        new = [w for w in new if w not in memo]
-        if new:
-            data = [w.encode() for w in new]
-            at, ids = self.lexicon.at, self.lexicon.ids
-            for word, raw, i in zip(new, data, self.lexicon.find(data).tolist()):
-                memo[word] = " ".join(map(str, ids[at[i] : at[i + 1]].tolist() if i >= 0 else self.vocabulary.merge(raw)))
-        return [" ".join([memo[w] for w in words]) for words in documents]
+        new = [p for p in pieces if p not in memo]
+        split = [self.vocabulary.pattern.findall(p) for p in new]
+        known = self._words({w for words in split for w in words})
+        for piece, words in zip(new, split):
+            ids = " ".join([known[w] for w in words])
+            memo[piece] = (ids, self.decode(ids))
+        return [memo[p] for p in pieces]
+
+    def _words(self, words: set[str]) -> dict[str, str]:
+        """The ids of each word."""
+        words = list(words)
+        data = [w.encode() for w in words]
+        if not words:
+            return {}
+        at, ids = self.lexicon.at, self.lexicon.ids
+        numbers = self.lexicon.find(data).tolist()
+        merged = iter(self.vocabulary.merge_all([d for d, i in zip(data, numbers) if i < 0]))
+        return {w: " ".join(map(str, ids[at[i] : at[i + 1]].tolist() if i >= 0 else next(merged))) for w, i in zip(words, numbers)}
 
     def decode(self, ids: str) -> str:
         """The tokens of decimal ids, joined by a space."""
@@ -251,18 +338,31 @@ class Encoder:
 
 
 def _count(vocabulary):
+    schema = pa.schema([("piece", pa.string()), ("n", pa.int64())])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, seen = vocabulary.value, Counter()
+        v, seen, held = vocabulary.value, [], 0
 
         def out():
-            yield from record("word string, n long", list(seen), list(seen.values())).to_batches(max_chunksize=50_000)
+            words = Counter()
+            found = pa.Table.from_batches(seen, schema).group_by("piece").aggregate([("n", "sum")])
+            for piece, n in zip(found.column("piece").to_pylist(), found.column("n_sum").to_pylist()):
+                for word in v.pattern.findall(piece):
+                    words[word] += n
+            yield from record("word string, n long", list(words), list(words.values())).to_batches(max_chunksize=50_000)
             seen.clear()
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(v.words(text))
-            if len(seen) > 300_000:
-                yield from out()
+            for part in _slices(batch):
+                texts = part.column(0).to_pylist()
+                for i in v.special_at(texts):
+                    texts[i] = " ".join([t for own, t in v.parts(texts[i]) if not own])
+                found = v.pieces(texts).flatten().value_counts()
+                seen.append(pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], schema=schema))
+                held += len(found)
+                if held > 600_000:
+                    yield from out()
+                    held = 0
         yield from out()
 
     return count
@@ -306,10 +406,10 @@ def _encode(vocabulary, uri: str, with_ids: bool):
         encoder = _OPEN[uri]
         for batch in batches:
             for part in _slices(batch):
-                ids = encoder.encode([encoder.vocabulary.words(t) for t in part.column(1).to_pylist()])
-                decoded = [encoder.decode(x) for x in ids]
-                columns = [part.column(0), [x.count(" ") + 1 if x else 0 for x in ids], [hashlib.sha256(x.encode()).hexdigest() for x in ids], [hashlib.sha256(x.encode()).hexdigest() for x in decoded]]
-                yield from record(OUT + (", ids string, decoded string" if with_ids else ""), *columns, *([ids, decoded] if with_ids else [])).to_batches()
+                ids, decoded = encoder.encode(part.column(1).to_pylist())
+                columns = [part.column(0), [x.count(b" ") + 1 if x else 0 for x in ids], [hashlib.sha256(x).hexdigest() for x in ids], [hashlib.sha256(x).hexdigest() for x in decoded]]
+                texts = [[x.decode() for x in c] for c in (ids, decoded)] if with_ids else []
+                yield from record(OUT + (", ids string, decoded string" if with_ids else ""), *columns, *texts).to_batches()
 
     return encode
 
@@ -326,7 +426,7 @@ def bpe_tokens(docs: DataFrame, *, id_col="doc_id", text_col="text", path: str |
         vocabulary = spark.sparkContext.broadcast(v := Vocabulary(file.read()))
     text = docs.select(common.utf8(text_col).alias("text"))
     counts = text.mapInArrow(_count(vocabulary), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = sorted({w.encode() for w in frequent(counts, lexicon_words) if w not in v.special})
+    words = sorted({w.encode() for w in frequent(counts, lexicon_words)})
     folder = common.new_folder(spark, "lexicon")
     fs, base = common.open_fs(folder)
     fs.create_dir(base, recursive=True)
