@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viewloom.functions import geometry as geo
-from viewloom.operators import canonical, flows, footprints, fusion, kernels, refine, spectral, tracks
+from viewloom.operators import canonical, flows, footprints, fusion, graphs, kernels, refine, retrieval, spectral, tracks
 from viewloom.sources import files
 from viewloom.sources.shared import sums_before
 
@@ -336,3 +336,31 @@ def test_image_numbers_with_gaps(spark, tmp_path):
         (tmp_path / name).write_bytes(content)
     got = lambda **k: sorted(tuple(r) for r in files.read_images(spark, str(tmp_path), gaps=True, **k).collect())
     assert got() == [("a.png", 7, 5, 0), ("c.png", 7, 5, 2)] and got(suffixes=None) == got()
+
+
+def test_blocks_bound_copies_and_tasks(spark):
+    """A vector is sent to a fixed number of blocks until these are full; every two meet once, in strips."""
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(300)], "id long, v array<double>")
+
+    def sums(a, x, b, y):
+        for at in retrieval.in_strips(x, 16):
+            yield [len(a)], [(x[at] @ y.T - 1).sum()]
+
+    for size, blocks in ((64, 25), (300, 1), (16384, 1)):
+        found = retrieval.in_blocks(rows, sums, "n long, s double", size).collect()
+        assert sum(r.s for r in found) == sum(range(300)) ** 2 and len(found) >= max(blocks, 300 // 16)
+        assert sum(r.n for r in found) > 0
+
+
+def test_inverted_file_in_blocks(spark):
+    """Words of several blocks and images of several parts add up; no pair of residuals becomes a row."""
+    data = [(k % 5, k % 3, [math.sin(k), math.cos(3 * k), 0.1 * (k % 7)]) for k in range(60)]
+    words = spark.createDataFrame(data, "image_id long, word long, v array<double>")
+    got = {(r.i, r.j): r.s for r in retrieval.inverted_file_scores(words, words, size=4).collect()}
+    kernel, own = {}, {}
+    for i, w, x in data:
+        own[i] = own.get(i, 0.0) + sum(c * c for c in x) ** 3
+        for j, u, y in data:
+            if w == u:
+                kernel[i, j] = kernel.get((i, j), 0.0) + max(0.0, sum(c * d for c, d in zip(x, y))) ** 3
+    assert got == pytest.approx({k: s / math.sqrt(own[k[0]] * own[k[1]]) for k, s in kernel.items()})

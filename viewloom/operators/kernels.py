@@ -27,7 +27,7 @@ def _nearest(x: np.ndarray, words: np.ndarray, book: np.ndarray, k: int) -> tupl
     """Row, word and squared distance of the k words nearest to each row, nearest first, ties to the smaller word."""
     rows, found, dist = [], [], []
     square = (book * book).sum(1)
-    step = max(1, 4_000_000 // max(1, len(book)))
+    step = max(1, 1_000_000 // max(1, len(book)))
     for at in range(0, len(x), step):
         part = x[at : at + step]
         d = (part * part).sum(1)[:, None] + square[None] - 2 * (part @ book.T)
@@ -73,7 +73,7 @@ def nearest_words(vectors: DataFrame, codebook: DataFrame, k: int = 1, block: in
 
     def near(a, x, b, y):
         i, j, d = _nearest(x, b, y, k)
-        return a[i], b[j], d
+        yield a[i], b[j], d
 
     words = codebook.select(F.col("word").alias("id"), "v")
     pairs = in_blocks(vectors.select("id", "v"), near, "id long, word long, d double", block, words)
