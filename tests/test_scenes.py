@@ -385,3 +385,12 @@ def test_points_on_a_line_as_the_complete_table(spark):
     assert graphs.spanning_tree_on_line(near, metric) == graphs.spanning_tree(dist)
     assert pairs(graphs.retrieval_graph_on_line(near, 3, 2, lambda x, y: 1 - (1 - metric(x, y)))) == pairs(graphs.retrieval_graph(dist, 3, 2))
     assert graphs.spanning_tree_on_line(spark.createDataFrame([(0, 0.0), (1, 20000.0)], "i long, x double"), metric) is None
+
+
+def test_footprints_are_joined_by_key_and_clipped_once(spark):
+    """No side of the join goes through the driver, however small the files look, and pairs are clipped once for both ways."""
+    rows = spark.createDataFrame([(k, [float(k), 0.0, k + 3.0, 0.0, k + 3.0, 2.0, float(k), 2.0], [float(k), 1.0, 0.0, 2.0, 0.0, -1.0]) for k in range(6)], "image_id long, ring array<double>, geo array<double>")
+    found = footprints.footprint_pairs(rows)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("MapInArrow") == 1
+    assert {(r.src, r.dst, r.area) for r in found.collect()} == {(a, b, 6.0 - 2 * abs(a - b)) for a in range(6) for b in range(6) if 0 < abs(a - b) < 3}

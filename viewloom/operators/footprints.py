@@ -38,7 +38,8 @@ def footprint_candidates(footprints: DataFrame) -> DataFrame:
     small = rows.crossJoin(levels).withColumn("grid", F.explode(F.filter("levels", lambda x: x >= F.col("level"))))
     small = spread(small, F.col("grid")).select(F.col("grid").alias("grid"), "cx", "cy", F.struct(*own).alias("a"))
     large = spread(rows, F.col("level")).select(F.col("level").alias("grid"), "cx", "cy", F.struct(*own).alias("b"))
-    both = small.join(large, ["grid", "cx", "cy"])
+    # by size in the file both sides look small, and the driver would gather one of them to broadcast it
+    both = small.join(large.hint("merge"), ["grid", "cx", "cy"])
     ordered = (F.col("a.level") < F.col("b.level")) | (F.col("a.image_id") < F.col("b.image_id"))
     low = {c: F.greatest(F.col(f"a.{c}0"), F.col(f"b.{c}0")) for c in "xy"}
     high = {c: F.least(F.col(f"a.{c}1"), F.col(f"b.{c}1")) for c in "xy"}
@@ -84,7 +85,9 @@ def footprint_pairs(footprints: DataFrame, least_area: float = 0.0) -> DataFrame
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
     rows = rows.mapInArrow(_clipped, f"{fields}, shared array<double>, area double").where(F.col("area") > least_area)
     one = rows.select("src", "dst", "area", "shared", "geo_a", "geo_b")
-    both = one.union(one.select(F.col("dst"), F.col("src"), "area", "shared", F.col("geo_b"), F.col("geo_a")))
+    # each row makes both, so candidates are looked for and clipped once
+    turned = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), "area", "shared", F.col("geo_b").alias("geo_a"), F.col("geo_a").alias("geo_b"))
+    both = one.select(F.explode(F.array(F.struct(*one.columns), turned)).alias("e")).select("e.*")
     at = lambda i, g: world_to_pixel(F.col("shared")[2 * i], F.col("shared")[2 * i + 1], F.col(g))
     both = both.withColumn("p", F.array(*[at(i, "geo_a") for i in range(3)])).withColumn("q", F.array(*[at(i, "geo_b") for i in range(3)]))
     p, q = ([F.col(n)[i] for i in range(3)] for n in "pq")
