@@ -394,3 +394,15 @@ def test_footprints_are_joined_by_key_and_clipped_once(spark):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" not in plan and plan.count("MapInArrow") == 1
     assert {(r.src, r.dst, r.area) for r in found.collect()} == {(a, b, 6.0 - 2 * abs(a - b)) for a in range(6) for b in range(6) if 0 < abs(a - b) < 3}
+
+
+def test_suppression_reaches_into_few_cells(spark):
+    """A point makes four rows, or nine at a cell's edge; the radius itself counts, at cell edges and far out too."""
+    rng = random.Random(5)
+    points = [(7, k, rng.choice([0.0, 6.0, 12.0, -6.0, 1e9]) + rng.choice([0.0, 3.0, 6.0, 0.5 * rng.random()]), rng.choice([0.0, 6.0, 11.5])) for k in range(60)]
+    points.append((8, 0, 0.0, 0.0))
+    frame = spark.createDataFrame(points, "image_id long, kp_idx long, x double, y double")
+    want = [p for p in points if not any(o[0] == p[0] and o[1] < p[1] and math.hypot(o[2] - p[2], o[3] - p[3]) <= 6 for o in points)]
+    kept = tracks.suppress_close(frame, 6.0)
+    assert sorted(map(tuple, kept.collect())) == sorted(want)
+    assert "- 1)" not in kept._jdf.queryExecution().analyzed().toString()

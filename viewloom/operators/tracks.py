@@ -29,11 +29,16 @@ def rounded_keypoints(points: DataFrame, position: str = "pos") -> DataFrame:
 
 
 def suppress_close(points: DataFrame, radius: float) -> DataFrame:
-    """Points (image_id, kp_idx, x, y) that no point of smaller index lies within radius of; a join on grid cells."""
-    cell = lambda c: F.floor(F.col(c) / radius)
-    near = points.withColumn("cx", F.explode(F.sequence(cell("x") - 1, cell("x") + 1))).withColumn("cy", F.explode(F.sequence(cell("y") - 1, cell("y") + 1)))
+    """Points (image_id, kp_idx, x, y) that no point of smaller index lies within radius of; a join on grid cells.
+
+    Cells are twice as wide as the radius, so a point reaches into four of them at most, or a margin further.
+    """
+    cell = lambda v: F.floor(v / (2 * radius))
+    reach = lambda c: F.lit(radius * (1 + 1e-6)) + 1e-12 * F.abs(F.col(c))
+    span = lambda c: F.explode(F.sequence(cell(F.col(c) - reach(c)), cell(F.col(c) + reach(c))))
+    near = points.withColumn("cx", span("x")).withColumn("cy", span("y"))
     near = near.select("image_id", "cx", "cy", F.col("kp_idx").alias("o"), F.col("x").alias("ox"), F.col("y").alias("oy"))
-    rows = points.withColumn("cx", cell("x")).withColumn("cy", cell("y")).join(near, ["image_id", "cx", "cy"])
+    rows = points.withColumn("cx", cell(F.col("x"))).withColumn("cy", cell(F.col("y"))).join(near, ["image_id", "cx", "cy"])
     close = rows.where((F.col("o") < F.col("kp_idx")) & (F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy")) <= radius)).select("image_id", "kp_idx").distinct()
     return points.join(close, ["image_id", "kp_idx"], "left_anti")
 
