@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viewloom.functions import geometry as geo
-from viewloom.operators import canonical, flows, footprints, fusion, graphs, kernels, refine, retrieval, spectral, tracks
+from viewloom.operators import canonical, flows, footprints, fusion, graphs, kernels, refine, retrieval, spectral, tiling, tracks
 from viewloom.sources import files
 from viewloom.sources.shared import sums_before
 
@@ -406,3 +406,16 @@ def test_suppression_reaches_into_few_cells(spark):
     kept = tracks.suppress_close(frame, 6.0)
     assert sorted(map(tuple, kept.collect())) == sorted(want)
     assert "- 1)" not in kept._jdf.queryExecution().analyzed().toString()
+
+
+def test_boxes_of_full_cells_are_dealt(spark):
+    """A cell with many boxes is more than one group, with the same pairs."""
+    rng = random.Random(2)
+    box = lambda k: (k, x := rng.uniform(0, 30), y := rng.uniform(0, 30), x + rng.uniform(0, 20), y + rng.uniform(0, 20))
+    names = lambda s: f"{s}_id long, {s}_x0 double, {s}_y0 double, {s}_x1 double, {s}_y1 double"
+    a, b = [box(k) for k in range(80)], [box(k) for k in range(40)]
+    one, two = spark.createDataFrame(a, names("a")), spark.createDataFrame(b, names("b"))
+    pairs = lambda d: sorted((r.a_id, r.b_id) for r in d.collect())
+    want = sorted((p[0], q[0]) for p in a for q in b if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
+    for most in (1, 7, 8192):
+        assert pairs(tiling.box_join(one, two, 16.0, most=most)) == want

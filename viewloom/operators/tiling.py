@@ -73,9 +73,19 @@ def _celled(boxes: DataFrame, prefix: str, cell: float) -> DataFrame:
     return boxes.withColumn("cx", span("x")).withColumn("cy", span("y"))
 
 
-def box_join(left: DataFrame, right: DataFrame, cell: float = 512.0, on: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs of boxes a_* and b_* that meet: an equi-join on grid cells, each pair in the first cell they share."""
-    rows = _celled(left, "a_", cell).join(_celled(right, "b_", cell), [*on, "cx", "cy"])
+def box_join(left: DataFrame, right: DataFrame, cell: float = 512.0, on: tuple[str, ...] = (), most: int = 8192) -> DataFrame:
+    """Pairs of boxes a_* and b_* that meet: an equi-join on grid cells, each pair in the first cell they share.
+
+    Where a cell holds more than ``most`` boxes of the left, these are dealt to parts, and those of the right go to
+    each part, so that a full cell is no single task's.
+    """
+    keys = [*on, "cx", "cy"]
+    one, two = _celled(left, "a_", cell), _celled(right, "b_", cell)
+    full = one.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(most)).cast("int").alias("__parts")).where("__parts > 1")
+    parts = lambda d: d.join(full, keys, "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
+    one = parts(one).withColumn("__part", F.pmod(F.xxhash64(*[f"a_{c}" for c in ("x0", "y0", "x1", "y1")], *[c for c in left.columns if c.startswith("a_") and c[2:] not in ("x0", "y0", "x1", "y1")]), F.col("__parts")).cast("int")).drop("__parts")
+    two = parts(two).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts")
+    rows = one.join(two, [*keys, "__part"]).drop("__part")
     first = (F.col("cx") == F.greatest(F.floor(F.col("a_x0") / cell), F.floor(F.col("b_x0") / cell))) & (F.col("cy") == F.greatest(F.floor(F.col("a_y0") / cell), F.floor(F.col("b_y0") / cell)))
     return rows.where(first & intersects("a_", "b_")).drop("cx", "cy")
 
