@@ -102,6 +102,18 @@ def test_guarded_tracks(spark, seed, group_edges):
     assert found == plain_tracks(edges)
 
 
+def test_guarded_tracks_rounds(spark, monkeypatch):
+    """Rounds go with merges, not with edges: 900 edges between 60 keypoints, 15 merging edges at a time."""
+    edges = [(i, a, j, b) for i in range(2) for j in range(2, 4) for a in range(15) for b in range(15)]
+    folders = []
+    kept = tracks.stash
+    monkeypatch.setattr(tracks, "stash", lambda df, name: folders.append(name) or kept(df, name))
+    df = spark.createDataFrame(edges, "src long, a_kp long, dst long, b_kp long")
+    found = sorted(tuple(r) for r in tracks.guarded_tracks(df, 15).select("image_id", "kp_id", "track_id").collect())
+    assert found == plain_tracks(edges)
+    assert folders.count("merged") <= 4
+
+
 # --- footprints
 
 def test_footprint_candidates_of_all_sizes(spark):

@@ -85,108 +85,97 @@ def component_tracks(edges: DataFrame) -> DataFrame:
     return parts.select("node.image_id", "node.kp_id", track_name("component").alias("track_id"))
 
 
-def _guarded(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(x, y): the track x that each track y ends in, by edges in order; an edge whose tracks share an image is refused."""
+def _guarded(frames, most: int):
+    """(x, y): the track x that each track y ends in, by each component's edges in order; an edge whose tracks share an
+    image is refused.
+
+    Edges come sorted by component and place and are not kept.  A refused edge keeps nothing either, so what is held is
+    the merged tracks of one component, ``most`` at most: the edge that would bring in more ends its component's turn.
+    """
     parent: dict[tuple, tuple] = {}
     images: dict[tuple, set] = {}
+    part, full, done = None, False, []
 
     def find(x):
-        while parent[x] != x:
+        while parent.get(x, x) != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    for row in pdf.sort_values(["src", "a_kp", "dst", "b_kp"])[["xi", "xk", "yi", "yk", "ix", "iy"]].itertuples(index=False, name=None):
-        ends = row[:2], row[2:4]
-        for v, seen in zip(ends, row[4:]):
-            if v not in parent:
-                parent[v], images[v] = v, set(seen)
-        x, y = sorted(map(find, ends))
-        if x != y and images[x].isdisjoint(images[y]):
+    def merged():
+        return [(*find(v), *v) for v in parent if parent[v] != v]
+
+    for pdf in frames:
+        for row in pdf[["ci", "ck", "xi", "xk", "yi", "yk", "ix", "iy"]].itertuples(index=False, name=None):
+            if row[:2] != part:
+                done += merged()
+                part, full, parent, images = row[:2], False, {}, {}
+            if full:
+                continue
+            ends = row[2:4], row[4:6]
+            roots = [find(v) for v in ends]
+            own = [images[r] if r in parent else set(seen) for r, seen in zip(roots, row[6:])]
+            if roots[0] == roots[1] or not own[0].isdisjoint(own[1]):
+                continue
+            if len(parent) + sum(v not in parent for v in ends) > most:
+                full = True
+                continue
+            parent.update((v, v) for v in ends if v not in parent)
+            x, y = sorted(roots)
             parent[y] = x
-            images[x] |= images.pop(y)
-    return pd.DataFrame([(*find(v), *v) for v in parent if parent[v] != v], columns=["xi", "xk", "yi", "yk"], dtype="int64")
+            images.pop(y, None)
+            less, images[x] = sorted(own, key=len)
+            images[x] |= less
+        yield pd.DataFrame(done, columns=["xi", "xk", "yi", "yk"], dtype="int64")
+        done = []
+    yield pd.DataFrame(merged(), columns=["xi", "xk", "yi", "yk"], dtype="int64")
 
 
-def _apart(live: DataFrame, sets: DataFrame) -> DataFrame:
-    """Edges between two tracks that share no image, with both image sets."""
-    ends = live
+def _apart(live: DataFrame, names: DataFrame) -> DataFrame:
+    """The first edge between each two tracks that share no image, with both image sets.
+
+    names(vertex, track); a track has one vertex of an image, so its vertices' images are its set.
+    """
+    for end in "xy":
+        live = live.join(names.select(F.col("vertex").alias(end), F.col("track").alias(f"{end}_track")), end)
+    x, y = F.least("x_track", "y_track").alias("x"), F.greatest("x_track", "y_track").alias("y")
+    ends = live.where("x_track <> y_track").groupBy("component", x, y).agg(F.min("e").alias("e"))
+    sets = names.groupBy("track").agg(F.collect_list("vertex.image_id").alias("images"))
     for end in "xy":
         ends = ends.join(sets.select(F.col("track").alias(end), F.col("images").alias(f"i{end}")), end)
-    return ends.where((F.col("x") != F.col("y")) & ~F.arrays_overlap("ix", "iy"))
-
-
-def _flat(live: DataFrame, component: str) -> DataFrame:
-    """Edges with the columns that _guarded reads."""
-    ends = [F.col(f"{v}.{f}").alias(f"{v}{c}") for v in "xy" for f, c in (("image_id", "i"), ("kp_id", "k"))]
-    return live.select(component, "e.*", *ends, "ix", "iy")
+    return ends.where(~F.arrays_overlap("ix", "iy"))
 
 
-def _decided(flat: DataFrame, component: str) -> DataFrame:
-    """(x, y): the track x that each track y ends in by each component's edges, a group each."""
-    done = flat.groupBy(component).applyInPandas(lambda pdf: _guarded(pdf), "xi long, xk long, yi long, yk long")
+def _decided(live: DataFrame, most: int) -> DataFrame:
+    """(x, y): the track x that each track y ends in by the edges of each component, as far as its turn goes."""
+    ends = [F.col(f"{v}.{f}").alias(f"{v[0]}{c}") for v in ("component", "x", "y") for f, c in (("image_id", "i"), ("kp_id", "k"))]
+    dealt = live.repartition("component").sortWithinPartitions("component", "e").select(*ends, "ix", "iy")
+    done = dealt.mapInPandas(lambda frames: _guarded(frames, most), "xi long, xk long, yi long, yk long")
     vertex = lambda v: F.struct(F.col(f"{v}i").alias("image_id"), F.col(f"{v}k").alias("kp_id")).alias(v)
     return done.select(vertex("x"), vertex("y"))
 
 
-def _in_rounds(live: DataFrame, group_edges: int, chunk: int = 16) -> DataFrame:
-    """Merges (x, y) of tracks by edges (e, x, y), as if they were taken one by one in the order of e.
-
-    A round takes the first chunk * group_edges edges.  Those of one component of these do not touch the others, so
-    each component is a group, which decides its first group_edges edges.  All other edges then name the tracks that
-    have merged, and those within a track or between tracks that share an image go at once, for tracks only grow.
-    Where few edges are left, they are one component.
-    """
-    vertices = live.select(F.explode(F.array("x", "y")).alias("track")).distinct()
-    sets, merges = vertices.withColumn("images", F.array("track.image_id")), None
-    while True:
-        live = stash(_apart(live, sets), "edges")
-        n = live.count()
-        if not n:
-            return merges if merges is not None else live.select("x", "y")
-        few = n <= 4 * group_edges
-        first = live if n <= group_edges else placed(live, "e").where(F.col("place") < (1 if few else chunk) * group_edges).drop("place")
-        if few:
-            first = first.withColumn("part", F.lit(0))
-        else:
-            parts = connected_components(first, "x", "y").select(F.col("node").alias("x"), F.xxhash64("component").alias("part"))
-            order = Window.partitionBy("part").orderBy("e")
-            first = first.join(parts, "x").withColumn("place", F.row_number().over(order)).where(F.col("place") <= group_edges)
-        first = stash(first, "first")
-        won = stash(_decided(_flat(first, "part"), "part"), "merged")
-        merges = won if merges is None else merges.union(won)
-        if n <= group_edges:
-            return merges
-        names = won.select(F.col("y").alias("node"), F.col("x").alias("component"))
-        own = live.select(F.explode(F.array(F.struct(F.col("x").alias("track"), F.col("ix").alias("images")), F.struct(F.col("y").alias("track"), F.col("iy").alias("images")))).alias("t")).select("t.*")
-        own = own.groupBy("track").agg(F.any_value("images").alias("images")).join(names.select(F.col("node").alias("track"), "component"), "track", "left")
-        sets = stash(own.groupBy(F.coalesce("component", "track").alias("track")).agg(F.flatten(F.collect_list("images")).alias("images")), "images")
-        live = live.drop("ix", "iy").join(first.select("e"), "e", "left_anti")
-        for end in "xy":
-            live = live.join(names.select(F.col("node").alias(end), F.col("component").alias("to")), end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
-
-
 def guarded_tracks(edges: DataFrame, group_edges: int = 200_000) -> DataFrame:
     """image_id, kp_id, track_id: tracks with at most one keypoint per image.  Edges are taken in the order (src, a_kp,
     dst, b_kp), and one that would put two keypoints of an image together is refused; its ends stay vertices.
 
-    Unions never cross connected components.  Components of up to group_edges edges are done in one group each,
-    larger ones in rounds over tables, so group_edges bounds a task.
+    Unions never cross connected components.  A component's edges stream past one task in order, which merges tracks
+    until it holds 2 * group_edges of them, the ends of as many merging edges.  Then a round over tables renames the
+    ends of all edges and drops those within a track or between tracks that share an image, for tracks only grow, and
+    those after the first of two tracks.  A round but the last makes group_edges merges or more of a component, so
+    their number goes with its vertices, not with its edges.
     """
     canonical = edges.select(*[F.when(F.struct("src", "a_kp") <= F.struct(F.col("dst"), F.col("b_kp")), F.col(x)).otherwise(F.col(y)).cast("long").alias(z) for x, y, z in (("src", "dst", "src"), ("a_kp", "b_kp", "a_kp"), ("dst", "src", "dst"), ("b_kp", "a_kp", "b_kp"))]).distinct()
     keyed = _vertices(stash(canonical, "edges"))
-    parts = connected_components(keyed).select(F.col("node").alias("a"), F.col("component").alias("component"))
-    keyed = keyed.join(parts, "a").select("component", F.struct("src", "a_kp", "dst", "b_kp").alias("e"), F.col("a").alias("x"), F.col("b").alias("y"))
-    large = F.col("n") > group_edges
-    sized = stash(keyed.join(keyed.groupBy("component").agg(F.count("*").alias("n")), "component").withColumn("large", large).drop("n"), "edges")
-    small = sized.where(~F.col("large")).withColumns({"ix": F.array("x.image_id"), "iy": F.array("y.image_id")})
-    merges = _decided(_flat(small, "component"), "component")
-    rest = sized.where("large").select("e", "x", "y")
-    if not rest.isEmpty():
-        merges = merges.union(_in_rounds(rest, group_edges))
-    alone = sized.select(F.explode(F.array("x", "y")).alias("a")).distinct().select("a", F.col("a").alias("b"))
-    found = connected_components(stash(merges.toDF("a", "b").union(alone), "merges"))
-    return found.select("node.image_id", "node.kp_id", track_name("component").alias("track_id"))
+    parts = stash(connected_components(keyed).select(F.col("node").alias("vertex"), "component"), "components")
+    live = keyed.join(parts.withColumnRenamed("vertex", "a"), "a").select("component", F.struct("src", "a_kp", "dst", "b_kp").alias("e"), F.col("a").alias("x"), F.col("b").alias("y"))
+    names = parts.select("vertex", F.col("vertex").alias("track"))
+    while True:
+        live = stash(_apart(live, names), "edges")
+        if live.isEmpty():
+            return names.select("vertex.image_id", "vertex.kp_id", track_name("track").alias("track_id"))
+        won = stash(_decided(live, 2 * group_edges), "merged")
+        names = stash(names.join(won.select(F.col("y").alias("track"), "x"), "track", "left").select("vertex", F.coalesce("x", "track").alias("track")), "tracks")
 
 
 def one_per_image(tracks: DataFrame, position: str = "kp_id") -> DataFrame:
