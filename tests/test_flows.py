@@ -229,3 +229,12 @@ def test_image_paths(spark, tmp_path):
 def test_blocks_are_exact(spark):
     parts = sorted(r["count"] for r in retrieval.blocks_by_hash(spark.range(1050), "id", 100).groupBy("block").count().collect())
     assert parts == [50] + [100] * 10
+
+
+def test_closure_of_long_tracks(spark):
+    """The pairs of one long track are made in several tasks."""
+    kept = spark.createDataFrame([(t, k % 5, k) for t, n in (("a", 200), ("b", 3)) for k in range(n)], "track_id string, image_id long, kp_idx long")
+    pairs = tracks.closure_pairs(kept, 20)
+    found = rows(pairs, "src", "dst", "kp_idx1", "kp_idx2")
+    assert found == sorted((a % 5, b % 5, a, b) for n in (200, 3) for a in range(n) for b in range(n) if a % 5 < b % 5)
+    assert max(r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()) < len(found) / 2
