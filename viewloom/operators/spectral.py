@@ -66,13 +66,20 @@ def low_rank_depths(depths: DataFrame, cameras: DataFrame, rank: int = 64, gamma
     return rows.groupBy("image_id").applyInArrow(solved, MODEL)
 
 
-def depths_of(models: DataFrame, coefficients: DataFrame | None = None) -> DataFrame:
-    """image_id, pix, depth of low_rank_depths, or under other coefficients(image_id, coeffs)."""
+def _own_rows(of):
+    """of(row of the basis) for each anchor.  It is taken in the row that holds the basis, for an explode would copy the
+    whole basis to each anchor's row, n^2 numbers n times."""
+    at = F.sequence(F.lit(0), F.size("pix") - 1)
+    made = F.transform(at, lambda i: of(F.slice("basis", i * F.col("rank") + 1, F.col("rank"))))
+    return F.when(F.size("pix") > 0, made)
+
+
+def depths_of(models: DataFrame, coefficients: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """image_id, pix, depth of low_rank_depths, or under other coefficients(image_id, coeffs); keep: columns of models besides."""
     rows = models if coefficients is None else models.drop("coeffs").join(coefficients.select("image_id", "coeffs"), "image_id")
-    rows = rows.select("image_id", "rank", "coeffs", "basis", F.posexplode("pix").alias("at", "pix"))
-    own = F.slice("basis", F.col("at") * F.col("rank") + 1, F.col("rank"))
-    depth = F.aggregate(F.zip_with(own, "coeffs", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return rows.select("image_id", "pix", depth.alias("depth"))
+    depth = _own_rows(lambda b: F.aggregate(F.zip_with(b, "coeffs", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x))
+    rows = rows.select("image_id", *keep, F.explode(F.arrays_zip("pix", depth.alias("depth"))).alias("p"))
+    return rows.select("image_id", *keep, "p.pix", "p.depth")
 
 
 def coefficient_step(models: DataFrame, targets: DataFrame) -> DataFrame:
@@ -80,8 +87,9 @@ def coefficient_step(models: DataFrame, targets: DataFrame) -> DataFrame:
 
     The normal equations of each image are summed over its targets; null where these do not fix the coefficients.
     """
-    rows = models.select("image_id", "rank", "basis", F.posexplode("pix").alias("at", "pix")).join(targets, ["image_id", "pix"])
-    rows = rows.select("image_id", F.slice("basis", F.col("at") * F.col("rank") + 1, F.col("rank")).alias("b"), F.col("depth").cast("double").alias("depth"), F.col("weight").cast("double").alias("weight"))
+    own = models.select("image_id", F.explode(F.arrays_zip("pix", _own_rows(lambda b: b).alias("b"))).alias("p"))
+    rows = own.select("image_id", "p.pix", "p.b").join(targets, ["image_id", "pix"])
+    rows = rows.select("image_id", "b", F.col("depth").cast("double").alias("depth"), F.col("weight").cast("double").alias("weight"))
 
     def solved(key, table):
         a = np.array(table.column("b").to_pylist(), float)

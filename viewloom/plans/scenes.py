@@ -260,9 +260,8 @@ def _(spark, sf):
 def _(spark, sf):
     """With as many vectors as anchors the depths come back whole."""
     d, c, _ = _maps(spark, sf)
-    models = stash(spectral.low_rank_depths(d, c, 400), "models")
-    back = spectral.depths_of(models).groupBy("image_id").agg(F.round(F.sum("depth"), 4).alias("total"), F.round(F.sum(F.col("depth") * F.col("depth")), 2).alias("energy"))
-    return models.select("image_id", "n", "rank").join(back, "image_id")
+    back = spectral.depths_of(spectral.low_rank_depths(d, c, 400), keep=("n", "rank"))
+    return back.groupBy("image_id", "n", "rank").agg(F.round(F.sum("depth"), 4).alias("total"), F.round(F.sum(F.col("depth") * F.col("depth")), 2).alias("energy"))
 
 
 @query("low_rank_depths")
