@@ -79,3 +79,14 @@ def test_written_models_read_back(spark, tmp_path):
     back = sorted((r.image_id, i, p.x, p.y, p.point_id) for r in found["images"].collect() for i, p in enumerate(r.points))
     assert back == sorted((r.image_id, r.idx, r.x, r.y, -1 if r.point_id is None else r.point_id) for r in observed.collect())
     assert sorted((r.point_id, r.x) for r in found["points3D"].collect()) == sorted((r.point_id, r.x) for r in kept.collect())
+
+
+def test_batches_end_by_their_values():
+    """Images with many points make small batches, so what a task holds does not go with points per image."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    schema = _parse_datatype_string(readers.SCHEMAS["images"])
+    point = {"x": 1.0, "y": 2.0, "point_id": 3}
+    made = list(readers.batches(((i, [1.0] * 4, [0.0] * 3, 1, "a", [point] * 600) for i in range(100)), schema))
+    assert sum(b.num_rows for b in made) == 100 and max(b.num_rows for b in made) * 600 <= 21_000
+    assert [r["image_id"] for b in made for r in b.to_pylist()] == list(range(100))

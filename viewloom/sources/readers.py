@@ -204,19 +204,22 @@ class Range(InputPartition):
         self.first, self.last = first, last
 
 
-def batches(rows: Iterator[tuple], schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
+def batches(rows: Iterator[tuple], schema, size: int = 2000, values: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Batches of up to size rows, that end with the row that brings the items of their lists to ``values``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow, held = to_arrow_schema(schema), []
+    arrow, held, items = to_arrow_schema(schema), [], 0
 
     def out() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), arrow)], schema=arrow)
 
     for row in rows:
         held.append(row)
-        if len(held) == size:
+        items += sum(len(v) for v in row if isinstance(v, list))
+        if len(held) == size or items >= values:
             yield out()
             held.clear()
+            items = 0
     if held:
         yield out()
 
