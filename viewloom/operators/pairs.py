@@ -50,10 +50,22 @@ def max_window(kind: str, n: int, cyclic: bool = True) -> int:
     return max(1, reach)
 
 
-def complete(images: DataFrame, col: str = "image_id") -> DataFrame:
-    """All pairs (src, dst) with dst < src."""
-    one, two = images.select(F.col(col).alias("src")), images.select(F.col(col).alias("dst"))
-    return one.join(two, F.col("dst") < F.col("src"))
+def complete(images: DataFrame, col: str = "image_id", part: int = 1024) -> DataFrame:
+    """All pairs (src, dst) with dst < src.
+
+    The result is quadratic in the images.  They are dealt to parts of about ``part``, and each two parts meet once, so
+    the pairs are work of many tasks that hold a part each, however few files the images lie in.
+    """
+    n = int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = images.select(F.col(col).alias("id")).where("id IS NOT NULL")
+    sizes = ids.agg(F.ceil(F.count("*") / F.lit(part)).cast("long").alias("parts"))
+    rows = ids.crossJoin(F.broadcast(sizes)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")))
+    one = rows.select(F.col("own").alias("p1"), F.explode(F.sequence("own", F.col("parts") - 1)).alias("p2"), F.col("id").alias("a"))
+    two = rows.select(F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("p1"), F.col("own").alias("p2"), F.col("id").alias("b"))
+    # a given number of partitions, for the rows are few and the pairs many; equal ids share a part
+    keys = ["p1", "p2"]
+    both = one.repartition(n, *keys).join(two.repartition(n, *keys), keys).where("p1 < p2 OR b < a")
+    return both.select(F.greatest("a", "b").alias("src"), F.least("a", "b").alias("dst"))
 
 
 def _offsets(images: DataFrame, col: str, offsets: list[int], cyclic: bool, self_pairs: bool) -> DataFrame:
