@@ -1,5 +1,6 @@
 """Flows, the sparse model and database, losses' edges and crops, against hand-made cases."""
 
+import math
 import sqlite3
 import struct
 
@@ -238,3 +239,28 @@ def test_closure_of_long_tracks(spark):
     found = rows(pairs, "src", "dst", "kp_idx1", "kp_idx2")
     assert found == sorted((a % 5, b % 5, a, b) for n in (200, 3) for a in range(n) for b in range(n) if a % 5 < b % 5)
     assert max(r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()) < len(found) / 2
+
+
+@pytest.mark.parametrize("radius", [2.0, 0.8])
+def test_rounded_matches_are_tied_to_the_nearest_keypoint(spark, radius):
+    rng = np.random.default_rng(5)
+    at = np.round(rng.uniform(-4, 4, (300, 4)) * 4) / 4
+    rows = [(int(a), int(a) + 1, n, *map(float, p)) for n, (a, p) in enumerate(zip(rng.integers(0, 2, 300), at))]
+    odd = [math.nan, math.inf, None, 2.0**60, -0.5]
+    rows += [(0, 1, 300 + n, x, 1.0, 2.0, 1.25) for n, x in enumerate(odd)]
+    points, pairs = flows.format_rounded(spark.createDataFrame(rows, MATCHES), radius)
+    own = {}
+    for p in points.collect():
+        own.setdefault(p.image_id, []).append((p.kp_idx, p.x, p.y))
+
+    def nearest(image, x, y):
+        if x is None or not math.isfinite(x):
+            return None
+        near = [(math.sqrt((x - kx) ** 2 + (y - ky) ** 2), kp) for kp, kx, ky in own[image] if kx is not None and math.isfinite(kx)]
+        return min(((d, kp) for d, kp in near if d < radius), default=(0, None))[1]
+
+    want = {(s, d, nearest(s, x1, y1), nearest(d, x2, y2)) for s, d, _, x1, y1, x2, y2 in rows}
+    found = [tuple(r) for r in pairs.collect()]
+    assert len(found) == len(set(found)) and set(found) == {w for w in want if None not in w}
+    # an end meets its candidates once, and is not joined back to itself
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
