@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from viewloom.functions import geometry as geo
 from viewloom.operators import flows, graphs, losses, retrieval, tracks
+from viewloom.plans import more
 from viewloom.sources import files, model, readers
 from viewloom.sources.shared import placed
 
@@ -264,3 +265,28 @@ def test_rounded_matches_are_tied_to_the_nearest_keypoint(spark, radius):
     assert len(found) == len(set(found)) and set(found) == {w for w in want if None not in w}
     # an end meets its candidates once, and is not joined back to itself
     assert pairs._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+
+
+def test_reprojected_matches_take_cameras_without_a_sort_of_all_rows(spark, tmp_path):
+    rng, width, height, rows, seen = np.random.default_rng(6), 5, 4, [], {}
+    for pair in range(3):
+        for side in (1, 2):
+            c, s = np.cos(0.1 * pair * side), np.sin(0.1 * pair * side)
+            focal, cx, cy, r, t = 4.0 + pair, 2.0, 1.5 + 0.1 * side, np.array([[c, -s, 0], [s, c, 0], [0, 0, 1]]), np.array([0.1 * side, -0.1 * pair, 0.0])
+            points = np.stack([(np.arange(20) % width - cx) / focal, (np.arange(20) // width - cy) / focal, np.ones(20)], 1) * rng.uniform(2, 2.2, (20, 1)) @ r.T + t
+            points[3] = t
+            seen[pair, side] = (focal, cx, cy, r, t, points)
+            rows += [(pair, side, i, *map(float, p), focal, cx, cy, r.ravel().tolist(), t.tolist()) for i, p in enumerate(points)]
+
+    def falls(pair, side, i):
+        focal, cx, cy, r, t, _ = seen[pair, 3 - side]
+        x, y, z = r.T @ (seen[pair, side][5][i] - t)
+        return None if z == 0 else int(np.clip(np.rint(focal * x / z + cx), 0, width - 1) + width * np.clip(np.rint(focal * y / z + cy), 0, height - 1))
+
+    views = spark.createDataFrame(rows, "pair_id long, side long, pix long, x double, y double, z double, focal double, cx double, cy double, rotation array<double>, t array<double>")
+    found = flows.reprojected_matches(views, (width, height))
+    want = [(p, i, falls(p, 1, i)) for p in range(3) for i in range(20) if falls(p, 1, i) is not None and falls(p, 2, falls(p, 1, i)) == i]
+    assert len(want) > 10 and sorted(map(tuple, found.collect())) == sorted(want)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    spark.range(1, 10, 1, 1).withColumnRenamed("id", "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    assert more._views(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().count() > 1
