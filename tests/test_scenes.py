@@ -50,6 +50,19 @@ def test_codebook_and_signatures(spark, monkeypatch, limit):
     assert got == {k: (n, bits(r)) for k, (n, r) in expected.items()}
 
 
+def test_words_are_found_and_added_up_in_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(kernels, "SENT", 2, raising=False)
+    rows, df = features(spark)
+    start = spark.createDataFrame([(w, rows[w * 9][2]) for w in range(8)], "word long, v array<double>")
+    plan = kernels.image_words(df, start, 3)._jdf.queryExecution().optimizedPlan().toString()
+    # one of Python for words and sums, one where sums of a key meet
+    assert plan.count("MapInArrow") == 2
+    keys = ["word", "image_id"]
+    one, two = ({tuple(r[k] for k in keys): (r.n, r.total) for r in d.collect()} for d in (kernels.nearest_sums(df, start, keys, 3), kernels.vector_sums(kernels.nearest_words(df, start, 3), keys)))
+    assert one.keys() == two.keys() and sum(n for n, _ in one.values()) == 3 * len(rows)
+    assert all(one[k][0] == two[k][0] and np.allclose(one[k][1], two[k][1]) for k in one)
+
+
 def test_kernel_scores(spark):
     rows = [(i, w, [i * 37 % 251 << 20, w * i], 128) for i in range(12) for w in range(4) if (i + w) % 3]
     words = spark.createDataFrame(rows, "image_id long, word long, bits array<long>, dims int")

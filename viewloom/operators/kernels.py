@@ -7,6 +7,7 @@ vectors are taken in the tasks that read them and again per key, so a word that
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from .retrieval import in_blocks
 BROADCAST = 8_000_000
 #: Partial sums that a task holds, in numbers.
 HELD = 4_000_000
+#: Keys whose sums are sent at once.
+SENT = 1_024
 
 
 def _nearest(x: np.ndarray, words: np.ndarray, book: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,19 +46,25 @@ def _nearest(x: np.ndarray, words: np.ndarray, book: np.ndarray, k: int) -> tupl
     return tuple(np.concatenate(c) if c else np.empty(0, t) for c, t in ((rows, int), (found, int), (dist, float)))
 
 
+def _shared(codebook: DataFrame):
+    """Words and their vectors for every task, in order of words; None where they are more than BROADCAST numbers."""
+    size = codebook.agg(F.sum(F.size("v")).alias("n")).first().n or 0
+    if size > BROADCAST:
+        return None
+    rows = codebook.select("word", F.transform("v", lambda x: x.cast("double")).alias("v")).orderBy("word").collect()
+    return codebook.sparkSession.sparkContext.broadcast((np.array([r.word for r in rows], np.int64), np.array([r.v for r in rows], float)))
+
+
 def nearest_words(vectors: DataFrame, codebook: DataFrame, k: int = 1, block: int = 4096) -> DataFrame:
     """The columns of vectors, rank and word: the k words of codebook(word, v) nearest to each v, as one row each.
 
     vectors has ``id``, distinct, and ``v``; its rows become double arrays.  A codebook of up to BROADCAST numbers
     goes to every task, by a count and not by an estimate; a larger one meets the vectors in blocks.
     """
-    spark = vectors.sparkSession
     vectors = vectors.withColumn("v", F.transform("v", lambda x: x.cast("double")))
-    size = codebook.agg(F.sum(F.size("v")).alias("n")).first().n or 0
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema)
-    if size <= BROADCAST:
-        rows = codebook.select("word", F.transform("v", lambda x: x.cast("double")).alias("v")).orderBy("word").collect()
-        shared = spark.sparkContext.broadcast((np.array([r.word for r in rows], np.int64), np.array([r.v for r in rows], float)))
+    shared = _shared(codebook)
+    if shared:
         at = vectors.columns.index("v")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,6 +97,40 @@ def vector_sums(rows: DataFrame, keys: list[str], col: str = "v") -> DataFrame:
     Tasks add up what they read and send one row a key, or more where they hold HELD numbers; those are added where
     their key is.
     """
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            if len(batch):
+                yield np.column_stack([np.array(batch.column(i)) for i in range(len(keys))]), _matrix(batch.column(len(keys)))
+
+    return _sums(rows.select(*[F.col(k).cast("long").alias(k) for k in keys], F.col(col).alias("total")), keys, parts)
+
+
+def nearest_sums(vectors: DataFrame, codebook: DataFrame, keys: list[str], k: int = 1) -> DataFrame:
+    """vector_sums by keys, whole-number columns of vectors and ``word``, of nearest_words(vectors, codebook, k).
+
+    Where the codebook goes to every task, words are found and vectors added up in one pass, so a task has one Python
+    worker and the vectors do not leave it.
+    """
+    shared = _shared(codebook)
+    if not shared:
+        return vector_sums(nearest_words(vectors, codebook, k), keys)
+    own = [c for c in keys if c != "word"]
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        words, book = shared.value
+        for batch in batches:
+            if not len(words) or not len(batch):
+                continue
+            x = _matrix(batch.column(len(own)))
+            i, j, _ = _nearest(x, words, book, k)
+            found = {c: np.array(batch.column(n))[i] for n, c in enumerate(own)} | {"word": words[j]}
+            yield np.column_stack([found[c] for c in keys]), x[i]
+
+    return _sums(vectors.select(*[F.col(c).cast("long").alias(c) for c in own], F.transform("v", lambda x: x.cast("double")).alias("v")), keys, parts)
+
+
+def _sums(rows: DataFrame, keys: list[str], parts) -> DataFrame:
+    """keys, n and total of what parts makes of the rows: whole-number keys and vectors, in batches."""
     schema = ", ".join([*[f"{k} long" for k in keys], "n long", "total array<double>"])
     kinds = [*[pa.int64()] * (len(keys) + 1), pa.list_(pa.float64())]
 
@@ -95,31 +138,31 @@ def vector_sums(rows: DataFrame, keys: list[str], col: str = "v") -> DataFrame:
         held: dict[tuple, list] = {}
 
         def out() -> Iterator[pa.RecordBatch]:
-            if held:
-                columns = [*zip(*held), [n for n, _ in held.values()], [t.tolist() for _, t in held.values()]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*keys, "n", "total"])
-            held.clear()
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            x = _matrix(batch.column(len(keys) + 1))
-            found, place = np.unique(np.column_stack([np.array(batch.column(i)) for i in range(len(keys))]), axis=0, return_inverse=True)
-            place = place.reshape(-1)
-            n, total = np.bincount(place, weights=np.array(batch.column(len(keys))), minlength=len(found)), np.zeros((len(found), x.shape[1]))
-            np.add.at(total, place, x)
-            for key, m, t in zip(map(tuple, found.tolist()), n.astype(np.int64).tolist(), total):
+            # a part at a time and without Python numbers, so sending takes little beside what is held
+            while held:
+                some = list(islice(held, SENT))
+                sums = [held.pop(key) for key in some]
+                flat = np.concatenate([t for _, t in sums])
+                ends = np.cumsum([0, *[len(t) for _, t in sums]])
+                columns = [*map(list, zip(*some)), [n for n, _ in sums]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns, kinds), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], [*keys, "n", "total"])
+
+        for key_of, x in parts(batches):
+            found, place, n = np.unique(key_of, axis=0, return_inverse=True, return_counts=True)
+            total = np.zeros((len(found), x.shape[1]))
+            np.add.at(total, place.reshape(-1), x)
+            for key, m, t in zip(map(tuple, found.tolist()), n.tolist(), total):
                 if key in held:
                     held[key][0] += m
                     held[key][1] += t
                 else:
-                    held[key] = [m, t]
+                    # a copy, for a view would keep the whole batch's sums
+                    held[key] = [m, t.copy()]
             if len(held) * x.shape[1] > HELD:
                 yield from out()
         yield from out()
 
-    one = rows.select(*[F.col(k).cast("long").alias(k) for k in keys], F.lit(1).cast("long").alias("n"), F.col(col).alias("total"))
-    return one.mapInArrow(summed, schema).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merged(len(keys), kinds, keys), schema)
+    return rows.mapInArrow(summed, schema).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merged(len(keys), kinds, keys), schema)
 
 
 def _merged(depth: int, kinds: list, keys: list[str]):
@@ -166,7 +209,7 @@ def train_codebook(vectors: DataFrame, start: DataFrame, rounds: int = 10, least
     vectors = vectors.select("id", "v")
     book = stash(start.select(F.col("word").cast("long").alias("word"), F.lit(0).cast("long").alias("n"), F.transform("v", lambda x: x.cast("double")).alias("v")), "codebook")
     for _ in range(rounds):
-        sums = vector_sums(nearest_words(vectors, book.select("word", "v")), ["word"]).select("word", F.col("n").alias("m"), F.transform("total", lambda x, i: x / F.col("n")).alias("mean"))
+        sums = nearest_sums(vectors, book.select("word", "v"), ["word"]).select("word", F.col("n").alias("m"), F.transform("total", lambda x, i: x / F.col("n")).alias("mean"))
         both = book.join(sums, "word", "left").select("word", F.coalesce("m", F.lit(0)).alias("n"), F.coalesce("mean", "v").alias("v"), F.col("v").alias("was"))
         both = stash(both, "codebook")
         moved = F.aggregate(F.zip_with("v", "was", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, x: F.greatest(s, x))
@@ -195,8 +238,8 @@ def image_words(features: DataFrame, codebook: DataFrame, k: int = 1, least: flo
 
     features(image_id, id, v), each with its k nearest words; n: the features that fell to the word.
     """
-    near = nearest_words(features.select("image_id", "id", "v"), codebook.select("word", "v"), k)
-    sums = vector_sums(near, ["image_id", "word"]).join(codebook.select("word", F.col("v").alias("w")), "word")
+    near = nearest_sums(features.select("image_id", "id", "v"), codebook.select("word", "v"), ["image_id", "word"], k)
+    sums = near.join(codebook.select("word", F.col("v").alias("w")), "word")
     residual = F.zip_with("total", "w", lambda t, w: t - F.col("n") * w)
     return sums.select("image_id", "word", "n", residual.alias("r"), F.size("w").alias("dims")).select("image_id", "word", "n", signature(F.col("r"), least).alias("bits"), "dims")
 
