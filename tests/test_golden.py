@@ -223,3 +223,13 @@ def test_radius_is_strict(spark):
     k = spark.createDataFrame([(0, 0, 2.0, 0.0), (0, 1, 0.0, 1.0)], "image_id long, kp_idx long, x double, y double")
     r = spark.createDataFrame([(0, 0, 0.0, 0.0), (0, 1, 4.0, 0.0)], "image_id long, pos long, x double, y double")
     assert {x.pos: x.kp_idx for x in tracks.radius_nearest(r, k, 2.0).collect()} == {0: 1, 1: None}
+
+
+def test_tiles_meet_by_a_shuffle_and_not_through_the_driver(spark):
+    """The size of tiles is guessed as that of their images; only the list of full cells may be broadcast."""
+    images = spark.range(50).select(F.col("id").alias("image_id"), F.lit(1400).alias("width"), F.lit(900).alias("height"))
+    one = [F.lit(float(x)) for x in (1, 0, 30, 0, 1, -20)]
+    maps = images.select(F.col("image_id").alias("src"), (F.col("image_id") + 1).alias("dst"), F.array(*one).alias("m"))
+    plan = tiling.overlapping_tiles(tiling.edge_aligned(images), maps)._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) >= 3 and all("SortMergeJoin" in line or "LeftOuter" in line for line in joins)

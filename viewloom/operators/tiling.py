@@ -77,7 +77,8 @@ def box_join(left: DataFrame, right: DataFrame, cell: float = 512.0, on: tuple[s
     """Pairs of boxes a_* and b_* that meet: an equi-join on grid cells, each pair in the first cell they share.
 
     Where a cell holds more than ``most`` boxes of the left, these are dealt to parts, and those of the right go to
-    each part, so that a full cell is no single task's.
+    each part, so that a full cell is no single task's.  Boxes meet by a shuffle whatever their table's size is guessed
+    to be, for a guess does not know how many cells they touch and would send them all through the driver.
     """
     keys = [*on, "cx", "cy"]
     one, two = _celled(left, "a_", cell), _celled(right, "b_", cell)
@@ -85,7 +86,7 @@ def box_join(left: DataFrame, right: DataFrame, cell: float = 512.0, on: tuple[s
     parts = lambda d: d.join(full, keys, "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
     one = parts(one).withColumn("__part", F.pmod(F.xxhash64(*[f"a_{c}" for c in ("x0", "y0", "x1", "y1")], *[c for c in left.columns if c.startswith("a_") and c[2:] not in ("x0", "y0", "x1", "y1")]), F.col("__parts")).cast("int")).drop("__parts")
     two = parts(two).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts")
-    rows = one.join(two, [*keys, "__part"]).drop("__part")
+    rows = one.join(two.hint("merge"), [*keys, "__part"]).drop("__part")
     first = (F.col("cx") == F.greatest(F.floor(F.col("a_x0") / cell), F.floor(F.col("b_x0") / cell))) & (F.col("cy") == F.greatest(F.floor(F.col("a_y0") / cell), F.floor(F.col("b_y0") / cell)))
     return rows.where(first & intersects("a_", "b_")).drop("cx", "cy")
 
@@ -111,8 +112,11 @@ def pair_affines(pairs: DataFrame, affines: DataFrame) -> DataFrame:
 
 
 def project_tiles(tiles: DataFrame, maps: DataFrame) -> DataFrame:
-    """src, dst, tile_id and the enclosing box a_x0 .. of each src tile's corners in dst."""
-    rows = maps.join(tiles, F.col("src") == F.col("image_id"))
+    """src, dst, tile_id and the enclosing box a_x0 .. of each src tile's corners in dst.
+
+    Maps and tiles meet by a shuffle: both grow with the images, and the size of tiles is guessed as their images'.
+    """
+    rows = maps.join(tiles.hint("merge"), F.col("src") == F.col("image_id"))
     m = F.col("m")
     corners = [apply_affine(m, F.col(x), F.col(y)) for x in ("x0", "x1") for y in ("y0", "y1")]
     rows = rows.withColumns({f"p{i}": c for i, c in enumerate(corners)})
@@ -122,7 +126,7 @@ def project_tiles(tiles: DataFrame, maps: DataFrame) -> DataFrame:
 
 def overlapping_tiles(tiles: DataFrame, maps: DataFrame, cell: float = 512.0) -> DataFrame:
     """Every tile of dst that a projected tile of src meets."""
-    right = maps.select("src", "dst").join(tiles, F.col("dst") == F.col("image_id")).select(F.col("src"), F.col("dst"), F.col("tile_id").alias("b_tile"), *[F.col(c).alias(f"b_{c}") for c in ("x0", "y0", "x1", "y1")])
+    right = maps.select("src", "dst").join(tiles.hint("merge"), F.col("dst") == F.col("image_id")).select(F.col("src"), F.col("dst"), F.col("tile_id").alias("b_tile"), *[F.col(c).alias(f"b_{c}") for c in ("x0", "y0", "x1", "y1")])
     return box_join(project_tiles(tiles, maps), right, cell, ("src", "dst"))
 
 
