@@ -233,3 +233,11 @@ def test_tiles_meet_by_a_shuffle_and_not_through_the_driver(spark):
     plan = tiling.overlapping_tiles(tiling.edge_aligned(images), maps)._jdf.queryExecution().sparkPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert len(joins) >= 3 and all("SortMergeJoin" in line or "LeftOuter" in line for line in joins)
+
+
+def test_best_tiles_meet_by_a_shuffle_and_not_through_the_driver(spark):
+    from viewloom.plans import catalog
+
+    plan = catalog.QUERIES["tile_best_one_to_one"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) >= 3 and all("SortMergeJoin" in line or "LeftOuter" in line for line in joins)
