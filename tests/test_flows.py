@@ -242,6 +242,15 @@ def test_closure_of_long_tracks(spark):
     assert max(r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()) < len(found) / 2
 
 
+def test_parts_of_a_track_meet_once(spark):
+    """A keypoint is sent once for each part and once more, not twice for each; all pairs come once, of either order of parts."""
+    kept = spark.createDataFrame([("a", k % 7, k // 7) for k in range(400)], "track_id string, image_id long, kp_idx long")
+    one, two = tracks._met_parts(kept, 50)
+    assert one.count() + two.count() == 400 * 9 and one.where("p1 > p2").isEmpty() and two.where("p1 > p2").isEmpty()
+    found = rows(tracks.closure_pairs(kept, 50), "src", "dst", "kp_idx1", "kp_idx2")
+    assert found == sorted((a % 7, b % 7, a // 7, b // 7) for a in range(400) for b in range(400) if a % 7 < b % 7)
+
+
 @pytest.mark.parametrize("radius", [2.0, 0.8])
 def test_rounded_matches_are_tied_to_the_nearest_keypoint(spark, radius):
     rng = np.random.default_rng(5)
